@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+Every report is a bounded monthly batch over the four collections; the reports define no
+watermark, event-time window or per-key state, so there is no streaming operator to provide.
+A month can be (re)computed at any time with ``plans.jobs.run_reports``.
+"""
