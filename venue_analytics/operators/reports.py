@@ -101,6 +101,13 @@ def _audits(audits: DataFrame, month: str | None, types) -> DataFrame:
                     F.col("actor.label").alias("user"), F.col("subject.origin_id").alias("post_id")))
 
 
+def int_rows(t: Tables, month: str | None = None) -> DataFrame:
+    """The synthetic 'int' audits: one row per (merchant, month, user, post) liked or replied to."""
+    a = _audits(t.audits, month, AUDIT_TYPES).withColumn("source", source_of("post_id")).distinct()
+    return (a.filter(F.col("type").isin("like", "reply")).withColumn("type", F.lit("int")).distinct()
+            .select("type", "merchant_id", "month", "user", "post_id", "source"))
+
+
 def interaction_parts(t: Tables, month: str | None = None, as_of=None, same_month: bool = True):
     """The pieces of the interactions report: (interactions + 'int' rows matched to places,
     follows attributed to places). Both are (type, user, source, month, place_name, merchant_id).
