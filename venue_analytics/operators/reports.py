@@ -7,7 +7,7 @@ back-fill: the same rows as running each month separately).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from venue_analytics.functions.columns import in_month, month_str, source_of, time_diff
@@ -22,10 +22,11 @@ PLACE_MONTH = ["merchant_id", "place_name", "post_month"]
 
 
 def _with_group_total(long_df: DataFrame, group_cols, n_col: str = "n", out: str = "total") -> DataFrame:
-    """Attach the per-group sum of ``n`` to every long row (second aggregation joined back on the
-    group key; both sides are aggregates, so the join is over small, already reduced data)."""
-    totals = long_df.groupBy(*group_cols).agg(F.sum(n_col).cast("long").alias(out))
-    return long_df.join(totals, list(group_cols), "inner")
+    """Attach the per-group sum of ``n`` to every long row. The input is already aggregated (at
+    most sources x kinds rows per group), so the window's shuffle is small and cannot be skewed
+    by a hot group; the long rows are not recomputed as a self-join would do."""
+    w = Window.partitionBy(*group_cols)
+    return long_df.withColumn(out, F.sum(n_col).over(w).cast("long"))
 
 
 # --------------------------------------------------------------------------------------- R1

@@ -44,6 +44,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         return configure(active)
     builder = (SparkSession.builder.appName(app_name)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", os.environ.get("VA_DRIVER_MEMORY", "16g")))
     if master:
         builder = builder.master(master)
