@@ -1,0 +1,75 @@
+"""Readers (string forms), the report sink and the monthly runner."""
+
+import datetime as dt
+import os
+import tempfile
+
+from pyspark.sql import functions as F
+
+from conftest import AS_OF, base_rows, make_tables
+from venue_analytics.operators import reports as R
+from venue_analytics.plans.jobs import DEFAULT_REPORTS, run_reports
+from venue_analytics.sources.readers import normalise, read_table
+from venue_analytics.sources.sinks import read_report
+
+
+def test_normalise_string_forms(spark):
+    posts = spark.createDataFrame(
+        [("FB-aa", "Wed Jan 21 16:30:00 AEST 2015", "[FB-1, FB-11]"),
+         ("FB-bb", "Thu Jan 22 16:30:00 EST 2015", "FB-2, FB-3"),      # bracket-less: kept whole
+         ("FB-cc", "Fri Jan 23 16:30:00 UTC 2015", "[]")],
+        "_id string, post_time string, secondary_venue_ids string")
+    got = normalise("posts", posts).orderBy("id").collect()
+    assert got[0].id == "FB-aa" and got[0].post_time == dt.datetime(2015, 1, 21, 16, 30)
+    assert [r.secondary_venue_ids for r in got] == [["FB-1", "FB-11"], ["FB-2", "FB-3"], []]
+    merchants = spark.createDataFrame([("M1", "x", (1433116800999,))],
+                                      "_id string, name string, subscription struct<expires_at:long>")
+    m = normalise("merchants", merchants).collect()[0]
+    assert m.subscription.expires_at == dt.datetime(2015, 6, 1, 0, 0, 0)
+
+
+def test_read_table_json_with_declared_schema(spark):
+    d = tempfile.mkdtemp(prefix="va-json-")
+    path = os.path.join(d, "places.json")
+    with open(path, "w") as fh:
+        fh.write('{"_id": "P1", "name": "Tims House", "merchant_id": "M1", "venue_ids": ["FB-1", "TW-1"]}\n')
+    df = read_table(spark, "places", path, fmt="json",
+                    schema=__import__("pyspark.sql.types", fromlist=["StructType"]).StructType.fromJson(
+                        {"type": "struct", "fields": [
+                            {"name": "_id", "type": "string", "nullable": True, "metadata": {}},
+                            {"name": "name", "type": "string", "nullable": True, "metadata": {}},
+                            {"name": "merchant_id", "type": "string", "nullable": True, "metadata": {}},
+                            {"name": "venue_ids", "type": {"type": "array", "elementType": "string",
+                                                           "containsNull": True}, "nullable": True, "metadata": {}}]}))
+    r = df.collect()[0]
+    assert r.id == "P1" and r.venue_ids == ["FB-1", "TW-1"]
+
+
+def test_month_filter_reaches_scan(spark):
+    d = tempfile.mkdtemp(prefix="va-scan-")
+    posts, places, merchants, audits = base_rows()
+    t = make_tables(spark, posts, places, merchants, audits)
+    t.posts.write.mode("overwrite").parquet(os.path.join(d, "posts"))
+    scanned = read_table(spark, "posts", os.path.join(d, "posts"))
+    t.posts = scanned
+    plan = R.content_types(t, "2015Jan", AS_OF)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(post_time), GreaterThanOrEqual(post_time" in plan
+
+
+def test_run_reports_replaces_only_its_month(spark):
+    sink = tempfile.mkdtemp(prefix="va-sink-")
+    t = make_tables(spark, *base_rows())
+    out = run_reports(spark, t, sink, "2015Jan", as_of=AS_OF)
+    assert sorted(out) == sorted(DEFAULT_REPORTS)
+    run_reports(spark, t, sink, "2015Apr", reports=["content", "segments"], as_of=AS_OF)
+    content = read_report(spark, out["content"])
+    assert sorted(r.post_month for r in content.select("post_month").distinct().collect()) == ["2015Apr", "2015Jan"]
+    before = sorted(map(str, read_report(spark, out["content"], post_month="2015Jan").collect()))
+    # re-running a month replaces it (same rows, no duplicates) and leaves the other month alone
+    run_reports(spark, t, sink, "2015Jan", reports=["content"], as_of=AS_OF)
+    after = sorted(map(str, read_report(spark, out["content"], post_month="2015Jan").collect()))
+    assert before == after and len(after) == 3
+    assert read_report(spark, out["content"], post_month="2015Apr").count() == 3
+    seg = read_report(spark, os.path.join(sink, "segments"))
+    assert seg.select("month").distinct().collect()[0].month == "2015Apr"
+    assert seg.select(F.size("counts").alias("n")).distinct().collect()[0].n == 25

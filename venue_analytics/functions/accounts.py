@@ -34,7 +34,12 @@ def linked_accounts_by_source(linked_accounts) -> Column:
     ids = linked_account_ids(linked_accounts)
     return F.map_from_arrays(
         F.array(*[F.lit(s) for s in SOURCES]),
-        F.array(*[F.filter(ids, lambda x, s=s: F.substring(x, 1, 2) == s) for s in SOURCES]))
+        F.array(*[F.filter(ids, _has_source(s)) for s in SOURCES]))
+
+
+def _has_source(source: str):
+    # a one-argument lambda: Spark reads a second argument as the element index
+    return lambda x: F.substring(x, 1, 2) == F.lit(source)
 
 
 def is_own_post(own_ids, poster_id) -> Column:

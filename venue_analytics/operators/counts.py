@@ -23,9 +23,17 @@ def merge_onto(zero: Column, m: Column) -> Column:
     return F.map_zip_with(zero, m, lambda k, z, v: F.coalesce(v, z))
 
 
+# A missing key is written as the text 'None', as the original's str(key) did; map keys cannot be null.
+NULL_KEY = "None"
+
+
+def _key(c: str) -> Column:
+    return F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY))
+
+
 def fold_map(df: DataFrame, group_cols, key_col: str, n_col: str, zero_keys, out: str = "counts") -> DataFrame:
     """(group..., key, n) -> (group..., counts map<key, n>) with every zero key present."""
-    m = F.map_from_entries(F.collect_list(F.struct(F.col(key_col).cast("string"), F.col(n_col).cast("long"))))
+    m = F.map_from_entries(F.collect_list(F.struct(_key(key_col), F.col(n_col).cast("long"))))
     return (df.groupBy(*group_cols).agg(m.alias("_m"))
             .select(*group_cols, merge_onto(zero_map(zero_keys), F.col("_m")).alias(out)))
 
@@ -35,7 +43,7 @@ def fold_nested_map(df: DataFrame, group_cols, outer_col: str, inner_col: str, n
     """(group..., outer, inner, n) -> (group..., counts map<outer, map<inner, n>>), zero-filled on
     both levels. Unknown inner keys and unknown outer keys are added beside the fixed ones."""
     inner = fold_map(df, list(group_cols) + [outer_col], inner_col, n_col, inner_keys, "_inner")
-    m = F.map_from_entries(F.collect_list(F.struct(F.col(outer_col).cast("string"), F.col("_inner"))))
+    m = F.map_from_entries(F.collect_list(F.struct(_key(outer_col), F.col("_inner"))))
     zero = zero_map(outer_keys, zero_map(inner_keys))
     return (inner.groupBy(*group_cols).agg(m.alias("_m"))
             .select(*group_cols, merge_onto(zero, F.col("_m")).alias(out)))
