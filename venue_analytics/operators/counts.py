@@ -31,22 +31,29 @@ def _key(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY))
 
 
-def fold_map(df: DataFrame, group_cols, key_col: str, n_col: str, zero_keys, out: str = "counts") -> DataFrame:
-    """(group..., key, n) -> (group..., counts map<key, n>) with every zero key present."""
+def fold_map(df: DataFrame, group_cols, key_col: str, n_col: str, zero_keys, out: str = "counts",
+             total: str | None = None) -> DataFrame:
+    """(group..., key, n) -> (group..., counts map<key, n>) with every zero key present;
+    ``total`` adds the sum of n, computed in the same aggregation."""
     m = F.map_from_entries(F.collect_list(F.struct(_key(key_col), F.col(n_col).cast("long"))))
-    return (df.groupBy(*group_cols).agg(m.alias("_m"))
-            .select(*group_cols, merge_onto(zero_map(zero_keys), F.col("_m")).alias(out)))
+    aggs = [m.alias("_m")] + ([F.sum(n_col).cast("long").alias(total)] if total else [])
+    return (df.groupBy(*group_cols).agg(*aggs)
+            .select(*group_cols, merge_onto(zero_map(zero_keys), F.col("_m")).alias(out),
+                    *([total] if total else [])))
 
 
 def fold_nested_map(df: DataFrame, group_cols, outer_col: str, inner_col: str, n_col: str,
-                    outer_keys, inner_keys, out: str = "counts") -> DataFrame:
+                    outer_keys, inner_keys, out: str = "counts", total: str | None = None) -> DataFrame:
     """(group..., outer, inner, n) -> (group..., counts map<outer, map<inner, n>>), zero-filled on
-    both levels. Unknown inner keys and unknown outer keys are added beside the fixed ones."""
-    inner = fold_map(df, list(group_cols) + [outer_col], inner_col, n_col, inner_keys, "_inner")
+    both levels. Unknown inner keys and unknown outer keys are added beside the fixed ones.
+    ``total`` adds the sum of n over both levels, carried through the two aggregations."""
+    inner = fold_map(df, list(group_cols) + [outer_col], inner_col, n_col, inner_keys, "_inner",
+                     total="_sub" if total else None)
     m = F.map_from_entries(F.collect_list(F.struct(_key(outer_col), F.col("_inner"))))
+    aggs = [m.alias("_m")] + ([F.sum("_sub").cast("long").alias(total)] if total else [])
     zero = zero_map(outer_keys, zero_map(inner_keys))
-    return (inner.groupBy(*group_cols).agg(m.alias("_m"))
-            .select(*group_cols, merge_onto(zero, F.col("_m")).alias(out)))
+    return (inner.groupBy(*group_cols).agg(*aggs)
+            .select(*group_cols, merge_onto(zero, F.col("_m")).alias(out), *([total] if total else [])))
 
 
 def pivot_counts(df: DataFrame, group_cols, key_col: str, n_col: str, keys, prefix: str = "n_",

@@ -30,21 +30,24 @@ def _with_group_total(long_df: DataFrame, group_cols, n_col: str = "n", out: str
 
 
 # --------------------------------------------------------------------------------------- R1
+def content_counts(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
+    """(merchant_id, place_name, post_month, source, kind, n): distinct place-posts per kind."""
+    pp = place_posts(t, month, ["merchant_id", "place_name", "post_id", "post_month", "source", "kind"],
+                     as_of=as_of)
+    return distinct_count(pp, PLACE_MONTH + ["source", "kind"])
+
+
 def content_types(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, kind, n, total): distinct place-posts per
     kind and source; ``total`` covers every kind of the place-month (kept when > 0)."""
-    pp = place_posts(t, month, ["merchant_id", "place_name", "post_id", "post_month", "source", "kind"],
-                     as_of=as_of)
-    long_df = distinct_count(pp, PLACE_MONTH + ["source", "kind"])
-    return _with_group_total(long_df, PLACE_MONTH).filter(F.col("total") > 0)
+    return _with_group_total(content_counts(t, month, as_of), PLACE_MONTH).filter(F.col("total") > 0)
 
 
 def content_types_map(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_name, post_month, counts{source->{kind->n}}, total)."""
-    long_df = content_types(t, month, as_of)
-    maps = fold_nested_map(long_df, PLACE_MONTH, "source", "kind", "n", SOURCES, KINDS)
-    totals = long_df.select(*PLACE_MONTH, "total").distinct()
-    return maps.join(totals, PLACE_MONTH)
+    return (fold_nested_map(content_counts(t, month, as_of), PLACE_MONTH, "source", "kind", "n", SOURCES, KINDS,
+                            total="total")
+            .filter(F.col("total") > 0))
 
 
 # --------------------------------------------------------------------------------------- R2
@@ -85,12 +88,11 @@ def keywords(t: Tables, month: str | None = None, as_of=None, stops=None, min_to
             .select(*PLACE_MONTH, "word", "source", "n", "total"))
 
 
-def keywords_map(t: Tables, month: str | None = None, as_of=None, stops=None) -> DataFrame:
-    """(merchant_id, place_name, post_month, word, counts{source->n}, total)."""
-    long_df = keywords(t, month, as_of, stops)
-    g = PLACE_MONTH + ["word"]
-    maps = fold_map(long_df, g, "source", "n", SOURCES)
-    return maps.join(long_df.select(*g, "total").distinct(), g)
+def keywords_map(t: Tables, month: str | None = None, as_of=None, stops=None, min_total: int = 2) -> DataFrame:
+    """(merchant_id, place_name, post_month, word, counts{source->n}, total), total > 1."""
+    return (fold_map(keyword_counts(t, month, as_of, stops), PLACE_MONTH + ["word"], "source", "n", SOURCES,
+                     total="total")
+            .filter(F.col("total") >= min_total))
 
 
 # --------------------------------------------------------------------------------------- R4
@@ -138,10 +140,50 @@ def interaction_parts(t: Tables, month: str | None = None, as_of=None, same_mont
 
 
 def interactions(t: Tables, month: str | None = None, as_of=None, same_month: bool = True) -> DataFrame:
-    """(merchant_id, place_name, month, user, source, type, n)."""
-    matched, follows_placed = interaction_parts(t, month, as_of, same_month)
-    return distinct_count(matched.unionByName(follows_placed),
-                          ["merchant_id", "place_name", "month", "user", "source", "type"])
+    """(merchant_id, place_name, month, user, source, type, n).
+
+    One linear plan (no sub-plan is computed twice):
+
+    1. audits of the month (like/reply/tag) -> one row per (merchant, month, user, post, source)
+       with the set of distinct types (partial aggregation; the set holds at most three types);
+    2. join with the distinct place-posts on (post_id, merchant_id) -> explode the types plus
+       'int' when the post was liked or replied to -> count per place;
+    3. follows (own scan, type pushed to the source) -> distinct posts counted per
+       (merchant, month, user, source);
+    4. a window over (merchant, month, user) hands each follow count the places where that user
+       interacted; the window partition holds only aggregated rows (places x sources x types).
+    """
+    pp = place_posts(t, month, ["place_name", "post_id", "merchant_id", "post_month"], as_of=as_of)
+    per_post = (_audits(t.audits, month, ["like", "reply", "tag"])
+                .withColumn("source", source_of("post_id"))
+                .groupBy("merchant_id", "month", "user", "post_id", "source")
+                .agg(F.collect_set("type").alias("types")))
+    keys = ["post_id", "merchant_id"]
+    if same_month:
+        pp = pp.withColumnRenamed("post_month", "month")
+        keys.append("month")
+    else:
+        pp = pp.drop("post_month")
+    with_int = F.concat("types", F.when(F.arrays_overlap("types", F.array(F.lit("like"), F.lit("reply"))),
+                                        F.array(F.lit("int"))).otherwise(F.array().cast("array<string>")))
+    group = ["merchant_id", "place_name", "month", "user", "source", "type"]
+    counted = distinct_count(per_post.join(pp, keys, "inner")
+                             .select("merchant_id", "place_name", "month", "user", "source",
+                                     F.explode(with_int).alias("type")), group)
+    follows = (_audits(t.audits, month, ["follow"])
+               .select("merchant_id", "month", "user", "post_id", source_of("post_id").alias("source"))
+               .distinct()
+               .groupBy("merchant_id", "month", "user", "source").agg(F.count(F.lit(1)).alias("n"))
+               .select("merchant_id", F.lit(None).cast("string").alias("place_name"), "month", "user", "source",
+                       F.lit("follow").alias("type"), "n"))
+    both = counted.withColumn("_follow", F.lit(False)).unionByName(follows.withColumn("_follow", F.lit(True)))
+    w = Window.partitionBy("merchant_id", "month", "user")
+    places = F.collect_set(F.when(~F.col("_follow"), F.col("place_name"))).over(w)
+    return (both.withColumn("_places", places)
+            .select("merchant_id",
+                    F.explode(F.when(F.col("_follow"), F.col("_places"))
+                              .otherwise(F.array(F.col("place_name")))).alias("place_name"),
+                    "month", "user", "source", "type", "n"))
 
 
 def interactions_map(t: Tables, month: str | None = None, as_of=None, same_month: bool = True) -> DataFrame:
@@ -172,19 +214,22 @@ def response_times(t: Tables, month: str | None = None, wrap_days: bool = False)
 
 
 # --------------------------------------------------------------------------------------- R6
-def posters(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
-    """(merchant_id, place_name, post_month, source, n, total): distinct posters per source
-    (a missing poster id counts as one poster); ``total`` over sources, kept when > 0."""
+def poster_counts(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
+    """(merchant_id, place_name, post_month, source, n): distinct posters per source; a missing
+    poster id counts as one poster (DISTINCT then COUNT, not count(distinct))."""
     pp = place_posts(t, month, ["merchant_id", "place_name", "post_month", "source", "poster_id"], as_of=as_of)
-    long_df = distinct_count(pp, PLACE_MONTH + ["source"])
-    return _with_group_total(long_df, PLACE_MONTH).filter(F.col("total") > 0)
+    return distinct_count(pp, PLACE_MONTH + ["source"])
+
+
+def posters(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
+    """(merchant_id, place_name, post_month, source, n, total); ``total`` over sources, > 0."""
+    return _with_group_total(poster_counts(t, month, as_of), PLACE_MONTH).filter(F.col("total") > 0)
 
 
 def posters_map(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_name, post_month, counts{source->n}, total)."""
-    long_df = posters(t, month, as_of)
-    maps = fold_map(long_df, PLACE_MONTH, "source", "n", SOURCES)
-    return maps.join(long_df.select(*PLACE_MONTH, "total").distinct(), PLACE_MONTH)
+    return (fold_map(poster_counts(t, month, as_of), PLACE_MONTH, "source", "n", SOURCES, total="total")
+            .filter(F.col("total") > 0))
 
 
 # --------------------------------------------------------------------------------------- R7
@@ -198,10 +243,9 @@ def segments(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     pp = (place_posts(t, month, ["merchant_id", "place_id", "post_id", "post_month", "day", "hour", "source"],
                       drop_own=False, places=act)
           .withColumnRenamed("post_month", "month"))
-    hourly = distinct_count(pp, SEGMENT_GROUP + ["hour", "source"])
-    total = (hourly.groupBy(*SEGMENT_GROUP, "source").agg(F.sum("n").cast("long").alias("n"))
-             .withColumn("hour", F.lit("total")))
-    return (hourly.unionByName(total)
+    # each distinct place-post counts in its hour and in 'total': one aggregation, no second branch
+    both = pp.select(*SEGMENT_GROUP, "source", F.explode(F.array(F.col("hour"), F.lit("total"))).alias("hour"))
+    return (distinct_count(both, SEGMENT_GROUP + ["hour", "source"])
             .select(*SEGMENT_GROUP, F.lit("PC").alias("metric"), "hour", "source", "n"))
 
 
