@@ -160,3 +160,9 @@ def test_linked_accounts_and_own_post(spark):
     assert [r.own for r in rows] == [True, False, False, False]
     by_src = df.select(A.linked_accounts_by_source("la").alias("m")).collect()[0].m
     assert {k: sorted(v) for k, v in by_src.items()} == {"FB": ["FB-8", "FB-9"], "IG": [], "TW": [], "4S": [], "WB": []}
+
+
+def test_full_match(spark):
+    got = one(spark, X.full_match("s", "like|reply"), [("like",), ("unlike",), ("reply",), ("likes",), ("like\n",)],
+              "s string")
+    assert got == [True, False, True, False, False]

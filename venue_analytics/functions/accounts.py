@@ -56,7 +56,6 @@ def merchant_accounts(merchants: DataFrame) -> DataFrame:
     never turns into a long array scanned per post."""
     if "linked_accounts" not in merchants.columns:
         return merchants.sparkSession.createDataFrame([], "merchant_id string, poster_id string")
-    return (merchants
-            .select(F.col("id").alias("merchant_id"),
-                    F.explode(linked_account_ids("linked_accounts")).alias("poster_id"))
-            .distinct())
+    # no distinct: a repeated account cannot change an anti-join, and it would cost a shuffle
+    return merchants.select(F.col("id").alias("merchant_id"),
+                            F.explode(linked_account_ids("linked_accounts")).alias("poster_id"))

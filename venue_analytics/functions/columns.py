@@ -112,3 +112,9 @@ def time_diff(start: ColumnOrName, end: ColumnOrName, wrap_days: bool = False) -
     of the day-difference (result modulo 86400, never negative), as the original helper did."""
     d = F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))
     return F.pmod(d, F.lit(86400)) if wrap_days else d
+
+
+def full_match(c: ColumnOrName, pattern: str) -> Column:
+    """Whole-string regex match (``rlike`` alone also accepts a match inside the string:
+    'unlike' contains 'like'). A literal pattern is better written as ``==``, which pushes down."""
+    return _c(c).rlike(f"\\A(?:{pattern})\\z")  # \z: '$' would also match before a final newline
