@@ -63,9 +63,10 @@ def text_strip(text, stops=None) -> Column:
     # Raw length >= 3, so after dropping a leading sign the last character is still the raw
     # word's last character: both ends are tested on the raw word in one pass.
     words = F.transform(words, lambda w: _strip_ends(w, punc))
-    words = F.filter(words, lambda w: (F.length(w) >= MIN_WORD) & ~w.contains("http"))
-    # array_except removes the stop words and keeps the first occurrence of each word.
-    return F.array_except(words, F.lit(stops))
+    # The stop words as an IN-list become one hash set built once per task (InSet); the
+    # array_distinct after it keeps the first occurrence of each word.
+    words = F.filter(words, lambda w: (F.length(w) >= MIN_WORD) & ~w.contains("http") & ~w.isin(*stops))
+    return F.array_distinct(words)
 
 
 def text_strip_joined(text, stops=None) -> Column:
