@@ -189,3 +189,13 @@ def test_user_likes(edge):
 def test_own_accounts_relation(edge):
     assert sorted(set(rows(edge.own_accounts(), "merchant_id", "poster_id"))) == [("M3", "FB-8"), ("M3", "FB-9"), ("M3", "IG-5"),
                                                                       ("M3", "TW-6")]
+
+
+def test_shared_matches_equal_recomputed(spark, edge):
+    from venue_analytics.plans.jobs import share_matches
+    shared = share_matches(spark, edge, "2015Jan", AS_OF, with_text=True)
+    for name, fn in R.LONG_REPORTS.items():
+        if name == "response_times":
+            continue
+        assert rows_sorted(map(tuple, fn(edge, "2015Jan", AS_OF).collect())) == \
+            rows_sorted(map(tuple, fn(shared, "2015Jan", AS_OF).collect())), name

@@ -73,3 +73,27 @@ def test_run_reports_replaces_only_its_month(spark):
     seg = read_report(spark, os.path.join(sink, "segments"))
     assert seg.select("month").distinct().collect()[0].month == "2015Apr"
     assert seg.select(F.size("counts").alias("n")).distinct().collect()[0].n == 25
+
+
+def test_shared_matches_give_the_same_reports(spark):
+    from venue_analytics.plans.jobs import share_matches
+    from conftest import base_rows, make_tables
+    t = make_tables(spark, *base_rows())
+    for month in ("2015Jan", "2015Apr"):
+        shared = share_matches(spark, t, month, AS_OF, with_text=True)
+        assert shared.matches is not None
+        for name, fn in R.LONG_REPORTS.items():
+            if name == "response_times":
+                continue
+            a = sorted(map(tuple, fn(t, month, AS_OF).collect()), key=repr)
+            b = sorted(map(tuple, fn(shared, month, AS_OF).collect()), key=repr)
+            assert a == b, (name, month)
+
+
+def test_shared_matches_refuse_another_month(spark):
+    import pytest
+    from venue_analytics.plans.jobs import share_matches
+    t = make_tables(spark, *base_rows())
+    shared = share_matches(spark, t, "2015Jan", AS_OF)
+    with pytest.raises(ValueError):
+        R.content_types(shared, "2015Apr", AS_OF)

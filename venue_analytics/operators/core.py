@@ -42,6 +42,10 @@ class Tables:
     audits: DataFrame | None = None
     accounts: DataFrame | None = None
     venues: DataFrame | None = None
+    # Optional precomputed place/post match of one month (see ``match_table``), shared by the
+    # reports of a run instead of each re-joining posts and places.
+    matches: DataFrame | None = None
+    matches_month: str | None = None
 
     def own_accounts(self) -> DataFrame:
         if self.accounts is not None:
@@ -68,8 +72,9 @@ def active_places(places: DataFrame, merchants: DataFrame, as_of=None) -> DataFr
 
 def place_venues(places: DataFrame) -> DataFrame:
     """One row per (place, venue id); a place without venues has no row."""
+    # a venue listed twice would only duplicate join rows that the dedupe removes later
     return places.select("merchant_id", "place_id", "place_name",
-                         F.explode("venue_ids").alias("venue_id"))
+                         F.explode(F.array_distinct("venue_ids")).alias("venue_id"))
 
 
 _DERIVED = {
@@ -93,7 +98,7 @@ def post_venues(posts: DataFrame, month: str | None, cols, extra_filter=None) ->
     if extra_filter is not None:
         p = p.filter(extra_filter)
     return p.select(*[_DERIVED[c]().alias(c) for c in cols],
-                    F.explode("secondary_venue_ids").alias("venue_id"))
+                    F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id"))
 
 
 def match_place_posts(places: DataFrame, posts: DataFrame, month: str | None, post_cols,
@@ -110,6 +115,17 @@ def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
 
     ``keys`` may name place columns (merchant_id, place_id, place_name) and post columns
     (post_id, source, post_month, day, hour, kind, poster_id, text, value)."""
+    if t.matches is not None:
+        if month != t.matches_month:
+            raise ValueError(f"shared matches are for {t.matches_month!r}, not {month!r}")
+        m = t.matches
+        if extra_filter is not None:
+            m = m.filter(extra_filter)
+        if drop_own:
+            m = m.filter(~F.col("_own"))
+        if places is not None:
+            m = m.join(places.select("place_id").distinct(), "place_id", "left_semi")
+        return m.select(*[_DERIVED[k]().alias(k) if k in _DERIVED else F.col(k) for k in keys]).distinct()
     post_side = [k for k in keys if k in _DERIVED]
     if post_cols:
         post_side += [c for c in post_cols if c not in post_side]
@@ -122,6 +138,27 @@ def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
     return m.select(*keys).distinct()
 
 
+RAW_POST_COLUMNS = ["id", "post_time", "kind", "poster_id", "rating"]
+
+
+def match_table(t: Tables, month: str | None, as_of=None, with_text: bool = False) -> DataFrame:
+    """The place/post venue match of a month, once for all reports of a run: raw post columns
+    (``id, post_time, kind, poster_id, rating`` and ``text`` when asked), the place columns
+    (``merchant_id, place_id, place_name``) and ``_own`` (the poster is one of the merchant's own
+    accounts). One row per matching (post, place); the reports derive and dedupe their keys."""
+    act = active_places(t.places, t.merchants, as_of)
+    cols = RAW_POST_COLUMNS + (["text"] if with_text else [])
+    dtype = t.posts.schema["post_time"].dataType
+    pv = (t.posts.filter(in_month("post_time", month, dtype))
+          .select(*cols, F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id")))
+    # no distinct here: the rare repeat of a (post, place) pair is removed by each report's dedupe,
+    # and a distinct would shuffle every post (with its text) once more
+    m = pv.join(place_venues(act), "venue_id", "inner").drop("venue_id")
+    own = t.own_accounts().distinct().withColumn("_own", F.lit(True))
+    return (m.join(own, ["merchant_id", "poster_id"], "left")
+            .withColumn("_own", F.coalesce(F.col("_own"), F.lit(False))))
+
+
 def own_place_posts(t: Tables, month: str | None, as_of=None) -> DataFrame:
     """The place-post rows the own-post rule removes: (merchant_id, place_name, post_id, poster_id)."""
     act = active_places(t.places, t.merchants, as_of)

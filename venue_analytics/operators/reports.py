@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from venue_analytics.functions.columns import in_month, month_str, source_of, time_diff
 from venue_analytics.functions.text import keyword_words
-from venue_analytics.operators.core import Tables, active_places, distinct_count, place_posts
+from venue_analytics.operators.core import Tables, distinct_count, place_posts
 from venue_analytics.operators.counts import fold_map, fold_nested_map
 from venue_analytics.sources.schemas import (
     AUDIT_TYPES, INTERACTION_TYPES, KINDS, RATINGS, REVIEW_SOURCES, SEGMENT_KEYS, SOURCES,
@@ -239,9 +239,8 @@ SEGMENT_GROUP = ["merchant_id", "place_id", "month", "day"]
 def segments(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_id, month, day, metric='PC', hour, source, n) with hour '00'..'23' and
     'total' rows (sum over the hours). Own posts are kept; grouped by place id."""
-    act = active_places(t.places, t.merchants, as_of)
     pp = (place_posts(t, month, ["merchant_id", "place_id", "post_id", "post_month", "day", "hour", "source"],
-                      drop_own=False, places=act)
+                      as_of=as_of, drop_own=False)
           .withColumnRenamed("post_month", "month"))
     # each distinct place-post counts in its hour and in 'total': one aggregation, no second branch
     both = pp.select(*SEGMENT_GROUP, "source", F.explode(F.array(F.col("hour"), F.lit("total"))).alias("hour"))

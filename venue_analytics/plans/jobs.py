@@ -18,14 +18,18 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from venue_analytics.operators import reports as R
-from venue_analytics.operators.core import Tables, active_places
-from venue_analytics.session import get_spark
+import dataclasses
+
+from venue_analytics.operators.core import Tables, active_places, match_table
+from venue_analytics.session import checkpoint_dir, get_spark
 from venue_analytics.sources.readers import read_tables
 from venue_analytics.sources.sinks import MONTH_COLUMN, write_report
 
 # Reports run when none is named (segments only on request, as before).
 DEFAULT_REPORTS = ["content", "interactions", "posters", "reviews", "keywords"]
 ALL_REPORTS = DEFAULT_REPORTS + ["segments", "response_times"]
+# Reports built on the place/post venue match (all but response_times).
+MATCH_REPORTS = {"content", "interactions", "posters", "reviews", "keywords", "segments"}
 
 
 def current_month(today: dt.date | None = None) -> str:
@@ -39,15 +43,28 @@ def build_report(t: Tables, report: str, month: str | None, as_of=None):
     return R.REPORTS[report](t, month, as_of)
 
 
+def share_matches(spark: SparkSession, t: Tables, month: str | None, as_of=None,
+                  with_text: bool = False) -> Tables:
+    """Compute the month's place/post match once and checkpoint it to the shared checkpoint
+    folder (reliable storage: it survives lost executors and cuts the lineage), so the reports of
+    the run read it instead of each scanning posts and joining places again. Without a
+    configured checkpoint folder on a cluster, ``t`` is returned unchanged (reports recompute)."""
+    if checkpoint_dir(spark) is None:
+        return t
+    m = match_table(t, month, as_of, with_text).checkpoint(eager=True)
+    return dataclasses.replace(t, matches=m, matches_month=month)
+
+
 def run_reports(spark: SparkSession, t: Tables, sink_base: str, month: str | None = None,
-                reports=None, fmt: str = "parquet", as_of=None) -> dict[str, str]:
+                reports=None, fmt: str = "parquet", as_of=None, share: bool = True) -> dict[str, str]:
     """Run ``reports`` (default: DEFAULT_REPORTS) for ``month`` (default: the current month) and
     write each to ``<sink_base>/<report>`` partitioned by its month column. Returns the paths.
 
     The active places are shared by every report of the run; they are a dimension-sized
     relation, cached for the run and released at the end. Each report is computed lazily and
     written once; a failed task is re-run from lineage, and only the month's partition is
-    replaced when the write commits."""
+    replaced when the write commits. With ``share`` (default) the venue match is computed once
+    for all reports of the run (``share_matches``)."""
     month = month or current_month()
     names = list(reports) if reports else list(DEFAULT_REPORTS)
     unknown = [n for n in names if n not in ALL_REPORTS]
@@ -56,6 +73,8 @@ def run_reports(spark: SparkSession, t: Tables, sink_base: str, month: str | Non
     # Each report builds the same active-places sub-plan; Spark's cache manager substitutes the
     # cached copy wherever that sub-plan appears.
     shared = active_places(t.places, t.merchants, as_of).cache()
+    if share and len(MATCH_REPORTS.intersection(names)) > 1:
+        t = share_matches(spark, t, month, as_of, with_text="keywords" in names)
     out = {}
     try:
         for name in names:

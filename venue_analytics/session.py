@@ -57,16 +57,17 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return configure(spark)
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) is a scratch folder set; on a cluster the
-    setting must point at shared storage and is never overridden here.
+    Only a local session (tests, bench) that names none gets a scratch folder; a cluster session
+    without the setting gets ``None`` (callers then skip checkpointing), because a machine-local
+    folder is not reachable after an executor is lost.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir()
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            return None
         current = tempfile.mkdtemp(prefix="va-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
