@@ -70,3 +70,10 @@ def pivot_counts(df: DataFrame, group_cols, key_col: str, n_col: str, keys, pref
 def map_entries_long(df: DataFrame, group_cols, map_col: str, key_name: str, value_name: str) -> DataFrame:
     """Inverse of ``fold_map``: explode a map column back into long rows."""
     return df.select(*group_cols, F.explode(map_col).alias(key_name, value_name))
+
+
+def nested_map_entries(df: DataFrame, group_cols, map_col: str, outer_name: str, inner_name: str,
+                       value_name: str = "n", keep=()) -> DataFrame:
+    """Inverse of ``fold_nested_map``: one row per (outer, inner) entry, zero entries included."""
+    return (df.select(*group_cols, *keep, F.explode(map_col).alias(outer_name, "_inner"))
+            .select(*group_cols, *keep, outer_name, F.explode("_inner").alias(inner_name, value_name)))

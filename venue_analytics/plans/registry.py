@@ -19,9 +19,11 @@ from venue_analytics.functions.text import stop_words, text_strip, text_strip_jo
 from venue_analytics.operators import checks as C
 from venue_analytics.operators import core
 from venue_analytics.operators import reports as R
-from venue_analytics.operators.counts import pivot_counts
+from venue_analytics.operators.counts import map_entries_long, nested_map_entries, pivot_counts
 from venue_analytics.plans import standins as SD
-from venue_analytics.sources.schemas import PUNCTUATION, SOURCES
+from venue_analytics.sources.schemas import (
+    HOURS, INTERACTION_TYPES, KINDS, PUNCTUATION, RATINGS, REVIEW_SOURCES, SOURCES,
+)
 
 AS_OF = SD.AS_OF
 TAGS = ["R", "A"]
@@ -148,6 +150,36 @@ def q_venue_list_parse(spark, d):
                     F.array_join(F.array_sort(parsed), ",").alias("venues"))
 
 
+def q_content_types_map_entries(spark, d):
+    return nested_map_entries(R.content_types_map(_t(spark, d), None, AS_OF), R.PLACE_MONTH, "counts",
+                              "source", "kind", keep=["total"])
+
+
+def q_reviews_map_entries(spark, d):
+    return nested_map_entries(R.reviews_map(_t(spark, d), None, AS_OF), ["merchant_id", "place_name", "month"],
+                              "counts", "source", "value")
+
+
+def q_posters_map_entries(spark, d):
+    return map_entries_long(R.posters_map(_t(spark, d), None, AS_OF), R.PLACE_MONTH + ["total"], "counts",
+                            "source", "n")
+
+
+def q_keywords_map_entries(spark, d):
+    return map_entries_long(R.keywords_map(_t(spark, d, with_text=True), None, AS_OF),
+                            R.PLACE_MONTH + ["word", "total"], "counts", "source", "n")
+
+
+def q_interactions_map_entries(spark, d):
+    return nested_map_entries(R.interactions_map(_t(spark, d), None, AS_OF, same_month=False),
+                              ["merchant_id", "place_name", "month", "user"], "counts", "source", "type")
+
+
+def q_segments_map_entries(spark, d):
+    return nested_map_entries(R.segments_map(_t(spark, d, event_based=True), None, AS_OF),
+                              ["merchant_id", "place_id", "month", "day", "metric"], "counts", "hour", "source")
+
+
 QUERIES: dict[str, Query] = {
     "active_places": q_active_places,
     "place_posts": q_place_posts,
@@ -173,6 +205,12 @@ QUERIES: dict[str, Query] = {
     "month_parts": q_month_parts,
     "source_prefix": q_source_prefix,
     "venue_list_parse": q_venue_list_parse,
+    "content_types_map_entries": q_content_types_map_entries,
+    "reviews_map_entries": q_reviews_map_entries,
+    "posters_map_entries": q_posters_map_entries,
+    "keywords_map_entries": q_keywords_map_entries,
+    "interactions_map_entries": q_interactions_map_entries,
+    "segments_map_entries": q_segments_map_entries,
 }
 
 
@@ -287,6 +325,19 @@ sd_seg_hours AS (
   FROM (SELECT DISTINCT pv.merchant_id, pv.place_id, p.post_id, p.month, p.day, p.hour, p.source
         FROM sd_event_posts p JOIN sd_active_places pv ON pv.venue_id = p.venue_id)
   GROUP BY ALL),
+sd_reviews AS (
+  SELECT merchant_id, place_name, post_month AS month, source, rating_value AS value, count(*) AS n
+  FROM (SELECT DISTINCT merchant_id, place_name, post_month, source, post_id, rating_value FROM sd_matches
+        WHERE kind = 'review' AND source = 'FB')
+  GROUP BY ALL),
+sd_interactions AS (
+  SELECT merchant_id, place_name, month, user_name AS "user", source, type, count(*) AS n
+  FROM (SELECT * FROM sd_int_matched UNION ALL SELECT * FROM sd_follows) GROUP BY ALL),
+sd_segments AS (
+  SELECT merchant_id, place_id, month, day, 'PC' AS metric, hour, source, n FROM sd_seg_hours
+  UNION ALL
+  SELECT merchant_id, place_id, month, day, 'PC' AS metric, 'total' AS hour, source, CAST(sum(n) AS BIGINT) AS n
+  FROM sd_seg_hours GROUP BY merchant_id, place_id, month, day, source),
 sd_kw_texts AS (
   SELECT DISTINCT merchant_id, place_name, post_month, text, source FROM sd_matches
   WHERE text IS NOT NULL AND text <> ''),""" + _keyword_cte("sd_kw_texts", "merchant_id, place_name, post_month, source") + """,
@@ -305,6 +356,39 @@ def _pivot_sql(src: str) -> str:
 FROM {src} GROUP BY merchant_id, place_name, post_month"""
 
 
+def _values(keys) -> str:
+    return "(VALUES " + ", ".join(f"({_sql_str(k)})" for k in keys) + ")"
+
+
+def _flat_entries_sql(base: str, group: list[str], key: str, outer_keys, keep=()) -> str:
+    """Zero-filled flat map entries: every fixed key and every key present, per group."""
+    g = ", ".join(group)
+    kept = "".join(f", g.{c}" for c in keep)
+    return f"""SELECT {", ".join("g." + c for c in group)}{kept}, k.{key}, CAST(coalesce(b.n, 0) AS BIGINT) AS n
+FROM (SELECT DISTINCT {g}{"".join(", " + c for c in keep)} FROM {base}) g
+JOIN (SELECT DISTINCT {g}, x.{key} FROM (SELECT DISTINCT {g} FROM {base}) CROSS JOIN {_values(outer_keys)} AS x({key})
+      UNION SELECT DISTINCT {g}, coalesce({key}, 'None') FROM {base}) k USING ({g})
+LEFT JOIN (SELECT {g}, coalesce({key}, 'None') AS {key}, sum(n) AS n FROM {base} GROUP BY ALL) b USING ({g}, {key})"""
+
+
+def _nested_entries_sql(base: str, group: list[str], outer: str, inner: str, outer_keys, inner_keys,
+                        value: str = "n", keep=()) -> str:
+    """Zero-filled nested map entries: fixed and present outer keys; under each, fixed and present
+    inner keys; value 0 when absent."""
+    g = ", ".join(group)
+    go = g + ", " + outer
+    kept = "".join(f", g.{c}" for c in keep)
+    return f"""SELECT {", ".join("g." + c for c in group)}{kept}, i.{outer}, i.{inner}, CAST(coalesce(b.n, 0) AS BIGINT) AS {value}
+FROM (SELECT DISTINCT {g}{"".join(", " + c for c in keep)} FROM {base}) g
+JOIN (SELECT {go}, y.{inner} FROM (
+        SELECT DISTINCT {g}, x.{outer} FROM (SELECT DISTINCT {g} FROM {base}) CROSS JOIN {_values(outer_keys)} AS x({outer})
+        UNION SELECT DISTINCT {g}, coalesce({outer}, 'None') FROM {base}) o
+      CROSS JOIN {_values(inner_keys)} AS y({inner})
+      UNION SELECT DISTINCT {g}, coalesce({outer}, 'None'), coalesce({inner}, 'None') FROM {base}) i USING ({g})
+LEFT JOIN (SELECT {g}, coalesce({outer}, 'None') AS {outer}, coalesce({inner}, 'None') AS {inner}, sum(n) AS n
+           FROM {base} GROUP BY ALL) b USING ({go}, {inner})"""
+
+
 def _wrap(body: str, extra_ctes: str = "") -> str:
     extra = ("," + extra_ctes) if extra_ctes else ""
     return "WITH " + _STANDINS + extra + "\n" + body
@@ -393,6 +477,22 @@ FROM orders"""),
         "source_prefix": _wrap("SELECT post_id, source FROM sd_posts"),
         "venue_list_parse": _wrap("""SELECT post_id, count(*) AS n_venues, string_agg(venue_id, ',' ORDER BY venue_id) AS venues
 FROM sd_post_venues GROUP BY post_id"""),
+        "content_types_map_entries": _wrap(_nested_entries_sql(
+            "sd_content_t", ["merchant_id", "place_name", "post_month"], "source", "kind", SOURCES, KINDS,
+            keep=["total"])),
+        "reviews_map_entries": _wrap(_nested_entries_sql(
+            "sd_reviews", ["merchant_id", "place_name", "month"], "source", "value", REVIEW_SOURCES, RATINGS)),
+        "posters_map_entries": _wrap(_flat_entries_sql(
+            "sd_posters_t", ["merchant_id", "place_name", "post_month"], "source", SOURCES, keep=["total"])),
+        "keywords_map_entries": _wrap(_flat_entries_sql(
+            "(SELECT * FROM sd_keywords WHERE total >= 2)", ["merchant_id", "place_name", "post_month", "word"],
+            "source", SOURCES, keep=["total"])),
+        "interactions_map_entries": _wrap(_nested_entries_sql(
+            "sd_interactions", ["merchant_id", "place_name", "month", '"user"'], "source", "type", SOURCES,
+            INTERACTION_TYPES)),
+        "segments_map_entries": _wrap(_nested_entries_sql(
+            "sd_segments", ["merchant_id", "place_id", "month", "day", "metric"], "hour", "source",
+            HOURS + ["total"], SOURCES)),
     }
 
 
