@@ -85,7 +85,7 @@ def q_keywords_long(spark, d):
 def q_text_strip_words(spark, d):
     docs = SD.load(spark, d, "documents")
     return docs.select("doc_id", F.coalesce(text_strip_joined("text"), F.lit("")).alias("normalised"),
-                       F.coalesce(F.size(text_strip("text")), F.lit(0)).cast("long").alias("n_words"))
+                       F.coalesce(F.array_size(text_strip("text")), F.lit(0)).cast("long").alias("n_words"))
 
 
 def q_interactions_long(spark, d):
@@ -146,7 +146,7 @@ def q_venue_list_parse(spark, d):
     p = SD.posts(spark, d).filter(F.col("secondary_venue_ids").isNotNull())
     rendered = F.concat(F.lit("["), F.array_join("secondary_venue_ids", ", "), F.lit("]"))
     parsed = tokenize(venue_id_strip(rendered))
-    return p.select(F.col("id").alias("post_id"), F.size(parsed).cast("long").alias("n_venues"),
+    return p.select(F.col("id").alias("post_id"), F.array_size(parsed).cast("long").alias("n_venues"),
                     F.array_join(F.array_sort(parsed), ",").alias("venues"))
 
 
