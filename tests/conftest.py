@@ -24,9 +24,9 @@ def _t(s):
 
 # Base rows of the reference fixture: one merchant, three places, 15 posts + 4 reviews, 8 likes.
 PLACES = [
-    ("P1", "Tims House", "M1", ["FB-1", "TW-1", "IG-1", "FB-11", "FB-111"]),
-    ("P2", "Local Measure", "M1", ["FB-2", "TW-2", "IG-2"]),
-    ("P3", "Fitness First", "M1", ["FB-3", "TW-3", "IG-3"]),
+    ("P1", "North House", "M1", ["FB-1", "TW-1", "IG-1", "FB-11", "FB-111"]),
+    ("P2", "Harbour View", "M1", ["FB-2", "TW-2", "IG-2"]),
+    ("P3", "Gym One", "M1", ["FB-3", "TW-3", "IG-3"]),
 ]
 
 POSTS = [
@@ -53,14 +53,14 @@ REVIEWS = [
     ("FB-ss", ["TW-3", "TW-33", "TW-333"], "05/04/15 18:30", "4"),
 ]
 AUDITS = [
-    ("like", "21/01/15 16:40", "Tim Tang", "FB-aa"),
-    ("like", "21/01/15 16:45", "Tim Tang", "FB-aa"),
-    ("like", "21/01/15 16:50", "Tim Tang", "FB-aa"),
-    ("like", "21/01/15 17:40", "Freddy Prinze Jr", "IG-bb"),
-    ("like", "21/01/15 18:40", "Tim Tang", "TW-cc"),
-    ("like", "22/01/15 16:40", "Freddy Prinze Jr", "FB-dd"),
-    ("like", "22/01/15 17:40", "Tim Tang", "IG-hh"),
-    ("like", "22/01/15 18:40", "Freddy Prinze Jr", "TW-ii"),
+    ("like", "21/01/15 16:40", "Ada Park", "FB-aa"),
+    ("like", "21/01/15 16:45", "Ada Park", "FB-aa"),
+    ("like", "21/01/15 16:50", "Ada Park", "FB-aa"),
+    ("like", "21/01/15 17:40", "Ben Cole", "IG-bb"),
+    ("like", "21/01/15 18:40", "Ada Park", "TW-cc"),
+    ("like", "22/01/15 16:40", "Ben Cole", "FB-dd"),
+    ("like", "22/01/15 17:40", "Ada Park", "IG-hh"),
+    ("like", "22/01/15 18:40", "Ben Cole", "TW-ii"),
 ]
 
 
@@ -75,7 +75,7 @@ def audit_row(i, typ, when, user, post, merchant="M1"):
 def base_rows():
     posts = [post_row(p, v, w, text=x, kind=k) for p, v, w, x, k in POSTS]
     posts += [post_row(p, v, w, kind="review", rating=(val, 5)) for p, v, w, val in REVIEWS]
-    merchants = [("M1", "timcorpo", (dt.datetime(2015, 12, 31),), None)]
+    merchants = [("M1", "acme", (dt.datetime(2015, 12, 31),), None)]
     audits = [audit_row(i, *a) for i, a in enumerate(AUDITS)]
     return posts, list(PLACES), merchants, audits
 

@@ -5,7 +5,7 @@ import pytest
 from conftest import AS_OF
 from venue_analytics.operators import reports as R
 
-TH, LM, FF = "Tims House", "Local Measure", "Fitness First"
+TH, LM, FF = "North House", "Harbour View", "Gym One"
 
 
 def rows(df, *cols):
@@ -65,8 +65,8 @@ def test_posters(base):
 def test_interactions(base):
     got = rows(R.interactions(base, "2015Jan", AS_OF), "place_name", "user", "source", "type", "n")
     expected = []
-    for place, user, src in [(TH, "Tim Tang", "FB"), (TH, "Tim Tang", "TW"), (TH, "Freddy Prinze Jr", "IG"),
-                             (LM, "Tim Tang", "IG"), (LM, "Freddy Prinze Jr", "FB"), (FF, "Freddy Prinze Jr", "TW")]:
+    for place, user, src in [(TH, "Ada Park", "FB"), (TH, "Ada Park", "TW"), (TH, "Ben Cole", "IG"),
+                             (LM, "Ada Park", "IG"), (LM, "Ben Cole", "FB"), (FF, "Ben Cole", "TW")]:
         expected += [(place, user, src, "like", 1), (place, user, src, "int", 1)]
     assert got == sorted(expected)
     assert R.interactions(base, "2015Apr", AS_OF).count() == 0
@@ -79,7 +79,7 @@ def test_interactions(base):
 @pytest.mark.parametrize("wrap,expected", [(True, 600.0), (False, -28200.0)])
 def test_response_times(base, wrap, expected):
     got = rows(R.response_times(base, "2015Jan", wrap_days=wrap), "user", "average")
-    assert got == [("Freddy Prinze Jr", expected), ("Tim Tang", expected)]
+    assert got == [("Ada Park", expected), ("Ben Cole", expected)]
 
 
 def test_segments(base):

@@ -32,7 +32,7 @@ def test_read_table_json_with_declared_schema(spark):
     d = tempfile.mkdtemp(prefix="va-json-")
     path = os.path.join(d, "places.json")
     with open(path, "w") as fh:
-        fh.write('{"_id": "P1", "name": "Tims House", "merchant_id": "M1", "venue_ids": ["FB-1", "TW-1"]}\n')
+        fh.write('{"_id": "P1", "name": "North House", "merchant_id": "M1", "venue_ids": ["FB-1", "TW-1"]}\n')
     df = read_table(spark, "places", path, fmt="json",
                     schema=__import__("pyspark.sql.types", fromlist=["StructType"]).StructType.fromJson(
                         {"type": "struct", "fields": [
