@@ -32,7 +32,9 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2), app_name="venue_analytics_bench")
+    # one shuffle partition per local core (AQE coalesces further); on a cluster this comes from the
+    # cluster configuration (about input bytes / 128 MB)
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus, app_name="venue_analytics_bench")
     # one pass over every query first: JIT-compiles the shared code paths so the first query
     # timed is not charged for the whole process warm-up
     for name in names:
