@@ -147,7 +147,7 @@ def match_table(t: Tables, month: str | None, as_of=None, with_text: bool = Fals
     (``merchant_id, place_id, place_name``) and ``_own`` (the poster is one of the merchant's own
     accounts). One row per matching (post, place); the reports derive and dedupe their keys."""
     act = active_places(t.places, t.merchants, as_of)
-    cols = RAW_POST_COLUMNS + (["text"] if with_text else [])
+    cols = [c for c in RAW_POST_COLUMNS + (["text"] if with_text else []) if c in t.posts.columns]
     dtype = t.posts.schema["post_time"].dataType
     pv = (t.posts.filter(in_month("post_time", month, dtype))
           .select(*cols, F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id")))

@@ -65,19 +65,27 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet",
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "delta", "text")
+
+
+def read_table(spark: SparkSession, name: str, path: str | None, fmt: str = "parquet",
                schema: T.StructType | None = None, **options) -> DataFrame:
     """Scan one collection. A declared schema is used unless ``schema`` is given or the format
-    carries its own (parquet/orc), in which case the file schema is read and normalised."""
+    carries its own (parquet/orc), in which case the file schema is read and normalised.
+    ``path=None`` suits connectors configured by options alone (e.g. a document store's
+    ``database``/``collection``)."""
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
-    elif fmt not in ("parquet", "orc", "delta") and name in SCHEMAS:
+    elif fmt in FILE_FORMATS and fmt not in ("parquet", "orc", "delta") and name in SCHEMAS:
         reader = reader.schema(SCHEMAS[name])
-    return normalise(name, reader.load(path))
+    return normalise(name, reader.load(path) if path else reader.load())
 
 
 def read_tables(spark: SparkSession, base: str, fmt: str = "parquet",
-                names=("posts", "places", "merchants", "audits")) -> dict[str, DataFrame]:
-    """``{name: DataFrame}`` for ``<base>/<name>`` of each collection."""
-    return {n: read_table(spark, n, f"{base.rstrip('/')}/{n}", fmt) for n in names}
+                names=("posts", "places", "merchants", "audits"), **options) -> dict[str, DataFrame]:
+    """``{name: DataFrame}`` for each collection: ``<base>/<name>`` for file formats; for a
+    connector format, ``base`` is the database and ``name`` the collection option."""
+    if fmt in FILE_FORMATS:
+        return {n: read_table(spark, n, f"{base.rstrip('/')}/{n}", fmt, **options) for n in names}
+    return {n: read_table(spark, n, None, fmt, database=base, collection=n, **options) for n in names}
