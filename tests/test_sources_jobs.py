@@ -97,3 +97,26 @@ def test_shared_matches_refuse_another_month(spark):
     shared = share_matches(spark, t, "2015Jan", AS_OF)
     with pytest.raises(ValueError):
         R.content_types(shared, "2015Apr", AS_OF)
+
+
+def test_read_tables_json_documents_default_schema(spark):
+    base = tempfile.mkdtemp(prefix="va-docs-")
+    docs = {
+        "posts": '{"_id": "FB-aa", "post_time": "2015-01-21T16:30:00", "secondary_venue_ids": ["FB-1"], '
+                 '"kind": "photo", "text": "The cat sat on the mat"}',
+        "places": '{"_id": "P1", "name": "North House", "merchant_id": "M1", "venue_ids": ["FB-1"]}',
+        "merchants": '{"_id": "M1", "name": "acme", "subscription": {"expires_at": "2015-12-31T00:00:00"}}',
+        "audits": '{"_id": "A1", "category": "interaction", "type": "like", "merchant_id": "M1", '
+                  '"created_at": "2015-01-21T16:40:00", "actor": {"label": "Ada"}, "subject": {"origin_id": "FB-aa"}}',
+    }
+    for name, line in docs.items():
+        os.makedirs(os.path.join(base, name))
+        with open(os.path.join(base, name, "part-0.json"), "w") as fh:
+            fh.write(line + "\n")
+    from venue_analytics.operators.core import Tables
+    from venue_analytics.sources.readers import read_tables
+    t = Tables(**read_tables(spark, base, fmt="json"))
+    assert t.posts.collect()[0].id == "FB-aa" and t.merchants.collect()[0].id == "M1"
+    got = [(r.place_name, r.kind, r.n) for r in R.content_types(t, "2015Jan", AS_OF).collect()]
+    assert got == [("North House", "photo", 1)]
+    assert [(r.user, r.n) for r in R.interactions(t, "2015Jan", AS_OF).filter("type = 'like'").collect()] == [("Ada", 1)]

@@ -42,8 +42,11 @@ def _as_list(df: DataFrame, name: str):
 def normalise(name: str, df: DataFrame) -> DataFrame:
     """Rename ``_id`` to ``id`` and turn string forms into the declared types:
     'Tue Dec 22 12:05:21 EST 2015' -> timestamp, '[FB-1, FB-11]' -> array, epoch ms -> timestamp."""
-    if "_id" in df.columns and "id" not in df.columns:
-        df = df.withColumnRenamed("_id", "id")
+    if "_id" in df.columns:
+        if "id" in df.columns:
+            df = df.withColumn("id", F.coalesce(F.col("id"), F.col("_id").cast("string"))).drop("_id")
+        else:
+            df = df.withColumnRenamed("_id", "id")
     if name == "posts":
         if "post_time" in df.columns:
             df = df.withColumn("post_time", _as_time(df, "post_time"))
@@ -78,7 +81,10 @@ def read_table(spark: SparkSession, name: str, path: str | None, fmt: str = "par
     if schema is not None:
         reader = reader.schema(schema)
     elif fmt in FILE_FORMATS and fmt not in ("parquet", "orc", "delta") and name in SCHEMAS:
-        reader = reader.schema(SCHEMAS[name])
+        declared = SCHEMAS[name]
+        if "id" in declared.names:   # documents carry their key as _id
+            declared = T.StructType(list(declared.fields) + [T.StructField("_id", T.StringType())])
+        reader = reader.schema(declared)
     return normalise(name, reader.load(path) if path else reader.load())
 
 
