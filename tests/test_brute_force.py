@@ -87,3 +87,13 @@ def test_reports_equal_brute_force(spark, seed):
     # the comparison is not vacuous: every report has rows in at least one month
     for name in ("content", "reviews", "keywords", "posters", "segments", "interactions", "response"):
         assert sizes[(name, MONTHS[0])] + sizes[(name, MONTHS[1])] > 0, name
+
+
+@pytest.mark.parametrize("seed", [4])
+def test_all_months_at_once_equals_union_of_months(spark, seed):
+    posts, places, merchants, audits = random_tables(seed)
+    t = make_tables(spark, posts, places, merchants, audits)
+    for name, fn in R.LONG_REPORTS.items():
+        call = (lambda m, f=fn: f(t, m)) if name == "response_times" else (lambda m, f=fn: f(t, m, AS_OF))
+        union = sorted((row for m in MONTHS for row in spark_rows(call(m))), key=repr)
+        assert spark_rows(call(None)) == union, name
