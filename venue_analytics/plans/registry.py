@@ -101,6 +101,14 @@ def q_follow_attribution(spark, d):
     return follows
 
 
+def q_interactions_same_month(spark, d):
+    return R.interactions(_t(spark, d, event_based=True), None, AS_OF)
+
+
+def q_response_times_events(spark, d):
+    return R.response_times(_t(spark, d, event_based=True), None)
+
+
 def q_response_times(spark, d):
     return R.response_times(_t(spark, d), None)
 
@@ -196,7 +204,9 @@ QUERIES: dict[str, Query] = {
     "interactions_long": q_interactions_long,
     "unique_interactions": q_unique_interactions,
     "follow_attribution": q_follow_attribution,
+    "interactions_same_month": q_interactions_same_month,
     "response_times": q_response_times,
+    "response_times_events": q_response_times_events,
     "response_times_wrapped": q_response_times_wrapped,
     "merchant_post_count": q_merchant_post_count,
     "tagged_post_count": q_tagged_post_count,
@@ -288,10 +298,44 @@ sd_audits AS (
   LEFT JOIN src_orders o ON o.o_orderkey = e.k),
 sd_event_posts AS (
   SELECT src || '-E' || CAST(event_id AS VARCHAR) AS post_id, src AS source, ts AS post_time,
+         src || '-' || CAST(user_id AS VARCHAR) AS poster_id,
          strftime(ts, '%Y%b') AS month, strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour,
          'V' || CAST(CAST(json_extract(props, '$.k') AS BIGINT) AS VARCHAR) AS venue_id
   FROM (SELECT *, CASE event_type WHEN 'view' THEN 'FB' WHEN 'click' THEN 'IG' WHEN 'purchase' THEN 'TW'
                                   WHEN 'signup' THEN '4S' ELSE 'WB' END AS src FROM events)),
+sd_event_src AS (
+  SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k,
+         CASE event_type WHEN 'view' THEN 'FB' WHEN 'click' THEN 'IG' WHEN 'purchase' THEN 'TW'
+                         WHEN 'signup' THEN '4S' ELSE 'WB' END AS src
+  FROM events),
+sd_audits_ev AS (
+  SELECT CAST(e.event_id AS VARCHAR) AS audit_id,
+         CASE e.event_type WHEN 'view' THEN 'like' WHEN 'click' THEN 'reply' WHEN 'purchase' THEN 'tag'
+                           WHEN 'signup' THEN 'follow' ELSE 'error' END AS type,
+         CAST(e.k % 25 AS VARCHAR) AS merchant_id, e.ts AS created_at, strftime(e.ts, '%Y%b') AS month,
+         'U' || CAST(e.user_id AS VARCHAR) AS user_name,
+         e2.src || '-E' || CAST(e2.event_id AS VARCHAR) AS post_id
+  FROM sd_event_src e LEFT JOIN sd_event_src e2 ON e2.event_id = e.k),
+sd_ev_pp AS (
+  SELECT DISTINCT pv.place_name, p.post_id, pv.merchant_id, p.month AS post_month
+  FROM sd_event_posts p JOIN sd_active_places pv ON pv.venue_id = p.venue_id
+  WHERE NOT EXISTS (SELECT 1 FROM sd_accounts a WHERE a.merchant_id = pv.merchant_id AND a.poster_id = p.poster_id)),
+sd_ev_aud4 AS (
+  SELECT DISTINCT type, merchant_id, month, user_name, post_id, substr(post_id, 1, 2) AS source
+  FROM sd_audits_ev WHERE type IN ('like', 'reply', 'tag', 'follow')),
+sd_ev_int_all AS (
+  SELECT * FROM sd_ev_aud4 WHERE type IN ('like', 'reply', 'tag')
+  UNION ALL
+  SELECT DISTINCT 'int' AS type, merchant_id, month, user_name, post_id, source FROM sd_ev_aud4 WHERE type IN ('like', 'reply')),
+sd_ev_matched AS (
+  SELECT i.type, i.user_name, i.source, i.month, pp.place_name, pp.merchant_id
+  FROM sd_ev_int_all i JOIN sd_ev_pp pp ON pp.post_id = i.post_id AND pp.merchant_id = i.merchant_id
+                                        AND pp.post_month = i.month),
+sd_ev_pu AS (SELECT DISTINCT user_name, place_name, merchant_id, month FROM sd_ev_matched),
+sd_ev_follows AS (
+  SELECT f.type, f.user_name, f.source, f.month, pu.place_name, pu.merchant_id
+  FROM sd_ev_aud4 f JOIN sd_ev_pu pu ON pu.user_name = f.user_name AND pu.merchant_id = f.merchant_id AND pu.month = f.month
+  WHERE f.type = 'follow'),
 sd_aud4 AS (
   SELECT DISTINCT type, merchant_id, month, user_name, post_id, substr(post_id, 1, 2) AS source
   FROM sd_audits WHERE type IN ('like', 'reply', 'tag', 'follow')),
@@ -394,15 +438,15 @@ def _wrap(body: str, extra_ctes: str = "") -> str:
     return "WITH " + _STANDINS + extra + "\n" + body
 
 
-def _rt_sql(wrapped: bool) -> str:
+def _rt_sql(wrapped: bool, audits: str = "sd_audits", posts: str = "sd_posts") -> str:
     diff = "epoch_us(a.created_at) // 1000000 - epoch_us(p.post_time) // 1000000"
     if wrapped:
         diff = f"(({diff}) % 86400 + 86400) % 86400"
     return _wrap(f"""SELECT merchant_id, month, user_name AS "user", avg(m) AS average
 FROM (SELECT a.merchant_id, a.user_name, a.month, a.post_id, min({diff}) AS m
-      FROM (SELECT DISTINCT type, created_at, month, user_name, post_id, merchant_id FROM sd_audits
+      FROM (SELECT DISTINCT type, created_at, month, user_name, post_id, merchant_id FROM {audits}
             WHERE type IN ('like', 'reply', 'tag', 'follow')) a
-      JOIN sd_posts p ON p.post_id = a.post_id
+      JOIN {posts} p ON p.post_id = a.post_id
       GROUP BY ALL)
 GROUP BY ALL""")
 
@@ -454,6 +498,10 @@ FROM (SELECT * FROM sd_int_matched UNION ALL SELECT * FROM sd_follows) GROUP BY
         "unique_interactions": _wrap("""SELECT DISTINCT 'int' AS type, merchant_id, month, user_name AS "user", post_id, source
 FROM sd_aud4 WHERE type IN ('like', 'reply')"""),
         "follow_attribution": _wrap("""SELECT type, user_name AS "user", source, month, place_name, merchant_id FROM sd_follows"""),
+        "interactions_same_month": _wrap("""SELECT merchant_id, place_name, month, user_name AS "user", source, type,
+  count(*) AS n
+FROM (SELECT * FROM sd_ev_matched UNION ALL SELECT * FROM sd_ev_follows) GROUP BY ALL"""),
+        "response_times_events": _rt_sql(False, "sd_audits_ev", "sd_event_posts"),
         "response_times": _rt_sql(False),
         "response_times_wrapped": _rt_sql(True),
         "merchant_post_count": _wrap("""SELECT pv.merchant_id, p.post_month AS month, count(DISTINCT p.post_id) AS n_posts

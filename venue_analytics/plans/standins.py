@@ -17,11 +17,12 @@ event posts    events: source by event_type (view FB, click IG, purchase TW, sig
                id '<source>-E<event_id>', post_time ts, venues ['V<k>'] with k = props.k
 audits         events: type by event_type (view like, click reply, purchase tag, signup follow,
                error 'error' = noise), user 'U<user_id>', merchant k % 25, created_at ts, post =
-               the order post with o_orderkey = k
+               the order post with o_orderkey = k (with event posts: the event post of event_id = k)
 =============  ================================================================================
 
-Order posts are dated 1995-2001 and audits 2024, so the interaction stand-in runs with
-``same_month=False`` (audits of any month meet posts of any month).
+Order posts are dated 1995-2001 and audits 2024, so the interaction stand-in on order posts runs
+with ``same_month=False`` (audits of any month meet posts of any month); on event posts it runs
+with the default ``same_month=True``.
 """
 
 from __future__ import annotations
@@ -121,14 +122,24 @@ def event_posts(spark, sf_dir) -> DataFrame:
                     F.lit(None).cast("string").alias("text"))
 
 
-def audits(spark, sf_dir) -> DataFrame:
+def audits(spark, sf_dir, on_event_posts: bool = False) -> DataFrame:
+    """Audits from events. The subject is the order post with o_orderkey = k, or with
+    ``on_event_posts`` the event post of event_id = k (same month as the audits)."""
     e = load(spark, sf_dir, "events").withColumn("k", _k())
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     typ = (F.when(F.col("event_type") == "view", "like").when(F.col("event_type") == "click", "reply")
            .when(F.col("event_type") == "purchase", "tag").when(F.col("event_type") == "signup", "follow")
            .otherwise("error"))
-    post_id = F.concat(_order_source(), F.lit("-"), _s("o_orderkey"))
-    return (e.join(o, e["k"] == o["o_orderkey"], "left")
+    if on_event_posts:
+        target = load(spark, sf_dir, "events").select(
+            F.col("event_id").alias("t_id"),
+            F.concat(_event_source(), F.lit("-E"), _s("event_id")).alias("t_post"))
+        joined = e.join(target, e["k"] == target["t_id"], "left")
+        post_id = F.col("t_post")
+    else:
+        o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+        joined = e.join(o, e["k"] == o["o_orderkey"], "left")
+        post_id = F.concat(_order_source(), F.lit("-"), _s("o_orderkey"))
+    return (joined
             .select(_s("event_id").alias("id"), F.lit("interaction").alias("category"), typ.alias("type"),
                     _s(F.col("k") % N_MERCHANTS).alias("merchant_id"), F.col("ts").alias("created_at"),
                     F.struct(F.lit("user").alias("type"), _s("user_id").alias("object_id"),
@@ -138,7 +149,8 @@ def audits(spark, sf_dir) -> DataFrame:
 
 
 def tables(spark: SparkSession, sf_dir: str, with_text: bool = False, event_based: bool = False) -> Tables:
-    """Stand-in Tables; ``event_based`` swaps order posts for event posts (hour-level times)."""
+    """Stand-in Tables; ``event_based`` swaps order posts for event posts (hour-level times,
+    same month as the audits) and points the audits at them."""
     p = event_posts(spark, sf_dir) if event_based else posts(spark, sf_dir, with_text)
     return Tables(posts=p, places=places(spark, sf_dir), merchants=merchants(spark, sf_dir),
-                  audits=audits(spark, sf_dir), accounts=accounts(spark, sf_dir))
+                  audits=audits(spark, sf_dir, on_event_posts=event_based), accounts=accounts(spark, sf_dir))
