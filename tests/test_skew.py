@@ -57,3 +57,28 @@ def test_hot_venue_join_is_split_and_exact(skewed_session):
     inter = R.interactions(t, "2015Jan", D(2015, 6, 1))
     rows = {(r.user, r.type): r.n for r in inter.collect()}
     assert rows == {(f"U{u}", ty): 1 for u in range(7) for ty in ("like", "int")}
+
+
+def test_salted_venue_join_is_exact(spark):
+    """With the venue join salted, every report equals the unsalted result (random tables)."""
+    from test_brute_force import AS_OF as AS, MONTHS, random_tables
+    from venue_analytics.operators.core import SALT_CONF
+    posts, places, merchants, audits = random_tables(7)
+    t = make_tables(spark, posts, places, merchants, audits)
+
+    def run():
+        out = {}
+        for name, fn in R.LONG_REPORTS.items():
+            if name != "response_times":
+                for m in MONTHS:
+                    out[(name, m)] = sorted(map(tuple, fn(t, m, AS).collect()), key=repr)
+        return out
+    plain = run()
+    spark.conf.set(SALT_CONF, "4")
+    try:
+        salted = run()
+        plan = R.content_types(t, MONTHS[0], AS)._jdf.queryExecution().optimizedPlan().toString()
+        assert "_salt" in plan
+    finally:
+        spark.conf.unset(SALT_CONF)
+    assert salted == plain

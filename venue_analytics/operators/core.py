@@ -101,12 +101,39 @@ def post_venues(posts: DataFrame, month: str | None, cols, extra_filter=None) ->
                     F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id"))
 
 
+SALT_CONF = "venue_analytics.venueJoinSalt"
+
+
+def venue_salt(df: DataFrame) -> int:
+    """Salt factor of the venue join, from the session conf ``venue_analytics.venueJoinSalt``
+    (default 1 = no salting; AQE's skew-join split then handles hot venues)."""
+    try:
+        return max(1, int(df.sparkSession.conf.get(SALT_CONF, "1")))
+    except ValueError:
+        return 1
+
+
+def salted_venue_join(post_side: DataFrame, place_side: DataFrame, salt: int, salt_key: str) -> DataFrame:
+    """Inner join on venue_id, optionally salted: each post row gets a salt from a hash of its
+    ``salt_key`` (deterministic, so a retried task produces the same rows), each place-venue row
+    is repeated once per salt value, and the join runs on (venue_id, salt). A hot venue is spread
+    over ``salt`` partitions; every (post, place) pair still meets exactly once."""
+    if salt <= 1:
+        return post_side.join(place_side, "venue_id", "inner")
+    p = post_side.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_key)), F.lit(salt)))
+    v = place_side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<long>")))
+    return p.join(v, ["venue_id", "_salt"], "inner").drop("_salt")
+
+
 def match_place_posts(places: DataFrame, posts: DataFrame, month: str | None, post_cols,
                       extra_filter=None) -> DataFrame:
     """Venue equi-join of (active) places and month posts; one row per matching venue pair,
     so a post listing several venues of one place appears several times (dedupe follows)."""
     pv = place_venues(places)
-    return post_venues(posts, month, post_cols, extra_filter).join(pv, "venue_id", "inner")
+    salt = venue_salt(posts)
+    cols = list(post_cols) if "post_id" in post_cols or salt <= 1 else list(post_cols) + ["post_id"]
+    joined = salted_venue_join(post_venues(posts, month, cols, extra_filter), pv, salt, "post_id")
+    return joined if cols == list(post_cols) else joined.drop("post_id")
 
 
 def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
@@ -153,7 +180,7 @@ def match_table(t: Tables, month: str | None, as_of=None, with_text: bool = Fals
           .select(*cols, F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id")))
     # no distinct here: the rare repeat of a (post, place) pair is removed by each report's dedupe,
     # and a distinct would shuffle every post (with its text) once more
-    m = pv.join(place_venues(act), "venue_id", "inner").drop("venue_id")
+    m = salted_venue_join(pv, place_venues(act), venue_salt(t.posts), "id").drop("venue_id")
     own = t.own_accounts().distinct().withColumn("_own", F.lit(True))
     return (m.join(own, ["merchant_id", "poster_id"], "left")
             .withColumn("_own", F.coalesce(F.col("_own"), F.lit(False))))
