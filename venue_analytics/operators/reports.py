@@ -116,7 +116,10 @@ def interaction_parts(t: Tables, month: str | None = None, as_of=None, same_mont
     follows attributed to places). Both are (type, user, source, month, place_name, merchant_id).
 
     ``same_month``: a post counts only for audits of its own month (what running one month does).
-    With ``month=None`` and ``same_month=False`` audits of any month meet posts of any month."""
+    With ``month=None`` and ``same_month=False`` audits of any month meet posts of any month.
+
+    This is the literal union/join form, kept for drill-downs that need the unaggregated rows; it
+    references the matched rows twice. The report itself is ``interactions`` (one linear plan)."""
     pp = place_posts(t, month, ["place_name", "post_id", "merchant_id", "post_month"], as_of=as_of)
     a = (_audits(t.audits, month, AUDIT_TYPES)
          .withColumn("source", source_of("post_id"))
