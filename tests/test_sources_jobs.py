@@ -120,3 +120,13 @@ def test_read_tables_json_documents_default_schema(spark):
     got = [(r.place_name, r.kind, r.n) for r in R.content_types(t, "2015Jan", AS_OF).collect()]
     assert got == [("North House", "photo", 1)]
     assert [(r.user, r.n) for r in R.interactions(t, "2015Jan", AS_OF).filter("type = 'like'").collect()] == [("Ada", 1)]
+
+
+def test_append_report_to_options_configured_sink(spark):
+    from venue_analytics.sources.sinks import append_report
+    d = tempfile.mkdtemp(prefix="va-append-")
+    t = make_tables(spark, *base_rows())
+    df = R.content_types(t, "2015Jan", AS_OF)
+    append_report(df, "parquet", path=os.path.join(d, "content"))
+    append_report(df, "parquet", path=os.path.join(d, "content"))
+    assert spark.read.parquet(os.path.join(d, "content")).count() == 2 * df.count()

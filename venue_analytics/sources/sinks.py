@@ -18,6 +18,13 @@ MONTH_COLUMN = {
 }
 
 
+def append_report(df: DataFrame, fmt: str, **options) -> None:
+    """Append report rows to a connector sink configured by options alone (for example a
+    document store's database/collection), as the original inserted documents. Replacing a
+    month there needs the store's own delete; file and table sinks use ``write_report``."""
+    df.write.format(fmt).mode("append").options(**options).save()
+
+
 def write_report(df: DataFrame, path: str, report: str, fmt: str = "parquet",
                  month_col: str | None = None, max_records_per_file: int | None = None) -> None:
     """Write ``df`` under ``path`` partitioned by the report's month column, replacing only the
