@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -45,14 +46,17 @@ def build_report(t: Tables, report: str, month: str | None, as_of=None):
 
 def share_matches(spark: SparkSession, t: Tables, month: str | None, as_of=None,
                   with_text: bool = False) -> Tables:
-    """Compute the month's place/post match once and checkpoint it to the shared checkpoint
-    folder (reliable storage: it survives lost executors and cuts the lineage), so the reports of
-    the run read it instead of each scanning posts and joining places again. Without a
-    configured checkpoint folder on a cluster, ``t`` is returned unchanged (reports recompute)."""
-    if checkpoint_dir(spark) is None:
+    """Compute the month's place/post match once and write it as a Parquet table in the shared
+    checkpoint folder (reliable storage: it survives lost executors and cuts the lineage). The
+    reports of the run read it instead of each scanning posts and joining places again, and each
+    reads only the columns it needs (only keywords reads the text). Without a configured
+    checkpoint folder on a cluster, ``t`` is returned unchanged (reports recompute)."""
+    base = checkpoint_dir(spark)
+    if base is None:
         return t
-    m = match_table(t, month, as_of, with_text).checkpoint(eager=True)
-    return dataclasses.replace(t, matches=m, matches_month=month)
+    path = f"{base.rstrip('/')}/va-matches-{month or 'all'}-{uuid.uuid4().hex}"
+    match_table(t, month, as_of, with_text).write.mode("error").parquet(path)
+    return dataclasses.replace(t, matches=spark.read.parquet(path), matches_month=month)
 
 
 def run_reports(spark: SparkSession, t: Tables, sink_base: str, month: str | None = None,
