@@ -130,3 +130,31 @@ def test_append_report_to_options_configured_sink(spark):
     append_report(df, "parquet", path=os.path.join(d, "content"))
     append_report(df, "parquet", path=os.path.join(d, "content"))
     assert spark.read.parquet(os.path.join(d, "content")).count() == 2 * df.count()
+
+
+def test_report_filters_reach_the_scan(spark):
+    d = tempfile.mkdtemp(prefix="va-push-")
+    t = make_tables(spark, *base_rows())
+    for name in ("posts", "audits"):
+        getattr(t, name).write.mode("overwrite").parquet(os.path.join(d, name))
+    t.posts = read_table(spark, "posts", os.path.join(d, "posts"))
+    t.audits = read_table(spark, "audits", os.path.join(d, "audits"))
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")   # print the whole scan line
+
+    def scans(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.split("\n") if "PushedFilters" in line]
+
+    rev = " ".join(scans(R.reviews(t, "2015Apr", AS_OF)))
+    assert "EqualTo(kind,review)" in rev and "StringStartsWith(id,FB)" in rev
+    kw = " ".join(scans(R.keywords(t, "2015Jan", AS_OF)))
+    assert "IsNotNull(text)" in kw and "Not(EqualTo(text,))" in kw
+    inter = " ".join(scans(R.interactions(t, "2015Jan", AS_OF)))
+    assert "In(type, [like,reply,tag])" in inter and "GreaterThanOrEqual(created_at" in inter
+    rt = scans(R.response_times(t, "2015Jan"))
+    assert any("GreaterThanOrEqual(created_at" in line for line in rt)
+    # only the columns a report needs are read
+    assert all("text" not in line.split("ReadSchema")[-1] for line in scans(R.content_types(t, "2015Jan", AS_OF))
+               if "ReadSchema" in line)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
