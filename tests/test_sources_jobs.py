@@ -158,3 +158,15 @@ def test_report_filters_reach_the_scan(spark):
     assert all("text" not in line.split("ReadSchema")[-1] for line in scans(R.content_types(t, "2015Jan", AS_OF))
                if "ReadSchema" in line)
     spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_cli_end_to_end(spark):
+    from venue_analytics.plans.jobs import main
+    src, sink = tempfile.mkdtemp(prefix="va-src-"), tempfile.mkdtemp(prefix="va-out-")
+    t = make_tables(spark, *base_rows())
+    for name in ("posts", "places", "merchants", "audits"):
+        getattr(t, name).write.mode("overwrite").parquet(os.path.join(src, name))
+    main([src, sink, "--month", "2015Jan", "--as-of", "2015-06-01", "--report", "content", "--report", "segments"])
+    got = {r.place_name: r.total for r in read_report(spark, os.path.join(sink, "content"), post_month="2015Jan").collect()}
+    assert got == {"North House": 4, "Harbour View": 4, "Gym One": 1}
+    assert read_report(spark, os.path.join(sink, "segments"), month="2015Jan").count() == 5
