@@ -17,20 +17,14 @@ STOPS = set(stop_words())
 
 
 def py_text_strip(text):
-    """The normaliser's rules, written out directly (test oracle)."""
-    out = []
-    for w in text.split(" "):
-        w = w.lower()
-        if len(w) < 3 or len(w) > 16:
-            continue
-        if w[0] in PUNCTUATION:
-            w = w[1:]
-        if w[-1] in PUNCTUATION:
-            w = w[:-1]
-        if len(w) < 3 or "http" in w or w in STOPS or w in out:
-            continue
-        out.append(w)
-    return out
+    """The normaliser's rules restated as a comprehension pipeline (test oracle)."""
+    def unwrap(w):
+        w = w[1:] if w[:1] in PUNCTUATION else w
+        return w[:-1] if w[-1:] in PUNCTUATION else w
+    raw = [w.lower() for w in text.split(" ")]
+    trimmed = [unwrap(w) for w in raw if 3 <= len(w) <= 16]
+    kept = [w for w in trimmed if len(w) >= 3 and "http" not in w and w not in STOPS]
+    return list(dict.fromkeys(kept))          # first occurrence of each word, in order
 
 
 def py_tokens(words):
