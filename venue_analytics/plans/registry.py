@@ -70,6 +70,19 @@ def q_posters_pivot(spark, d):
     return pivot_counts(R.posters(_t(spark, d), None, AS_OF), R.PLACE_MONTH, "source", "n", SOURCES)
 
 
+def q_posters_total(spark, d):
+    return R.posters_map(_t(spark, d), None, AS_OF).select(*R.PLACE_MONTH, "total")
+
+
+def q_keywords_total(spark, d):
+    return R.keywords_map(_t(spark, d, with_text=True), None, AS_OF).select(*R.PLACE_MONTH, "word", "total")
+
+
+def q_segments_total(spark, d):
+    return (R.segments(_t(spark, d, event_based=True), None, AS_OF).filter(F.col("hour") == "total")
+            .select("merchant_id", "place_id", "month", "day", "source", F.col("n").alias("total")))
+
+
 def q_segments_long(spark, d):
     return R.segments(_t(spark, d, event_based=True), None, AS_OF)
 
@@ -197,9 +210,12 @@ QUERIES: dict[str, Query] = {
     "reviews_long": q_reviews_long,
     "posters_long": q_posters_long,
     "posters_pivot": q_posters_pivot,
+    "posters_total": q_posters_total,
     "segments_long": q_segments_long,
+    "segments_total": q_segments_total,
     "segment_check": q_segment_check,
     "keywords_long": q_keywords_long,
+    "keywords_total": q_keywords_total,
     "text_strip_words": q_text_strip_words,
     "interactions_long": q_interactions_long,
     "unique_interactions": q_unique_interactions,
@@ -476,6 +492,12 @@ FROM (SELECT DISTINCT merchant_id, place_name, post_month, source, post_id, rati
 GROUP BY ALL"""),
         "posters_long": _wrap("SELECT * FROM sd_posters_t WHERE total > 0"),
         "posters_pivot": _wrap(_pivot_sql("sd_posters")),
+        "posters_total": _wrap("""SELECT merchant_id, place_name, post_month, CAST(sum(n) AS BIGINT) AS total
+FROM sd_posters GROUP BY ALL"""),
+        "segments_total": _wrap("""SELECT merchant_id, place_id, month, day, source, CAST(sum(n) AS BIGINT) AS total
+FROM sd_seg_hours GROUP BY ALL"""),
+        "keywords_total": _wrap("""SELECT DISTINCT merchant_id, place_name, post_month, word, total FROM sd_keywords
+WHERE total >= 2"""),
         "segments_long": _wrap("""SELECT merchant_id, place_id, month, day, 'PC' AS metric, hour, source, n FROM sd_seg_hours
 UNION ALL
 SELECT merchant_id, place_id, month, day, 'PC' AS metric, 'total' AS hour, source, CAST(sum(n) AS BIGINT) AS n
