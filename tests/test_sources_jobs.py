@@ -170,3 +170,16 @@ def test_cli_end_to_end(spark):
     got = {r.place_name: r.total for r in read_report(spark, os.path.join(sink, "content"), post_month="2015Jan").collect()}
     assert got == {"North House": 4, "Harbour View": 4, "Gym One": 1}
     assert read_report(spark, os.path.join(sink, "segments"), month="2015Jan").count() == 5
+
+
+def test_validate_cli(spark, capsys):
+    from venue_analytics.plans.jobs import main as run_main
+    from venue_analytics.plans.validate import main as validate_main
+    src, sink = tempfile.mkdtemp(prefix="va-vsrc-"), tempfile.mkdtemp(prefix="va-vout-")
+    t = make_tables(spark, *base_rows())
+    for name in ("posts", "places", "merchants", "audits"):
+        getattr(t, name).write.mode("overwrite").parquet(os.path.join(src, name))
+    run_main([src, sink, "--month", "2015Jan", "--as-of", "2015-06-01", "--report", "segments"])
+    code = validate_main([sink, "--source", src, "--month", "2015Jan", "--user", "Ada Park"])
+    out = capsys.readouterr().out
+    assert code == 0 and "segment totals: 0 violation(s)" in out and "FB-aa" in out
