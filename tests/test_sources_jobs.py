@@ -183,3 +183,34 @@ def test_validate_cli(spark, capsys):
     code = validate_main([sink, "--source", src, "--month", "2015Jan", "--user", "Ada Park"])
     out = capsys.readouterr().out
     assert code == 0 and "segment totals: 0 violation(s)" in out and "FB-aa" in out
+
+
+def test_reports_on_legacy_string_forms_equal_typed(spark):
+    """Dates as 'Wed Jan 21 16:30:00 UTC 2015', venue lists as '[FB-1, FB-11]', expiry as epoch ms:
+    after normalise, every report equals the typed run."""
+    import calendar
+    from venue_analytics.operators.core import Tables
+    posts, places, merchants, audits = base_rows()
+    legacy = lambda ts: ts.strftime("%a %b %d %H:%M:%S UTC %Y")
+    render = lambda xs: None if xs is None else "[" + ", ".join(xs) + "]"
+    s_posts = spark.createDataFrame(
+        [(p[0], legacy(p[1]), render(p[2]), p[3], p[4], p[5], p[6]) for p in posts],
+        "_id string, post_time string, secondary_venue_ids string, kind string, text string, poster_id string, "
+        "rating struct<value:string,scale:int>")
+    s_places = spark.createDataFrame([(p[0], p[1], p[2], render(p[3])) for p in places],
+                                     "_id string, name string, merchant_id string, venue_ids string")
+    s_merchants = spark.createDataFrame(
+        [(m[0], m[1], (calendar.timegm(m[2][0].timetuple()) * 1000,)) for m in merchants],
+        "_id string, name string, subscription struct<expires_at:long>")
+    s_audits = spark.createDataFrame(
+        [(a[0], a[1], a[2], a[3], legacy(a[4]), a[5], a[6]) for a in audits],
+        "_id string, category string, type string, merchant_id string, created_at string, "
+        "actor struct<type:string,object_id:string,label:string>, subject struct<type:string,origin_id:string,label:string>")
+    st = Tables(posts=normalise("posts", s_posts), places=normalise("places", s_places),
+                merchants=normalise("merchants", s_merchants), audits=normalise("audits", s_audits))
+    typed = make_tables(spark, posts, places, merchants, audits)
+    for name, fn in R.LONG_REPORTS.items():
+        for month in ("2015Jan", "2015Apr"):
+            call = (lambda tb: fn(tb, month)) if name == "response_times" else (lambda tb: fn(tb, month, AS_OF))
+            assert sorted(map(tuple, call(st).collect()), key=repr) == \
+                sorted(map(tuple, call(typed).collect()), key=repr), (name, month)
