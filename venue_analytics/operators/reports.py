@@ -148,7 +148,7 @@ def interactions(t: Tables, month: str | None = None, as_of=None, same_month: bo
     One linear plan (no sub-plan is computed twice):
 
     1. audits of the month (like/reply/tag) -> one row per (merchant, month, user, post, source)
-       with the set of distinct types (partial aggregation; the set holds at most three types);
+       with a 0/1 flag per type (partial aggregation with plain max aggregates);
     2. join with the distinct place-posts on (post_id, merchant_id) -> explode the types plus
        'int' when the post was liked or replied to -> count per place;
     3. follows (own scan, type pushed to the source) -> distinct posts counted per
@@ -157,18 +157,22 @@ def interactions(t: Tables, month: str | None = None, as_of=None, same_month: bo
        interacted; the window partition holds only aggregated rows (places x sources x types).
     """
     pp = place_posts(t, month, ["place_name", "post_id", "merchant_id", "post_month"], as_of=as_of)
+    # one row per (merchant, month, user, post, source) with a flag per audit type: plain max
+    # aggregates (codegen hash aggregation) instead of collecting a set of types
+    flags = {ty: F.max((F.col("type") == ty).cast("int")).alias("_" + ty) for ty in ("like", "reply", "tag")}
     per_post = (_audits(t.audits, month, ["like", "reply", "tag"])
                 .withColumn("source", source_of("post_id"))
                 .groupBy("merchant_id", "month", "user", "post_id", "source")
-                .agg(F.collect_set("type").alias("types")))
+                .agg(*flags.values()))
     keys = ["post_id", "merchant_id"]
     if same_month:
         pp = pp.withColumnRenamed("post_month", "month")
         keys.append("month")
     else:
         pp = pp.drop("post_month")
-    with_int = F.concat("types", F.when(F.arrays_overlap("types", F.array(F.lit("like"), F.lit("reply"))),
-                                        F.array(F.lit("int"))).otherwise(F.array().cast("array<string>")))
+    liked_or_replied = (F.col("_like") == 1) | (F.col("_reply") == 1)
+    with_int = F.array_compact(F.array(*[F.when(F.col("_" + ty) == 1, F.lit(ty)) for ty in ("like", "reply", "tag")],
+                                       F.when(liked_or_replied, F.lit("int"))))
     group = ["merchant_id", "place_name", "month", "user", "source", "type"]
     counted = distinct_count(per_post.join(pp, keys, "inner")
                              .select("merchant_id", "place_name", "month", "user", "source",
