@@ -214,3 +214,25 @@ def test_reports_on_legacy_string_forms_equal_typed(spark):
             call = (lambda tb: fn(tb, month)) if name == "response_times" else (lambda tb: fn(tb, month, AS_OF))
             assert sorted(map(tuple, call(st).collect()), key=repr) == \
                 sorted(map(tuple, call(typed).collect()), key=repr), (name, month)
+
+
+def test_month_partitioned_layout_prunes_and_agrees(spark):
+    from venue_analytics.sources.readers import write_month_partitioned
+    d = tempfile.mkdtemp(prefix="va-layout-")
+    t = make_tables(spark, *base_rows())
+    write_month_partitioned(t.posts, os.path.join(d, "posts"), "posts")
+    write_month_partitioned(t.audits, os.path.join(d, "audits"), "audits")
+    laid = make_tables(spark, *base_rows())
+    laid.posts = read_table(spark, "posts", os.path.join(d, "posts"))
+    laid.audits = read_table(spark, "audits", os.path.join(d, "audits"))
+    assert sorted(x for x in os.listdir(os.path.join(d, "posts")) if x.startswith("month_key=")) == \
+        ["month_key=2015-01", "month_key=2015-04"]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = R.content_types(laid, "2015Jan", AS_OF)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(month_key" in plan and "(month_key" in plan and "= 2015-01)" in plan
+    for name, fn in R.LONG_REPORTS.items():
+        for month in ("2015Jan", "2015Apr", None):
+            call = (lambda tb: fn(tb, month)) if name == "response_times" else (lambda tb: fn(tb, month, AS_OF))
+            assert sorted(map(tuple, call(laid).collect()), key=repr) == \
+                sorted(map(tuple, call(t).collect()), key=repr), (name, month)

@@ -79,6 +79,24 @@ def in_month(ts_col: str, month: str | None, dtype: T.DataType | None = None) ->
     return (F.col(ts_col) >= lo) & (F.col(ts_col) < hi)
 
 
+# Partition column of a month-partitioned collection (see sources.readers.write_month_partitioned).
+MONTH_KEY = "month_key"
+
+
+def month_key(ts: ColumnOrName) -> Column:
+    """'2015-01' style key of a timestamp: the directory name of a month-partitioned layout."""
+    return F.date_format(_c(ts), "yyyy-MM")
+
+
+def month_pred(df, ts_col: str, month: str | None) -> Column:
+    """``in_month`` for ``df``; when ``df`` is laid out by ``month_key`` the key is constrained
+    too, so whole month directories are pruned (PartitionFilters) before any file is opened."""
+    pred = in_month(ts_col, month, df.schema[ts_col].dataType)
+    if month is not None and MONTH_KEY in df.columns:
+        pred = pred & (F.col(MONTH_KEY) == F.lit(month_bounds(month)[0].strftime("%Y-%m")))
+    return pred
+
+
 def ms_to_seconds(ms: ColumnOrName) -> Column:
     """Epoch milliseconds -> whole epoch seconds (integer division)."""
     return F.floor(_c(ms) / 1000).cast("long")

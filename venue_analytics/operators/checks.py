@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from venue_analytics.functions.columns import in_month, month_str
+from venue_analytics.functions.columns import month_pred, month_str
 from venue_analytics.functions.text import keyword_words
 from venue_analytics.operators.core import Tables, place_venues
 from venue_analytics.sources.schemas import HOURS
@@ -22,7 +22,7 @@ def _all_place_venues(places: DataFrame) -> DataFrame:
 
 
 def _month_posts(posts: DataFrame, month: str | None, extra_filter=None) -> DataFrame:
-    p = posts.filter(in_month("post_time", month, posts.schema["post_time"].dataType))
+    p = posts.filter(month_pred(posts, "post_time", month))
     if extra_filter is not None:
         p = p.filter(extra_filter)
     return p.select(F.col("id").alias("post_id"), month_str("post_time").alias("month"),
@@ -115,7 +115,7 @@ def tagged_post_count(t: Tables, tags, month: str | None = None) -> DataFrame:
 def user_likes(t: Tables, user: str | None = None, month: str | None = None) -> DataFrame:
     """(user, month, post_id, place_id, place_name, merchant_id, likes): each liked post of the
     month with every place (of any merchant) sharing one of its venues; ``likes`` = like audits."""
-    cond = (F.col("type") == "like") & in_month("created_at", month, t.audits.schema["created_at"].dataType)
+    cond = (F.col("type") == "like") & month_pred(t.audits, "created_at", month)
     if user is not None:
         cond = cond & (F.col("actor.label") == user)
     likes = t.audits.filter(cond).select(F.col("id").alias("audit_id"), F.col("actor.label").alias("user"),

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from venue_analytics.functions.accounts import merchant_accounts
 from venue_analytics.functions.columns import (
-    day_str, hour_str, in_month, is_expired, month_str, source_of,
+    day_str, hour_str, is_expired, month_pred, month_str, source_of,
 )
 
 
@@ -93,8 +93,7 @@ _DERIVED = {
 def post_venues(posts: DataFrame, month: str | None, cols, extra_filter=None) -> DataFrame:
     """Posts of the month (range predicate on post_time, pushed to the scan) with their venue ids
     exploded: one row per (post, venue id), carrying the derived ``cols``."""
-    dtype = posts.schema["post_time"].dataType
-    p = posts.filter(in_month("post_time", month, dtype))
+    p = posts.filter(month_pred(posts, "post_time", month))
     if extra_filter is not None:
         p = p.filter(extra_filter)
     return p.select(*[_DERIVED[c]().alias(c) for c in cols],
@@ -175,8 +174,7 @@ def match_table(t: Tables, month: str | None, as_of=None, with_text: bool = Fals
     accounts). One row per matching (post, place); the reports derive and dedupe their keys."""
     act = active_places(t.places, t.merchants, as_of)
     cols = [c for c in RAW_POST_COLUMNS + (["text"] if with_text else []) if c in t.posts.columns]
-    dtype = t.posts.schema["post_time"].dataType
-    pv = (t.posts.filter(in_month("post_time", month, dtype))
+    pv = (t.posts.filter(month_pred(t.posts, "post_time", month))
           .select(*cols, F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id")))
     # no distinct here: the rare repeat of a (post, place) pair is removed by each report's dedupe,
     # and a distinct would shuffle every post (with its text) once more

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from venue_analytics.functions.columns import in_month, month_str, source_of, time_diff
+from venue_analytics.functions.columns import month_pred, month_str, source_of, time_diff
 from venue_analytics.functions.text import keyword_words
 from venue_analytics.operators.core import Tables, distinct_count, place_posts
 from venue_analytics.operators.counts import fold_map, fold_nested_map
@@ -97,9 +97,8 @@ def keywords_map(t: Tables, month: str | None = None, as_of=None, stops=None, mi
 
 # --------------------------------------------------------------------------------------- R4
 def _audits(audits: DataFrame, month: str | None, types) -> DataFrame:
-    dtype = audits.schema["created_at"].dataType
     return (audits
-            .filter(F.col("type").isin(list(types)) & in_month("created_at", month, dtype))
+            .filter(F.col("type").isin(list(types)) & month_pred(audits, "created_at", month))
             .select("type", "merchant_id", month_str("created_at").alias("month"),
                     F.col("actor.label").alias("user"), F.col("subject.origin_id").alias("post_id")))
 
@@ -206,8 +205,7 @@ def response_times(t: Tables, month: str | None = None, wrap_days: bool = False)
     time (seconds from post to audit). Only the audit month is filtered; no venue/merchant check.
     ``wrap_days=True`` reproduces the original helper's day-wrapped seconds."""
     a = (t.audits
-         .filter(F.col("type").isin(AUDIT_TYPES) &
-                 in_month("created_at", month, t.audits.schema["created_at"].dataType))
+         .filter(F.col("type").isin(AUDIT_TYPES) & month_pred(t.audits, "created_at", month))
          .select("type", "created_at", month_str("created_at").alias("month"),
                  F.col("actor.label").alias("user"), F.col("subject.origin_id").alias("post_id"),
                  "merchant_id")

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from venue_analytics.functions.columns import expiry_time, parse_legacy_time, venue_id_strip
+from venue_analytics.functions.columns import MONTH_KEY, expiry_time, month_key, parse_legacy_time, venue_id_strip
 from venue_analytics.functions.text import tokenize
 from venue_analytics.sources.schemas import SCHEMAS
 
@@ -68,6 +68,19 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+TIME_COLUMN = {"posts": "post_time", "audits": "created_at"}
+
+
+def write_month_partitioned(df: DataFrame, path: str, name: str, fmt: str = "parquet") -> None:
+    """Lay a collection out by month (``month_key=yyyy-MM`` directories) so that a monthly report
+    opens only that month's files: the reports add the key to their month filter when present.
+    Rows are clustered by month before the write, so each task writes few files."""
+    ts = TIME_COLUMN[name]
+    (df.withColumn(MONTH_KEY, month_key(ts))
+       .repartition(MONTH_KEY, F.xxhash64(F.col(ts)) % 64)   # month-clustered, but a hot month is still spread
+       .write.mode("overwrite").format(fmt).partitionBy(MONTH_KEY).save(path))
+
+
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "delta", "text")
 
 
