@@ -58,3 +58,28 @@ def test_reports_survive_failed_tasks():
     assert got["injected"] > 0                      # tasks really failed and were retried
     assert got["faulty"] == got["clean"] and len(got["clean"]) == 3
     assert got["written"] == got["expected"]
+
+
+CKPT_SCRIPT = r"""
+import sys
+sys.path.insert(0, sys.argv[1])
+from pyspark.sql import SparkSession
+s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+from venue_analytics.session import checkpoint_dir
+print("DIR", checkpoint_dir(s), s.sparkContext.getCheckpointDir())
+"""
+
+
+def test_checkpoint_folder_read_from_session_or_set_for_local_only():
+    """With a configured spark.checkpoint.dir the session's folder is used; a local session
+    without one gets a scratch folder through the context (the conf itself is start-up only)."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with tempfile.NamedTemporaryFile("w", suffix=".py", delete=False) as fh:
+        fh.write(CKPT_SCRIPT)
+    empty_conf = tempfile.mkdtemp(prefix="va-noconf-")
+    out = subprocess.run([sys.executable, fh.name, repo], capture_output=True, text=True, timeout=300,
+                         env={**os.environ, "SPARK_CONF_DIR": empty_conf})
+    line = [ln for ln in out.stdout.splitlines() if ln.startswith("DIR ")]
+    assert line, out.stderr[-2000:]
+    _, chosen, ctx = line[0].split(" ", 2)
+    assert "va-ckpt-" in chosen and "va-ckpt-" in ctx

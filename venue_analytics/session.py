@@ -68,7 +68,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     if not current:
         if not spark.sparkContext.master.startswith("local"):
             return None
+        # spark.checkpoint.dir is a startup setting; a running local session takes the folder
+        # through the context instead
         current = tempfile.mkdtemp(prefix="va-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
