@@ -1,8 +1,9 @@
 """Tokenizer and keyword normaliser as array expressions (no Python UDF).
 
 ``keyword_words`` is the whole keyword step: normalise a text into unique words, then split those
-words on the tokenizer delimiters. It is a chain of ``split``/``transform``/``filter``/
-``array_except`` that Catalyst compiles into the same codegen stage as the surrounding scan.
+words on the tokenizer delimiters. It is a chain of built-in ``split``/``transform``/``filter``/
+``array_distinct`` expressions evaluated in the JVM (the higher-order functions run interpreted,
+not in generated code, but no row ever leaves the JVM for Python).
 """
 
 from __future__ import annotations
