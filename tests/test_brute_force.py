@@ -97,3 +97,35 @@ def test_all_months_at_once_equals_union_of_months(spark, seed):
         call = (lambda m, f=fn: f(t, m)) if name == "response_times" else (lambda m, f=fn: f(t, m, AS_OF))
         union = sorted((row for m in MONTHS for row in spark_rows(call(m))), key=repr)
         assert spark_rows(call(None)) == union, name
+
+
+def test_map_forms_agree_with_long_forms(spark):
+    """On random tables: every fixed key is present, totals equal the sum of the map, and the
+    non-zero map entries are exactly the long-form rows."""
+    from venue_analytics.sources.schemas import KINDS, SOURCES
+    posts, places, merchants, audits = random_tables(5)
+    t = make_tables(spark, posts, places, merchants, audits)
+    for month in MONTHS:
+        longs = {(r.merchant_id, r.place_name, r.source, r.kind): r.n for r in R.content_types(t, month, AS_OF).collect()}
+        seen = {}
+        for r in R.content_types_map(t, month, AS_OF).collect():
+            assert set(SOURCES) <= set(r.counts)
+            assert all(set(KINDS) <= set(inner) for inner in r.counts.values())
+            assert r.total == sum(n for inner in r.counts.values() for n in inner.values())
+            seen.update({(r.merchant_id, r.place_name, s, k): n for s, inner in r.counts.items()
+                         for k, n in inner.items() if n})
+        assert seen == longs
+        plong = {(r.merchant_id, r.place_name, r.source): r.n for r in R.posters(t, month, AS_OF).collect()}
+        pseen = {}
+        for r in R.posters_map(t, month, AS_OF).collect():
+            assert set(SOURCES) <= set(r.counts) and r.total == sum(r.counts.values())
+            pseen.update({(r.merchant_id, r.place_name, s): n for s, n in r.counts.items() if n})
+        assert pseen == plong
+        # a missing map key is written 'None' (a follow audit without a subject has no source)
+        ilong = {(r.merchant_id, r.place_name, r.user, "None" if r.source is None else r.source, r.type): r.n
+                 for r in R.interactions(t, month, AS_OF).collect()}
+        iseen = {}
+        for r in R.interactions_map(t, month, AS_OF).collect():
+            iseen.update({(r.merchant_id, r.place_name, r.user, s, ty): n for s, inner in r.counts.items()
+                          for ty, n in inner.items() if n})
+        assert iseen == ilong and len(ilong) > 0
