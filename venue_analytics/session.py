@@ -23,6 +23,10 @@ DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": "128MB",
+    # A month of audits is the filter-building side when the audits are joined to all posts
+    # (response times, interactions); the default 10MB limit would switch the runtime bloom
+    # filter off at scale. A bloom filter never drops a matching row: results cannot change.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
 }
 
 
