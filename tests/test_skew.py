@@ -82,3 +82,30 @@ def test_salted_venue_join_is_exact(spark):
     finally:
         spark.conf.unset(SALT_CONF)
     assert salted == plain
+
+
+def test_runtime_bloom_filter_prunes_posts_for_response_times(spark, tmp_path):
+    """Joining a month of audits to all posts: with the scan thresholds scaled to the fixture,
+    Spark injects a runtime bloom filter on the posts side (no false negatives: same rows)."""
+    from conftest import AS_OF, base_rows
+    from venue_analytics.sources.readers import read_table
+    t = make_tables(spark, *base_rows())
+    for name in ("posts", "audits"):
+        getattr(t, name).write.mode("overwrite").parquet(str(tmp_path / name))
+    t.posts = read_table(spark, "posts", str(tmp_path / "posts"))
+    t.audits = read_table(spark, "audits", str(tmp_path / "audits"))
+    expected = sorted(map(tuple, R.response_times(t, "2015Jan").collect()))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1KB"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = R.response_times(t, "2015Jan")
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted(map(tuple, df.collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "might_contain" in plan
+    assert got == expected

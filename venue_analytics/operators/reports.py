@@ -203,13 +203,16 @@ def interactions_map(t: Tables, month: str | None = None, as_of=None, same_month
 def response_times(t: Tables, month: str | None = None, wrap_days: bool = False) -> DataFrame:
     """(merchant_id, month, user, average): per user, the mean over posts of the first response
     time (seconds from post to audit). Only the audit month is filtered; no venue/merchant check.
-    ``wrap_days=True`` reproduces the original helper's day-wrapped seconds."""
+    ``wrap_days=True`` reproduces the original helper's day-wrapped seconds.
+
+    The original de-duplicates the audits first; an exact duplicate cannot change a per-post
+    minimum, so that step is left out. This saves a shuffle, and the join's audit side stays a
+    filtered scan, from which Spark can build a runtime bloom filter for the large posts scan."""
     a = (t.audits
          .filter(F.col("type").isin(AUDIT_TYPES) & month_pred(t.audits, "created_at", month))
-         .select("type", "created_at", month_str("created_at").alias("month"),
+         .select("created_at", month_str("created_at").alias("month"),
                  F.col("actor.label").alias("user"), F.col("subject.origin_id").alias("post_id"),
-                 "merchant_id")
-         .distinct())
+                 "merchant_id"))
     p = t.posts.select(F.col("id").alias("post_id"), "post_time")
     j = a.join(p, "post_id", "inner")
     per_post = (j.groupBy("merchant_id", "user", "month", "post_id")
