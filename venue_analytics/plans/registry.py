@@ -62,6 +62,16 @@ def q_reviews_long(spark, d):
     return R.reviews(_t(spark, d), None, AS_OF)
 
 
+def q_reviews_pivot(spark, d):
+    return pivot_counts(R.reviews(_t(spark, d), None, AS_OF), ["merchant_id", "place_name", "month"], "value", "n",
+                        RATINGS, prefix="r_")
+
+
+def q_interactions_pivot(spark, d):
+    return pivot_counts(R.interactions(_t(spark, d), None, AS_OF, same_month=False),
+                        ["merchant_id", "place_name", "month", "user", "source"], "type", "n", INTERACTION_TYPES)
+
+
 def q_posters_long(spark, d):
     return R.posters(_t(spark, d), None, AS_OF)
 
@@ -208,6 +218,7 @@ QUERIES: dict[str, Query] = {
     "content_types_long": q_content_types_long,
     "content_types_pivot": q_content_types_pivot,
     "reviews_long": q_reviews_long,
+    "reviews_pivot": q_reviews_pivot,
     "posters_long": q_posters_long,
     "posters_pivot": q_posters_pivot,
     "posters_total": q_posters_total,
@@ -218,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "keywords_total": q_keywords_total,
     "text_strip_words": q_text_strip_words,
     "interactions_long": q_interactions_long,
+    "interactions_pivot": q_interactions_pivot,
     "unique_interactions": q_unique_interactions,
     "follow_attribution": q_follow_attribution,
     "interactions_same_month": q_interactions_same_month,
@@ -408,6 +420,16 @@ sd_keywords AS (
 """
 
 
+def _pivot_by(src: str, group: list[str], key: str, keys, prefix: str) -> str:
+    cols = ",\n  ".join(f"CAST(sum(CASE WHEN {key} = {_sql_str(k)} THEN n ELSE 0 END) AS BIGINT) AS {prefix}{k.lower()}"
+                         for k in keys)
+    g = ", ".join(group)
+    return f"""SELECT {g},
+  {cols},
+  CAST(sum(n) AS BIGINT) AS total
+FROM {src} GROUP BY {g}"""
+
+
 def _pivot_sql(src: str) -> str:
     cols = ",\n  ".join(f"CAST(sum(CASE WHEN source = '{s}' THEN n ELSE 0 END) AS BIGINT) AS n_{s.lower()}" for s in SOURCES)
     return f"""SELECT merchant_id, place_name, post_month,
@@ -492,6 +514,9 @@ FROM (SELECT DISTINCT merchant_id, place_name, post_month, source, post_id, rati
 GROUP BY ALL"""),
         "posters_long": _wrap("SELECT * FROM sd_posters_t WHERE total > 0"),
         "posters_pivot": _wrap(_pivot_sql("sd_posters")),
+        "reviews_pivot": _wrap(_pivot_by("sd_reviews", ["merchant_id", "place_name", "month"], "value", RATINGS, "r_")),
+        "interactions_pivot": _wrap(_pivot_by("sd_interactions", ["merchant_id", "place_name", "month", '"user"', "source"],
+                                              "type", INTERACTION_TYPES, "n_")),
         "posters_total": _wrap("""SELECT merchant_id, place_name, post_month, CAST(sum(n) AS BIGINT) AS total
 FROM sd_posters GROUP BY ALL"""),
         "segments_total": _wrap("""SELECT merchant_id, place_id, month, day, source, CAST(sum(n) AS BIGINT) AS total
