@@ -93,6 +93,11 @@ def q_segments_total(spark, d):
             .select("merchant_id", "place_id", "month", "day", "source", F.col("n").alias("total")))
 
 
+def q_segments_pivot(spark, d):
+    hourly = R.segments(_t(spark, d, event_based=True), None, AS_OF).filter(F.col("hour") != "total")
+    return pivot_counts(hourly, ["merchant_id", "place_id", "month", "day", "source"], "hour", "n", HOURS, prefix="h_")
+
+
 def q_segments_long(spark, d):
     return R.segments(_t(spark, d, event_based=True), None, AS_OF)
 
@@ -224,6 +229,7 @@ QUERIES: dict[str, Query] = {
     "posters_total": q_posters_total,
     "segments_long": q_segments_long,
     "segments_total": q_segments_total,
+    "segments_pivot": q_segments_pivot,
     "segment_check": q_segment_check,
     "keywords_long": q_keywords_long,
     "keywords_total": q_keywords_total,
@@ -519,6 +525,8 @@ GROUP BY ALL"""),
                                               "type", INTERACTION_TYPES, "n_")),
         "posters_total": _wrap("""SELECT merchant_id, place_name, post_month, CAST(sum(n) AS BIGINT) AS total
 FROM sd_posters GROUP BY ALL"""),
+        "segments_pivot": _wrap(_pivot_by("sd_seg_hours", ["merchant_id", "place_id", "month", "day", "source"], "hour",
+                                          HOURS, "h_")),
         "segments_total": _wrap("""SELECT merchant_id, place_id, month, day, source, CAST(sum(n) AS BIGINT) AS total
 FROM sd_seg_hours GROUP BY ALL"""),
         "keywords_total": _wrap("""SELECT DISTINCT merchant_id, place_name, post_month, word, total FROM sd_keywords
