@@ -54,6 +54,23 @@ def q_content_types_long(spark, d):
     return R.content_types(_t(spark, d), None, AS_OF)
 
 
+def q_content_types_legacy_forms(spark, d):
+    """The content report on sources in the original loader's string forms: post times as
+    'Sat Oct 03 00:00:00 UTC 1998', venue lists as '[V1, V2]', expiry as epoch milliseconds,
+    each normalised by the readers; same rows as content_types_long."""
+    from venue_analytics.sources.readers import normalise
+    t = _t(spark, d)
+    posts = t.posts.select(
+        "id", F.date_format("post_time", "EEE MMM dd HH:mm:ss 'UTC' yyyy").alias("post_time"),
+        F.concat(F.lit("["), F.array_join("secondary_venue_ids", ", "), F.lit("]")).alias("secondary_venue_ids"),
+        "kind", "text", "poster_id", "rating")
+    merchants = t.merchants.select("id", "name", F.struct(
+        F.unix_millis(F.col("subscription.expires_at")).alias("expires_at")).alias("subscription"))
+    legacy = core.Tables(posts=normalise("posts", posts), places=t.places,
+                         merchants=normalise("merchants", merchants), accounts=t.accounts)
+    return R.content_types(legacy, None, AS_OF)
+
+
 def q_content_types_pivot(spark, d):
     return pivot_counts(R.content_types(_t(spark, d), None, AS_OF), R.PLACE_MONTH, "source", "n", SOURCES)
 
@@ -222,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "own_post_filter": q_own_post_filter,
     "content_types_long": q_content_types_long,
     "content_types_pivot": q_content_types_pivot,
+    "content_types_legacy_forms": q_content_types_legacy_forms,
     "reviews_long": q_reviews_long,
     "reviews_pivot": q_reviews_pivot,
     "posters_long": q_posters_long,
@@ -514,6 +532,7 @@ w2 AS (SELECT doc_id, w, min(pos) AS pos FROM w1
 WHERE EXISTS (SELECT 1 FROM sd_accounts a WHERE a.merchant_id = m.merchant_id AND a.poster_id = m.poster_id)"""),
         "content_types_long": _wrap("SELECT * FROM sd_content_t WHERE total > 0"),
         "content_types_pivot": _wrap(_pivot_sql("sd_content")),
+        "content_types_legacy_forms": _wrap("SELECT * FROM sd_content_t WHERE total > 0"),
         "reviews_long": _wrap("""SELECT merchant_id, place_name, post_month AS month, source, rating_value AS value, count(*) AS n
 FROM (SELECT DISTINCT merchant_id, place_name, post_month, source, post_id, rating_value FROM sd_matches
       WHERE kind = 'review' AND source = 'FB')
