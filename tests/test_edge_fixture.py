@@ -199,3 +199,11 @@ def test_shared_matches_equal_recomputed(spark, edge):
             continue
         assert rows_sorted(map(tuple, fn(edge, "2015Jan", AS_OF).collect())) == \
             rows_sorted(map(tuple, fn(shared, "2015Jan", AS_OF).collect())), name
+
+
+def test_keywords_restricted_to_words_equals_filtered_report(edge):
+    terms = C.mention_terms(edge)
+    full = C.keyword_mentions(R.keywords(edge, "2015Jan", AS_OF), terms)
+    early = R.keywords(edge, "2015Jan", AS_OF, words=terms.withColumnRenamed("term", "word"))
+    assert rows(full, "place_name", "word", "source", "n", "total") == \
+        rows(early, "place_name", "word", "source", "n", "total") == [("Cafe", "cafe", "FB", 3, 3)]

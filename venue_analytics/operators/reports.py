@@ -67,22 +67,29 @@ def reviews_map(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
 
 
 # --------------------------------------------------------------------------------------- R3
-def keyword_counts(t: Tables, month: str | None = None, as_of=None, stops=None) -> DataFrame:
+def keyword_counts(t: Tables, month: str | None = None, as_of=None, stops=None,
+                   words: DataFrame | None = None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, word, n) before the total filter.
 
     Distinct texts per place-month-source (two posts with one text count once), then the
-    keyword tokens of each distinct text, counted with map-side partial aggregation."""
+    keyword tokens of each distinct text, counted with map-side partial aggregation.
+    ``words`` (merchant_id, word) keeps only those words, before counting: a word's counts and
+    total depend only on its own tokens, so the result is the restriction of the full report."""
     has_text = F.col("text").isNotNull() & (F.col("text") != "")
     pp = place_posts(t, month, ["merchant_id", "place_name", "post_month", "text", "source"],
                      as_of=as_of, extra_filter=has_text)
-    words = pp.select(*PLACE_MONTH, "source", F.explode(keyword_words("text", stops)).alias("word"))
-    return distinct_count(words.filter(F.col("word") != ""), PLACE_MONTH + ["source", "word"])
+    tokens = pp.select(*PLACE_MONTH, "source", F.explode(keyword_words("text", stops)).alias("word"))
+    tokens = tokens.filter(F.col("word") != "")
+    if words is not None:
+        tokens = tokens.join(words.select("merchant_id", "word"), ["merchant_id", "word"], "left_semi")
+    return distinct_count(tokens, PLACE_MONTH + ["source", "word"])
 
 
-def keywords(t: Tables, month: str | None = None, as_of=None, stops=None, min_total: int = 2) -> DataFrame:
+def keywords(t: Tables, month: str | None = None, as_of=None, stops=None, min_total: int = 2,
+             words: DataFrame | None = None) -> DataFrame:
     """(merchant_id, place_name, post_month, word, source, n, total) for words whose total over
-    sources is > 1."""
-    long_df = keyword_counts(t, month, as_of, stops)
+    sources is > 1 (optionally only the merchant's ``words``, see ``keyword_counts``)."""
+    long_df = keyword_counts(t, month, as_of, stops, words)
     return (_with_group_total(long_df, PLACE_MONTH + ["word"])
             .filter(F.col("total") >= min_total)
             .select(*PLACE_MONTH, "word", "source", "n", "total"))

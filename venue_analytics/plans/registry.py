@@ -177,7 +177,8 @@ def q_user_likes(spark, d):
 def q_keyword_mentions(spark, d):
     bench = SD.load(spark, d, "benchmark")
     mentions = C.text_mentions(bench, "item_id", "text", (F.col("item_id") % SD.N_MERCHANTS).cast("string"))
-    return C.keyword_mentions(R.keywords(_t(spark, d, with_text=True), None, AS_OF), mentions)
+    # the mention terms restrict the tokens before counting (same rows as filtering the report)
+    return R.keywords(_t(spark, d, with_text=True), None, AS_OF, words=mentions.withColumnRenamed("term", "word"))
 
 
 def q_month_parts(spark, d):
