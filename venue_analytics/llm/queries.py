@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from venue_analytics.llm import quality, simhash
+from venue_analytics.llm import bpe, mixing, pii, quality, simhash
 
 QUERIES = {
+    "op3_mixing": mixing.op3_mixing,
+    "op4_bpe": bpe.op4_bpe,
+    "op5_pii": pii.op5_pii,
     "op7_simhash": simhash.op7_simhash,
     "op10_quality": quality.op10_quality,
 }
