@@ -52,11 +52,13 @@ def n_repeat_words(words: Column) -> Column:
     """Words in three-word windows found at least twice in the text, the first occurrence included.
 
     Windows are compared by a 64-bit hash of their words."""
-    hashes = F.transform(F.sequence(F.lit(0), F.size(words) - 3),
-                         lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)))
-    some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long"))
-               .otherwise(_covered(h)))
-    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(some)
+    def of(w: Column) -> Column:
+        hashes = F.transform(F.sequence(F.lit(0), F.size(w) - 3),
+                             lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long"))
+                   .otherwise(_covered(h)))
+        return F.when(F.size(w) < 4, F.lit(0).cast("long")).otherwise(some)
+    return let(words, of)
 
 
 @dataclass(frozen=True)
@@ -122,14 +124,13 @@ def quality_filter(df: DataFrame, text_col: str = "text", rules=RULES, sample_ro
 
     Null and empty texts have no words, so ``few_words`` rejects them. Repeated rows are judged alike;
     other columns, whatever their names, pass through."""
-    words, keep = "__quality_words", "__quality_keep"
     ordered = order_rules(df, text_col, rules, sample_rows, key)
-    judged = (df.withColumn(words, words_of(text_of(text_col)))
-              .withColumn(keep, rejected_by(ordered, text_of(text_col), F.col(words)).isNull()))
+    # the words are bound once for the whole cascade: a filter is pushed into the scan's stage with its
+    # expressions written out
+    keep = let(words_of(text_of(text_col)), lambda w: rejected_by(ordered, text_of(text_col), w).isNull())
     if flag is None:
-        return judged.where(F.col(keep)).drop(words, keep)
-    kept = F.col(keep).alias(flag)
-    return judged.select(*[F.col(f"`{c}`") for c in df.columns if c != flag], kept)
+        return df.where(keep)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != flag], keep.alias(flag))
 
 
 # ------------------------------------------------------------------------------ query
