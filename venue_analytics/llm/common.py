@@ -16,11 +16,15 @@ from venue_analytics.session import checkpoint_dir
 WHITE = r"[\x20\x09-\x0D]+"
 
 
+#: bytes of a batch sent to a Python worker, about; a single longer row still goes whole
+ARROW_BYTES = 16 << 20
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the Python workers (once per application), as ``--py-files`` would."""
+    """Give this package to the Python workers (once per application), as ``--py-files`` would, and bound
+    the bytes (not just the rows) of the batches they get."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_venue_analytics_shipped", False):
         return

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from venue_analytics.llm import bpe, mixing, pii, quality, simhash
+from venue_analytics.llm import bpe, chat, licenses, mixing, pii, quality, simhash, tokenstore
 
 QUERIES = {
+    "op2_chat": chat.op2_chat,
     "op3_mixing": mixing.op3_mixing,
     "op4_bpe": bpe.op4_bpe,
     "op5_pii": pii.op5_pii,
+    "op6_licenses": licenses.op6_licenses,
     "op7_simhash": simhash.op7_simhash,
+    "op8_tokens": tokenstore.op8_tokens,
     "op10_quality": quality.op10_quality,
 }
 
 ORACLE_SQL = {
+    "op2_chat": chat.OP2_SQL,
     "op10_quality": quality.OP10_SQL,
 }
