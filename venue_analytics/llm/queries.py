@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from venue_analytics.llm import bpe, chat, licenses, mixing, pii, quality, simhash, tokenstore
+from venue_analytics.llm import bpe, chat, embeddings, licenses, mixing, pii, quality, simhash, tokenstore, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_chat": chat.op2_chat,
     "op3_mixing": mixing.op3_mixing,
     "op4_bpe": bpe.op4_bpe,
@@ -12,10 +13,12 @@ QUERIES = {
     "op6_licenses": licenses.op6_licenses,
     "op7_simhash": simhash.op7_simhash,
     "op8_tokens": tokenstore.op8_tokens,
+    "op9_embeddings": embeddings.op9_embeddings,
     "op10_quality": quality.op10_quality,
 }
 
 ORACLE_SQL = {
+    "op1_warc": warc.OP1_SQL,
     "op2_chat": chat.OP2_SQL,
     "op10_quality": quality.OP10_SQL,
 }
