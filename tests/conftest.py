@@ -18,49 +18,44 @@ def spark():
 
 
 def _t(s):
-    """'21/01/15 16:30' -> datetime (day/month/2-digit year)."""
+    """'03/02/15 07:15' -> datetime (day/month/2-digit year)."""
     return dt.datetime.strptime(s, "%d/%m/%y %H:%M")
 
 
-# Base rows of the reference fixture: one merchant, three places, 15 posts + 4 reviews, 8 likes.
+# Base rows (FIXTURES.md): one merchant with three places, posts in two months with a text said twice, posts
+# that list several venues (of one place, or unknown ones), reviews, and audits of every type.
 PLACES = [
-    ("P1", "North House", "M1", ["FB-1", "TW-1", "IG-1", "FB-11", "FB-111"]),
-    ("P2", "Harbour View", "M1", ["FB-2", "TW-2", "IG-2"]),
-    ("P3", "Gym One", "M1", ["FB-3", "TW-3", "IG-3"]),
+    ("P1", "Mill Lane Bakery", "M1", ["FB-m", "IG-m", "WB-m"]),
+    ("P2", "Quay Kiosk", "M1", ["FB-q", "4S-q"]),
+    ("P3", "Station Stall", "M1", ["TW-s", "4S-s"]),
 ]
 
 POSTS = [
-    ("FB-aa", ["FB-1", "FB-11", "FB-111"], "21/01/15 16:30", "The cat sat on the mat", "photo"),
-    ("IG-bb", ["IG-1", "IG-11", "IG-111"], "21/01/15 17:30", "the quick brown Cat jumped over the lazy cat", "photo"),
-    ("TW-cc", ["TW-1", "TW-11", "TW-111"], "21/01/15 18:30", "Lydias cat is overweight", "text"),
-    ("FB-dd", ["FB-2", "FB-22", "FB-222"], "22/01/15 16:30", "Dave likes Apples", "video"),
-    ("IG-ee", ["IG-2", "IG-22", "IG-222"], "22/01/15 17:30", "can you please watch my Apples?", "photo"),
-    ("TW-ff", ["TW-2", "TW-22", "TW-222"], "22/01/15 18:30", "Barrys Apple is small", "text"),
-    ("FB-gg", ["FB-1", "FB-11", "FB-111"], "23/01/15 16:30", "The cat sat on the mat", "photo"),
-    ("IG-hh", ["IG-2", "IG-22", "IG-222"], "23/01/15 17:30", "the quick brown fox jumped over the lazy dog", "photo"),
-    ("TW-ii", ["TW-3", "TW-33", "TW-333"], "23/01/15 18:30", "Freds dog is cute", "text"),
-    ("FB-jj", ["FB-1", "FB-11", "FB-111"], "04/04/15 16:30", "The cat sat on the mat", "photo"),
-    ("IG-kk", ["IG-2", "IG-22", "IG-222"], "04/04/15 17:30", "the quick brown fox jumped over the lazy dog", "photo"),
-    ("TW-ll", ["TW-3", "TW-33", "TW-333"], "04/04/15 18:30", "Sallys cat is dumb", "text"),
-    ("FB-mm", ["FB-1", "FB-11", "FB-111"], "05/04/15 16:30", "The cat sat on the mat", "photo"),
-    ("IG-nn", ["IG-2", "IG-22", "IG-222"], "05/04/15 17:30", "the quick brown fox jumped over the lazy dog", "photo"),
-    ("TW-oo", ["TW-3", "TW-33", "TW-333"], "05/04/15 18:30", "Pauls frog is overweight", "text"),
+    ("FB-100", ["FB-m", "IG-m"], "03/02/15 07:15", "Fresh rye bread, warm rolls", "photo"),
+    ("IG-101", ["IG-m"], "03/02/15 08:05", "rye loaf!", "photo"),
+    ("WB-102", ["WB-m", "XX-1"], "04/02/15 12:45", "bread with butter", "feed"),
+    ("FB-103", ["FB-m"], "05/02/15 07:15", "Fresh rye bread, warm rolls", "video"),
+    ("4S-104", ["4S-q"], "10/02/15 09:00", "Coffee at the quay", "tip"),
+    ("FB-105", ["FB-q", "XX-2"], "11/02/15 09:30", "quay coffee", "photo"),
+    ("TW-106", ["TW-s"], "12/02/15 18:20", "late train (salted pretzel)", "text"),
+    ("4S-107", ["4S-s", "TW-s"], "28/02/15 23:59", "pretzel", "tip"),
+    ("FB-200", ["FB-m"], "02/05/15 10:10", "plum pies", "photo"),
+    ("TW-201", ["TW-s"], "02/05/15 11:00", "sold out", "text"),
+    ("4S-202", ["4S-q"], "09/05/15 15:00", None, "photo"),
 ]
 REVIEWS = [
-    ("FB-pp", ["FB-1", "FB-11", "FB-111"], "05/04/15 16:30", "2"),
-    ("FB-qq", ["IG-2", "IG-22", "IG-222"], "05/04/15 17:30", "3"),
-    ("FB-rr", ["TW-3", "TW-33", "TW-333"], "05/04/15 18:30", "4"),
-    ("FB-ss", ["TW-3", "TW-33", "TW-333"], "05/04/15 18:30", "4"),
+    ("FB-300", ["FB-m"], "03/05/15 12:00", "5"),
+    ("FB-301", ["4S-q"], "03/05/15 13:00", "1"),
+    ("FB-302", ["4S-q", "FB-q"], "03/05/15 13:30", "1"),
 ]
 AUDITS = [
-    ("like", "21/01/15 16:40", "Ada Park", "FB-aa"),
-    ("like", "21/01/15 16:45", "Ada Park", "FB-aa"),
-    ("like", "21/01/15 16:50", "Ada Park", "FB-aa"),
-    ("like", "21/01/15 17:40", "Ben Cole", "IG-bb"),
-    ("like", "21/01/15 18:40", "Ada Park", "TW-cc"),
-    ("like", "22/01/15 16:40", "Ben Cole", "FB-dd"),
-    ("like", "22/01/15 17:40", "Ada Park", "IG-hh"),
-    ("like", "22/01/15 18:40", "Ben Cole", "TW-ii"),
+    ("like", "03/02/15 07:25", "Noor", "FB-100"),
+    ("like", "03/02/15 07:40", "Noor", "FB-100"),
+    ("reply", "03/02/15 09:05", "Iris", "IG-101"),
+    ("like", "10/02/15 10:00", "Noor", "4S-104"),
+    ("tag", "13/02/15 18:30", "Iris", "TW-106"),
+    ("follow", "20/02/15 00:00", "Noor", "FB-999"),
+    ("like", "02/05/15 10:40", "Iris", "FB-200"),
 ]
 
 
@@ -69,13 +64,13 @@ def post_row(pid, venues, when, text=None, kind=None, poster=None, rating=None,
 
 
 def audit_row(i, typ, when, user, post, merchant="M1"):
-    return (f"A{i}", "interaction", typ, merchant, _t(when), ("user", "blah", user), ("post", post, "blah"))
+    return (f"A{i}", "interaction", typ, merchant, _t(when), ("user", "u", user), ("post", post, "p"))
 
 
 def base_rows():
     posts = [post_row(p, v, w, text=x, kind=k) for p, v, w, x, k in POSTS]
     posts += [post_row(p, v, w, kind="review", rating=(val, 5)) for p, v, w, val in REVIEWS]
-    merchants = [("M1", "acme", (dt.datetime(2015, 12, 31),), None)]
+    merchants = [("M1", "bakers", (dt.datetime(2015, 12, 31),), None)]
     audits = [audit_row(i, *a) for i, a in enumerate(AUDITS)]
     return posts, list(PLACES), merchants, audits
 

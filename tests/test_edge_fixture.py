@@ -1,4 +1,4 @@
-"""Cases the base fixture lacks (FIXTURES.md section 5), and the checks Q8-Q14 on them."""
+"""Cases the base fixture lacks (FIXTURES.md), and the checks Q8-Q14 on them."""
 
 import datetime as dt
 

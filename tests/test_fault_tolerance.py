@@ -24,7 +24,7 @@ from venue_analytics.plans.jobs import run_reports
 from venue_analytics.sources.sinks import read_report
 
 t = make_tables(spark, *base_rows())
-clean = sorted(map(str, R.content_types_map(t, "2015Jan", AS_OF).collect()))
+clean = sorted(map(str, R.content_types_map(t, "2015Feb", AS_OF).collect()))
 
 marks = tempfile.mkdtemp(prefix="va-marks-")
 
@@ -37,11 +37,11 @@ def first_attempt_fails(x):   # test-only fault injection
 
 flaky = F.udf(first_attempt_fails, T.BooleanType())
 t.posts = t.posts.repartition(4).filter(flaky(F.col("id")))
-faulty = sorted(map(str, R.content_types_map(t, "2015Jan", AS_OF).collect()))
+faulty = sorted(map(str, R.content_types_map(t, "2015Feb", AS_OF).collect()))
 sink = tempfile.mkdtemp(prefix="va-fault-")
-run_reports(spark, t, sink, "2015Jan", reports=["content", "posters"], as_of=AS_OF)
-written = sorted(map(str, read_report(spark, os.path.join(sink, "content"), post_month="2015Jan").drop("post_month").collect()))
-expected = sorted(map(str, R.content_types_map(make_tables(spark, *base_rows()), "2015Jan", AS_OF).drop("post_month").collect()))
+run_reports(spark, t, sink, "2015Feb", reports=["content", "posters"], as_of=AS_OF)
+written = sorted(map(str, read_report(spark, os.path.join(sink, "content"), post_month="2015Feb").drop("post_month").collect()))
+expected = sorted(map(str, R.content_types_map(make_tables(spark, *base_rows()), "2015Feb", AS_OF).drop("post_month").collect()))
 print(json.dumps({"clean": clean, "faulty": faulty, "written": written, "expected": expected,
                   "injected": len(os.listdir(marks))}))
 """

@@ -15,12 +15,12 @@ from venue_analytics.sources.sinks import read_report
 
 def test_normalise_string_forms(spark):
     posts = spark.createDataFrame(
-        [("FB-aa", "Wed Jan 21 16:30:00 AEST 2015", "[FB-1, FB-11]"),
+        [("FB-100", "Tue Feb 03 07:15:00 AEST 2015", "[FB-1, FB-11]"),
          ("FB-bb", "Thu Jan 22 16:30:00 EST 2015", "FB-2, FB-3"),      # bracket-less: kept whole
          ("FB-cc", "Fri Jan 23 16:30:00 UTC 2015", "[]")],
         "_id string, post_time string, secondary_venue_ids string")
     got = normalise("posts", posts).orderBy("id").collect()
-    assert got[0].id == "FB-aa" and got[0].post_time == dt.datetime(2015, 1, 21, 16, 30)
+    assert got[0].id == "FB-100" and got[0].post_time == dt.datetime(2015, 2, 3, 7, 15)
     assert [r.secondary_venue_ids for r in got] == [["FB-1", "FB-11"], ["FB-2", "FB-3"], []]
     merchants = spark.createDataFrame([("M1", "x", (1433116800999,))],
                                       "_id string, name string, subscription struct<expires_at:long>")
@@ -32,7 +32,7 @@ def test_read_table_json_with_declared_schema(spark):
     d = tempfile.mkdtemp(prefix="va-json-")
     path = os.path.join(d, "places.json")
     with open(path, "w") as fh:
-        fh.write('{"_id": "P1", "name": "North House", "merchant_id": "M1", "venue_ids": ["FB-1", "TW-1"]}\n')
+        fh.write('{"_id": "P1", "name": "Mill Lane Bakery", "merchant_id": "M1", "venue_ids": ["FB-1", "TW-1"]}\n')
     df = read_table(spark, "places", path, fmt="json",
                     schema=__import__("pyspark.sql.types", fromlist=["StructType"]).StructType.fromJson(
                         {"type": "struct", "fields": [
@@ -52,26 +52,26 @@ def test_month_filter_reaches_scan(spark):
     t.posts.write.mode("overwrite").parquet(os.path.join(d, "posts"))
     scanned = read_table(spark, "posts", os.path.join(d, "posts"))
     t.posts = scanned
-    plan = R.content_types(t, "2015Jan", AS_OF)._jdf.queryExecution().executedPlan().toString()
+    plan = R.content_types(t, "2015Feb", AS_OF)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(post_time), GreaterThanOrEqual(post_time" in plan
 
 
 def test_run_reports_replaces_only_its_month(spark):
     sink = tempfile.mkdtemp(prefix="va-sink-")
     t = make_tables(spark, *base_rows())
-    out = run_reports(spark, t, sink, "2015Jan", as_of=AS_OF)
+    out = run_reports(spark, t, sink, "2015Feb", as_of=AS_OF)
     assert sorted(out) == sorted(DEFAULT_REPORTS)
-    run_reports(spark, t, sink, "2015Apr", reports=["content", "segments"], as_of=AS_OF)
+    run_reports(spark, t, sink, "2015May", reports=["content", "segments"], as_of=AS_OF)
     content = read_report(spark, out["content"])
-    assert sorted(r.post_month for r in content.select("post_month").distinct().collect()) == ["2015Apr", "2015Jan"]
-    before = sorted(map(str, read_report(spark, out["content"], post_month="2015Jan").collect()))
+    assert sorted(r.post_month for r in content.select("post_month").distinct().collect()) == ["2015Feb", "2015May"]
+    before = sorted(map(str, read_report(spark, out["content"], post_month="2015Feb").collect()))
     # re-running a month replaces it (same rows, no duplicates) and leaves the other month alone
-    run_reports(spark, t, sink, "2015Jan", reports=["content"], as_of=AS_OF)
-    after = sorted(map(str, read_report(spark, out["content"], post_month="2015Jan").collect()))
+    run_reports(spark, t, sink, "2015Feb", reports=["content"], as_of=AS_OF)
+    after = sorted(map(str, read_report(spark, out["content"], post_month="2015Feb").collect()))
     assert before == after and len(after) == 3
-    assert read_report(spark, out["content"], post_month="2015Apr").count() == 3
+    assert read_report(spark, out["content"], post_month="2015May").count() == 3
     seg = read_report(spark, os.path.join(sink, "segments"))
-    assert seg.select("month").distinct().collect()[0].month == "2015Apr"
+    assert seg.select("month").distinct().collect()[0].month == "2015May"
     assert seg.select(F.size("counts").alias("n")).distinct().collect()[0].n == 25
 
 
@@ -79,7 +79,7 @@ def test_shared_matches_give_the_same_reports(spark):
     from venue_analytics.plans.jobs import share_matches
     from conftest import base_rows, make_tables
     t = make_tables(spark, *base_rows())
-    for month in ("2015Jan", "2015Apr"):
+    for month in ("2015Feb", "2015May"):
         shared = share_matches(spark, t, month, AS_OF, with_text=True)
         assert shared.matches is not None
         for name, fn in R.LONG_REPORTS.items():
@@ -94,20 +94,20 @@ def test_shared_matches_refuse_another_month(spark):
     import pytest
     from venue_analytics.plans.jobs import share_matches
     t = make_tables(spark, *base_rows())
-    shared = share_matches(spark, t, "2015Jan", AS_OF)
+    shared = share_matches(spark, t, "2015Feb", AS_OF)
     with pytest.raises(ValueError):
-        R.content_types(shared, "2015Apr", AS_OF)
+        R.content_types(shared, "2015May", AS_OF)
 
 
 def test_read_tables_json_documents_default_schema(spark):
     base = tempfile.mkdtemp(prefix="va-docs-")
     docs = {
-        "posts": '{"_id": "FB-aa", "post_time": "2015-01-21T16:30:00", "secondary_venue_ids": ["FB-1"], '
-                 '"kind": "photo", "text": "The cat sat on the mat"}',
-        "places": '{"_id": "P1", "name": "North House", "merchant_id": "M1", "venue_ids": ["FB-1"]}',
-        "merchants": '{"_id": "M1", "name": "acme", "subscription": {"expires_at": "2015-12-31T00:00:00"}}',
+        "posts": '{"_id": "FB-100", "post_time": "2015-02-03T07:15:00", "secondary_venue_ids": ["FB-1"], '
+                 '"kind": "photo", "text": "rye loaf"}',
+        "places": '{"_id": "P1", "name": "Mill Lane Bakery", "merchant_id": "M1", "venue_ids": ["FB-1"]}',
+        "merchants": '{"_id": "M1", "name": "bakers", "subscription": {"expires_at": "2015-12-31T00:00:00"}}',
         "audits": '{"_id": "A1", "category": "interaction", "type": "like", "merchant_id": "M1", '
-                  '"created_at": "2015-01-21T16:40:00", "actor": {"label": "Ada"}, "subject": {"origin_id": "FB-aa"}}',
+                  '"created_at": "2015-02-03T07:40:00", "actor": {"label": "Noor"}, "subject": {"origin_id": "FB-100"}}',
     }
     for name, line in docs.items():
         os.makedirs(os.path.join(base, name))
@@ -116,17 +116,17 @@ def test_read_tables_json_documents_default_schema(spark):
     from venue_analytics.operators.core import Tables
     from venue_analytics.sources.readers import read_tables
     t = Tables(**read_tables(spark, base, fmt="json"))
-    assert t.posts.collect()[0].id == "FB-aa" and t.merchants.collect()[0].id == "M1"
-    got = [(r.place_name, r.kind, r.n) for r in R.content_types(t, "2015Jan", AS_OF).collect()]
-    assert got == [("North House", "photo", 1)]
-    assert [(r.user, r.n) for r in R.interactions(t, "2015Jan", AS_OF).filter("type = 'like'").collect()] == [("Ada", 1)]
+    assert t.posts.collect()[0].id == "FB-100" and t.merchants.collect()[0].id == "M1"
+    got = [(r.place_name, r.kind, r.n) for r in R.content_types(t, "2015Feb", AS_OF).collect()]
+    assert got == [("Mill Lane Bakery", "photo", 1)]
+    assert [(r.user, r.n) for r in R.interactions(t, "2015Feb", AS_OF).filter("type = 'like'").collect()] == [("Noor", 1)]
 
 
 def test_append_report_to_options_configured_sink(spark):
     from venue_analytics.sources.sinks import append_report
     d = tempfile.mkdtemp(prefix="va-append-")
     t = make_tables(spark, *base_rows())
-    df = R.content_types(t, "2015Jan", AS_OF)
+    df = R.content_types(t, "2015Feb", AS_OF)
     append_report(df, "parquet", path=os.path.join(d, "content"))
     append_report(df, "parquet", path=os.path.join(d, "content"))
     assert spark.read.parquet(os.path.join(d, "content")).count() == 2 * df.count()
@@ -146,16 +146,16 @@ def test_report_filters_reach_the_scan(spark):
         plan = df._jdf.queryExecution().executedPlan().toString()
         return [line for line in plan.split("\n") if "PushedFilters" in line]
 
-    rev = " ".join(scans(R.reviews(t, "2015Apr", AS_OF)))
+    rev = " ".join(scans(R.reviews(t, "2015May", AS_OF)))
     assert "EqualTo(kind,review)" in rev and "StringStartsWith(id,FB)" in rev
-    kw = " ".join(scans(R.keywords(t, "2015Jan", AS_OF)))
+    kw = " ".join(scans(R.keywords(t, "2015Feb", AS_OF)))
     assert "IsNotNull(text)" in kw and "Not(EqualTo(text,))" in kw
-    inter = " ".join(scans(R.interactions(t, "2015Jan", AS_OF)))
+    inter = " ".join(scans(R.interactions(t, "2015Feb", AS_OF)))
     assert "In(type, [like,reply,tag])" in inter and "GreaterThanOrEqual(created_at" in inter
-    rt = scans(R.response_times(t, "2015Jan"))
+    rt = scans(R.response_times(t, "2015Feb"))
     assert any("GreaterThanOrEqual(created_at" in line for line in rt)
     # only the columns a report needs are read
-    assert all("text" not in line.split("ReadSchema")[-1] for line in scans(R.content_types(t, "2015Jan", AS_OF))
+    assert all("text" not in line.split("ReadSchema")[-1] for line in scans(R.content_types(t, "2015Feb", AS_OF))
                if "ReadSchema" in line)
     spark.conf.unset("spark.sql.maxMetadataStringLength")
 
@@ -166,10 +166,10 @@ def test_cli_end_to_end(spark):
     t = make_tables(spark, *base_rows())
     for name in ("posts", "places", "merchants", "audits"):
         getattr(t, name).write.mode("overwrite").parquet(os.path.join(src, name))
-    main([src, sink, "--month", "2015Jan", "--as-of", "2015-06-01", "--report", "content", "--report", "segments"])
-    got = {r.place_name: r.total for r in read_report(spark, os.path.join(sink, "content"), post_month="2015Jan").collect()}
-    assert got == {"North House": 4, "Harbour View": 4, "Gym One": 1}
-    assert read_report(spark, os.path.join(sink, "segments"), month="2015Jan").count() == 5
+    main([src, sink, "--month", "2015Feb", "--as-of", "2015-06-01", "--report", "content", "--report", "segments"])
+    got = {r.place_name: r.total for r in read_report(spark, os.path.join(sink, "content"), post_month="2015Feb").collect()}
+    assert got == {"Mill Lane Bakery": 4, "Quay Kiosk": 2, "Station Stall": 2}
+    assert read_report(spark, os.path.join(sink, "segments"), month="2015Feb").count() == 7
 
 
 def test_validate_cli(spark, capsys):
@@ -179,14 +179,14 @@ def test_validate_cli(spark, capsys):
     t = make_tables(spark, *base_rows())
     for name in ("posts", "places", "merchants", "audits"):
         getattr(t, name).write.mode("overwrite").parquet(os.path.join(src, name))
-    run_main([src, sink, "--month", "2015Jan", "--as-of", "2015-06-01", "--report", "segments"])
-    code = validate_main([sink, "--source", src, "--month", "2015Jan", "--user", "Ada Park"])
+    run_main([src, sink, "--month", "2015Feb", "--as-of", "2015-06-01", "--report", "segments"])
+    code = validate_main([sink, "--source", src, "--month", "2015Feb", "--user", "Noor"])
     out = capsys.readouterr().out
-    assert code == 0 and "segment totals: 0 violation(s)" in out and "FB-aa" in out
+    assert code == 0 and "segment totals: 0 violation(s)" in out and "FB-100" in out
 
 
 def test_reports_on_legacy_string_forms_equal_typed(spark):
-    """Dates as 'Wed Jan 21 16:30:00 UTC 2015', venue lists as '[FB-1, FB-11]', expiry as epoch ms:
+    """Dates as 'Tue Feb 03 07:15:00 UTC 2015', venue lists as '[FB-1, FB-11]', expiry as epoch ms:
     after normalise, every report equals the typed run."""
     import calendar
     from venue_analytics.operators.core import Tables
@@ -210,7 +210,7 @@ def test_reports_on_legacy_string_forms_equal_typed(spark):
                 merchants=normalise("merchants", s_merchants), audits=normalise("audits", s_audits))
     typed = make_tables(spark, posts, places, merchants, audits)
     for name, fn in R.LONG_REPORTS.items():
-        for month in ("2015Jan", "2015Apr"):
+        for month in ("2015Feb", "2015May"):
             call = (lambda tb: fn(tb, month)) if name == "response_times" else (lambda tb: fn(tb, month, AS_OF))
             assert sorted(map(tuple, call(st).collect()), key=repr) == \
                 sorted(map(tuple, call(typed).collect()), key=repr), (name, month)
@@ -226,13 +226,13 @@ def test_month_partitioned_layout_prunes_and_agrees(spark):
     laid.posts = read_table(spark, "posts", os.path.join(d, "posts"))
     laid.audits = read_table(spark, "audits", os.path.join(d, "audits"))
     assert sorted(x for x in os.listdir(os.path.join(d, "posts")) if x.startswith("month_key=")) == \
-        ["month_key=2015-01", "month_key=2015-04"]
+        ["month_key=2015-02", "month_key=2015-05"]
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
-    plan = R.content_types(laid, "2015Jan", AS_OF)._jdf.queryExecution().executedPlan().toString()
+    plan = R.content_types(laid, "2015Feb", AS_OF)._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
-    assert "PartitionFilters: [isnotnull(month_key" in plan and "(month_key" in plan and "= 2015-01)" in plan
+    assert "PartitionFilters: [isnotnull(month_key" in plan and "(month_key" in plan and "= 2015-02)" in plan
     for name, fn in R.LONG_REPORTS.items():
-        for month in ("2015Jan", "2015Apr", None):
+        for month in ("2015Feb", "2015May", None):
             call = (lambda tb: fn(tb, month)) if name == "response_times" else (lambda tb: fn(tb, month, AS_OF))
             assert sorted(map(tuple, call(laid).collect()), key=repr) == \
                 sorted(map(tuple, call(t).collect()), key=repr), (name, month)

@@ -6,7 +6,6 @@ sources/    schemas, readers (typed or legacy string forms), report sink
 functions/  Column -> Column helpers (dates, venue lists, tokens, keywords, own posts)
 operators/  active places, place-post matching, the seven reports, map folding, checks
 plans/      report runner, driver-table stand-ins, registered queries + oracle SQL
-streaming/  intentionally empty: the reports are bounded monthly batches
 """
 
 from venue_analytics.session import get_spark, checkpoint_dir  # noqa: F401

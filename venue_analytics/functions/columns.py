@@ -113,8 +113,13 @@ def expiry_time(expires_at: ColumnOrName, dtype: T.DataType | None = None) -> Co
 def is_expired(expires_at: ColumnOrName, as_of=None, dtype: T.DataType | None = None) -> Column:
     """True when ``as_of`` is strictly after the expiry. A missing expiry counts as expired.
 
-    ``as_of`` is a datetime, a Column, or None for the current time."""
-    now = F.current_timestamp() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))
+    ``as_of`` is a datetime (UTC when it has no zone, whatever the machine's zone), a Column, or None
+    for the current time."""
+    if isinstance(as_of, _dt.datetime):
+        at = as_of.astimezone(_dt.timezone.utc) if as_of.tzinfo else as_of
+        now = F.to_timestamp(F.lit(at.strftime("%Y-%m-%d %H:%M:%S.%f+00:00")))
+    else:
+        now = F.current_timestamp() if as_of is None else as_of
     exp = expiry_time(expires_at, dtype)
     return F.coalesce(now.cast("timestamp") > exp.cast("timestamp"), F.lit(True))
 

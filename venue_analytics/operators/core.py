@@ -12,7 +12,7 @@ Plan shape (per report):
 * The place side is a dimension: AQE turns the venue join into a broadcast hash join only when the
   measured place side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it is a
   sort-merge join whose skewed partitions (one venue holding a large share of posts) are split by
-  AQE's skew-join handling. Nothing is broadcast on an unchecked size.
+  AQE's skew-join handling (sessions of this package switch the static, estimate-based broadcast off).
 * Own posts are removed with an anti-join on the flat (merchant_id, poster_id) relation instead of
   scanning an account array per row, so the cost does not grow with a merchant's account count.
 * DISTINCT then COUNT is two aggregations with partial (map-side) aggregation, so a hot group is
@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from venue_analytics.functions.accounts import merchant_accounts
@@ -46,6 +46,7 @@ class Tables:
     # reports of a run instead of each re-joining posts and places.
     matches: DataFrame | None = None
     matches_month: str | None = None
+    matches_path: str | None = None
 
     def own_accounts(self) -> DataFrame:
         if self.accounts is not None:
@@ -86,6 +87,8 @@ _DERIVED = {
     "kind": lambda: F.col("kind"),
     "poster_id": lambda: F.col("poster_id"),
     "text": lambda: F.col("text"),
+    # equal texts have equal digests; a clash of two different texts is no practical risk with SHA-256
+    "text_digest": lambda: F.sha2("text", 256),
     "value": lambda: F.col("rating.value").cast("string"),
 }
 
@@ -96,8 +99,10 @@ def post_venues(posts: DataFrame, month: str | None, cols, extra_filter=None) ->
     p = posts.filter(month_pred(posts, "post_time", month))
     if extra_filter is not None:
         p = p.filter(extra_filter)
-    return p.select(*[_DERIVED[c]().alias(c) for c in cols],
-                    F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id"))
+    # derived columns are computed once per post, below the explode
+    once = p.select(*[(c if isinstance(c, Column) else _DERIVED[c]().alias(c)) for c in cols],
+                    F.array_distinct("secondary_venue_ids").alias("_venues"))
+    return once.select("*", F.explode("_venues").alias("venue_id")).drop("_venues")
 
 
 SALT_CONF = "venue_analytics.venueJoinSalt"
@@ -105,11 +110,12 @@ SALT_CONF = "venue_analytics.venueJoinSalt"
 
 def venue_salt(df: DataFrame) -> int:
     """Salt factor of the venue join, from the session conf ``venue_analytics.venueJoinSalt``
-    (default 1 = no salting; AQE's skew-join split then handles hot venues)."""
-    try:
-        return max(1, int(df.sparkSession.conf.get(SALT_CONF, "1")))
-    except ValueError:
-        return 1
+    (default 1 = no salting; AQE's skew-join split then handles hot venues). Anything but a positive
+    whole number is an error."""
+    salt = int(df.sparkSession.conf.get(SALT_CONF, "1"))
+    if salt < 1:
+        raise ValueError(f"{SALT_CONF} must be at least 1")
+    return salt
 
 
 def salted_venue_join(post_side: DataFrame, place_side: DataFrame, salt: int, salt_key: str) -> DataFrame:
@@ -130,15 +136,20 @@ def match_place_posts(places: DataFrame, posts: DataFrame, month: str | None, po
     so a post listing several venues of one place appears several times (dedupe follows)."""
     pv = place_venues(places)
     salt = venue_salt(posts)
-    cols = list(post_cols) if "post_id" in post_cols or salt <= 1 else list(post_cols) + ["post_id"]
+    added = salt > 1 and "post_id" not in [c for c in post_cols if isinstance(c, str)]
+    cols = list(post_cols) + (["post_id"] if added else [])
     joined = salted_venue_join(post_venues(posts, month, cols, extra_filter), pv, salt, "post_id")
-    return joined if cols == list(post_cols) else joined.drop("post_id")
+    return joined.drop("post_id") if added else joined
 
 
 def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
-                drop_own: bool = True, extra_filter=None, places: DataFrame | None = None) -> DataFrame:
+                drop_own: bool = True, extra_filter=None, places: DataFrame | None = None,
+                carry: Column | None = None) -> DataFrame:
     """Distinct ``keys`` rows of the place/post match for the month, own posts removed.
 
+    ``carry`` is a named expression over the post that depends on the keys alone (such as the words of a
+    text whose digest is a key); it is computed once per post and comes along.
+
     ``keys`` may name place columns (merchant_id, place_id, place_name) and post columns
     (post_id, source, post_month, day, hour, kind, poster_id, text, value)."""
     if t.matches is not None:
@@ -151,17 +162,30 @@ def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
             m = m.filter(~F.col("_own"))
         if places is not None:
             m = m.join(places.select("place_id").distinct(), "place_id", "left_semi")
-        return m.select(*[_DERIVED[k]().alias(k) if k in _DERIVED else F.col(k) for k in keys]).distinct()
+        m = m.select(*[_DERIVED[k]().alias(k) if k in _DERIVED else F.col(k) for k in keys],
+                     *([carry.alias(CARRIED)] if carry is not None else []))
+        return _distinct(m, keys, carry)
     post_side = [k for k in keys if k in _DERIVED]
     if post_cols:
         post_side += [c for c in post_cols if c not in post_side]
     if drop_own and "poster_id" not in post_side:
         post_side.append("poster_id")
+    if carry is not None:
+        post_side.append(carry.alias(CARRIED))
     act = places if places is not None else active_places(t.places, t.merchants, as_of)
     m = match_place_posts(act, t.posts, month, post_side, extra_filter)
     if drop_own:
         m = m.join(t.own_accounts(), ["merchant_id", "poster_id"], "left_anti")
-    return m.select(*keys).distinct()
+    return _distinct(m, keys, carry)
+
+
+CARRIED = "carried"
+
+
+def _distinct(m: DataFrame, keys, carry) -> DataFrame:
+    if carry is None:
+        return m.select(*keys).distinct()
+    return m.groupBy(*keys).agg(F.first(CARRIED).alias(CARRIED))
 
 
 RAW_POST_COLUMNS = ["id", "post_time", "kind", "poster_id", "rating"]

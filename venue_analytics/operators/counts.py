@@ -31,11 +31,20 @@ def _key(c: str) -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY))
 
 
+def _summed(entries: Column) -> Column:
+    """Map of (k, n) entries, n summed over equal keys: a missing key and the text 'None' may meet."""
+    keys = F.array_distinct(F.transform(entries, lambda e: e["k"]))
+    sums = F.transform(keys, lambda k: F.aggregate(F.filter(entries, lambda e: e["k"] == k), F.lit(0).cast("long"),
+                                                   lambda a, e: a + e["n"]))
+    return F.map_from_arrays(keys, sums)
+
+
 def fold_map(df: DataFrame, group_cols, key_col: str, n_col: str, zero_keys, out: str = "counts",
              total: str | None = None) -> DataFrame:
     """(group..., key, n) -> (group..., counts map<key, n>) with every zero key present;
     ``total`` adds the sum of n, computed in the same aggregation."""
-    m = F.map_from_entries(F.collect_list(F.struct(_key(key_col), F.col(n_col).cast("long"))))
+    entries = F.collect_list(F.struct(_key(key_col).alias("k"), F.col(n_col).cast("long").alias("n")))
+    m = F.transform(F.array(entries), _summed)[0]
     aggs = [m.alias("_m")] + ([F.sum(n_col).cast("long").alias(total)] if total else [])
     return (df.groupBy(*group_cols).agg(*aggs)
             .select(*group_cols, merge_onto(zero_map(zero_keys), F.col("_m")).alias(out),
@@ -47,6 +56,8 @@ def fold_nested_map(df: DataFrame, group_cols, outer_col: str, inner_col: str, n
     """(group..., outer, inner, n) -> (group..., counts map<outer, map<inner, n>>), zero-filled on
     both levels. Unknown inner keys and unknown outer keys are added beside the fixed ones.
     ``total`` adds the sum of n over both levels, carried through the two aggregations."""
+    # outer keys are named before grouping, so a missing one and the text 'None' are one group
+    df = df.withColumn(outer_col, _key(outer_col))
     inner = fold_map(df, list(group_cols) + [outer_col], inner_col, n_col, inner_keys, "_inner",
                      total="_sub" if total else None)
     m = F.map_from_entries(F.collect_list(F.struct(_key(outer_col), F.col("_inner"))))

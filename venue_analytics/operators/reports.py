@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from venue_analytics.functions.columns import month_pred, month_str, source_of, time_diff
 from venue_analytics.functions.text import keyword_words
-from venue_analytics.operators.core import Tables, distinct_count, place_posts
+from venue_analytics.operators.core import CARRIED, Tables, distinct_count, place_posts
 from venue_analytics.operators.counts import fold_map, fold_nested_map
 from venue_analytics.sources.schemas import (
     AUDIT_TYPES, INTERACTION_TYPES, KINDS, RATINGS, REVIEW_SOURCES, SEGMENT_KEYS, SOURCES,
@@ -71,14 +71,15 @@ def keyword_counts(t: Tables, month: str | None = None, as_of=None, stops=None,
                    words: DataFrame | None = None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, word, n) before the total filter.
 
-    Distinct texts per place-month-source (two posts with one text count once), then the
+    Distinct texts per place-month-source (two posts with one text count once, told by SHA-256), then the
     keyword tokens of each distinct text, counted with map-side partial aggregation.
     ``words`` (merchant_id, word) keeps only those words, before counting: a word's counts and
     total depend only on its own tokens, so the result is the restriction of the full report."""
     has_text = F.col("text").isNotNull() & (F.col("text") != "")
-    pp = place_posts(t, month, ["merchant_id", "place_name", "post_month", "text", "source"],
-                     as_of=as_of, extra_filter=has_text)
-    tokens = pp.select(*PLACE_MONTH, "source", F.explode(keyword_words("text", stops)).alias("word"))
+    # words once per post; texts are told apart by digest, so no text is shuffled after the post side
+    pp = place_posts(t, month, ["merchant_id", "place_name", "post_month", "text_digest", "source"],
+                     as_of=as_of, extra_filter=has_text, carry=keyword_words("text", stops))
+    tokens = pp.select(*PLACE_MONTH, "source", F.explode(CARRIED).alias("word"))
     tokens = tokens.filter(F.col("word") != "")
     if words is not None:
         tokens = tokens.join(words.select("merchant_id", "word"), ["merchant_id", "word"], "left_semi")
@@ -151,7 +152,7 @@ def interaction_parts(t: Tables, month: str | None = None, as_of=None, same_mont
 def interactions(t: Tables, month: str | None = None, as_of=None, same_month: bool = True) -> DataFrame:
     """(merchant_id, place_name, month, user, source, type, n).
 
-    One linear plan (no sub-plan is computed twice):
+    Steps:
 
     1. audits of the month (like/reply/tag) -> one row per (merchant, month, user, post, source)
        with a 0/1 flag per type (partial aggregation with plain max aggregates);
@@ -159,8 +160,9 @@ def interactions(t: Tables, month: str | None = None, as_of=None, same_month: bo
        'int' when the post was liked or replied to -> count per place;
     3. follows (own scan, type pushed to the source) -> distinct posts counted per
        (merchant, month, user, source);
-    4. a window over (merchant, month, user) hands each follow count the places where that user
-       interacted; the window partition holds only aggregated rows (places x sources x types).
+    4. the follow counts are joined with the distinct places at which the user interacted (equality on
+       merchant, month and user, so a follow without a user has no place; a place without a name
+       keeps its follows). No list of places is built; the join's skewed partitions can be split.
     """
     pp = place_posts(t, month, ["place_name", "post_id", "merchant_id", "post_month"], as_of=as_of)
     # one row per (merchant, month, user, post, source) with a flag per audit type: plain max
@@ -186,17 +188,12 @@ def interactions(t: Tables, month: str | None = None, as_of=None, same_month: bo
     follows = (_audits(t.audits, month, ["follow"])
                .select("merchant_id", "month", "user", "post_id", source_of("post_id").alias("source"))
                .distinct()
-               .groupBy("merchant_id", "month", "user", "source").agg(F.count(F.lit(1)).alias("n"))
-               .select("merchant_id", F.lit(None).cast("string").alias("place_name"), "month", "user", "source",
-                       F.lit("follow").alias("type"), "n"))
-    both = counted.withColumn("_follow", F.lit(False)).unionByName(follows.withColumn("_follow", F.lit(True)))
-    w = Window.partitionBy("merchant_id", "month", "user")
-    places = F.collect_set(F.when(~F.col("_follow"), F.col("place_name"))).over(w)
-    return (both.withColumn("_places", places)
-            .select("merchant_id",
-                    F.explode(F.when(F.col("_follow"), F.col("_places"))
-                              .otherwise(F.array(F.col("place_name")))).alias("place_name"),
-                    "month", "user", "source", "type", "n"))
+               .groupBy("merchant_id", "month", "user", "source").agg(F.count(F.lit(1)).alias("n")))
+    # the places a user interacted at; n stays in the plan so that both uses of ``counted`` read one exchange
+    at = (counted.groupBy("merchant_id", "month", "user", "place_name").agg(F.max("n").alias("_most"))
+          .where("_most > 0").drop("_most"))
+    placed = follows.join(at, ["merchant_id", "month", "user"]).withColumn("type", F.lit("follow"))
+    return counted.select(*group, "n").unionByName(placed.select(*group, "n"))
 
 
 def interactions_map(t: Tables, month: str | None = None, as_of=None, same_month: bool = True) -> DataFrame:

@@ -13,18 +13,17 @@ Usage::
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import datetime as dt
 import uuid
 
 from pyspark.sql import SparkSession
 
 from venue_analytics.operators import reports as R
-import dataclasses
-
-from venue_analytics.operators.core import Tables, active_places, match_table
+from venue_analytics.operators.core import Tables, match_table
 from venue_analytics.session import checkpoint_dir, get_spark
 from venue_analytics.sources.readers import read_tables
-from venue_analytics.sources.sinks import MONTH_COLUMN, write_report
+from venue_analytics.sources.sinks import MONTH_COLUMN, remove, write_report
 
 # Reports run when none is named (segments only on request, as before).
 DEFAULT_REPORTS = ["content", "interactions", "posters", "reviews", "keywords"]
@@ -34,13 +33,14 @@ MATCH_REPORTS = {"content", "interactions", "posters", "reviews", "keywords", "s
 
 
 def current_month(today: dt.date | None = None) -> str:
-    return (today or dt.date.today()).strftime("%Y%b")
+    return (today or dt.datetime.now(dt.timezone.utc).date()).strftime("%Y%b")
 
 
-def build_report(t: Tables, report: str, month: str | None, as_of=None):
-    """Map-form DataFrame of one report (what is written to the sink)."""
+def build_report(t: Tables, report: str, month: str | None, as_of=None, wrap_days: bool = False):
+    """Map-form DataFrame of one report (what is written to the sink). ``wrap_days`` keeps only the seconds
+    within a day of the response times, as the original stored them."""
     if report == "response_times":
-        return R.response_times(t, month)
+        return R.response_times(t, month, wrap_days)
     return R.REPORTS[report](t, month, as_of)
 
 
@@ -49,45 +49,40 @@ def share_matches(spark: SparkSession, t: Tables, month: str | None, as_of=None,
     """Compute the month's place/post match once and write it as a Parquet table in the shared
     checkpoint folder (reliable storage: it survives lost executors and cuts the lineage). The
     reports of the run read it instead of each scanning posts and joining places again, and each
-    reads only the columns it needs (only keywords reads the text). Without a configured
-    checkpoint folder on a cluster, ``t`` is returned unchanged (reports recompute)."""
+    reads only the columns it needs (only keywords reads the text). The caller removes the table at
+    ``matches_path``. A cluster without a checkpoint folder is an error: run without sharing there."""
     base = checkpoint_dir(spark)
     if base is None:
-        return t
+        raise ValueError("sharing the match needs spark.checkpoint.dir; set it or pass share=False")
     path = f"{base.rstrip('/')}/va-matches-{month or 'all'}-{uuid.uuid4().hex}"
     match_table(t, month, as_of, with_text).write.mode("error").parquet(path)
-    return dataclasses.replace(t, matches=spark.read.parquet(path), matches_month=month)
+    return dataclasses.replace(t, matches=spark.read.parquet(path), matches_month=month, matches_path=path)
 
 
-def run_reports(spark: SparkSession, t: Tables, sink_base: str, month: str | None = None,
-                reports=None, fmt: str = "parquet", as_of=None, share: bool = True) -> dict[str, str]:
-    """Run ``reports`` (default: DEFAULT_REPORTS) for ``month`` (default: the current month) and
-    write each to ``<sink_base>/<report>`` partitioned by its month column. Returns the paths.
+def run_reports(spark: SparkSession, t: Tables, sink_base: str, month: str,
+                reports=None, fmt: str = "parquet", as_of=None, share: bool = True,
+                wrap_days: bool = False) -> dict[str, str]:
+    """Run ``reports`` (default: DEFAULT_REPORTS) for ``month`` and write each to ``<sink_base>/<report>``
+    partitioned by its month column. Returns the paths.
 
-    The active places are shared by every report of the run; they are a dimension-sized
-    relation, cached for the run and released at the end. Each report is computed lazily and
-    written once; a failed task is re-run from lineage, and only the month's partition is
-    replaced when the write commits. With ``share`` (default) the venue match is computed once
-    for all reports of the run (``share_matches``)."""
-    month = month or current_month()
+    Each report is computed lazily and written once; a failed task is re-run from lineage, and exactly
+    the month's partition is replaced, also by nothing. With ``share`` the venue match is computed
+    once for all reports of the run (``share_matches``) and removed at the end."""
     names = list(reports) if reports else list(DEFAULT_REPORTS)
     unknown = [n for n in names if n not in ALL_REPORTS]
     if unknown:
         raise ValueError(f"unknown report(s): {unknown}; choose from {ALL_REPORTS}")
-    # Each report builds the same active-places sub-plan; Spark's cache manager substitutes the
-    # cached copy wherever that sub-plan appears.
-    shared = active_places(t.places, t.merchants, as_of).cache()
     if share and len(MATCH_REPORTS.intersection(names)) > 1:
         t = share_matches(spark, t, month, as_of, with_text="keywords" in names)
     out = {}
     try:
         for name in names:
-            df = build_report(t, name, month, as_of)
             path = f"{sink_base.rstrip('/')}/{name}"
-            write_report(df, path, name, fmt)
+            write_report(build_report(t, name, month, as_of, wrap_days), path, name, fmt, month=month)
             out[name] = path
     finally:
-        shared.unpersist()
+        if t.matches_path:
+            remove(spark, t.matches_path)
     return out
 
 
@@ -99,12 +94,16 @@ def main(argv=None) -> None:
     ap.add_argument("--report", action="append", choices=ALL_REPORTS, help="report to run (repeatable)")
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--as-of", help="expiry reference date YYYY-MM-DD (default: now)")
+    ap.add_argument("--wrap-days", action="store_true", help="response times modulo a day, as originally stored")
+    ap.add_argument("--no-share", action="store_true", help="match places and posts for each report anew")
     args = ap.parse_args(argv)
     spark = get_spark()
     t = Tables(**read_tables(spark, args.source, args.format))
     as_of = dt.datetime.strptime(args.as_of, "%Y-%m-%d") if args.as_of else None
-    for name, path in run_reports(spark, t, args.sink, args.month, args.report, args.format, as_of).items():
-        print(f"{name}: {path} ({MONTH_COLUMN[name]}={args.month or current_month()})")
+    month = args.month or current_month()
+    for name, path in run_reports(spark, t, args.sink, month, args.report, args.format, as_of,
+                                  share=not args.no_share, wrap_days=args.wrap_days).items():
+        print(f"{name}: {path} ({MONTH_COLUMN[name]}={month})")
 
 
 if __name__ == "__main__":

@@ -1,17 +1,20 @@
-"""Registered queries over the driver tables (Spark) and their independent DuckDB oracles.
+"""Registered queries over the driver tables (Spark) and their DuckDB oracles.
 
 Every query runs on the whole tables (``month=None``: all months at once), through the stand-in
 collections of ``plans.standins``. Each oracle re-derives the same stand-ins in plain SQL and
-computes the result without any of this package's code, so a match checks the Spark plan.
+computes the result in SQL; from this package it takes only the fixed values (stop words, punctuation,
+sources, kinds, hours, ratings), which the tests pin by themselves.
 """
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from venue_analytics.functions.accounts import linked_accounts_by_source, merchant_accounts
 from venue_analytics.functions.columns import (
     day_str, hour_str, month_bounds_col, month_str, parse_legacy_time, source_of, venue_id_strip,
 )
@@ -234,7 +237,69 @@ def q_segments_map_entries(spark, d):
                               ["merchant_id", "place_id", "month", "day", "metric"], "counts", "hour", "source")
 
 
+def q_follow_nulls(spark, d):
+    """The interactions report where every seventh user and every fifth place has no name: a follow without a
+    user goes nowhere, a place without a name keeps its follows."""
+    t = _t(spark, d)
+    actor = F.col("actor")
+    user = F.when(F.regexp_extract("actor.object_id", "([0-9]+)", 1).cast("long") % 7 != 0, actor["label"])
+    name = F.when(F.col("id").cast("long") % 5 != 0, F.col("name"))
+    t = dataclasses.replace(t, audits=t.audits.withColumn("actor", actor.withField("label", user)),
+                            places=t.places.withColumn("name", name))
+    return R.interactions(t, None, AS_OF, same_month=False)
+
+
+def q_venue_mentions(spark, d):
+    t = dataclasses.replace(_t(spark, d), venues=SD.venues(spark, d))
+    return C.venue_mentions(t)
+
+
+def q_handle_mentions(spark, d):
+    return C.handle_mentions(SD.linked_merchants(spark, d))
+
+
+def q_linked_own_posts(spark, d):
+    """Own posts by linked accounts: the services' account ids as poster ids."""
+    t = dataclasses.replace(_t(spark, d), accounts=merchant_accounts(SD.linked_merchants(spark, d)))
+    return core.own_place_posts(t, None, AS_OF)
+
+
+def q_place_posts_own_array(spark, d):
+    """Own posts told by the account list of a row: the linked accounts of each post's customer."""
+    c = SD.linked_merchants(spark, d).select(F.col("id").alias("merchant_id"), linked_accounts_by_source("linked_accounts").alias("own"))
+    return c.select("merchant_id", F.explode("own").alias("source", "ids")).select("merchant_id", "source", F.explode("ids").alias("poster_id"))
+
+
+#: months of the month-scoped entries: of the orders, of the events
+ORDER_MONTH, EVENT_MONTH = "1998Mar", "2024Jan"
+
+
+def _monthly(report, month, month_col, **how):
+    def run(spark, d):
+        t = _t(spark, d, **how)
+        return report(t, month) if report is R.response_times else report(t, month, AS_OF)
+    run.__name__, run.__doc__ = f"{report.__name__}_month", f"The report of one month ({month_col} {month})."
+    return run
+
+
+#: name: (whole query, report, month, month column, stand-ins)
+MONTHLY = {
+    "content_types_month": ("content_types_long", R.content_types, ORDER_MONTH, "post_month", {}),
+    "reviews_month": ("reviews_long", R.reviews, ORDER_MONTH, "month", {}),
+    "keywords_month": ("keywords_long", R.keywords, ORDER_MONTH, "post_month", {"with_text": True}),
+    "posters_month": ("posters_long", R.posters, ORDER_MONTH, "post_month", {}),
+    "interactions_month": ("interactions_same_month", R.interactions, EVENT_MONTH, "month", {"event_based": True}),
+    "response_times_month": ("response_times_events", R.response_times, EVENT_MONTH, "month", {"event_based": True}),
+    "segments_month": ("segments_long", R.segments, EVENT_MONTH, "month", {"event_based": True}),
+}
+
 QUERIES: dict[str, Query] = {
+    **{name: _monthly(report, month, col, **how) for name, (_, report, month, col, how) in MONTHLY.items()},
+    "follow_nulls": q_follow_nulls,
+    "venue_mentions": q_venue_mentions,
+    "handle_mentions": q_handle_mentions,
+    "linked_own_posts": q_linked_own_posts,
+    "linked_accounts": q_place_posts_own_array,
     "active_places": q_active_places,
     "place_posts": q_place_posts,
     "own_post_filter": q_own_post_filter,
@@ -316,8 +381,7 @@ sd_merchants AS (
 sd_active AS (SELECT merchant_id FROM sd_merchants WHERE NOT (TIMESTAMP '2002-01-01 00:00:00' > expires_at)),
 sd_accounts AS (
   SELECT CAST(c_nationkey AS VARCHAR) AS merchant_id, s.src || '-' || CAST(c_custkey AS VARCHAR) AS poster_id
-  FROM customer CROSS JOIN (VALUES ('FB'), ('IG'), ('TW'), ('4S'), ('WB')) AS s(src)
-  WHERE c_mktsegment = 'AUTOMOBILE'),
+  FROM customer CROSS JOIN (VALUES ('FB'), ('IG'), ('TW'), ('4S'), ('WB')) AS s(src)),
 sd_places AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS place_id, s_name AS place_name, CAST(s_nationkey AS VARCHAR) AS merchant_id,
          'V' || CAST(s_suppkey AS VARCHAR) AS venue_id
@@ -348,7 +412,7 @@ sd_audits AS (
          'U' || CAST(e.user_id AS VARCHAR) AS user_name,
          o.src || '-' || CAST(o.o_orderkey AS VARCHAR) AS post_id
   FROM (SELECT *, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events) e
-  LEFT JOIN src_orders o ON o.o_orderkey = e.k),
+  LEFT JOIN src_orders o ON o.o_orderkey = e.event_id // 2),
 sd_event_posts AS (
   SELECT src || '-E' || CAST(event_id AS VARCHAR) AS post_id, src AS source, ts AS post_time,
          src || '-' || CAST(user_id AS VARCHAR) AS poster_id,
@@ -368,7 +432,7 @@ sd_audits_ev AS (
          CAST(e.k % 25 AS VARCHAR) AS merchant_id, e.ts AS created_at, strftime(e.ts, '%Y%b') AS month,
          'U' || CAST(e.user_id AS VARCHAR) AS user_name,
          e2.src || '-E' || CAST(e2.event_id AS VARCHAR) AS post_id
-  FROM sd_event_src e LEFT JOIN sd_event_src e2 ON e2.event_id = e.k),
+  FROM sd_event_src e LEFT JOIN sd_event_src e2 ON e2.event_id = e.event_id // 2),
 sd_ev_pp AS (
   SELECT DISTINCT pv.place_name, p.post_id, pv.merchant_id, p.month AS post_month
   FROM sd_event_posts p JOIN sd_active_places pv ON pv.venue_id = p.venue_id
@@ -496,6 +560,17 @@ LEFT JOIN (SELECT {g}, coalesce({outer}, 'None') AS {outer}, coalesce({inner}, '
            FROM {base} GROUP BY ALL) b USING ({go}, {inner})"""
 
 
+_NULLED = (_STANDINS.replace("'U' || CAST(e.user_id AS VARCHAR) AS user_name",
+                             "CASE WHEN e.user_id % 7 <> 0 THEN 'U' || CAST(e.user_id AS VARCHAR) END AS user_name")
+           .replace("s_name AS place_name", "CASE WHEN s_suppkey % 5 <> 0 THEN s_name END AS place_name"))
+
+#: linked accounts by customer: service, source code (null for the unknown one)
+_LINKED = """
+ln AS (SELECT CAST(c_nationkey AS VARCHAR) AS merchant_id, c_custkey, c_name,
+              ['facebook', 'facebookpages', 'instagram', 'twitter', 'foursquare', 'myspace'][c_custkey % 6 + 1] AS service,
+              ['FB', 'FB', 'IG', 'TW', '4S', NULL][c_custkey % 6 + 1] AS src FROM customer)"""
+
+
 def _wrap(body: str, extra_ctes: str = "") -> str:
     extra = ("," + extra_ctes) if extra_ctes else ""
     return "WITH " + _STANDINS + extra + "\n" + body
@@ -526,7 +601,16 @@ w1 AS (SELECT doc_id, pos, regexp_replace(regexp_replace(lower(w), {_sql_str('^'
        FROM w0 WHERE length(lower(w)) >= 3 AND length(lower(w)) <= 16),
 w2 AS (SELECT doc_id, w, min(pos) AS pos FROM w1
        WHERE length(w) >= 3 AND NOT contains(w, 'http') AND NOT list_contains({_stops_sql()}, w) GROUP BY ALL)"""
-    return {
+    found = {
+        "follow_nulls": "WITH " + _NULLED + """SELECT merchant_id, place_name, month, user_name AS "user", source, type, count(*) AS n
+FROM (SELECT * FROM sd_int_matched UNION ALL SELECT * FROM sd_follows) GROUP BY ALL""",
+        "venue_mentions": """SELECT CAST(s_nationkey AS VARCHAR) AS merchant_id, CAST(s_suppkey AS VARCHAR) AS place_id,
+  'V' || CAST(s_suppkey AS VARCHAR) AS venue_id, split_part(s_name, '#', -1) AS term FROM supplier WHERE s_suppkey % 2 = 0""",
+        "handle_mentions": "WITH " + _LINKED + " SELECT merchant_id, service, c_name AS name FROM ln WHERE service IN ('instagram', 'twitter')",
+        "linked_own_posts": _wrap("""SELECT DISTINCT m.merchant_id, m.place_name, m.post_id, m.poster_id FROM sd_all_matches m
+WHERE EXISTS (SELECT 1 FROM ln a WHERE a.merchant_id = m.merchant_id AND a.src || '-' || CAST(a.c_custkey AS VARCHAR) = m.poster_id)""", _LINKED),
+        "linked_accounts": "WITH " + _LINKED + """ SELECT merchant_id, src AS source, src || '-' || CAST(c_custkey AS VARCHAR) AS poster_id
+FROM ln WHERE src IS NOT NULL""",
         "active_places": _wrap("SELECT place_id, place_name, merchant_id FROM sd_active_places"),
         "place_posts": _wrap("SELECT DISTINCT merchant_id, place_name, post_id, post_month, source, kind FROM sd_matches"),
         "own_post_filter": _wrap("""SELECT DISTINCT m.merchant_id, m.place_name, m.post_id, m.poster_id FROM sd_all_matches m
@@ -617,6 +701,9 @@ FROM sd_post_venues GROUP BY post_id"""),
             "sd_segments", ["merchant_id", "place_id", "month", "day", "metric"], "hour", "source",
             HOURS + ["total"], SOURCES)),
     }
+    for name, (whole, _, month, col, _) in MONTHLY.items():
+        found[name] = f"SELECT * FROM ({found[whole]}) WHERE {col} = {_sql_str(month)}"
+    return found
 
 
 def queries() -> dict[str, Query]:

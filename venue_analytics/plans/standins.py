@@ -6,8 +6,12 @@ sampled), so the work grows with the tables.
 =============  ================================================================================
 merchants      nation: id = n_nationkey, name = n_name, expires 2030-01-01 (1999-01-01 for region
                0, i.e. expired at AS_OF)
-accounts       customer (segment AUTOMOBILE): merchant = c_nationkey, own poster ids
-               '<source>-<c_custkey>' for each of the five sources
+accounts       customer: merchant = c_nationkey, own poster ids '<source>-<c_custkey>' for each of the
+               five sources
+linked         customer: one row per customer with its merchant and a one-service linked_accounts
+               map (service by c_custkey % 6, the sixth unknown), account id = c_custkey
+venues         supplier: id 'V<s_suppkey>', type 'mention' for even keys, else 'place', term = last
+               word of s_name
 places         supplier: id = s_suppkey, name = s_name, merchant = s_nationkey, venues ['V<s_suppkey>']
 posts          orders: source by o_orderpriority (1 FB, 2 IG, 3 TW, 4 4S, 5 WB), id '<source>-<o_orderkey>',
                post_time o_orderdate, kind by o_orderstatus (F photo, O video, P review), poster
@@ -17,7 +21,8 @@ event posts    events: source by event_type (view FB, click IG, purchase TW, sig
                id '<source>-E<event_id>', post_time ts, venues ['V<k>'] with k = props.k
 audits         events: type by event_type (view like, click reply, purchase tag, signup follow,
                error 'error' = noise), user 'U<user_id>', merchant k % 25, created_at ts, post =
-               the order post with o_orderkey = k (with event posts: the event post of event_id = k)
+               the order post with o_orderkey = event_id div 2 (with event posts: the event post
+               of that event_id), so subjects run over the whole key range
 =============  ================================================================================
 
 Order posts are dated 1995-2001 and audits 2024, so the interaction stand-in on order posts runs
@@ -36,7 +41,6 @@ from venue_analytics.operators.core import Tables
 from venue_analytics.sources.schemas import SOURCES
 
 AS_OF = dt.datetime(2002, 1, 1)
-OWN_SEGMENT = "AUTOMOBILE"
 N_MERCHANTS = 25
 
 
@@ -92,12 +96,30 @@ def merchants(spark, sf_dir) -> DataFrame:
 
 
 def accounts(spark, sf_dir) -> DataFrame:
-    c = load(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == OWN_SEGMENT)
+    c = load(spark, sf_dir, "customer")
     src = F.explode(F.array(*[F.lit(s) for s in SOURCES]))
     return (c.select(_s("c_nationkey").alias("merchant_id"), "c_custkey", src.alias("src"))
             .select("merchant_id", F.concat("src", F.lit("-"), _s("c_custkey")).alias("poster_id")))
 
 
+SERVICES = ["facebook", "facebookpages", "instagram", "twitter", "foursquare", "myspace"]
+
+
+def linked_merchants(spark, sf_dir) -> DataFrame:
+    """Merchant rows with linked accounts, one row per customer: the map has one entry and doesn't grow."""
+    c = load(spark, sf_dir, "customer")
+    service = F.element_at(F.array(*[F.lit(s) for s in SERVICES]), (F.col("c_custkey") % 6 + 1).cast("int"))
+    account = F.struct(_s("c_custkey").alias("account_id"), F.col("c_name").alias("name"))
+    return c.select(_s("c_nationkey").alias("id"), F.create_map(service, F.array(account)).alias("linked_accounts"))
+
+
+def venues(spark, sf_dir) -> DataFrame:
+    s = load(spark, sf_dir, "supplier")
+    return s.select(F.concat(F.lit("V"), _s("s_suppkey")).alias("id"),
+                    F.when(F.col("s_suppkey") % 2 == 0, "mention").otherwise("place").alias("type"),
+                    F.substring_index("s_name", "#", -1).alias("term"))
+
+
 def places(spark, sf_dir) -> DataFrame:
     s = load(spark, sf_dir, "supplier")
     return s.select(_s("s_suppkey").alias("id"), F.col("s_name").alias("name"),
@@ -114,9 +136,8 @@ def posts(spark, sf_dir, with_text: bool = False) -> DataFrame:
           .agg(F.collect_list(F.concat(F.lit("V"), _s("l_suppkey"))).alias("secondary_venue_ids"),
                F.collect_list("l_returnflag").alias("tag_ids")))
     src = _order_source()
-    # orders and their line items are both fact tables: a sort-merge join on the order key (what
-    # Spark plans at scale anyway); the line-item side is already partitioned by it.
-    p = (o.join(li.hint("merge"), o["o_orderkey"] == li["l_orderkey"], "left")
+    # orders and their line items are both fact tables; AQE picks the join from measured sizes
+    p = (o.join(li, o["o_orderkey"] == li["l_orderkey"], "left")
          .select(F.concat(src, F.lit("-"), _s("o_orderkey")).alias("id"),
                  F.col("o_orderdate").alias("post_time"),
                  "secondary_venue_ids",
@@ -127,9 +148,7 @@ def posts(spark, sf_dir, with_text: bool = False) -> DataFrame:
                  "tag_ids", "o_orderkey"))
     if with_text:
         d = load(spark, sf_dir, "documents").select(F.col("doc_id"), "text")
-        # documents are a fact table too (text-heavy): joined on the order key the posts are
-        # already partitioned by, so only the documents move, and no text goes through the driver
-        p = p.join(d.hint("merge"), p["o_orderkey"] == d["doc_id"], "left").drop("doc_id")
+        p = p.join(d, p["o_orderkey"] == d["doc_id"], "left").drop("doc_id")
     else:
         p = p.withColumn("text", F.lit(None).cast("string"))
     return p.drop("o_orderkey")
@@ -147,8 +166,8 @@ def event_posts(spark, sf_dir) -> DataFrame:
 
 
 def audits(spark, sf_dir, on_event_posts: bool = False) -> DataFrame:
-    """Audits from events. The subject is the order post with o_orderkey = k, or with
-    ``on_event_posts`` the event post of event_id = k (same month as the audits)."""
+    """Audits from events. The subject is the order post with o_orderkey = event_id div 2, or with
+    ``on_event_posts`` the event post of that event_id (same month as the audits)."""
     e = load(spark, sf_dir, "events").withColumn("k", _k())
     typ = (F.when(F.col("event_type") == "view", "like").when(F.col("event_type") == "click", "reply")
            .when(F.col("event_type") == "purchase", "tag").when(F.col("event_type") == "signup", "follow")
@@ -157,11 +176,11 @@ def audits(spark, sf_dir, on_event_posts: bool = False) -> DataFrame:
         target = load(spark, sf_dir, "events").select(
             F.col("event_id").alias("t_id"),
             F.concat(_event_source(), F.lit("-E"), _s("event_id")).alias("t_post"))
-        joined = e.join(target, e["k"] == target["t_id"], "left")
+        joined = e.join(target, F.floor(e["event_id"] / 2) == target["t_id"], "left")
         post_id = F.col("t_post")
     else:
         o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-        joined = e.join(o, e["k"] == o["o_orderkey"], "left")
+        joined = e.join(o, F.floor(e["event_id"] / 2) == o["o_orderkey"], "left")
         post_id = F.concat(_order_source(), F.lit("-"), _s("o_orderkey"))
     return (joined
             .select(_s("event_id").alias("id"), F.lit("interaction").alias("category"), typ.alias("type"),

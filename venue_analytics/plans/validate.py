@@ -6,7 +6,7 @@ Usage::
     python -m venue_analytics.plans.validate SINK_BASE --source SOURCE_BASE --month 2015Mar \\
         [--merchant M1] [--user "Some One"] [--tags T1,T2]
 
-Every check is one distributed plan; only the small summary rows are printed (``show``).
+Every check is one distributed plan; all its rows are printed, or written with ``--out``.
 """
 
 from __future__ import annotations
@@ -37,22 +37,34 @@ def main(argv=None) -> int:
     ap.add_argument("--user", help="user name for the likes drill-down")
     ap.add_argument("--tags", help="comma-separated tag ids for the tagged-post count")
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--out", help="base path for the drill-downs' tables (default: all rows are printed)")
     args = ap.parse_args(argv)
     spark = get_spark()
+    def report(name: str, df) -> int:
+        """All rows: to a table under --out, else printed one by one as they come."""
+        if args.out:
+            path = f"{args.out.rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            n = spark.read.parquet(path).count()
+            print(f"{name}: {n} row(s) in {path}")
+            return n
+        n = 0
+        for n, row in enumerate(df.toLocalIterator(), 1):
+            print(f"{name}: {row.asDict(recursive=True)}")
+        print(f"{name}: {n} row(s)")
+        return n
     chk = segment_check(spark, args.sink, args.month)
-    bad = chk.filter(~F.col("ok"))
-    n_bad = bad.count()
+    n_bad = report("segment_violations", chk.filter(~F.col("ok")))
     print(f"segment totals: {n_bad} violation(s)")
-    if n_bad:
-        bad.show(20, truncate=False)
     if args.source:
         t = Tables(**read_tables(spark, args.source, args.format))
         only = (lambda df: df.filter(F.col("merchant_id") == args.merchant)) if args.merchant else (lambda df: df)
-        only(C.merchant_post_count(t, args.month)).show(50, truncate=False)
+        report("merchant_posts", only(C.merchant_post_count(t, args.month)))
+        report("mention_terms", only(C.mention_terms(t)))
         if args.tags:
-            only(C.tagged_post_count(t, args.tags.split(","), args.month)).show(50, truncate=False)
+            report("tagged_posts", only(C.tagged_post_count(t, args.tags.split(","), args.month)))
         if args.user:
-            only(C.user_likes(t, args.user, args.month)).show(50, truncate=False)
+            report("user_likes", only(C.user_likes(t, args.user, args.month)))
     return 1 if n_bad else 0
 
 

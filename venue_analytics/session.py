@@ -20,8 +20,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    "spark.sql.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",  # off: it goes by the estimated size of a plan
     "spark.sql.files.maxPartitionBytes": "128MB",
     # A month of audits is the filter-building side when the audits are joined to all posts
     # (response times, interactions); the default 10MB limit would switch the runtime bloom
@@ -65,8 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     Only a local session (tests, bench) that names none gets a scratch folder; a cluster session
-    without the setting gets ``None`` (callers then skip checkpointing), because a machine-local
-    folder is not reachable after an executor is lost.
+    without the setting gets ``None`` (callers refuse then), because a machine-local folder is not
+    reachable after an executor is lost.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:

@@ -25,23 +25,44 @@ def _type_of(df: DataFrame, path: str) -> T.DataType | None:
     return dtype
 
 
+def _checked(raw, parsed, what: str):
+    """``parsed``, failing on a text that is there but can't be read (a lost date or list would only show
+    as missing rows)."""
+    lost = raw.isNotNull() & (F.trim(raw) != "") & parsed.isNull()
+    return F.when(lost, F.raise_error(F.concat(F.lit(f"unreadable {what}: "), raw))).otherwise(parsed)
+
+
 def _as_time(df: DataFrame, name: str):
     dtype = _type_of(df, name)
+    raw = F.col(name)
     if isinstance(dtype, T.StringType):
-        return parse_legacy_time(F.col(name))
-    return F.col(name)
+        return _checked(raw, F.coalesce(parse_legacy_time(raw), F.try_to_timestamp(raw)), name)
+    return raw
 
 
 def _as_list(df: DataFrame, name: str):
+    """A list column; from text either a JSON array or the loader's '[a, b]'."""
+    dtype = _type_of(df, name)
+    raw = F.col(name)
+    if isinstance(dtype, T.StringType):
+        return F.coalesce(F.from_json(raw, T.ArrayType(T.StringType())), tokenize(venue_id_strip(raw)))
+    return raw
+
+
+def _as_expiry(df: DataFrame, name: str):
+    """Expiry from epoch milliseconds (number or text), the loader's date text or ISO text."""
     dtype = _type_of(df, name)
+    raw = F.col(name)
     if isinstance(dtype, T.StringType):
-        return tokenize(venue_id_strip(F.col(name)))
-    return F.col(name)
+        millis = expiry_time(F.when(raw.rlike("^-?[0-9]{1,18}$"), raw).cast("bigint"), T.LongType())
+        return _checked(raw, F.coalesce(millis, parse_legacy_time(raw), F.try_to_timestamp(raw)), name)
+    return expiry_time(raw, dtype)
 
 
 def normalise(name: str, df: DataFrame) -> DataFrame:
     """Rename ``_id`` to ``id`` and turn string forms into the declared types:
-    'Tue Dec 22 12:05:21 EST 2015' -> timestamp, '[FB-1, FB-11]' -> array, epoch ms -> timestamp."""
+    'Tue Dec 22 12:05:21 EST 2015' or ISO text -> timestamp, '[FB-1, FB-11]' -> array, epoch ms -> timestamp.
+    Text that is none of its column's forms fails the query that reads it."""
     if "_id" in df.columns:
         if "id" in df.columns:
             df = df.withColumn("id", F.coalesce(F.col("id"), F.col("_id").cast("string"))).drop("_id")
@@ -59,9 +80,7 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
     elif name == "merchants":
         dtype = _type_of(df, "subscription.expires_at")
         if dtype is not None and not isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-            exp = F.col("subscription.expires_at")
-            exp = parse_legacy_time(exp) if isinstance(dtype, T.StringType) else expiry_time(exp, dtype)
-            df = df.withColumn("subscription", F.struct(exp.alias("expires_at")))
+            df = df.withColumn("subscription", F.struct(_as_expiry(df, "subscription.expires_at").alias("expires_at")))
     elif name == "audits":
         if "created_at" in df.columns:
             df = df.withColumn("created_at", _as_time(df, "created_at"))
@@ -71,23 +90,38 @@ def normalise(name: str, df: DataFrame) -> DataFrame:
 TIME_COLUMN = {"posts": "post_time", "audits": "created_at"}
 
 
-def write_month_partitioned(df: DataFrame, path: str, name: str, fmt: str = "parquet") -> None:
+def write_month_partitioned(df: DataFrame, path: str, name: str, fmt: str = "parquet", spread: int | None = None) -> None:
     """Lay a collection out by month (``month_key=yyyy-MM`` directories) so that a monthly report
     opens only that month's files: the reports add the key to their month filter when present.
-    Rows are clustered by month before the write, so each task writes few files."""
+    A month's rows go to ``spread`` tasks (default: the session's shuffle partitions) by the hash of
+    their id, so a month is spread however its times are distributed."""
     ts = TIME_COLUMN[name]
+    spread = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.withColumn(MONTH_KEY, month_key(ts))
-       .repartition(MONTH_KEY, F.xxhash64(F.col(ts)) % 64)   # month-clustered, but a hot month is still spread
+       .repartition(MONTH_KEY, F.pmod(F.xxhash64("id"), F.lit(spread)))
        .write.mode("overwrite").format(fmt).partitionBy(MONTH_KEY).save(path))
 
 
 FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "delta", "text")
 
 
+def loose_schema(schema: T.StructType) -> T.StructType:
+    """``schema`` with times and lists of strings as text, as formats without a schema of their own may
+    hold them in any of the forms that ``normalise`` reads."""
+    def loose(dtype: T.DataType) -> T.DataType:
+        if isinstance(dtype, T.TimestampType) or dtype == T.ArrayType(T.StringType()):
+            return T.StringType()
+        if isinstance(dtype, T.StructType):
+            return loose_schema(dtype)
+        return dtype
+    return T.StructType([T.StructField(f.name, loose(f.dataType)) for f in schema.fields])
+
+
 def read_table(spark: SparkSession, name: str, path: str | None, fmt: str = "parquet",
                schema: T.StructType | None = None, **options) -> DataFrame:
     """Scan one collection. A declared schema is used unless ``schema`` is given or the format
-    carries its own (parquet/orc), in which case the file schema is read and normalised.
+    carries its own (parquet/orc), in which case the file schema is read and normalised. Formats
+    without a schema are read with times and lists as text, and normalised likewise.
     ``path=None`` suits connectors configured by options alone (e.g. a document store's
     ``database``/``collection``)."""
     reader = spark.read.format(fmt).options(**options)
@@ -97,14 +131,21 @@ def read_table(spark: SparkSession, name: str, path: str | None, fmt: str = "par
         declared = SCHEMAS[name]
         if "id" in declared.names:   # documents carry their key as _id
             declared = T.StructType(list(declared.fields) + [T.StructField("_id", T.StringType())])
-        reader = reader.schema(declared)
+        reader = reader.schema(loose_schema(declared))
     return normalise(name, reader.load(path) if path else reader.load())
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_tables(spark: SparkSession, base: str, fmt: str = "parquet",
-                names=("posts", "places", "merchants", "audits"), **options) -> dict[str, DataFrame]:
-    """``{name: DataFrame}`` for each collection: ``<base>/<name>`` for file formats; for a
+                names=("posts", "places", "merchants", "audits"), optional=("venues",), **options) -> dict[str, DataFrame]:
+    """``{name: DataFrame}`` for each collection: ``<base>/<name>`` for file formats, those in
+    ``optional`` only where they are (the venues serve the mention checks alone); for a
     connector format, ``base`` is the database and ``name`` the collection option."""
     if fmt in FILE_FORMATS:
+        names = [*names, *(n for n in optional if _exists(spark, f"{base.rstrip('/')}/{n}"))]
         return {n: read_table(spark, n, f"{base.rstrip('/')}/{n}", fmt, **options) for n in names}
     return {n: read_table(spark, n, None, fmt, database=base, collection=n, **options) for n in names}

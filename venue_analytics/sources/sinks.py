@@ -2,13 +2,13 @@
 
 The original deleted a month's documents, then ran the job (a failed run left the month empty).
 Here the new rows are computed by the write itself and only the partitions present in the output
-are replaced (``partitionOverwriteMode=dynamic``); file commit is atomic per task, so a lost
+are replaced (``partitionOverwriteMode=dynamic``), or exactly the month named; file commit is atomic per task, so a lost
 executor is retried without leaving partial files behind.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Month column of each report's output.
@@ -25,18 +25,29 @@ def append_report(df: DataFrame, fmt: str, **options) -> None:
     df.write.format(fmt).mode("append").options(**options).save()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of any file system Spark knows; nothing if it isn't there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_report(df: DataFrame, path: str, report: str, fmt: str = "parquet",
-                 month_col: str | None = None, max_records_per_file: int | None = None) -> None:
+                 month_col: str | None = None, max_records_per_file: int | None = None,
+                 month: str | None = None) -> None:
     """Write ``df`` under ``path`` partitioned by the report's month column, replacing only the
-    months that ``df`` contains. No repartition by month: a monthly run holds one month, and
-    funnelling it into one task would serialise the write; each task writes its own file."""
+    months that ``df`` contains. With ``month``, that month is replaced whatever ``df`` holds: when
+    no row of it was written, its partition is removed after the write. No repartition by month: a
+    monthly run holds one month, and funnelling it into one task would serialise the write."""
     month_col = month_col or MONTH_COLUMN[report]
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    writer = (df.write.mode("overwrite").format(fmt).partitionBy(month_col))
+    seen = Observation()
+    if month is not None:
+        df = df.observe(seen, F.count_if(F.col(month_col) == month).alias("rows"))
+    writer = (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic").partitionBy(month_col))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(path)
+    if month is not None and not seen.get.get("rows"):
+        remove(df.sparkSession, f"{path.rstrip('/')}/{month_col}={month}")
 
 
 def read_report(spark: SparkSession, path: str, fmt: str = "parquet", **equals) -> DataFrame:
