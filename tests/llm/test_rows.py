@@ -1,0 +1,235 @@
+"""Row-wise operators (quality, PII, licenses, BPE) against plain loops, with edge cases."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from venue_analytics.llm import bpe, boosting, licenses, pii, quality
+from venue_analytics.llm.common import text_of
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+#: null, empty, blank, one word, long, tied and repeated rows
+EDGES = [None, "", " \t\n", "x", "a b c " * 4000, "same text here", "same text here", "é" * 3000, "  \x1c\x85 \xa0"]
+
+
+def frame(spark, texts, **more):
+    rows = [(i, t, "k", "c") for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "doc_id long, text string, kept string, `ids` string").repartition(3)
+
+
+def empty(spark):
+    return spark.createDataFrame([], "doc_id long, text string, kept string, ids string")
+
+
+# ------------------------------------------------------------------------------ quality
+def plain_quality(text):
+    t = text or ""
+    w = WORD.findall(t)
+    grams = Counter(zip(w, w[1:], w[2:]))
+    marked = {j for i in range(len(w) - 2) if grams[tuple(w[i:i + 3])] > 1 for j in range(i, i + 3)}
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    chars, symbols, dup, rep = sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(marked)
+    up, az = sum("A" <= c <= "Z" for c in t), sum(c.isascii() and c.isalpha() for c in t)
+    failed = len(w) < 50 or 100 * rep > 50 * len(w)
+    kept = not (failed or 10 * symbols > len(w) or 2 * dup > len(lines) or 2 * up > az or chars > 15 * len(w) or chars < 2 * len(w))
+    return chars, symbols, dup, rep, kept
+
+
+def test_quality_counts_and_verdict(spark):
+    rnd = random.Random(4)
+    words = ["the", "a", "cat", "#x", "SAT", "on|off", "mat", "\n", "é", "tree " * 3, "\x0b", "log"]
+    texts = EDGES + [" ".join(rnd.choice(words) for _ in range(rnd.randrange(200))) for _ in range(150)]
+    texts += [" ".join(f"w{i * k % 97}" for i in range(120)) for k in range(1, 12)]
+    df = frame(spark, texts)
+    w = quality.words_of(text_of("text"))
+    got = {r["doc_id"]: r for r in quality.quality_filter(df, flag="kept").select(
+        "doc_id", "kept", quality.word_chars(w).alias("c"), quality.n_symbols(text_of("text")).alias("s"),
+        quality.n_dup_lines(text_of("text")).alias("d"), quality.n_repeat_words(w).alias("r")).collect()}
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert (r["c"], r["s"], r["d"], r["r"], r["kept"]) == plain_quality(t), t
+    kept = quality.quality_filter(df)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [i for i, t in enumerate(texts) if plain_quality(t)[4]]
+    assert quality.quality_filter(empty(spark)).count() == 0
+
+
+def test_rule_order_does_not_change_the_verdict(spark):
+    df = frame(spark, EDGES + ["good words " * 3, " ".join(f"n{i}" for i in range(80))])
+    want = sorted(r["doc_id"] for r in quality.quality_filter(df).collect())
+    assert sorted(r["doc_id"] for r in quality.quality_filter(df, rules=quality.RULES[::-1], sample_rows=2).collect()) == want
+    assert len(quality.order_rules(df)) == len(quality.RULES)
+
+
+# ------------------------------------------------------------------------------ PII
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def plain_spans(t):
+    out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t)
+            if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m.group())
+        if 12 <= len(d) <= 19 and luhn(d):
+            out.append((m.start(), 2, m.end()))
+    out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(re.sub("[^0-9]", "", m.group())) <= 15]
+    return sorted(out)
+
+
+PARTS = ["a", "b1", "@", ".", "..", "+", "1", "12", "255", "256", "000001", "4111111111111111", "4111 1111 1111 1111", "-", " ", "(", ")",
+         "é", "😀", "\n", "x@y.z", "1.2.3.4", "+1 (578) 555-1234", "_", "%", "tel ", "(at)", " [dot] ", ":", "ff"]
+
+
+def test_pii_base_spans_and_redaction(spark):
+    rnd = random.Random(1)
+    texts = EDGES + ["".join(rnd.choice(PARTS) for _ in range(rnd.randrange(60))) for _ in range(1500)]
+    texts += ["1" * 60000, "+1" + " 1" * 20000, "a@b" + ".c" * 20000, "a." * 30000]
+    short = len(texts) - 4
+    df = frame(spark, texts)
+    found = pii.find(df, pii.Model([], {}), out="kept")
+    assert sorted(found.columns) == sorted(df.columns)
+    got = {r["doc_id"]: r for r in found.select("doc_id", "kept", pii.redacted(text_of("text"), F.col("kept")).alias("r")).collect()}
+    for i, t in enumerate(texts[:short]):
+        want = plain_spans(t or "")
+        assert [(c["start"], c["kind"], c["end"]) for c in got[i]["kept"]] == want, t
+        out, end = [], 0
+        for a, k, b in want:
+            if a >= end:
+                out.append((t or "")[end:a] + f"[{pii.KINDS[k].upper()}]")
+            end = max(end, b)
+        assert got[i]["r"] == "".join(out) + (t or "")[end:]
+    assert [(c["start"], c["end"]) for c in got[short + 2]["kept"]] == [(0, 40003)]
+    assert pii.find(empty(spark), pii.fit_model(empty(spark))).count() == 0
+
+
+def test_pii_model_adds_what_looks_like_valid_candidates(spark):
+    rnd = random.Random(2)
+
+    def card(valid):
+        d = "4" + "".join(str(rnd.randrange(10)) for _ in range(14))
+        check = next(c for c in "0123456789" if luhn(d + c))
+        return d + (check if valid else str((int(check) + 1) % 10))
+    texts = [f"pay card {card(True)} now" for _ in range(600)] + [f"serial no. {card(False)}x" for _ in range(300)]
+    texts += [f"pay card {card(False)} now" for _ in range(2)]
+    df = frame(spark, texts)
+    model = pii.fit_model(df, key=F.col("doc_id"), sample_rows=5000, precision=0.95)
+    got = {r["doc_id"]: len(r["pii"]) for r in pii.find(df, model).collect()}
+    assert all(got[i] == 1 for i in range(600))                 # valid ones stay
+    assert all(got[i] == 0 for i in range(600, 900))            # wrong checksum in another context
+    assert all(got[i] == 1 for i in range(900, 902))            # wrong checksum where cards stand
+
+
+def test_boosting_expression_equals_the_plain_model(spark):
+    rnd = random.Random(3)
+    cases = [((rnd.randrange(5), rnd.randrange(5)), float(rnd.randrange(5)), float(rnd.randrange(5))) for _ in range(60)]
+    trees = boosting.fit(cases)
+    df = spark.createDataFrame([c[0] for c in cases], "a int, b int")
+    got = df.select("a", "b", boosting.probability(trees, [F.col("a"), F.col("b")]).alias("p")).collect()
+    assert all(abs(r["p"] - boosting.predict(trees, (r["a"], r["b"]))) < 1e-9 for r in got)
+    assert boosting.threshold([(0.9, 99, 1), (0.5, 10, 90)], 0.98, 50) == 0.9
+    assert boosting.threshold([(0.9, 9, 1)], 0.98, 1) == float("inf")
+
+
+# ------------------------------------------------------------------------------ licenses
+def plain_license(t):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(UPPER))
+    starts, labels = [], set()
+    for p, label in licenses.PHRASES.items():
+        q = p.split()
+        for i in range(len(w) - len(q) + 1):
+            if w[i:i + len(q)] == q:
+                starts.append(i)
+                labels.add(label)
+    return len(w), len(starts), min(starts, default=None), max(starts, default=None), sorted(labels)
+
+
+def test_license_scan(spark):
+    rnd = random.Random(2)
+    parts = ["gnu", "General", "public", "license", "GNU", "apache", "LICENSE", "cc", "by", "CC-BY", "mit", "é", "ß", "K", "İ", "4", ".", "\n",
+             "MIT-License", "x"]
+    texts = EDGES + [" ".join(rnd.choice(parts) for _ in range(rnd.randrange(40))) for _ in range(300)]
+    texts += ["apache license " * 2000] + [f"filler number {i} of the plain kind" for i in range(200)]
+    notices = len(texts)
+    texts += [f"some words before. {t.text} and words after" for t in licenses.TEMPLATES]
+    df = frame(spark, texts)
+    got = {r["doc_id"]: r["kept"] for r in licenses.scan(df, out="kept").collect()}
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == plain_license(t), t
+        assert set(r["base_labels"]) <= set(r["labels"]) and 0 <= r["score"] <= 1
+    for i, t in enumerate(licenses.TEMPLATES):
+        assert t.label in got[notices + i]["labels"], t
+    assert not any(got[notices - 1 - i]["labels"] for i in range(200))
+    assert licenses.scan(empty(spark)).count() == 0
+
+
+# ------------------------------------------------------------------------------ BPE
+def odd_texts():
+    rnd = random.Random(3)
+    out = ["<|endoftext|>x<|startoftext|> <|endoftext|", "İstanbul ΣΑΣ ς ǅ ﬁ ½ ²³ ª", "日本語 😀👍🏽 é", "I'm don't WE'LL 'S", "\x00 a\x00b",
+           "12345 ٣٤ Ⅷ", "_a_b__c", "aaaaab" * 200, "a" * 3000]
+    out += ["".join(rnd.choice("abcdeéß '\n<|>1é日Σ") for _ in range(150)) for _ in range(150)]
+    out += ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(1, 40))) for _ in range(1500)]
+    return out
+
+
+def test_bpe_equals_the_library_and_decodes_alike(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    path = bpe.word_bpe_path()
+    own = tokenizers.Tokenizer.from_file(path)
+    texts = EDGES + odd_texts()
+    df = frame(spark, texts)
+    enc = bpe.encode(df, path, ids_col="ids")
+    assert sorted(enc.columns) == ["doc_id", "ids", "kept"]
+    for r in bpe.decode(enc, path).collect():
+        want = own.encode(texts[r["doc_id"]] or "", add_special_tokens=False).ids
+        assert r["ids"] == want
+        assert r["text"] == own.decode(want, skip_special_tokens=False)
+    assert bpe.decode(bpe.encode(empty(spark), path), path).count() == 0
+
+
+def test_bpe_backtracks_as_merges_do():
+    """Random small vocabularies against merging by rank."""
+    rnd = random.Random(5)
+
+    def merged(word, merges):
+        rank = {m: i for i, m in enumerate(merges)}
+        parts = list(word)
+        while True:
+            best = min((rank.get(p, 1 << 30), i) for i, p in enumerate(zip(parts, parts[1:]))) if len(parts) > 1 else (1 << 30, 0)
+            if best[0] == 1 << 30:
+                return parts
+            pair, out, i = merges[best[0]], [], 0
+            while i < len(parts):
+                if tuple(parts[i:i + 2]) == pair:
+                    out.append(parts[i] + parts[i + 1])
+                    i += 2
+                else:
+                    out.append(parts[i])
+                    i += 1
+            parts = out
+    for _ in range(60):
+        tokens, merges = ["a", "b", "c"], []
+        while len(merges) < 25:
+            x, y = rnd.choice(tokens), rnd.choice(tokens)
+            if x + y not in tokens:
+                merges.append((x, y))
+                tokens.append(x + y)
+        m = bpe.Merges({t: i for i, t in enumerate(tokens)}, merges)
+        for _ in range(60):
+            word = "".join(rnd.choice("abc") for _ in range(rnd.randrange(1, 25)))
+            assert [tokens[i] for i in m.encode(word)] == merged(word, merges)
+
+
+def test_digest_of_a_known_text(spark):
+    path = bpe.word_bpe_path()
+    r = bpe.decode(bpe.encode(frame(spark, ["Hello world"]), path), path).select(
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("h"), "ids").first()
+    assert r["h"] == hashlib.sha256(" ".join(map(str, r["ids"])).encode()).hexdigest()

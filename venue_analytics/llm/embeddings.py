@@ -139,7 +139,8 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     known = cut(classes.join(roots, classes["key"] == roots["node"], "left").join(others, "key", "left")
                 .select("key", "low", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
                         F.coalesce("root", "key").alias("root")))
-    lows = known.groupBy("root").agg(F.min("low").alias("component_id"))
+    # apart from the join, which can then split a large component's partition
+    lows = cut(known.groupBy("root").agg(F.min("low").alias("component_id")))
     found = known.join(lows, "root").select("key", "n_links", "component_id")
     named = given.select("id", _key().alias("key"))
     return named.join(found, "key", "left").select(

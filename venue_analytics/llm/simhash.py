@@ -141,7 +141,8 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = connected_components(links(classes.select("fp"), distance))
     known = cut(classes.join(roots, classes["fp"] == roots["node"], "left")
                 .select("fp", "low", F.coalesce("root", "fp").alias("root")))
-    lows = known.groupBy("root").agg(F.min("low").alias("component_id"))
+    # apart from the join, which can then split a large component's partition
+    lows = cut(known.groupBy("root").agg(F.min("low").alias("component_id")))
     return rows.join(known.join(lows, "root").select("fp", "component_id"), "fp").select("id", "fp", "component_id")
 
 
