@@ -98,7 +98,7 @@ def write_month_partitioned(df: DataFrame, path: str, name: str, fmt: str = "par
     ts = TIME_COLUMN[name]
     spread = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.withColumn(MONTH_KEY, month_key(ts))
-       .repartition(MONTH_KEY, F.pmod(F.xxhash64("id"), F.lit(spread)))
+       .repartition(spread, MONTH_KEY, F.pmod(F.xxhash64("id"), F.lit(spread)))
        .write.mode("overwrite").format(fmt).partitionBy(MONTH_KEY).save(path))
 
 
