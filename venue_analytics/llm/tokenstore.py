@@ -27,10 +27,10 @@ from venue_analytics.session import checkpoint_dir
 #: ids per shard, about: a shard ends with the document that reaches it
 SHARD = 1 << 20
 #: rounds of replacement, rules per round at most, occurrences a pair needs
-ROUNDS, RULES, OFTEN = 6, 2500, 24
+ROUNDS, RULES, OFTEN = 4, 3500, 24
 #: pieces whose ids a worker keeps in each of two generations
-CACHE_PIECES = 300_000
-_HASH_BITS = 20
+CACHE_PIECES = 600_000
+_HASH_BITS = 18
 
 
 class Encoder:
@@ -62,17 +62,29 @@ class Encoder:
         pieces = self._SPLIT.findall(text)
         if len(self.known) > CACHE_PIECES:
             self.older, self.known = self.known, {}
+        known = self.known
+        if new := [p for p in pieces if p not in known]:
+            self._learn(set(new))
+        return b"".join([known[p] for p in pieces])
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids of pieces not in the younger generation: from the older one, the others by one call of the
+        library, with its special token between them (which it cuts a text at before all else)."""
         known, older = self.known, self.older
-        new = []
-        for p in set(pieces).difference(known):
+        fresh = []
+        for p in pieces:
             if p in older:
                 known[p] = older[p]
             else:
-                new.append(p)
-        if new:
-            for p, e in zip(new, self.own.encode_batch_fast(new, add_special_tokens=False)):
-                known[p] = self._bytes(e.ids)
-        return b"".join(map(known.__getitem__, pieces))
+                fresh.append(p)
+        if fresh:
+            mark = self.special[0]
+            ids = np.array(self.own.encode_batch_fast([mark.join(fresh)], add_special_tokens=False)[0].ids, dtype=self.kind)
+            ends = np.append(np.flatnonzero(ids == self.own.token_to_id(mark)), len(ids)) * self.kind.itemsize
+            data, at = ids.tobytes(), 0
+            for p, end in zip(fresh, ends.tolist()):
+                known[p] = data[at:end]
+                at = end + self.kind.itemsize
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -87,54 +99,47 @@ def encoder(path: str) -> Encoder:
 def compress(ids: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(symbols, begins, rules)`` of a shard: ids below ``size``, nonterminal ``size + k`` for rule ``k``.
 
-    ``begins`` are the places where documents begin, in ids and then in symbols. A round counts all pairs,
-    takes the most frequent ones as rules and replaces their occurrences; where two occurrences overlap,
-    the one of the more frequent pair goes first (the others are left to later rounds)."""
-    seq, rules = ids.astype(np.int64), []
-    head = np.zeros(len(seq) + 1, dtype=bool)
-    head[begins] = True
-    head[-1] = True
-    made = size
+    ``begins`` are the places where documents begin, in ids and then in symbols. A round counts all pairs
+    (in a hash table, one pair of those that share a slot), takes the most frequent ones as rules and
+    replaces their occurrences from left to right; those that overlap a replaced one wait for later rounds."""
+    seq, rules, made = ids.astype(np.int32), [], size
+    begins = np.asarray(begins, dtype=np.int64)
     for _ in range(ROUNDS):
         if len(seq) < 2:
             break
-        inside = ~head[1:-1]
-        key = (seq[:-1] << 20 | seq[1:])
-        slot = ((key * -7046029254386353131) >> (64 - _HASH_BITS)) & ((1 << _HASH_BITS) - 1)
-        count = np.bincount(slot[inside], minlength=1 << _HASH_BITS)
+        key = seq[:-1].astype(np.int64)
+        key <<= 20
+        key |= seq[1:]
+        slot = ((key * np.int64(-7046029254386353131)).view(np.uint64) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
+        border = begins[1:] - 1  # pairs that span two documents
+        count = np.bincount(slot, minlength=1 << _HASH_BITS)
+        np.subtract.at(count, slot[border], 1)
         often = np.flatnonzero(count >= OFTEN)
+        if len(often) > RULES:
+            often = often[np.argpartition(-count[often], RULES)[:RULES]]
         if len(often) == 0:
             break
-        if len(often) > RULES:
-            often = often[np.argsort(-count[often], kind="stable")[:RULES]]
-        pair = np.full(1 << _HASH_BITS, -1, dtype=np.int64)
-        pair[slot[inside]] = key[inside]  # one pair of those that share a slot
-        rule = np.full(1 << _HASH_BITS, -1, dtype=np.int64)
-        rule[often] = made + np.arange(len(often))
-        here = inside & (rule[slot] >= 0) & (pair[slot] == key)
-        weight = np.where(here, count[slot], 0)
-        take = here.copy()
-        take[1:] &= weight[1:] > weight[:-1]
-        take[:1] &= True
-        # equal neighbours (runs of one pair): every second one
-        same = np.flatnonzero(here[1:] & here[:-1] & (weight[1:] == weight[:-1])) + 1
-        if len(same):
-            first = np.ones(len(same), dtype=bool)
-            first[1:] = same[1:] != same[:-1] + 1
-            run = same - (np.maximum.accumulate(np.where(first, same, 0)) - 1)
-            take[same] = run % 2 == 0
-        take[:-1] &= ~(take[1:] & (weight[1:] >= weight[:-1]))
-        take[1:] &= ~take[:-1]
-        if not take.any():
+        pair = np.empty(1 << _HASH_BITS, dtype=np.int64)
+        pair[slot] = key
+        rule = np.full(1 << _HASH_BITS, -1, dtype=np.int32)
+        rule[often] = made + np.arange(len(often), dtype=np.int32)
+        new = rule[slot]
+        new[border] = -1
+        at = np.flatnonzero(new >= 0)
+        at = at[pair[slot[at]] == key[at]]
+        if len(at) == 0:
             break
-        at = np.flatnonzero(take)
-        seq[at] = rule[slot[at]]
+        order = np.arange(len(at))
+        start = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, order, 0))
+        at = at[(order - start) % 2 == 0]
+        seq[at] = new[at]
         keep = np.ones(len(seq), dtype=bool)
         keep[at + 1] = False
-        seq, head = seq[keep], np.append(head[:-1][keep], True)
+        begins = begins - np.searchsorted(at, begins)
+        seq = seq[keep]
         rules.append(np.stack([pair[often] >> 20, pair[often] & ((1 << 20) - 1)], axis=1))
         made += len(often)
-    return seq, np.flatnonzero(head[:-1]), np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
+    return seq, begins, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
 
 
 def expansion_lengths(rules: np.ndarray, size: int) -> np.ndarray:
