@@ -39,7 +39,11 @@ def main() -> None:
     # timed is not charged for the whole process warm-up
     for name in names:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times = {}
+    times, spread = {}, {}
+    load = os.getloadavg()[0]
+    t0 = time.thread_time()
+    sum(range(5_000_000))
+    spin = round(time.thread_time() - t0, 3)  # seconds of a fixed loop: how fast this machine is just now
     for name in names:
         fn = QUERIES[name]
         samples = []
@@ -49,10 +53,12 @@ def main() -> None:
             if i:  # first run warms the JVM and the OS file cache
                 samples.append(time.perf_counter() - t0)
         times[name] = round(statistics.median(samples), 3)
+        spread[name] = [round(min(samples), 3), round(max(samples), 3)]
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_report_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
-                      "cpus": cpus, "runs": runs}))
+                      "cpus": cpus, "runs": runs, "spread": spread,
+                      "machine": {"cores": os.cpu_count(), "load_at_start": round(load, 2), "spin_s": spin}}))
 
 
 if __name__ == "__main__":
