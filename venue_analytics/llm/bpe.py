@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from venue_analytics.llm.common import ship, table
 
 #: words whose encodings a worker keeps in each of two generations; of the older one only what is used again stays
-CACHE_WORDS = 300_000
+CACHE_WORDS = 120_000
 #: pairs of tokens whose compatibility a worker keeps
-PAIRS = 500_000
+PAIRS = 200_000
 #: tokens decoded at a time
-DECODE_CHUNK = 1 << 18
+DECODE_CHUNK = 1 << 16
 _NEVER = 1 << 60
 
 
@@ -53,7 +53,13 @@ class Merges:
         self.span = max(ids.values()) + 1
         self.rank = {ids[a] * self.span + ids[b]: r for r, (a, b) in enumerate(merges)}
         self.made = {ids[a + b]: (r, ids[a], ids[b]) for r, (a, b) in reversed(list(enumerate(merges)))}
-        usable = {t: i for t, i in ids.items() if len(t) == 1 or i in self.made}
+        # tokens that merging their own symbols gives: base symbols, and merges whose border nothing crosses before
+        whole: dict[int, bool] = {i: True for t, i in ids.items() if len(t) == 1}
+        for a, b in merges:
+            made = ids[a + b]
+            r, left, right = self.made[made]
+            whole[made] = whole.get(left, False) and whole.get(right, False) and self._uncrossed(left, right, r, r)
+        usable = {t: i for t, i in ids.items() if whole.get(i)}
         self.matches = ahocorasick.Automaton()
         self.length = [0] * self.span
         self.shorter = [-1] * self.span
@@ -64,13 +70,13 @@ class Merges:
         self.matches.make_automaton()
         self.pairs: dict[int, bool] = {}
 
-    def _uncrossed(self, x: int, y: int) -> bool:
-        """True if no merge crosses the border between two tokens while they are built.
+    def _uncrossed(self, x: int, y: int, x_ends: int = _NEVER, y_ends: int = _NEVER) -> bool:
+        """True if no merge crosses the border between two tokens while they are built (or until the ranks
+        given, at which they are taken in themselves).
 
         Pieces next to the border grow by rank: the piece on the left is part of its token from the merge
         that makes it until the merge that takes it in, likewise on the right. A merge of the two pieces
         happens if it comes before both are taken in; of equal ranks the one further left comes first."""
-        x_ends = y_ends = _NEVER
         while True:
             r = self.rank.get(x * self.span + y)
             if r is not None and r < x_ends and r <= y_ends:
@@ -145,13 +151,8 @@ class Encoder:
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         own = Tokenizer.from_file(path)
         self.normalize, self.pretokenize = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
-        names = {i: t for t, i in vocab.items()} | {i: t for t, i in self.added.items()}
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        # decoding: all tokens, each after a blank, in one block, and where each begins
-        blocks = [(" " + names.get(i, "")).encode() if i in names else b"" for i in range(max(names) + 1)]
-        self.offset = np.concatenate([[0], np.cumsum([len(b) for b in blocks])])
-        self.block = np.frombuffer(b"".join(blocks), dtype=np.uint8)
 
     def _inner(self, token: str) -> str:
         """Token as symbols: a character per byte, 256 more for a last one."""
@@ -188,6 +189,18 @@ class Encoder:
                 parts.extend(self._segment(p))
         return b"".join(parts)
 
+
+class Decoder:
+    """All tokens, each after a blank, in one block of bytes, and where each begins."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        names = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        blocks = [(" " + names[i]).encode() if i in names else b"" for i in range(max(names) + 1)]
+        self.offset = np.concatenate([[0], np.cumsum([len(b) for b in blocks])])
+        self.block = np.frombuffer(b"".join(blocks), dtype=np.uint8)
+
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by blanks, special tokens included; ids the table lacks are left out."""
         out = []
@@ -211,6 +224,15 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+_DECODERS: dict[str, Decoder] = {}
+
+
+def decoder(path: str) -> Decoder:
+    if path not in _DECODERS:
+        _DECODERS[path] = Decoder(path)
+    return _DECODERS[path]
+
+
 def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``docs`` with its text column replaced by ``ids_col``, the token ids of the whole text.
 
@@ -240,7 +262,7 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
     at = rest.index(ids_col)
 
     def run(batches):
-        own = encoder(path)
+        own = decoder(path)
         for b in batches:
             lists = b.column(at)
             flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()

@@ -17,7 +17,7 @@ WHITE = r"[\x20\x09-\x0D]+"
 
 
 #: bytes of a batch sent to a Python worker, about; a single longer row still goes whole
-ARROW_BYTES = 16 << 20
+ARROW_BYTES = 4 << 20
 _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
