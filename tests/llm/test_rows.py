@@ -109,6 +109,18 @@ def test_pii_base_spans_and_redaction(spark):
     assert pii.find(empty(spark), pii.fit_model(empty(spark))).count() == 0
 
 
+def test_pii_addresses_with_zero_octets(spark):
+    rnd = random.Random(5)
+    parts = ["0", "00", "0000", "010", "10", "100", "200", "255", "256", "0255", "0256", "300", "1"]
+    texts = ["10.0.0.1", "ip 192.168.0.1.", "127.0.0.1", "8.8.8.0", "0.0.0.0", "00.000.0.00", "0.0.0.256", "0.0.0"]
+    texts += ["from " + ".".join(rnd.choice(parts) for _ in range(4)) + " on" for _ in range(500)] + ["1.2.3." + "0" * 60000]
+    found = pii.find(frame(spark, texts), pii.Model([], {}))
+    got = {r["doc_id"]: [(c["start"], c["kind"], c["end"]) for c in r["pii"]] for r in found.collect()}
+    for i, t in enumerate(texts[:-1]):
+        assert got[i] == plain_spans(t), t
+    assert sum(len(got[i]) for i in range(8)) == 6 and got[len(texts) - 1] == [(0, 1, 60006)]
+
+
 def test_pii_model_adds_what_looks_like_valid_candidates(spark):
     rnd = random.Random(2)
 

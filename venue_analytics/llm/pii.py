@@ -38,7 +38,8 @@ PATTERNS = {
 }
 #: what a text must hold for the pattern to be tried
 _NEEDS = {"email": "@|[(\\[]at[)\\]]", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
-_OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+#: zeros alone, or a value up to 255 behind any zeros
+_OCTET = "(?:0++(?![0-9])|0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?))"
 _POSITIVE = "tel|phone|fax|call|mobil|mail|contact|ip|host|addr|server|card|visa|credit|pay|carte|karte|tarjeta|correo|anruf"
 _NEGATIVE = "order|version|build|sku|invoice|serial|no\\.|nr\\.|#|id"
 #: code points of context looked at before and after a span
