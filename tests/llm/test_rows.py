@@ -138,6 +138,23 @@ def test_pii_model_adds_what_looks_like_valid_candidates(spark):
     assert all(got[i] == 1 for i in range(900, 902))            # wrong checksum where cards stand
 
 
+def test_pii_thresholds_come_from_all_candidates(spark):
+    rnd = random.Random(4)
+
+    def card(valid):
+        d = "4" + "".join(str(rnd.randrange(10)) for _ in range(14))
+        check = next(c for c in "0123456789" if luhn(d + c))
+        return d + (check if valid else str((int(check) + 1) % 10))
+    texts = [f"pay card {card(True)} now" for _ in range(400)] + [f"serial no. {card(False)}x" for _ in range(300)]
+    texts += [f"pay card {card(False)} now" for _ in range(2)]
+    texts += [f"call +1 (578) 555-12{i:02d} now" for i in range(40)] + ["call 578 555-1234 now"]   # a rare kind
+    df = frame(spark, texts)
+    model = pii.fit_model(df, key=F.col("doc_id"), sample_rows=80)
+    assert model.limits[2] <= 1 and model.limits[0] == model.limits[1] == model.limits[3] == float("inf")
+    got = {r["doc_id"]: len(r["pii"]) for r in pii.find(df, model).collect()}
+    assert [got[i] for i in range(len(texts))] == [1] * 400 + [0] * 300 + [1] * 2 + [1] * 40 + [0]
+
+
 def test_boosting_expression_equals_the_plain_model(spark):
     rnd = random.Random(3)
     cases = [((rnd.randrange(5), rnd.randrange(5)), float(rnd.randrange(5)), float(rnd.randrange(5))) for _ in range(60)]

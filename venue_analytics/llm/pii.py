@@ -5,10 +5,11 @@ dotted number groups of any value, digit runs of card length with any checksum,
 number of digits or without the plus. Spans that pass their kind's validity rule are always kept. The
 trees are fitted, on a bounded sample of documents, to tell valid from invalid candidates by format and
 context alone (the checks themselves and the signs that make a candidate valid are no features), and a
-threshold per kind is calibrated on the other half of the sample: further candidates are added where
+threshold per kind is calibrated on all candidates of the table: further candidates are added where
 candidates that look and stand like them are valid to the wanted precision.
 
-Everything per document happens within its row with built-in functions; nothing is shuffled.
+Everything per document happens within its row with built-in functions; only counts by kind and rounded
+probability are shuffled.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ _NEGATIVE = "order|version|build|sku|invoice|serial|no\\.|nr\\.|#|id"
 BEFORE, AFTER = 24, 4
 FEATURES = ("kind", "digits", "letters", "separators", "left", "right", "cue", "doubt", "first", "distinct")
 _BLOCK = 256
+#: probabilities are rounded down to this part of one
+SCORES = 1000
 
 
 def _digits(m: Column) -> Column:
@@ -126,11 +129,15 @@ class Model:
     def __init__(self, trees: list, limits: dict[int, float]):
         self.trees, self.limits = trees, limits
 
+    def score(self, c: Column) -> Column:
+        """Probability of a candidate, rounded down."""
+        return F.floor(boosting.probability(self.trees, [c[f] for f in FEATURES]) * SCORES) / SCORES
+
     def adds(self, c: Column) -> Column:
         wanted = [k for k, v in sorted(self.limits.items()) if v < math.inf]
         if not wanted:
             return F.lit(False)
-        p = F.round(boosting.probability(self.trees, [c[f] for f in FEATURES]), 9)
+        p = self.score(c)
         limit = F
         for k in wanted:
             limit = limit.when(c["kind"] == k, F.lit(self.limits[k]))
@@ -139,20 +146,24 @@ class Model:
 
 def fit_model(docs: DataFrame, text_col: str = "text", key: Column | None = None, sample_rows: int = 4000,
               vectors: int = 20_000, precision: float = 0.98, least: float = 50.0) -> Model:
-    """Model from the candidates of about ``sample_rows`` documents (at most twice that).
+    """Trees from the candidates of about ``sample_rows`` documents (at most twice that), thresholds from all.
 
-    Half of the sample, by hash, fits the trees, the other calibrates the thresholds. At most ``vectors``
-    distinct feature vectors, the most frequent, come to the driver. Without candidates nothing is added."""
+    For the trees at most ``vectors`` distinct feature vectors, the most frequent, come to the driver, for the
+    thresholds the counts of each kind and rounded probability. Of the candidates of all documents that
+    reach a kind's threshold, the share ``precision`` is valid and at least ``least`` are; a kind with fewer
+    valid candidates, or without such a threshold, gets none and nothing is added to it."""
     key = F.col(text_col) if key is None else key
-    counted = (bounded_sample(docs, key, sample_rows)
-               .select(F.pmod(F.xxhash64(key, F.lit(19)), F.lit(2)).alias("half"), F.explode(candidates(text_of(text_col))).alias("c"))
-               .groupBy("half", *[F.col(f"c.{f}").alias(f) for f in FEATURES])
-               .agg(F.count_if("c.valid").alias("pos"), F.count_if(~F.col("c.valid")).alias("neg"))
-               .orderBy(F.desc(F.col("pos") + F.col("neg")), "half", *FEATURES).limit(vectors).collect())
-    cases = [(r["half"], tuple(r[f] for f in FEATURES), float(r["pos"]), float(r["neg"])) for r in counted]
-    trees = boosting.fit([c[1:] for c in cases if c[0] == 0])
-    held = [(x[0], boosting.predict(trees, x), pos, neg) for half, x, pos, neg in cases if half == 1]
-    return Model(trees, {k: boosting.threshold([h[1:] for h in held if h[0] == k], precision, least) for k in range(len(KINDS))})
+
+    def found(rows: DataFrame) -> DataFrame:
+        return rows.select(F.explode(candidates(text_of(text_col))).alias("c"))
+    counts = [F.count_if("c.valid").alias("pos"), F.count_if(~F.col("c.valid")).alias("neg")]
+    fitted = (found(bounded_sample(docs, key, sample_rows)).groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(*counts)
+              .orderBy(F.desc(F.col("pos") + F.col("neg")), *FEATURES).limit(vectors).collect())
+    model = Model(boosting.fit([(tuple(r[f] for f in FEATURES), float(r["pos"]), float(r["neg"])) for r in fitted]), {})
+    scored = found(docs).groupBy(F.col("c.kind").alias("kind"), model.score(F.col("c")).alias("p")).agg(*counts).collect()
+    model.limits = {k: boosting.threshold([(r["p"], r["pos"], r["neg"]) for r in scored if r["kind"] == k], precision, least)
+                    for k in range(len(KINDS))}
+    return model
 
 
 def find(docs: DataFrame, model: Model, text_col: str = "text", out: str = "pii") -> DataFrame:
