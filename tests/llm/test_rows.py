@@ -199,6 +199,17 @@ def test_license_scan(spark):
     assert licenses.scan(empty(spark)).count() == 0
 
 
+def test_license_notices_that_many_documents_carry(spark):
+    notices = [f"some words before. {t.text} and words after" for t in licenses.TEMPLATES]
+    bsd = next(t for t in licenses.TEMPLATES if t.label == "bsd")
+    for texts in (notices, [bsd.text] * 60 + [f"filler number {i}" for i in range(120)] + notices, [bsd.text] * 60, [bsd.text]):
+        got = {r["doc_id"]: r["kept"] for r in licenses.scan(frame(spark, texts), out="kept").collect()}
+        for i, t in enumerate(texts):
+            want = {x.label for x in licenses.TEMPLATES if x.text in t and x.text != "Licensed under the Apache License, Version 2.0."}
+            assert want <= set(got[i]["labels"]), t
+            assert t.startswith("filler") == (got[i]["labels"] == []) and (got[i]["score"] == 1.0 or not want), t
+
+
 # ------------------------------------------------------------------------------ BPE
 def odd_texts():
     rnd = random.Random(3)

@@ -61,8 +61,6 @@ TEMPLATES = (
              "CC0 1.0", ("cc0",)),
     Template("unlicense", "This is free and unencumbered software released into the public domain.", ("free and unencumbered software",)),
 )
-#: licence words in more than this share of documents are too common to look up
-COMMON = 0.25
 #: words looked up per file and template
 LOOKUPS = 12
 LIMIT = 0.6
@@ -87,18 +85,18 @@ def document_frequencies(docs: DataFrame, text_col: str = "text", templates=TEMP
 
 
 class Index:
-    """Postings of the rare template words."""
+    """Postings of the template words; rare and common are told apart by rank alone, so that a notice that
+    many documents carry keeps its postings."""
 
     def __init__(self, n: int, df: dict[str, int], templates=TEMPLATES):
         self.templates = templates
         split = [_template_words(t.text) for t in templates]
         self.idf = {w: round(math.log((n + 1) / (df.get(w, 0) + 1)), 9) for s in split for w in s}
-        rare = {w for w, v in self.idf.items() if v > -math.log(COMMON)}
         #: by falling IDF, as files look them up
-        self.rare = sorted(rare, key=lambda w: (-self.idf[w], w))
+        self.rare = sorted(self.idf, key=lambda w: (-self.idf[w], w))
         self.postings = {w: [(k, p) for k, s in enumerate(split) for p, x in enumerate(s) if x == w] for w in self.rare}
         #: hits that a whole template can have when its LOOKUPS rarest words are looked up
-        self.most = [sum(1 for x in s if x in set(sorted(rare & set(s), key=lambda w: (-self.idf[w], w))[:LOOKUPS])) for s in split]
+        self.most = [sum(1 for x in s if x in set(sorted(set(s), key=lambda w: (-self.idf[w], w))[:LOOKUPS])) for s in split]
 
     def scores(self, words: Column) -> Column:
         """Array of a score per template, for a bound array of words."""
