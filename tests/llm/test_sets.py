@@ -215,6 +215,20 @@ def test_grammar_round_trip_and_random_access(monkeypatch):
             assert (tokenstore.expand(symbols[u:v], rules, 10) == a[x:y]).all()
 
 
+def test_grammar_leaves_no_frequent_pair(monkeypatch):
+    rng = np.random.default_rng(11)
+    passage = rng.integers(0, 500, 300)
+    parts = [np.concatenate([passage, rng.integers(0, 500, rng.integers(1, 60))]) for _ in range(200)] + [np.zeros(3000, dtype=np.int64)]
+    a, begins = np.concatenate(parts), np.cumsum([0] + [len(x) for x in parts[:-1]])
+    for bits in (18, 6):  # with slots enough, and with many pairs to a slot
+        monkeypatch.setattr(tokenstore, "_HASH_BITS", bits)
+        symbols, at, rules = tokenstore.compress(a, begins, 500)
+        assert (tokenstore.expand(symbols, rules, 500) == a).all()
+        inside = np.setdiff1d(np.arange(len(symbols) - 1), at[1:] - 1)
+        assert np.unique(np.stack([symbols[inside], symbols[inside + 1]]), axis=1, return_counts=True)[1].max() < tokenstore.OFTEN
+        assert tokenstore.expansion_lengths(rules, 500).max() >= 300
+
+
 # ------------------------------------------------------------------------------ embeddings
 def test_embeddings(spark):
     rng = np.random.default_rng(8)

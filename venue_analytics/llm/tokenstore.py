@@ -26,13 +26,18 @@ from venue_analytics.session import checkpoint_dir
 
 #: ids per shard, about: a shard ends with the document that reaches it
 SHARD = 1 << 20
-#: rounds of replacement, rules per round at most, occurrences a pair needs
-ROUNDS, RULES, OFTEN = 4, 3500, 24
+#: rules per round at most, occurrences a pair needs; rounds go on until no pair has them
+RULES, OFTEN = 3500, 24
 #: pieces whose ids a worker keeps in each of two generations
 CACHE_PIECES = 600_000
 _HASH_BITS = 18
 
 
+def symbol_kind(size: int) -> np.dtype:
+    """Unsigned integers for symbols below ``size``."""
+    return np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+
+
 class Encoder:
     """A byte-level BPE file of the tokenizers library. Texts are cut by the library's own splitting rule, and
     the ids of each piece, which the library gives, are kept; texts with characters outside ASCII and
@@ -49,7 +54,7 @@ class Encoder:
         self.own.no_padding()
         self.size = self.own.get_vocab_size(with_added_tokens=True)
         self.special = [t.content for t in self.own.get_added_tokens_decoder().values()]
-        self.kind = np.dtype("<u2") if self.size + ROUNDS * RULES <= 1 << 16 else np.dtype("<u4")
+        self.kind = symbol_kind(self.size)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -99,46 +104,67 @@ def encoder(path: str) -> Encoder:
 def compress(ids: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(symbols, begins, rules)`` of a shard: ids below ``size``, nonterminal ``size + k`` for rule ``k``.
 
-    ``begins`` are the places where documents begin, in ids and then in symbols. A round counts all pairs
-    (in a hash table, one pair of those that share a slot), takes the most frequent ones as rules and
-    replaces their occurrences from left to right; those that overlap a replaced one wait for later rounds."""
+    ``begins`` are the places where documents begin, in ids and then in symbols. A round counts all pairs,
+    takes the most frequent ones as rules and replaces their occurrences from left to right; those that
+    overlap a replaced one wait for a later round. Ends when no pair within a document
+    occurs ``OFTEN`` times. Pairs are counted in a hash table with another hash each round: of pairs that
+    share a slot one is counted, exactly, the others in later rounds; what the table leaves is sorted."""
     seq, rules, made = ids.astype(np.int32), [], size
     begins = np.asarray(begins, dtype=np.int64)
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
+    turn = 0
+    while len(seq) >= 2:
         key = seq[:-1].astype(np.int64)
         key <<= 20
         key |= seq[1:]
-        slot = ((key * np.int64(-7046029254386353131)).view(np.uint64) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
         border = begins[1:] - 1  # pairs that span two documents
+        factor = np.int64(-7046029254386353131 + (turn * 0x5851F42D4C957F2E & (1 << 62) - 1))
+        turn += 1
+        slot = ((key * factor).view(np.uint64) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
         count = np.bincount(slot, minlength=1 << _HASH_BITS)
         np.subtract.at(count, slot[border], 1)
-        often = np.flatnonzero(count >= OFTEN)
-        if len(often) > RULES:
-            often = often[np.argpartition(-count[often], RULES)[:RULES]]
-        if len(often) == 0:
+        hot = count >= OFTEN
+        if not hot.any():
             break
+        here = hot[slot]
+        here[border] = False
+        here = np.flatnonzero(here)
+        keys, slots = key[here], slot[here]
         pair = np.empty(1 << _HASH_BITS, dtype=np.int64)
-        pair[slot] = key
-        rule = np.full(1 << _HASH_BITS, -1, dtype=np.int32)
-        rule[often] = made + np.arange(len(often), dtype=np.int32)
-        new = rule[slot]
-        new[border] = -1
-        at = np.flatnonzero(new >= 0)
-        at = at[pair[slot[at]] == key[at]]
-        if len(at) == 0:
-            break
+        pair[slots] = keys
+        one = pair[slots] == keys
+        count = np.bincount(slots[one], minlength=1 << _HASH_BITS)
+        often = np.flatnonzero(count >= OFTEN)
+        if len(often):
+            often = often[np.lexsort((often, -count[often]))[:RULES]]
+            pairs = pair[often]
+            rank = np.full(1 << _HASH_BITS, -1, dtype=np.int32)
+            rank[often] = np.arange(len(often), dtype=np.int32)
+            at, new = here[one], rank[slots[one]]
+        else:
+            found, back, exact = np.unique(keys, return_inverse=True, return_counts=True)
+            often = np.flatnonzero(exact >= OFTEN)
+            if len(often) == 0:
+                break
+            often = often[np.argsort(-exact[often], kind="stable")[:RULES]]
+            pairs = found[often]
+            rank = np.full(len(found), -1, dtype=np.int32)
+            rank[often] = np.arange(len(often), dtype=np.int32)
+            at, new = here, rank[back]
+        at, new = at[new >= 0], new[new >= 0]
         order = np.arange(len(at))
         start = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, order, 0))
-        at = at[(order - start) % 2 == 0]
-        seq[at] = new[at]
+        stays = (order - start) % 2 == 0
+        at, new = at[stays], new[stays]
+        used = np.bincount(new, minlength=len(pairs)) > 0
+        number = (made + np.cumsum(used) - 1).astype(np.int32)
+        seq[at] = number[new]
         keep = np.ones(len(seq), dtype=bool)
         keep[at + 1] = False
         begins = begins - np.searchsorted(at, begins)
         seq = seq[keep]
-        rules.append(np.stack([pair[often] >> 20, pair[often] & ((1 << 20) - 1)], axis=1))
-        made += len(often)
+        pairs = pairs[used]
+        rules.append(np.stack([pairs >> 20, pairs & ((1 << 20) - 1)], axis=1))
+        made += len(pairs)
     return seq, begins, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
 
 
@@ -204,7 +230,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
             lengths = expansion_lengths(rules, own.size)
             one = [pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([first], pa.int64()), pa.array([len(ids)], pa.int64()),
                    pa.ListArray.from_arrays([0, len(names)], pa.concat_arrays(names) if names else pa.array([], arrow)),
-                   pa.array([counts]), pa.array([begins]), pa.array([symbols.astype(own.kind).tobytes()], pa.binary()),
+                   pa.array([counts]), pa.array([begins]), pa.array([symbols.astype(symbol_kind(own.size + len(rules))).tobytes()], pa.binary()),
                    pa.array([rules.astype("<u4").tobytes()], pa.binary()), pa.array([lengths.astype("<u4").tobytes()], pa.binary())]
             return pa.RecordBatch.from_arrays(one, names=_NAMES)
         for b in batches:
@@ -258,7 +284,8 @@ def read_shards(spark: SparkSession, path: str, tokenizer: str) -> DataFrame:
 
     def _shard(b, k, own):
         take = lambda c, t: np.frombuffer(b.column(c)[k].as_buffer(), dtype=t)
-        return take(5, own.kind), take(6, "<u4").reshape(-1, 2).astype(np.int64), take(7, "<u4").astype(np.int64)
+        rules = take(6, "<u4").reshape(-1, 2).astype(np.int64)
+        return take(5, symbol_kind(own.size + len(rules))), rules, take(7, "<u4").astype(np.int64)
     given = shards.select("shard", "part", "first", "ids", "counts", "symbols", "rules", "lengths")
     docs = given.mapInArrow(run, f"part int, id {kind}, at bigint, n_tokens bigint, ids_crc32 bigint")
     return docs.join(offsets, "part").select("id", (F.col("at") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32")
@@ -268,8 +295,8 @@ def read_document(spark: SparkSession, path: str, tokenizer: str, doc_id) -> lis
     """Ids of the documents with this id, each expanded from its own symbols only."""
     own, found = encoder(tokenizer), []
     for r in spark.read.parquet(path).where(F.array_contains("ids", doc_id)).orderBy("part", "shard").collect():
-        symbols = np.frombuffer(r["symbols"], dtype=own.kind)
         rules = np.frombuffer(r["rules"], dtype="<u4").reshape(-1, 2).astype(np.int64)
+        symbols = np.frombuffer(r["symbols"], dtype=symbol_kind(own.size + len(rules)))
         ends = [*r["begins"][1:], len(symbols)]
         found += [expand(symbols[a:b], rules, own.size).tolist() for x, a, b in zip(r["ids"], r["begins"], ends) if x == doc_id]
     return found
