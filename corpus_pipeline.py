@@ -2,8 +2,7 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and returns a frame that is
 written and read again as the next one's docs. All but the last return the columns of ``documents``.
-``doc_id`` is taken as the key of a document; rows without one are kept by the duplicate stage unless
-their group has an id.
+The duplicate stage takes each row as a document, with or without a ``doc_id`` of its own.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from venue_analytics.llm import bpe, mixing, pii, quality, simhash
-from venue_analytics.llm.common import cut, table
+from venue_analytics.llm.common import cut, small, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,21 +20,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group (3-word shingles, at most three bits): the one with the smallest id.
-
-    Repeated rows of an id are one document; of these the one with the smallest text stays."""
-    groups = cut(simhash.simhash_groups(docs.select("doc_id", "text"), size=3, distance=3))
-    stay = groups.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").count()
-    gone = groups.select("id").join(stay.select("id"), "id", "left_anti").where("id is not null").distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["id"], "left_anti")
-    twice = cut(groups.where("id is not null").groupBy("id").count().where("count > 1").select("id"))
+    """One row of each SimHash group (3-word shingles, at most three bits): the one with the smallest id (null
+    last), of these with the smallest text (null as empty), of these any by a hash of all columns.
+
+    Rows that share an id, or have none, are rows of their own; rows alike in all columns are one."""
+    keyed = docs.withColumn("__key", F.unhex(F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256)))
+    mark = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__key").alias("key"))
+    groups = cut(simhash.simhash_groups(keyed.select(mark.alias("row"), "text"), "row", size=3, distance=3)
+                 .select(F.col("id.id").alias("id"), F.col("id.key").alias("key"),
+                         F.col("component_id.id").alias("low"), F.col("component_id.key").alias("group")))
+    # groups of which several rows have the smallest id: their texts decide
+    first = groups.where(F.col("id").eqNullSafe(F.col("low"))).select("group", "key").distinct()
+    several = first.groupBy("group").count().where("count > 1").select("group")
+    tied = cut(first.join(several, "group").select("group", F.col("key").alias("__key")))
+    won = F.col("group")
+    if not tied.isEmpty():
+        chosen = (keyed.select("__key", F.coalesce("text", F.lit("")).alias("text")).join(tied, "__key")
+                  .groupBy("group").agg(F.min(F.struct("text", "__key")).alias("w")).select("group", F.col("w.__key").alias("won")))
+        groups = groups.join(small(cut(chosen), 100_000), "group", "left")
+        won = F.coalesce("won", "group")
+    gone = groups.where(F.col("key") != won).select(F.col("key").alias("__key")).distinct()
+    kept = keyed.join(gone, "__key", "left_anti")
+    twice = cut(groups.where(F.col("key") == won).groupBy("key").count().where("count > 1").select(F.col("key").alias("__key")))
+    names = [F.col(f"`{c}`") for c in docs.columns]
     if twice.isEmpty():
-        return kept
-    names = [c for c in docs.columns if c != "doc_id"]
-    once = (kept.join(twice, kept["doc_id"] == twice["id"], "left_semi").groupBy("doc_id")
-            .agg(F.min(F.struct(F.coalesce("text", F.lit("")), *[F.col(f"`{c}`") for c in names])).alias("d"))
-            .select("doc_id", *[F.col(f"d.`{c}`") for c in names]).select(*[F.col(f"`{c}`") for c in docs.columns]))
-    return kept.join(twice, kept["doc_id"] == twice["id"], "left_anti").unionByName(once)
+        return kept.select(*names)
+    once = kept.join(twice, "__key", "left_semi").dropDuplicates(["__key"])
+    return kept.join(twice, "__key", "left_anti").unionByName(once).select(*names)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

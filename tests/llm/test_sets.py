@@ -295,3 +295,21 @@ def test_pipeline(spark):
     texts = {r["doc_id"]: r["text"] for r in kept[3]}
     assert all(r["ids"] == np.frombuffer(own.encode(texts[r["doc_id"]]), dtype="<i4").tolist() for r in last)
     assert pii.KINDS[0] == "email"
+
+
+def test_duplicate_stage_goes_by_rows(spark):
+    rnd = random.Random(12)
+    a, b, c, d, e, f, g, h = (" ".join(f"word{rnd.randrange(4000)}" for _ in range(60)) for _ in range(8))
+    rows = [(1, a, "en"), (None, a, "en"), (None, a, "fr"),                  # copies without id of a document with one
+            (None, b, "en"), (None, b, "en"), (None, b, "en"),               # copies without ids, alike
+            (None, c, "en"), (None, c, None),                                # copies without ids, not alike
+            (5, d, "en"), (5, e, "en"),                                      # one id, two texts
+            (6, f, "en"), (7, f, "en"), (7, g, "en"),                        # one id, one of its texts in another's group
+            (8, h, "en"), (8, h.upper(), "en"), (8, h.upper(), "en")]        # one id and group: the smaller text
+    df = spark.createDataFrame([(i, t, x, "s", 1) for i, t, x in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = corpus_pipeline.near_duplicates(spark, df, "")
+    assert out.columns == df.columns
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    want = [(1, a), (None, b), (None, c), (5, d), (5, e), (6, f), (7, g), (8, h.upper())]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert corpus_pipeline.near_duplicates(spark, df.where("doc_id < 0"), "").count() == 0
