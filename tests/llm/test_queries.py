@@ -13,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 
 
 def test_one_query_per_operator():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE_SQL) <= set(QUERIES)
 
 
@@ -21,7 +21,7 @@ def test_one_query_per_operator():
 def test_query_matches_sql(spark, name):
     df = E.queries()[name](spark, SF)
     con = duckdb.connect()
-    for t in ("documents", "conversations", "pages", "embeddings"):
+    for t in ("documents", "conversations", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(ORACLE_SQL[name])
     cols = [d[0] for d in res.description]

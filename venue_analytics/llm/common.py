@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from venue_analytics.session import checkpoint_dir
@@ -53,6 +53,33 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, WHITE), "")
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def lower_az(text: Column) -> Column:
+    """``text`` with A-Z lowered and every other character, upper case or not, as it is."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, _UPPER, _UPPER.lower()))
+
+
+def numbered(rows: DataFrame, keys: list[str], order: list[Column], out: str) -> DataFrame:
+    """``rows`` with ``out``, a long that counts the rows of each key from 1 in the given order.
+
+    A two-level scan: rows are sorted over range partitions, a key of any size lying in as many as it
+    fills, numbered where they lie, and moved on by the rows of the key in earlier partitions, of which
+    there is one sum per key and partition. Keys must not be null; rows alike in keys and order are
+    numbered in either order."""
+    by = [F.col(k) for k in keys]
+    part, at, first = f"{out}_part", f"{out}_at", f"{out}_first"
+    dealt = cut(rows.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+                .withColumns({part: F.spark_partition_id(), at: F.monotonically_increasing_id()}))
+    sums = dealt.groupBy(*keys, part).agg(F.min(at).alias(first), F.count("*").alias(out))
+    before = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*keys, part, first, F.coalesce(F.sum(out).over(before), F.lit(0)).alias(out))
+    got = dealt.join(sums, [*keys, part])
+    return got.select(*rows.columns, (F.col(out) + F.col(at) - F.col(first) + 1).alias(out))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` with ``value`` bound to a lambda variable, so it is evaluated once per row however
     often (or inside whatever inner lambda) the body refers to it."""
