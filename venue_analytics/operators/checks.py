@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from venue_analytics.functions.columns import month_pred, month_str
 from venue_analytics.functions.text import keyword_words
-from venue_analytics.operators.core import Tables, place_venues, salted_venue_join, venue_salt
+from venue_analytics.operators.core import Tables, place_venues, salt_mode, salted_venue_join
 from venue_analytics.sources.schemas import HOURS
 
 
@@ -29,8 +29,8 @@ def _month_posts(posts: DataFrame, month: str | None, extra_filter=None) -> Data
                     F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id"))
 
 
-def _at_venues(posts: DataFrame, venues: DataFrame) -> DataFrame:
-    return salted_venue_join(posts, venues, venue_salt(posts), "post_id")
+def _at_venues(posts: DataFrame, venues: DataFrame, salt: str | int | None = None, key: str = "post_id") -> DataFrame:
+    return salted_venue_join(posts, venues, salt_mode(posts.sparkSession, salt), key)
 
 
 # ----------------------------------------------------------------------------------------- Q8
@@ -57,7 +57,7 @@ def merchant_post_count(t: Tables, month: str | None = None) -> DataFrame:
     """(merchant_id, month, n_posts): posts of the month whose venue list shares a venue with any
     place of the merchant (every place, active or not), each post counted once per merchant."""
     mv = _all_place_venues(t.places).select("merchant_id", "venue_id").distinct()
-    j = _at_venues(_month_posts(t.posts, month), mv)
+    j = _at_venues(_month_posts(t.posts, month), mv, t.venue_salt)
     return (j.select("merchant_id", "month", "post_id").distinct()
             .groupBy("merchant_id", "month").agg(F.count(F.lit(1)).alias("n_posts")))
 
@@ -110,7 +110,7 @@ def tagged_post_count(t: Tables, tags, month: str | None = None) -> DataFrame:
     """(merchant_id, place_id, place_name, month, n_posts): per place, posts of the month at one of
     its venues carrying one of ``tags`` (a small literal list)."""
     has_tag = F.arrays_overlap(F.col("tag_ids"), F.array(*[F.lit(x) for x in tags]))
-    j = _at_venues(_month_posts(t.posts, month, F.coalesce(has_tag, F.lit(False))), _all_place_venues(t.places))
+    j = _at_venues(_month_posts(t.posts, month, F.coalesce(has_tag, F.lit(False))), _all_place_venues(t.places), t.venue_salt)
     return (j.select("merchant_id", "place_id", "place_name", "month", "post_id").distinct()
             .groupBy("merchant_id", "place_id", "place_name", "month").agg(F.count(F.lit(1)).alias("n_posts")))
 
@@ -128,7 +128,7 @@ def user_likes(t: Tables, user: str | None = None, month: str | None = None) ->
     # liked posts only are exploded to their venues
     posts = t.posts.select(F.col("id").alias("post_id"), F.array_distinct("secondary_venue_ids").alias("venues"))
     liked = likes.join(posts, "post_id").select("audit_id", "user", "month", "post_id", F.explode("venues").alias("venue_id"))
-    j = _at_venues(liked, _all_place_venues(t.places))
+    j = _at_venues(liked, _all_place_venues(t.places), t.venue_salt, "audit_id")
     return (j.select("audit_id", "user", "month", "post_id", "place_id", "place_name", "merchant_id").distinct()
             .groupBy("user", "month", "post_id", "place_id", "place_name", "merchant_id")
             .agg(F.count(F.lit(1)).alias("likes")))

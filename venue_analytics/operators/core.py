@@ -21,9 +21,10 @@ Plan shape (per report):
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from venue_analytics.functions.accounts import merchant_accounts
@@ -47,6 +48,11 @@ class Tables:
     matches: DataFrame | None = None
     matches_month: str | None = None
     matches_path: str | None = None
+    # Optional precomputed counts of the same month (see ``reports.count_reports``)
+    counts: DataFrame | None = None
+    counts_path: str | None = None
+    # how the venue join meets hot venues (see ``salt_mode``); None: as the session says
+    venue_salt: str | int | None = None
 
     def own_accounts(self) -> DataFrame:
         if self.accounts is not None:
@@ -78,6 +84,11 @@ def place_venues(places: DataFrame) -> DataFrame:
                          F.explode(F.array_distinct("venue_ids")).alias("venue_id"))
 
 
+def text_digest(text: str = "text") -> Column:
+    """The SHA-256 of a text as 32 bytes, null for a null or empty one."""
+    return F.when(F.col(text) != "", F.unhex(F.sha2(text, 256)))
+
+
 _DERIVED = {
     "post_id": lambda: F.col("id"),
     "source": lambda: source_of("id"),
@@ -88,7 +99,7 @@ _DERIVED = {
     "poster_id": lambda: F.col("poster_id"),
     "text": lambda: F.col("text"),
     # equal texts have equal digests; a clash of two different texts is no practical risk with SHA-256
-    "text_digest": lambda: F.sha2("text", 256),
+    "text_digest": lambda: text_digest(),
     "value": lambda: F.col("rating.value").cast("string"),
 }
 
@@ -106,52 +117,78 @@ def post_venues(posts: DataFrame, month: str | None, cols, extra_filter=None) ->
 
 
 SALT_CONF = "venue_analytics.venueJoinSalt"
-
-
-def venue_salt(df: DataFrame) -> int:
-    """Salt factor of the venue join, from the session conf ``venue_analytics.venueJoinSalt``
-    (default 1 = no salting; AQE's skew-join split then handles hot venues). Anything but a positive
-    whole number is an error."""
-    salt = int(df.sparkSession.conf.get(SALT_CONF, "1"))
-    if salt < 1:
-        raise ValueError(f"{SALT_CONF} must be at least 1")
-    return salt
-
-
-def salted_venue_join(post_side: DataFrame, place_side: DataFrame, salt: int, salt_key: str) -> DataFrame:
-    """Inner join on venue_id, optionally salted: each post row gets a salt from a hash of its
-    ``salt_key`` (deterministic, so a retried task produces the same rows), each place-venue row
-    is repeated once per salt value, and the join runs on (venue_id, salt). A hot venue is spread
-    over ``salt`` partitions; every (post, place) pair still meets exactly once."""
-    if salt <= 1:
+#: heaviest venues the sketch reports, and items it tracks on the way (a sketch of a task is no larger)
+SKETCH_TOP, SKETCH_TRACKED = 64, 8192
+#: a venue is hot from so many times the average partition's rows on
+HOT_FACTOR = 2
+
+
+def salt_mode(spark: SparkSession, given: str | int | None = None) -> str | int:
+    """How the venue join meets hot venues: 'sketch', or a salt for every venue (1: none).
+
+    ``given``, else the session conf ``venue_analytics.venueJoinSalt``: a positive whole number, 'sketch', or
+    'auto' (default). 'auto' leaves hot venues to AQE's skew-join split, and takes the sketch where the
+    session has that switched off."""
+    mode = str(given if given is not None else spark.conf.get(SALT_CONF, "auto"))
+    if mode == "auto":
+        aqe = all(spark.conf.get(f"spark.sql.adaptive.{k}", "true").lower() == "true" for k in ("enabled", "skewJoin.enabled"))
+        return 1 if aqe else "sketch"
+    if mode != "sketch" and (not mode.isdigit() or int(mode) < 1):
+        raise ValueError(f"{SALT_CONF} must be 'auto', 'sketch' or at least 1")
+    return mode if mode == "sketch" else int(mode)
+
+
+def hot_venues(post_side: DataFrame, factor: float = HOT_FACTOR) -> dict[str, int]:
+    """Venues that hold more than ``factor`` times the average shuffle partition's rows of ``post_side``, each with
+    the number of such partitions that its rows fill.
+
+    A heavy-hitter sketch per task, merged: one pass over the venue ids, of which the driver gets at most
+    SKETCH_TOP. The sketch estimates; it only decides which venues are spread, never what is counted."""
+    seen = post_side.where(F.col("venue_id").isNotNull()).agg(
+        F.call_function("approx_top_k", F.col("venue_id"), F.lit(SKETCH_TOP), F.lit(SKETCH_TRACKED)).alias("top"), F.count(F.lit(1)).alias("n")).first()
+    share = max(seen["n"] / int(post_side.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1.0)
+    return {r["item"]: math.ceil(r["count"] / share) for r in seen["top"] or [] if r["count"] > factor * share}
+
+
+def salted_venue_join(post_side: DataFrame, place_side: DataFrame, salt: str | int, salt_key: str) -> DataFrame:
+    """Inner join on venue_id. With a salt of one it is plain. With a larger one every post row gets a salt
+    from a hash of its ``salt_key`` (deterministic, so a retried task produces the same rows), each
+    place-venue row is repeated once per salt value, and the join runs on (venue_id, salt). With 'sketch'
+    only the venues of ``hot_venues`` are spread so, each over as many partitions as its rows fill, and only
+    their place rows are repeated. Every (post, place) pair meets exactly once."""
+    if salt == "sketch":
+        hot = hot_venues(post_side)
+        if not hot:
+            return post_side.join(place_side, "venue_id", "inner")
+        of = F.create_map(*[F.lit(x) for pair in sorted(hot.items()) for x in pair])
+        spread = F.when(F.col("venue_id").isin(*sorted(hot)), F.element_at(of, F.col("venue_id"))).otherwise(F.lit(1))
+    elif salt <= 1:
         return post_side.join(place_side, "venue_id", "inner")
-    p = post_side.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_key)), F.lit(salt)))
-    v = place_side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<long>")))
+    else:
+        spread = F.lit(salt)
+    p = post_side.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_key)), spread.cast("long")))
+    v = place_side.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), spread.cast("long") - 1)))
     return p.join(v, ["venue_id", "_salt"], "inner").drop("_salt")
 
 
 def match_place_posts(places: DataFrame, posts: DataFrame, month: str | None, post_cols,
-                      extra_filter=None) -> DataFrame:
+                      extra_filter=None, salt: str | int | None = None) -> DataFrame:
     """Venue equi-join of (active) places and month posts; one row per matching venue pair,
     so a post listing several venues of one place appears several times (dedupe follows)."""
     pv = place_venues(places)
-    salt = venue_salt(posts)
-    added = salt > 1 and "post_id" not in [c for c in post_cols if isinstance(c, str)]
+    salt = salt_mode(posts.sparkSession, salt)
+    added = salt != 1 and "post_id" not in [c for c in post_cols if isinstance(c, str)]
     cols = list(post_cols) + (["post_id"] if added else [])
     joined = salted_venue_join(post_venues(posts, month, cols, extra_filter), pv, salt, "post_id")
     return joined.drop("post_id") if added else joined
 
 
 def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
-                drop_own: bool = True, extra_filter=None, places: DataFrame | None = None,
-                carry: Column | None = None) -> DataFrame:
+                drop_own: bool = True, extra_filter=None, places: DataFrame | None = None) -> DataFrame:
     """Distinct ``keys`` rows of the place/post match for the month, own posts removed.
 
-    ``carry`` is a named expression over the post that depends on the keys alone (such as the words of a
-    text whose digest is a key); it is computed once per post and comes along.
-
     ``keys`` may name place columns (merchant_id, place_id, place_name) and post columns
-    (post_id, source, post_month, day, hour, kind, poster_id, text, value)."""
+    (post_id, source, post_month, day, hour, kind, poster_id, text, text_digest, value)."""
     if t.matches is not None:
         if month != t.matches_month:
             raise ValueError(f"shared matches are for {t.matches_month!r}, not {month!r}")
@@ -162,30 +199,17 @@ def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
             m = m.filter(~F.col("_own"))
         if places is not None:
             m = m.join(places.select("place_id").distinct(), "place_id", "left_semi")
-        m = m.select(*[_DERIVED[k]().alias(k) if k in _DERIVED else F.col(k) for k in keys],
-                     *([carry.alias(CARRIED)] if carry is not None else []))
-        return _distinct(m, keys, carry)
+        return m.select(*[F.col(k) if k in m.columns or k not in _DERIVED else _DERIVED[k]().alias(k) for k in keys]).distinct()
     post_side = [k for k in keys if k in _DERIVED]
     if post_cols:
         post_side += [c for c in post_cols if c not in post_side]
     if drop_own and "poster_id" not in post_side:
         post_side.append("poster_id")
-    if carry is not None:
-        post_side.append(carry.alias(CARRIED))
     act = places if places is not None else active_places(t.places, t.merchants, as_of)
-    m = match_place_posts(act, t.posts, month, post_side, extra_filter)
+    m = match_place_posts(act, t.posts, month, post_side, extra_filter, t.venue_salt)
     if drop_own:
         m = m.join(t.own_accounts(), ["merchant_id", "poster_id"], "left_anti")
-    return _distinct(m, keys, carry)
-
-
-CARRIED = "carried"
-
-
-def _distinct(m: DataFrame, keys, carry) -> DataFrame:
-    if carry is None:
-        return m.select(*keys).distinct()
-    return m.groupBy(*keys).agg(F.first(CARRIED).alias(CARRIED))
+    return m.select(*keys).distinct()
 
 
 RAW_POST_COLUMNS = ["id", "post_time", "kind", "poster_id", "rating"]
@@ -193,16 +217,16 @@ RAW_POST_COLUMNS = ["id", "post_time", "kind", "poster_id", "rating"]
 
 def match_table(t: Tables, month: str | None, as_of=None, with_text: bool = False) -> DataFrame:
     """The place/post venue match of a month, once for all reports of a run: raw post columns
-    (``id, post_time, kind, poster_id, rating`` and ``text`` when asked), the place columns
+    (``id, post_time, kind, poster_id, rating`` and, with ``with_text``, ``text_digest``), the place columns
     (``merchant_id, place_id, place_name``) and ``_own`` (the poster is one of the merchant's own
     accounts). One row per matching (post, place); the reports derive and dedupe their keys."""
     act = active_places(t.places, t.merchants, as_of)
-    cols = [c for c in RAW_POST_COLUMNS + (["text"] if with_text else []) if c in t.posts.columns]
+    cols = [c for c in RAW_POST_COLUMNS if c in t.posts.columns] + ([text_digest().alias("text_digest")] if with_text else [])
     pv = (t.posts.filter(month_pred(t.posts, "post_time", month))
           .select(*cols, F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id")))
     # no distinct here: the rare repeat of a (post, place) pair is removed by each report's dedupe,
-    # and a distinct would shuffle every post (with its text) once more
-    m = salted_venue_join(pv, place_venues(act), venue_salt(t.posts), "id").drop("venue_id")
+    # and a distinct would shuffle every post once more
+    m = salted_venue_join(pv, place_venues(act), salt_mode(t.posts.sparkSession, t.venue_salt), "id").drop("venue_id")
     own = t.own_accounts().distinct().withColumn("_own", F.lit(True))
     return (m.join(own, ["merchant_id", "poster_id"], "left")
             .withColumn("_own", F.coalesce(F.col("_own"), F.lit(False))))
@@ -211,7 +235,7 @@ def match_table(t: Tables, month: str | None, as_of=None, with_text: bool = Fals
 def own_place_posts(t: Tables, month: str | None, as_of=None) -> DataFrame:
     """The place-post rows the own-post rule removes: (merchant_id, place_name, post_id, poster_id)."""
     act = active_places(t.places, t.merchants, as_of)
-    m = match_place_posts(act, t.posts, month, ["post_id", "poster_id"])
+    m = match_place_posts(act, t.posts, month, ["post_id", "poster_id"], salt=t.venue_salt)
     return (m.join(t.own_accounts(), ["merchant_id", "poster_id"], "left_semi")
             .select("merchant_id", "place_name", "post_id", "poster_id").distinct())
 

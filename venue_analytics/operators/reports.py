@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from venue_analytics.functions.columns import month_pred, month_str, source_of, time_diff
+from venue_analytics.functions.columns import day_str, hour_str, month_pred, month_str, source_of, time_diff
 from venue_analytics.functions.text import keyword_words
-from venue_analytics.operators.core import CARRIED, Tables, distinct_count, place_posts
+from venue_analytics.operators.core import Tables, distinct_count, match_table, place_posts, text_digest
 from venue_analytics.operators.counts import fold_map, fold_nested_map
 from venue_analytics.sources.schemas import (
     AUDIT_TYPES, INTERACTION_TYPES, KINDS, RATINGS, REVIEW_SOURCES, SEGMENT_KEYS, SOURCES,
@@ -29,9 +29,57 @@ def _with_group_total(long_df: DataFrame, group_cols, n_col: str = "n", out: str
     return long_df.withColumn(out, F.sum(n_col).over(w).cast("long"))
 
 
+# ------------------------------------------------------------------------ R1, R2, R6, R7 at once
+#: reports that count distinct posts or posters of the match
+COUNT_REPORTS = ("content", "reviews", "posters", "segments")
+_COUNTED = ["merchant_id", "place_id", "place_name", "post_month", "day", "hour", "source", "kind", "value"]
+
+
+def count_reports(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
+    """(report, merchant_id, place_id, place_name, post_month, day, hour, source, kind, value, n): the counts of
+    COUNT_REPORTS from one pass over the place/post match; columns that a report doesn't count by are null.
+
+    Grouping sets keep the distinct posts (or posters) of every report in one expand and aggregation, with
+    map-side partial aggregation, where a report by itself takes a distinct and a count over a shuffle of
+    the match; then one count serves all. Own posts and other rules of a report are columns of its set,
+    so a row that doesn't count there collapses before the shuffle."""
+    m = t.matches if t.matches is not None else match_table(t, month, as_of)
+    if t.matches is not None and month != t.matches_month:
+        raise ValueError(f"shared matches are for {t.matches_month!r}, not {month!r}")
+    review = (F.col("kind") == "review") & F.col("id").startswith("FB")
+    hits = m.select("merchant_id", "place_id", "place_name", month_str("post_time").alias("post_month"), day_str("post_time").alias("day"),
+                    hour_str("post_time").alias("hour"), source_of("id").alias("source"), "kind", F.col("id").alias("post_id"), "poster_id",
+                    F.col("_own").alias("own"), F.coalesce(review, F.lit(False)).alias("review"),
+                    F.when(review, F.col("id")).alias("reviewed"),
+                    F.when(review, F.col("rating.value").cast("string") if "rating" in m.columns else None).alias("value"))
+    by_name = ["merchant_id", "place_name", "post_month", "source", "own"]
+    sets = {"content": [*by_name, "kind", "post_id"], "reviews": [*by_name, "review", "reviewed", "value"], "posters": [*by_name, "poster_id"],
+            "segments": ["merchant_id", "place_id", "post_month", "day", "hour", "source", "post_id"]}
+    columns = hits.columns
+    seen = hits.groupingSets([[F.col(c) for c in s] for s in sets.values()], *[F.col(c) for c in columns]).agg(F.grouping_id().alias("set"))
+    # a grouping id has a bit, from the left, for every column that is left out
+    ids = {name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s) for name, s in sets.items()}
+    report = F.create_map(*[F.lit(x) for name, i in ids.items() for x in (i, name)])
+    seen = seen.withColumn("report", F.element_at(report, F.col("set").cast("int")))
+    seen = seen.where((F.col("report") == "segments") | ~F.col("own")).where((F.col("report") != "reviews") | F.col("review"))
+    # a place-post counts in its hour and in 'total'
+    hours = F.when(F.col("report") == "segments", F.array(F.col("hour"), F.lit("total"))).otherwise(F.array(F.col("hour")))
+    seen = seen.withColumn("hour", F.explode(hours))
+    return distinct_count(seen, ["report", *_COUNTED])
+
+
+def _shared_counts(t: Tables, report: str, month: str | None, columns: list[str]) -> DataFrame:
+    """A report's rows of the counts shared by a run."""
+    if month != t.matches_month:
+        raise ValueError(f"shared counts are for {t.matches_month!r}, not {month!r}")
+    return t.counts.where(F.col("report") == report).select(*columns, "n")
+
+
 # --------------------------------------------------------------------------------------- R1
 def content_counts(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, kind, n): distinct place-posts per kind."""
+    if t.counts is not None:
+        return _shared_counts(t, "content", month, PLACE_MONTH + ["source", "kind"])
     pp = place_posts(t, month, ["merchant_id", "place_name", "post_id", "post_month", "source", "kind"],
                      as_of=as_of)
     return distinct_count(pp, PLACE_MONTH + ["source", "kind"])
@@ -53,6 +101,8 @@ def content_types_map(t: Tables, month: str | None = None, as_of=None) -> DataFr
 # --------------------------------------------------------------------------------------- R2
 def reviews(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_name, month, source, value, n): FB reviews per raw rating value."""
+    if t.counts is not None:
+        return _shared_counts(t, "reviews", month, PLACE_MONTH + ["source", "value"]).withColumnRenamed("post_month", "month")
     is_review = (F.col("kind") == "review") & F.col("id").startswith("FB")
     pp = place_posts(t, month, ["merchant_id", "place_name", "post_month", "source", "post_id", "value"],
                      as_of=as_of, extra_filter=is_review)
@@ -67,20 +117,36 @@ def reviews_map(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
 
 
 # --------------------------------------------------------------------------------------- R3
+def _has_text():
+    return F.col("text").isNotNull() & (F.col("text") != "")
+
+
+def text_words(t: Tables, month: str | None = None, stops=None) -> DataFrame:
+    """(text_digest, words): the keyword tokens, joined by blanks, of every distinct text of the month's posts
+    that has any.
+
+    The words follow from the text, so grouping by both keeps one row per text without an aggregate over
+    the words: copies of a text collapse in their task, and its words are shuffled once."""
+    posts = t.posts.filter(month_pred(t.posts, "post_time", month)).filter(_has_text())
+    words = F.array_join(keyword_words("text", stops), " ")  # tokens hold no blank: it is a delimiter
+    return posts.select(text_digest().alias("text_digest"), words.alias("words")).filter(F.col("words") != "").distinct()
+
+
 def keyword_counts(t: Tables, month: str | None = None, as_of=None, stops=None,
                    words: DataFrame | None = None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, word, n) before the total filter.
 
     Distinct texts per place-month-source (two posts with one text count once, told by SHA-256), then the
-    keyword tokens of each distinct text, counted with map-side partial aggregation.
+    keyword tokens of each distinct text, counted with map-side partial aggregation. The deduplication is
+    factorised: the match carries digests alone, the words of a text are made apart from it
+    (``text_words``) and meet its places after both are distinct.
     ``words`` (merchant_id, word) keeps only those words, before counting: a word's counts and
     total depend only on its own tokens, so the result is the restriction of the full report."""
-    has_text = F.col("text").isNotNull() & (F.col("text") != "")
-    # words once per post; texts are told apart by digest, so no text is shuffled after the post side
-    pp = place_posts(t, month, ["merchant_id", "place_name", "post_month", "text_digest", "source"],
-                     as_of=as_of, extra_filter=has_text, carry=keyword_words("text", stops))
-    tokens = pp.select(*PLACE_MONTH, "source", F.explode(CARRIED).alias("word"))
-    tokens = tokens.filter(F.col("word") != "")
+    has_text = _has_text() if t.matches is None else F.col("text_digest").isNotNull()
+    said = place_posts(t, month, ["merchant_id", "place_name", "post_month", "source", "text_digest"],
+                       as_of=as_of, extra_filter=has_text)
+    tokens = (said.join(text_words(t, month, stops), "text_digest")
+              .select(*PLACE_MONTH, "source", F.explode(F.split("words", " ")).alias("word")))
     if words is not None:
         tokens = tokens.join(words.select("merchant_id", "word"), ["merchant_id", "word"], "left_semi")
     return distinct_count(tokens, PLACE_MONTH + ["source", "word"])
@@ -229,6 +295,8 @@ def response_times(t: Tables, month: str | None = None, wrap_days: bool = False)
 def poster_counts(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, n): distinct posters per source; a missing
     poster id counts as one poster (DISTINCT then COUNT, not count(distinct))."""
+    if t.counts is not None:
+        return _shared_counts(t, "posters", month, PLACE_MONTH + ["source"])
     pp = place_posts(t, month, ["merchant_id", "place_name", "post_month", "source", "poster_id"], as_of=as_of)
     return distinct_count(pp, PLACE_MONTH + ["source"])
 
@@ -251,6 +319,9 @@ SEGMENT_GROUP = ["merchant_id", "place_id", "month", "day"]
 def segments(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_id, month, day, metric='PC', hour, source, n) with hour '00'..'23' and
     'total' rows (sum over the hours). Own posts are kept; grouped by place id."""
+    if t.counts is not None:
+        shared = _shared_counts(t, "segments", month, ["merchant_id", "place_id", "post_month", "day", "hour", "source"])
+        return shared.select("merchant_id", "place_id", F.col("post_month").alias("month"), "day", F.lit("PC").alias("metric"), "hour", "source", "n")
     pp = (place_posts(t, month, ["merchant_id", "place_id", "post_id", "post_month", "day", "hour", "source"],
                       as_of=as_of, drop_own=False)
           .withColumnRenamed("post_month", "month"))
