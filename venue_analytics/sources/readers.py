@@ -7,12 +7,15 @@ happen at the scan because everything downstream is declarative.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from venue_analytics.functions.columns import MONTH_KEY, expiry_time, month_key, parse_legacy_time, venue_id_strip
 from venue_analytics.functions.text import tokenize
+from venue_analytics.sources.exports import from_documents
 from venue_analytics.sources.schemas import SCHEMAS
 
 
@@ -102,7 +105,37 @@ def write_month_partitioned(df: DataFrame, path: str, name: str, fmt: str = "par
        .write.mode("overwrite").format(fmt).partitionBy(MONTH_KEY).save(path))
 
 
-FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "delta", "text")
+#: folder beside the bucket files that states their layout; readers pass over names that start with '_'
+LAYOUT = "_layout"
+
+
+def write_bucketed(df: DataFrame, path: str, table: str, key: str = "id", buckets: int | None = None, fmt: str = "parquet") -> DataFrame:
+    """Lay a collection out in ``buckets`` files by the hash of ``key``, sorted by it, and register it as ``table``.
+
+    A join on the key then shuffles only the other side. Rows are dealt by the same hash first, so each task
+    writes one file. ``buckets`` defaults to the session's shuffle partitions; with fewer buckets than a
+    session's shuffle partitions Spark shuffles both sides of a join there. The layout is stated beside the
+    files, for ``open_bucketed`` in other sessions."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartition(n, key).write.mode("overwrite").format(fmt).bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table))
+    layout = spark.range(1).select(F.lit(key).alias("key"), F.lit(n).alias("buckets"), F.lit(fmt).alias("fmt"), F.lit(df.schema.json()).alias("schema"))
+    layout.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{LAYOUT}")
+    return spark.table(table)
+
+
+def open_bucketed(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """The collection that ``write_bucketed`` laid out at ``path``, registered as ``table`` in this session's
+    catalog if it isn't there yet; bucketing is a property of the table, not of the files."""
+    if not spark.catalog.tableExists(table):
+        at = spark.read.schema("key string, buckets int, fmt string, schema string").json(f"{path.rstrip('/')}/{LAYOUT}").first()
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(json.loads(at["schema"])).fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING {at['fmt']} CLUSTERED BY (`{at['key']}`) SORTED BY (`{at['key']}`) "
+                  f"INTO {at['buckets']} BUCKETS LOCATION '{path}'")
+    return spark.table(table)
+
+
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "avro", "delta", "text", "documents")
 
 
 def loose_schema(schema: T.StructType) -> T.StructType:
@@ -123,7 +156,10 @@ def read_table(spark: SparkSession, name: str, path: str | None, fmt: str = "par
     carries its own (parquet/orc), in which case the file schema is read and normalised. Formats
     without a schema are read with times and lists as text, and normalised likewise.
     ``path=None`` suits connectors configured by options alone (e.g. a document store's
-    ``database``/``collection``)."""
+    ``database``/``collection``). Format ``documents`` is a text file of one JSON document per line in a
+    document store's own types (``sources.exports``)."""
+    if fmt == "documents":
+        return from_documents(spark.read.options(**options).text(path), name, schema=schema)
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
