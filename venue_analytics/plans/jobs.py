@@ -7,7 +7,7 @@ clear their own table, and ``response_times`` can be run by name.
 Usage::
 
     python -m venue_analytics.plans.jobs SOURCE_BASE SINK_BASE [--month 2015Jan] [--report content]
-        [--format parquet] [--as-of 2015-06-01]
+        [--format parquet] [--as-of 2015-06-01] [--database reports] [--resume]
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from pyspark.sql import SparkSession
 
 from venue_analytics.operators import reports as R
 from venue_analytics.operators.core import Tables, match_table
+from venue_analytics.plans import journal
 from venue_analytics.session import checkpoint_dir, get_spark
 from venue_analytics.sources.readers import read_tables
-from venue_analytics.sources.sinks import MONTH_COLUMN, remove, write_report
+from venue_analytics.sources.sinks import MONTH_COLUMN, publish_month, remove, write_report
 
 # Reports run when none is named (segments only on request, as before).
 DEFAULT_REPORTS = ["content", "interactions", "posters", "reviews", "keywords"]
@@ -59,30 +60,57 @@ def share_matches(spark: SparkSession, t: Tables, month: str | None, as_of=None,
     return dataclasses.replace(t, matches=spark.read.parquet(path), matches_month=month, matches_path=path)
 
 
+def share_counts(spark: SparkSession, t: Tables, month: str | None, as_of=None) -> Tables:
+    """Count the match once for all count reports (``reports.count_reports``) and keep the counts, like the
+    match, as a table in the shared checkpoint folder. The caller removes it at ``counts_path``."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/va-counts-{month or 'all'}-{uuid.uuid4().hex}"
+    R.count_reports(t, month, as_of).write.mode("error").parquet(path)
+    return dataclasses.replace(t, counts=spark.read.parquet(path), counts_path=path)
+
+
 def run_reports(spark: SparkSession, t: Tables, sink_base: str, month: str,
                 reports=None, fmt: str = "parquet", as_of=None, share: bool = True,
-                wrap_days: bool = False) -> dict[str, str]:
+                wrap_days: bool = False, database: str | None = None, resume: bool = False) -> dict[str, str]:
     """Run ``reports`` (default: DEFAULT_REPORTS) for ``month`` and write each to ``<sink_base>/<report>``
-    partitioned by its month column. Returns the paths.
+    partitioned by its month column. Returns the paths, of the reports that ran.
 
     Each report is computed lazily and written once; a failed task is re-run from lineage, and exactly
     the month's partition is replaced, also by nothing. With ``share`` the venue match is computed
-    once for all reports of the run (``share_matches``) and removed at the end."""
+    once for all reports of the run (``share_matches``), likewise the counts of two or more count reports
+    (``share_counts``), and both are removed at the end. With ``database`` the reports are published as
+    tables of that catalog database (``sinks.publish_month``) instead of bare folders.
+
+    Every report that is done is noted in the run journal under the sink. With ``resume`` a report whose
+    note is there, for the same inputs and parameters, is passed over, so a run that failed goes on at the
+    report where it stopped, and a changed input runs again."""
     names = list(reports) if reports else list(DEFAULT_REPORTS)
     unknown = [n for n in names if n not in ALL_REPORTS]
     if unknown:
         raise ValueError(f"unknown report(s): {unknown}; choose from {ALL_REPORTS}")
-    if share and len(MATCH_REPORTS.intersection(names)) > 1:
-        t = share_matches(spark, t, month, as_of, with_text="keywords" in names)
+    book = journal.Journal(spark, sink_base, month)
+    state = journal.fingerprint(spark, t, as_of=str(as_of), wrap_days=wrap_days, fmt=fmt, database=database)
+    if resume:
+        names = [n for n in names if not book.done(n, state)]
     out = {}
     try:
+        if share and len(MATCH_REPORTS.intersection(names)) > 1:
+            t = share_matches(spark, t, month, as_of, with_text="keywords" in names)
+            if len(set(R.COUNT_REPORTS).intersection(names)) > 1:
+                t = share_counts(spark, t, month, as_of)
         for name in names:
             path = f"{sink_base.rstrip('/')}/{name}"
-            write_report(build_report(t, name, month, as_of, wrap_days), path, name, fmt, month=month)
+            df = build_report(t, name, month, as_of, wrap_days)
+            book.begin(name)
+            if database:
+                publish_month(df, f"{database}.{name}", path, name, month, fmt)
+            else:
+                write_report(df, path, name, fmt, month=month)
+            book.finish(name, state)
             out[name] = path
     finally:
-        if t.matches_path:
-            remove(spark, t.matches_path)
+        for shared in (t.matches_path, t.counts_path):
+            if shared:
+                remove(spark, shared)
     return out
 
 
@@ -96,13 +124,16 @@ def main(argv=None) -> None:
     ap.add_argument("--as-of", help="expiry reference date YYYY-MM-DD (default: now)")
     ap.add_argument("--wrap-days", action="store_true", help="response times modulo a day, as originally stored")
     ap.add_argument("--no-share", action="store_true", help="match places and posts for each report anew")
+    ap.add_argument("--database", help="publish the reports as tables of this catalog database")
+    ap.add_argument("--resume", action="store_true", help="pass over reports that are done for the same inputs")
     args = ap.parse_args(argv)
     spark = get_spark()
     t = Tables(**read_tables(spark, args.source, args.format))
     as_of = dt.datetime.strptime(args.as_of, "%Y-%m-%d") if args.as_of else None
     month = args.month or current_month()
     for name, path in run_reports(spark, t, args.sink, month, args.report, args.format, as_of,
-                                  share=not args.no_share, wrap_days=args.wrap_days).items():
+                                  share=not args.no_share, wrap_days=args.wrap_days, database=args.database,
+                                  resume=args.resume).items():
         print(f"{name}: {path} ({MONTH_COLUMN[name]}={month})")
 
 

@@ -9,6 +9,7 @@ sources, kinds, hours, ratings), which the tests pin by themselves.
 from __future__ import annotations
 
 import dataclasses
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from venue_analytics.functions.accounts import linked_accounts_by_source, merchant_accounts
 from venue_analytics.functions.columns import (
-    day_str, hour_str, month_bounds_col, month_str, parse_legacy_time, source_of, venue_id_strip,
+    day_str, hour_key, hour_str, month_bounds_col, month_str, parse_legacy_time, source_of, venue_id_strip,
 )
 from venue_analytics.functions.text import stop_words, text_strip, text_strip_joined, tokenize
 from venue_analytics.operators import checks as C
@@ -24,6 +25,9 @@ from venue_analytics.operators import core
 from venue_analytics.operators import reports as R
 from venue_analytics.operators.counts import map_entries_long, nested_map_entries, pivot_counts
 from venue_analytics.plans import standins as SD
+from venue_analytics.session import checkpoint_dir
+from venue_analytics.sources.readers import read_table, write_bucketed
+from venue_analytics.sources.sinks import append_run, publish_month, read_report
 from venue_analytics.sources.schemas import (
     HOURS, INTERACTION_TYPES, KINDS, PUNCTUATION, RATINGS, REVIEW_SOURCES, SOURCES,
 )
@@ -270,6 +274,115 @@ def q_place_posts_own_array(spark, d):
     return c.select("merchant_id", F.explode("own").alias("source", "ids")).select("merchant_id", "source", F.explode("ids").alias("poster_id"))
 
 
+def _folder(spark, what: str) -> str:
+    """A new folder of a registered query that writes and reads back, where the cluster shares it."""
+    base = checkpoint_dir(spark)
+    if base is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{base.rstrip('/')}/va-{what}-{uuid.uuid4().hex}"
+
+
+def _name(what: str) -> str:
+    """A table name that no other run has."""
+    return f"va_{what}_{uuid.uuid4().hex}"
+
+
+def q_content_types_salted(spark, d):
+    """The content report with the venue join salted for the venues that the sketch finds hot."""
+    return R.content_types(dataclasses.replace(_t(spark, d), venue_salt="sketch"), None, AS_OF)
+
+
+def q_count_reports(spark, d):
+    """Content, reviews, posters and segments counted in one pass over the match."""
+    return R.count_reports(_t(spark, d), None, AS_OF)
+
+
+def q_response_times_bucketed(spark, d):
+    """Response times with the posts laid out in buckets by id."""
+    t = _t(spark, d)
+    posts = write_bucketed(t.posts.select("id", "post_time"), _folder(spark, "posts"), _name("posts"))
+    return R.response_times(dataclasses.replace(t, posts=posts), None)
+
+
+def _documents(df: DataFrame, rename: dict) -> DataFrame:
+    """Documents as a store's export writes them: one JSON text per row, with an unknown field."""
+    fields = [rename.get(c, F.col(c)).alias("_id" if c == "id" else c) for c in df.columns]
+    return df.select(F.to_json(F.struct(*fields, F.lit(1).alias("__v"))).alias("value"))
+
+
+def _date(c: str):
+    """``{"$date": {"$numberLong": "…"}}`` of a time; null without one."""
+    millis = F.unix_millis(F.col(c).cast("timestamp")).cast("string")
+    wrapped = F.struct(F.struct(millis.alias("$numberLong")).alias("$date"))
+    return F.when(F.col(c).isNotNull(), wrapped)
+
+
+def _exported(spark, name: str, df: DataFrame, rename: dict) -> DataFrame:
+    path = _folder(spark, f"export-{name}")
+    _documents(df, rename).write.text(path)
+    return read_table(spark, name, path, "documents")
+
+
+def _oid(c: str):
+    return F.struct(F.col(c).alias("$oid"))
+
+
+def q_content_types_exported(spark, d):
+    """The content report on posts, places and merchants exported in a document store's own types."""
+    t = _t(spark, d)
+    expiry = F.struct(_date("subscription.expires_at").alias("expires_at"))
+    return R.content_types(core.Tables(
+        posts=_exported(spark, "posts", t.posts, {"post_time": _date("post_time")}),
+        places=_exported(spark, "places", t.places, {"id": _oid("id"), "merchant_id": _oid("merchant_id")}),
+        merchants=_exported(spark, "merchants", t.merchants, {"id": _oid("id"), "subscription": expiry}), accounts=t.accounts), None, AS_OF)
+
+
+def q_response_times_exported(spark, d):
+    """Response times on audits exported in a document store's own types."""
+    t = _t(spark, d)
+    audits = _exported(spark, "audits", t.audits, {"id": _oid("id"), "merchant_id": _oid("merchant_id"), "created_at": _date("created_at")})
+    return R.response_times(dataclasses.replace(t, audits=audits), None)
+
+
+def q_place_scan(spark, d):
+    """Places written to a folder and scanned by ``read_table``."""
+    path = _folder(spark, "places")
+    SD.places(spark, d).withColumnRenamed("id", "_id").write.parquet(path)
+    return read_table(spark, "places", path).select("id", "name", "merchant_id", F.array_join("venue_ids", ",").alias("venues"))
+
+
+def q_published_month(spark, d):
+    """A month of the content report published as a table, first from photos alone, then whole; read back."""
+    t, table, path = _t(spark, d), _name("content"), _folder(spark, "content")
+    publish_month(R.content_types(dataclasses.replace(t, posts=t.posts.where("kind = 'photo'")), ORDER_MONTH, AS_OF), table, path, "content", ORDER_MONTH)
+    publish_month(R.content_types(t, ORDER_MONTH, AS_OF), table, path, "content", ORDER_MONTH)
+    return spark.table(table)
+
+
+def q_appended_runs(spark, d):
+    """Documents of two runs appended to a sink, one run repeated; read back."""
+    t, table, path = _t(spark, d), _name("posters"), _folder(spark, "posters")
+    for run, source in (("one", "FB"), ("two", "IG"), ("one", "FB")):
+        append_run(R.poster_counts(t, None, AS_OF).where(F.col("source") == source), table, path, run)
+    return spark.table(table)
+
+
+def q_monthly_run(spark, d):
+    """The runner for one month, stopped before its last report and resumed; the report tables read back."""
+    from venue_analytics.plans.jobs import run_reports
+    t, sink = _t(spark, d), _folder(spark, "sink")
+    run_reports(spark, t, sink, ORDER_MONTH, ["content"], as_of=AS_OF)
+    run_reports(spark, t, sink, ORDER_MONTH, ["content", "posters"], as_of=AS_OF, resume=True)
+    parts = [read_report(spark, f"{sink}/{r}", post_month=ORDER_MONTH).select(F.lit(r).alias("report"), *R.PLACE_MONTH, "total")
+             for r in ("content", "posters")]
+    return parts[0].unionByName(parts[1])
+
+
+def q_hour_keys(spark, d):
+    """Hour keys of the events from the hour as a number."""
+    return SD.load(spark, d, "events").select("event_id", hour_key(F.hour("ts")).alias("hour"))
+
+
 #: months of the month-scoped entries: of the orders, of the events
 ORDER_MONTH, EVENT_MONTH = "1998Mar", "2024Jan"
 
@@ -295,6 +408,16 @@ MONTHLY = {
 
 QUERIES: dict[str, Query] = {
     **{name: _monthly(report, month, col, **how) for name, (_, report, month, col, how) in MONTHLY.items()},
+    "content_types_salted": q_content_types_salted,
+    "count_reports": q_count_reports,
+    "response_times_bucketed": q_response_times_bucketed,
+    "content_types_exported": q_content_types_exported,
+    "response_times_exported": q_response_times_exported,
+    "place_scan": q_place_scan,
+    "published_month": q_published_month,
+    "appended_runs": q_appended_runs,
+    "monthly_run": q_monthly_run,
+    "hour_keys": q_hour_keys,
     "follow_nulls": q_follow_nulls,
     "venue_mentions": q_venue_mentions,
     "handle_mentions": q_handle_mentions,
@@ -701,6 +824,28 @@ FROM sd_post_venues GROUP BY post_id"""),
             "sd_segments", ["merchant_id", "place_id", "month", "day", "metric"], "hour", "source",
             HOURS + ["total"], SOURCES)),
     }
+    found["content_types_salted"] = found["content_types_exported"] = found["content_types_long"]
+    found["response_times_bucketed"] = found["response_times_exported"] = found["response_times"]
+    found["place_scan"] = """SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, CAST(s_nationkey AS VARCHAR) AS merchant_id,
+  'V' || CAST(s_suppkey AS VARCHAR) AS venues FROM supplier"""
+    found["published_month"] = f"SELECT * FROM ({found['content_types_long']}) WHERE post_month = {_sql_str(ORDER_MONTH)}"
+    found["appended_runs"] = _wrap("""SELECT merchant_id, place_name, post_month, source, n, CASE source WHEN 'FB' THEN 'one' ELSE 'two' END AS run
+FROM sd_posters WHERE source IN ('FB', 'IG')""")
+    found["monthly_run"] = _wrap(f"""SELECT 'content' AS report, merchant_id, place_name, post_month, CAST(sum(n) AS BIGINT) AS total
+FROM sd_content WHERE post_month = {_sql_str(ORDER_MONTH)} GROUP BY ALL
+UNION ALL SELECT 'posters', merchant_id, place_name, post_month, CAST(sum(n) AS BIGINT)
+FROM sd_posters WHERE post_month = {_sql_str(ORDER_MONTH)} GROUP BY ALL""")
+    found["hour_keys"] = "SELECT event_id, strftime(ts, '%H') AS hour FROM events"
+    found["count_reports"] = _wrap("""
+SELECT 'content' AS report, merchant_id, NULL AS place_id, place_name, post_month, NULL AS day, NULL AS hour, source, kind, NULL AS value, n FROM sd_content
+UNION ALL SELECT 'reviews', merchant_id, NULL, place_name, month, NULL, NULL, source, NULL, value, n FROM sd_reviews
+UNION ALL SELECT 'posters', merchant_id, NULL, place_name, post_month, NULL, NULL, source, NULL, NULL, n FROM sd_posters
+UNION ALL SELECT 'segments', merchant_id, place_id, NULL, post_month, day, h.hour, source, NULL, NULL, count(*)
+FROM (SELECT DISTINCT m.merchant_id, m.place_id, m.post_month, strftime(p.post_time, '%d') AS day, strftime(p.post_time, '%H') AS hour, m.source, m.post_id
+      FROM sd_all_matches m JOIN sd_posts p USING (post_id)) x
+JOIN (SELECT DISTINCT strftime(post_time, '%H') AS at, strftime(post_time, '%H') AS hour FROM sd_posts
+      UNION ALL SELECT DISTINCT strftime(post_time, '%H'), 'total' FROM sd_posts) h ON h.at = x.hour
+GROUP BY ALL""")
     for name, (whole, _, month, col, _) in MONTHLY.items():
         found[name] = f"SELECT * FROM ({found[whole]}) WHERE {col} = {_sql_str(month)}"
     return found
