@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable
 
@@ -95,6 +96,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet, in its order, to the folder the cluster shares, and read back: like
+    :func:`cut` for larger frames, compressed and read by column."""
+    base = checkpoint_dir(df.sparkSession)
+    if base is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{base.rstrip('/')}/va-stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_sample(df: DataFrame, key: Column, rows: int) -> DataFrame:
     """About ``rows`` rows, at most twice as many, chosen by the hash of ``key``; all rows when there
     are fewer. Same rows on every run. Used only to fit a model or to estimate costs."""

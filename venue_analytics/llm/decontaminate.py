@@ -4,10 +4,10 @@ A benchmark item is cut into windows of consecutive words. Word counts over all
 window's rarest distinct words, its anchors; a window with a word that no document has can't occur and
 goes at once. The index holds a posting ``(term, key, pos)`` for every place of an anchor term in the
 documents, dealt as the documents are, so a hot term's list lies in as many pieces as there are scan
-tasks. Phrases: an anchor at offset ``o`` of its window, posted at ``pos``, votes for a start at
-``pos - o``; starts that all anchors of a window vote for are the intersection of the offset-adjusted
-lists. Proximity: anchors vote for overlapping cells of the document instead. Only documents with
-candidates are read again, and each candidate is verified on the document's words.
+tasks. Phrases: the list of a window's rarest anchor, moved back by its offset, gives the places where
+the window may start; it is intersected with the next anchor's list, moved likewise. Proximity: the
+lists are intersected by overlapping cells of the document instead. Only documents with candidates are
+read again, and each candidate is verified on the document's words.
 
 A document is known by its id and 128 bits of hash of its text; rows alike in both share their postings
 and each get the result.
@@ -18,14 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venue_analytics.llm.common import cut, let, lower_az, small, table, text_of
+from venue_analytics.llm.common import cut, let, lower_az, small, stored, table, text_of
 
 #: what separates words: ASCII other than digits and letters
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: words of a window
 WINDOW = 10
 #: rarest distinct words of a window that its lists are intersected of
-ANCHORS = 3
+ANCHORS = 2
 #: consecutive document words within which a proximity match has all words of a window
 SPAN = 20
 #: rows up to which test terms, anchors and candidate documents are broadcast (counted first); beyond, the join is shuffled
@@ -43,14 +43,16 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        text.alias("text"))
 
 
-def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
-    """``(item, win, words)``: all windows of all items. ``win`` is the window's words joined by blanks,
-    ``words`` the same as an array. An item of fewer words is one window, one of none has no window."""
+def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """``(win, text, words)``, the distinct windows of all items, numbered, and ``(item, win)``, whose they are.
+
+    ``text`` is the words joined by blanks. An item of fewer words is one window, one of none has no window."""
     held = items.select(F.col(id_col).alias("item"), lower_az(text_of(text_col)).alias("text")).select("item", words_of(F.col("text")).alias("w"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("w") - window, F.lit(0)))
     held = held.where(F.size("w") > 0).select("item", "w", F.explode(starts).alias("at"))
-    return (held.select("item", F.slice("w", F.col("at") + 1, window).alias("words"))
-            .select("item", F.array_join("words", " ").alias("win"), "words").distinct())
+    held = cut(held.select("item", F.array_join(F.slice("w", F.col("at") + 1, window), " ").alias("text")).distinct())
+    windows = cut(held.select("text").distinct().select(F.monotonically_increasing_id().alias("win"), "text"))
+    return windows.withColumn("words", F.split("text", " ")), held.join(windows, "text").select("item", "win")
 
 
 def tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -66,43 +68,53 @@ def document_counts(docs: DataFrame, terms: DataFrame, text_col: str = "text") -
 
 
 def build_index(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The index: ``(key, pos, term)`` postings of ``terms(term)``, stored in the shared folder."""
-    return cut(tokens(docs, id_col, text_col).join(small(terms, BROADCAST_ROWS), "term", "left_semi").select("key", "pos", "term"))
+    """The index: ``(term, key, pos)`` postings of ``terms(term)``, stored in the shared folder, every piece sorted
+    by term."""
+    posted = tokens(docs, id_col, text_col).join(small(terms, BROADCAST_ROWS), "term", "left_semi")
+    return stored(posted.select("term", "key", "pos").sortWithinPartitions("term", "key", "pos"))
 
 
 def anchors(windows: DataFrame, counts: DataFrame, most: int = ANCHORS) -> DataFrame:
-    """``(win, j, mask, offset, term)``: the rarest distinct words of each window, by count, then offset.
-
-    ``j`` numbers a window's anchors, ``mask`` has a bit for each. Windows with a word that isn't counted
-    are left out: they can't occur."""
-    each = windows.select("win", "words").distinct().select("win", F.size("words").alias("size"), F.posexplode("words").alias("offset", "term"))
-    known = each.join(counts, "term").groupBy("win", "term").agg(F.first("n").alias("n"), F.min("offset").alias("offset"), F.count("*").alias("k"),
-                                                                 F.first("size").alias("size"))
-    rare = (known.groupBy("win").agg(F.sum("k").alias("k"), F.first("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "offset", "term"))).alias("t"))
-            .where("k = size").select("win", F.slice("t", 1, most).alias("t")))
-    one = F.lit(1)
-    return (rare.select("win", F.call_function("shiftleft", one, F.size("t")).alias("mask"), F.posexplode("t").alias("j", "t"))
-            .select("win", "j", (F.col("mask") - 1).alias("mask"), F.col("t.offset").alias("offset"), F.col("t.term").alias("term")))
-
-
-def _voted(index: DataFrame, anchored: DataFrame, place: Column) -> DataFrame:
-    """``(key, win, at)`` that all anchors of a window vote for, ``place`` giving an array of places."""
-    votes = index.join(small(anchored, BROADCAST_ROWS), "term").select(
-        "key", "win", F.explode(place).alias("at"), "mask", F.call_function("shiftleft", F.lit(1), F.col("j")).alias("bit"))
-    return (votes.where("at >= 0").groupBy("key", "win", "at").agg(F.bit_or("bit").alias("bits"), F.first("mask").alias("mask"))
-            .where("bits = mask").select("key", "win", "at"))
-
-
-def phrase_candidates(index: DataFrame, anchored: DataFrame) -> DataFrame:
+    """``(win, j, offset, term)``: the rarest distinct words of each window, by count, then offset, numbered from 0.
+
+    Windows with a word that isn't counted are left out: they can't occur."""
+    each = windows.select("win", F.size("words").alias("size"), F.posexplode("words").alias("offset", "term"))
+    known = each.join(counts, "term").groupBy("win", "term").agg(F.max("n").alias("n"), F.min("offset").alias("offset"), F.count("*").alias("k"),
+                                                                 F.max("size").alias("size"))
+    rare = (known.groupBy("win").agg(F.sum("k").alias("k"), F.max("size").alias("size"), F.sort_array(F.collect_list(F.struct("n", "offset", "term"))).alias("t"))
+            .where("k = size").select("win", F.posexplode(F.slice("t", 1, most)).alias("j", "t")))
+    return rare.select("win", "j", F.col("t.offset").alias("offset"), F.col("t.term").alias("term"))
+
+
+def _intersected(index: DataFrame, anchored: DataFrame, places, wanted, most: int) -> DataFrame:
+    """``(key, win, at)`` that every anchor of a window supports, from the rarest anchor's list on.
+
+    ``places(pos, offset)`` is the array of places that a posting speaks for; ``wanted(at, offset)`` the place
+    of a next anchor's posting, among ``places(pos, 0)`` of that anchor."""
+    first = small(anchored.where("j = 0").select("win", "offset", "term"), BROADCAST_ROWS)
+    held = index.join(first, "term").select("key", "win", F.explode(places(F.col("pos"), F.col("offset"))).alias("at")).where("at >= 0")
+    for j in range(1, most):
+        more = small(anchored.where(F.col("j") == j).select("win", "offset", "term"), BROADCAST_ROWS)
+        lists = (index.join(small(anchored.where(F.col("j") == j).select("term").distinct(), BROADCAST_ROWS), "term", "left_semi")
+                 .select("key", "term", F.explode(places(F.col("pos"), F.lit(0))).alias("place")))
+        kept = (held.join(more, "win").select("key", "win", "at", "term", wanted(F.col("at"), F.col("offset")).alias("place"))
+                .join(lists, ["key", "term", "place"], "left_semi").select("key", "win", "at"))
+        held = kept.unionByName(held.join(more, "win", "left_anti"))  # windows of fewer distinct words have no such anchor
+    return held
+
+
+def phrase_candidates(index: DataFrame, anchored: DataFrame, most: int = ANCHORS) -> DataFrame:
     """``(key, win, at)``: word places where all anchors of a window stand at their offsets."""
-    return _voted(index, anchored, F.array(F.col("pos") - F.col("offset")))
+    return _intersected(index, anchored, lambda pos, offset: F.array(pos - offset), lambda at, offset: at + offset, most)
 
 
-def proximity_candidates(index: DataFrame, anchored: DataFrame, span: int = SPAN) -> DataFrame:
+def proximity_candidates(index: DataFrame, anchored: DataFrame, span: int = SPAN, most: int = ANCHORS) -> DataFrame:
     """``(key, win, at)``: cells that hold all anchors of a window. Cell ``at`` is the words from ``at * span``
     on, twice ``span`` of them, so any ``span`` consecutive words lie in one."""
-    cell = F.floor(F.col("pos") / span).cast("int")
-    return _voted(index, anchored, F.array(cell, cell - 1))
+    def cells(pos, _):
+        cell = F.floor(pos / span).cast("int")
+        return F.array(cell, F.greatest(cell - 1, F.lit(0)))
+    return _intersected(index, anchored, cells, lambda at, offset: at, most)
 
 
 def _near(words: Column, at: Column, win: Column, span: int) -> Column:
@@ -116,39 +128,40 @@ def _near(words: Column, at: Column, win: Column, span: int) -> Column:
 
 def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
             item_text_col: str = "text", window: int = WINDOW, span: int = SPAN) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(phrases, near, windows)``; the first two have the documents with matches, by ``key(id, a, b)``.
+    """``(phrases, near, owners)``; the first two have the documents with matches, by ``key(id, a, b)``, the last
+    ``(item, win)``.
 
     ``phrases(key, n_hit, wins)``: document words inside an occurrence of a window, and the windows that
     occur. ``near(key, wins)``: windows whose words all stand, in any order, within ``span`` consecutive
     words. Both are verified on the whole text. Case: only A-Z are lowered. Null texts have no words;
     other columns of ``docs`` and ``items`` are not read, whatever their names."""
-    windows = cut(windows_of(items, item_col, item_text_col, window))
+    windows, owners = windows_of(items, item_col, item_text_col, window)
     terms = windows.select(F.explode("words").alias("term")).distinct()
     counts = cut(document_counts(docs, terms, text_col))
     anchored = cut(anchors(windows, counts))
     index = build_index(docs, anchored.select("term").distinct(), id_col, text_col)
-    kinds = F.lit(0).alias("kind"), F.lit(1).alias("kind")
-    found = cut(phrase_candidates(index, anchored).select("key", "win", "at", kinds[0])
-                .unionAll(proximity_candidates(index, anchored, span).select("key", "win", "at", kinds[1])))
+    found = (phrase_candidates(index, anchored).select("key", "win", "at", F.lit(0).alias("kind"))
+             .unionAll(proximity_candidates(index, anchored, span).distinct().select("key", "win", "at", F.lit(1).alias("kind"))))
+    found = found.join(small(windows.select("win", "text"), BROADCAST_ROWS), "win")
     # a place has one window of each length, so a document's list is no longer than a few times its text
-    listed = cut(found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "win"))).alias("found")))
+    listed = cut(found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "win", "text"))).alias("found")))
     held = _keyed(docs, id_col, text_col).join(small(listed, BROADCAST_ROWS // 10), "key").select("key", "found", words_of(lower_az(F.col("text"))).alias("words"))
 
     def of(words: Column) -> Column:
         exact = F.filter("found", lambda c: (c["kind"] == 0) & (
-            F.array_join(F.slice(words, c["at"] + 1, F.size(F.split(c["win"], " "))), " ") == c["win"]))
-        near = F.filter("found", lambda c: (c["kind"] == 1) & _near(words, c["at"], F.split(c["win"], " "), span))
+            F.array_join(F.slice(words, c["at"] + 1, F.size(F.split(c["text"], " "))), " ") == c["text"]))
+        near = F.filter("found", lambda c: (c["kind"] == 1) & _near(words, c["at"], F.split(c["text"], " "), span))
         return F.struct(exact.alias("exact"), near.alias("near"))
     held = cut(held.select("key", let(F.col("words"), of).alias("m")).select("key", "m.exact", "m.near")
                .where("size(exact) > 0 OR size(near) > 0").dropDuplicates(["key"]))
 
     def covered(acc: Column, c: Column) -> Column:
-        end = c["at"] + F.size(F.split(c["win"], " "))
+        end = c["at"] + F.size(F.split(c["text"], " "))
         return F.struct((acc["n"] + F.greatest(F.lit(0), end - F.greatest(acc["end"], c["at"]))).alias("n"), F.greatest(acc["end"], end).alias("end"))
     n_hit = F.aggregate("exact", F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), covered, lambda acc: acc["n"].cast("long"))
     wins = lambda c: F.array_distinct(F.transform(c, lambda x: x["win"])).alias("wins")
     return (held.where("size(exact) > 0").select("key", n_hit.alias("n_hit"), wins("exact")),
-            held.where("size(near) > 0").select("key", wins("near")), windows)
+            held.where("size(near) > 0").select("key", wins("near")), owners)
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -160,8 +173,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     ``span`` consecutive words. An item id given twice is one item with the windows of both; windows of
     items without an id mark words but name no item. Null and empty texts have no words and no match;
     repeated rows each get their row; empty tables give no rows or no matches."""
-    phrases, near, windows = matches(docs, items, id_col, text_col, item_col, item_text_col, window, span)
-    named = windows.where("item is not null").select(F.col("item").cast("string").alias("item"), "win")
+    phrases, near, owners = matches(docs, items, id_col, text_col, item_col, item_text_col, window, span)
+    named = owners.where("item is not null").select(F.col("item").cast("string").alias("item"), "win")
 
     def ids(rows: DataFrame, out: str) -> DataFrame:
         return (rows.select("key", F.explode("wins").alias("win")).join(named, "win").select("key", "item").distinct()
