@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from venue_analytics.llm.common import cut, lower_az, numbered, table
+from venue_analytics.llm.common import cut, lower_az, numbered, stored, table
 
 #: what separates terms: ASCII other than letters
 GAP = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -90,11 +90,11 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     own share, of those whose share in the group is greater. Ties go by item. Null language, source and
     text are empty; an empty text counts as a document without terms, and its group is compared too; an
     empty table gives no rows. Other columns are not read, whatever their names."""
-    sums = cut(group_sums(docs, lang_col, source_col, text_col))
-    vocabulary = cut(fit(sums, min_df))
+    sums = stored(group_sums(docs, lang_col, source_col, text_col))
+    vocabulary = stored(fit(sums, min_df))
     sizes = vocabulary.groupBy("lang").agg(_checked(F.count("*")).alias("v"), F.sum("n").alias("lang_total"))
     kept = sums.select("lang", "source", "term", "n").join(vocabulary.select("lang", "term", F.col("n").alias("lang_n")), ["lang", "term"])
-    kept = cut(kept)
+    kept = stored(kept)
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     zero = F.lit(0).cast("long")
     groups = (_texts(docs, lang_col, source_col, text_col).select("lang", "source").distinct()
@@ -105,7 +105,7 @@ def divergence(docs: DataFrame, lang_col: str = "lang", source_col: str = "sourc
     shares = kept.join(groups, ["lang", "source"]).select(
         "lang", "source", "term", _share(F.col("n"), F.col("total"), F.col("v")).alias("p"), "p0",
         _share(F.col("lang_n"), F.col("lang_total"), F.col("v")).alias("q"))
-    shares = cut(shares)
+    shares = stored(shares)
 
     # terms that both sources have, each beside what the histograms count for it
     c = F.col
