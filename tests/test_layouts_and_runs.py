@@ -169,6 +169,33 @@ def test_a_run_appended_twice_counts_once(spark):
     assert {r.run: r["count"] for r in got} == {"a'b": 5, "two": 5}
 
 
+def test_a_merchants_rows_lie_in_few_row_groups(spark):
+    """A lookup of one merchant reads the row groups that can hold it, by range and bloom filter."""
+    df = spark.range(60_000).select(F.concat(F.lit("M"), F.pmod(F.xxhash64("id"), F.lit(500)).cast("string")).alias("merchant_id"),
+                                    F.concat(F.lit("P"), "id").alias("place_name"), F.lit("2015Feb").alias("post_month"), F.col("id").alias("n"))
+    read = {}
+    for how in (None, "merchant_id"):
+        path = tempfile.mkdtemp(prefix="va-cluster-")
+        writer = df.repartition(4) if how is None else df
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        conf.set("parquet.block.size", "65536")
+        conf.set("parquet.page.row.count.limit", "2000")
+        try:
+            sinks.write_report(writer, path, "content", cluster_by=how)
+        finally:
+            conf.unset("parquet.block.size")
+            conf.unset("parquet.page.row.count.limit")
+        found = sinks.read_report(spark, path, merchant_id="M7", post_month="2015Feb")
+        assert found.count() == df.where("merchant_id = 'M7'").count()
+        got = sinks.read_report(spark, path, merchant_id="M7")
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan()
+        leaves = plan.collectLeaves()
+        scan = leaves.apply(0)
+        read[how] = scan.metrics().get("numOutputRows").get().value()
+    assert read[None] == 60_000 and read["merchant_id"] <= 60_000 / 4, read
+
+
 def test_write_report_writes_the_month_named_alone(spark):
     path = tempfile.mkdtemp(prefix="va-month-")
     whole = R.content_types(make_tables(spark, *base_rows()), None, AS_OF)

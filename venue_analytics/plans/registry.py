@@ -27,7 +27,7 @@ from venue_analytics.operators.counts import map_entries_long, nested_map_entrie
 from venue_analytics.plans import standins as SD
 from venue_analytics.session import checkpoint_dir
 from venue_analytics.sources.readers import read_table, write_bucketed
-from venue_analytics.sources.sinks import append_run, publish_month, read_report
+from venue_analytics.sources.sinks import append_run, publish_month, read_report, write_report
 from venue_analytics.sources.schemas import (
     HOURS, INTERACTION_TYPES, KINDS, PUNCTUATION, RATINGS, REVIEW_SOURCES, SOURCES,
 )
@@ -359,6 +359,13 @@ def q_published_month(spark, d):
     return spark.table(table)
 
 
+def q_merchant_lookup(spark, d):
+    """All months of the content report written clustered by merchant; the rows of one merchant read back."""
+    path = _folder(spark, "clustered")
+    write_report(R.content_types(_t(spark, d), None, AS_OF), path, "content", cluster_by="merchant_id")
+    return read_report(spark, path, merchant_id=LOOKED_UP)
+
+
 def q_appended_runs(spark, d):
     """Documents of two runs appended to a sink, one run repeated; read back."""
     t, table, path = _t(spark, d), _name("posters"), _folder(spark, "posters")
@@ -383,6 +390,8 @@ def q_hour_keys(spark, d):
     return SD.load(spark, d, "events").select("event_id", hour_key(F.hour("ts")).alias("hour"))
 
 
+#: merchant of the lookup
+LOOKED_UP = "7"
 #: months of the month-scoped entries: of the orders, of the events
 ORDER_MONTH, EVENT_MONTH = "1998Mar", "2024Jan"
 
@@ -415,6 +424,7 @@ QUERIES: dict[str, Query] = {
     "response_times_exported": q_response_times_exported,
     "place_scan": q_place_scan,
     "published_month": q_published_month,
+    "merchant_lookup": q_merchant_lookup,
     "appended_runs": q_appended_runs,
     "monthly_run": q_monthly_run,
     "hour_keys": q_hour_keys,
@@ -829,6 +839,7 @@ FROM sd_post_venues GROUP BY post_id"""),
     found["place_scan"] = """SELECT CAST(s_suppkey AS VARCHAR) AS id, s_name AS name, CAST(s_nationkey AS VARCHAR) AS merchant_id,
   'V' || CAST(s_suppkey AS VARCHAR) AS venues FROM supplier"""
     found["published_month"] = f"SELECT * FROM ({found['content_types_long']}) WHERE post_month = {_sql_str(ORDER_MONTH)}"
+    found["merchant_lookup"] = f"SELECT * FROM ({found['content_types_long']}) WHERE merchant_id = {_sql_str(LOOKED_UP)}"
     found["appended_runs"] = _wrap("""SELECT merchant_id, place_name, post_month, source, n, CASE source WHEN 'FB' THEN 'one' ELSE 'two' END AS run
 FROM sd_posters WHERE source IN ('FB', 'IG')""")
     found["monthly_run"] = _wrap(f"""SELECT 'content' AS report, merchant_id, place_name, post_month, CAST(sum(n) AS BIGINT) AS total

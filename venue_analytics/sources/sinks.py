@@ -17,7 +17,7 @@ import time
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Month column of each report's output.
@@ -27,6 +27,18 @@ MONTH_COLUMN = {
 }
 
 
+def clustered(df: DataFrame, by: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """Rows dealt into ranges of ``by`` and sorted by it, so that a value lies in few row groups. ``ties`` deal
+    the rows of one value further, so a value with a large share of the rows fills several tasks."""
+    keys = [by, *ties]
+    return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
+def _bloom(writer: DataFrameWriter, by: str | None) -> DataFrameWriter:
+    """Parquet bloom filters on ``by``: a lookup of a value passes over row groups whose range holds it by chance."""
+    return writer if by is None else writer.option(f"parquet.bloom.filter.enabled#{by}", "true")
+
+
 def append_report(df: DataFrame, fmt: str, **options) -> None:
     """Append report rows to a connector sink configured by options alone (for example a
     document store's database/collection), as the original inserted documents. Replacing a
@@ -42,16 +54,20 @@ def remove(spark: SparkSession, path: str) -> None:
 
 def write_report(df: DataFrame, path: str, report: str, fmt: str = "parquet",
                  month_col: str | None = None, max_records_per_file: int | None = None,
-                 month: str | None = None) -> None:
+                 month: str | None = None, cluster_by: str | None = None) -> None:
     """Write ``df`` under ``path`` partitioned by the report's month column, replacing only the
     months that ``df`` contains. With ``month``, that month alone is replaced, by its rows of ``df`` (rows of
     other months are not written): when it has none, its partition is removed after the write. No repartition by month: a
-    monthly run holds one month, and funnelling it into one task would serialise the write."""
+    monthly run holds one month, and funnelling it into one task would serialise the write. With
+    ``cluster_by`` (such as merchant_id) the files are sorted by that column and carry bloom filters on it,
+    so a lookup of one value reads few row groups."""
     month_col = month_col or MONTH_COLUMN[report]
     seen = Observation()
     if month is not None:
         df = df.where(F.col(month_col) == month).observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic").partitionBy(month_col))
+    if cluster_by:
+        df = clustered(df, cluster_by, tuple(c for c in ("place_name", "place_id", "user") if c in df.columns))
+    writer = _bloom(df.write, cluster_by).mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic").partitionBy(month_col)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.save(path)
@@ -91,7 +107,8 @@ def _switch(spark: SparkSession, table: str, column: str, value: str, folder: st
     return before
 
 
-def publish(df: DataFrame, table: str, path: str, column: str, value: str, fmt: str = "parquet", keep_old: bool = False) -> str:
+def publish(df: DataFrame, table: str, path: str, column: str, value: str, fmt: str = "parquet", keep_old: bool = False,
+            cluster_by: str | None = None) -> str:
     """Make the rows of ``df`` whose ``column`` is ``value`` the partition ``value`` of ``table``, all at once.
 
     The table is created at ``path`` when it isn't in the catalog. The rows are written in full to a folder of
@@ -99,23 +116,26 @@ def publish(df: DataFrame, table: str, path: str, column: str, value: str, fmt:
     leaves the old partition as it was (and a folder for ``tidy``), and a run repeated replaces its partition
     instead of adding to it. No rows make an empty partition. The folder that the partition left is removed
     afterwards unless ``keep_old``: readers that are still at it need it, and ``tidy`` removes it later.
-    Returns the new folder. Partition values are text."""
+    ``cluster_by`` as for ``write_report``. Returns the new folder. Partition values are text."""
     spark = df.sparkSession
     body = df.where(F.col(column).cast("string") == value).drop(column)
     if not spark.catalog.tableExists(table):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in body.schema.fields)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}, `{column}` string) USING {fmt} PARTITIONED BY (`{column}`) LOCATION {_quoted(path)}")
     folder = f"{path.rstrip('/')}/{RUNS}/{uuid.uuid4().hex}"
-    body.write.format(fmt).save(folder)
+    if cluster_by:
+        body = clustered(body, cluster_by, tuple(c for c in ("place_name", "place_id", "user") if c in body.columns))
+    _bloom(body.write, cluster_by).format(fmt).save(folder)
     before = _switch(spark, table, column, value, folder)
     if before and not keep_old:
         remove(spark, before)
     return folder
 
 
-def publish_month(df: DataFrame, table: str, path: str, report: str, month: str, fmt: str = "parquet", keep_old: bool = False) -> str:
-    """``publish`` a report's month."""
-    return publish(df, table, path, MONTH_COLUMN[report], month, fmt, keep_old)
+def publish_month(df: DataFrame, table: str, path: str, report: str, month: str, fmt: str = "parquet", keep_old: bool = False,
+                  cluster_by: str | None = "merchant_id") -> str:
+    """``publish`` a report's month, clustered by merchant for drill-downs."""
+    return publish(df, table, path, MONTH_COLUMN[report], month, fmt, keep_old, cluster_by)
 
 
 def append_run(df: DataFrame, table: str, path: str, run: str, fmt: str = "parquet") -> str:
