@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from venue_analytics.llm.common import cut
+from venue_analytics.llm.common import cut, small
 
 
 def _coin(node: Column, depth: Column, r: int, bits: int) -> Column:
@@ -33,9 +33,10 @@ def subtree_totals(nodes: DataFrame, values: list[str]) -> DataFrame:
     roots have a null parent, ``depth`` is an int that rises from parent to child. Null values count as
     zero. A parent that isn't in the table makes its children roots of their own; an empty table gives no
     rows."""
-    known = nodes.select(F.col("node").alias("parent")).withColumn("known", F.lit(True))
     given = nodes.select("node", "parent", F.col("depth").cast("int").alias("depth"), *[F.coalesce(v, F.lit(0)).cast("long").alias(v) for v in values])
-    given = given.join(known, "parent", "left").withColumn("parent", F.when(F.col("known"), F.col("parent"))).drop("known")
+    lost = cut(given.where("parent is not null").select("parent").distinct().join(given.select(F.col("node").alias("parent")), "parent", "left_anti"))
+    given = given.join(small(lost.withColumn("lost", F.lit(True)), 100_000), "parent", "left").withColumn(
+        "parent", F.when(F.col("lost").isNull(), F.col("parent"))).drop("lost")
     kids = given.where("parent is not null").groupBy(F.col("parent").alias("node")).agg(F.count("*").alias("kids"))
     passed = [f"passed_{v}" for v in values]
     # kids: children left; passed_*: values of the nodes taken out between the node and its parent
@@ -56,9 +57,10 @@ def subtree_totals(nodes: DataFrame, values: list[str]) -> DataFrame:
             "node", "parent", "depth", F.col("left").alias("kids"), "heir", *[(F.col(v) + F.col(f"up_{v}")).alias(v) for v in values], *passed)
         out = (F.col("parent").isNotNull() & (F.col("kids") == 1) & _coin(F.col("node"), F.col("depth"), r, bits)
                & ~_coin(F.col("heir.node"), F.col("heir.depth"), r, bits))
-        gone = now.where(out).select(F.col("node").alias("gone"), F.col("parent").alias("gone_parent"),
+        # a node taken out is met by its one child, so that no parent of many children gathers them
+        gone = now.where(out).select(F.col("node").alias("gone"), F.col("heir.node").alias("gone_heir"), F.col("parent").alias("gone_parent"),
                                      *[F.col(v).alias(f"gone_{v}") for v in values], *[F.col(p).alias(f"gone_{p}") for p in passed])
-        moved = cut(now.where(~out).drop("heir").join(gone, F.col("parent") == F.col("gone"), "left"))
+        moved = cut(now.where(~out).drop("heir").join(gone, F.col("node") == F.col("gone_heir"), "left"))
         hop = F.col("gone").isNotNull()
         taken.append(moved.where(hop).select(F.col("gone").alias("node"), F.col("node").alias("heir"),
                                              *[(F.col(p) + F.col(f"gone_{v}")).alias(v) for v, p in zip(values, passed)]))

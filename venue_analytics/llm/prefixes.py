@@ -15,11 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from venue_analytics.llm.common import cut, numbered, ship, table
+from venue_analytics.llm.common import cut, numbered, ship, small, table
 from venue_analytics.llm.contraction import subtree_totals
 
 #: turns of a conversation that are scanned in one go
 BLOCK = 4096
+#: children from which on a node is told to them by broadcast
+MANY = 256
 #: bytes of member ids joined before they move on
 CHUNK = 1 << 16
 #: the longest shared beginning that rebuilding gives, less one
@@ -160,8 +162,13 @@ def prefix_trie(rows: DataFrame, lengths: DataFrame) -> DataFrame:
                                          F.when(c("n_children") == 0, 1).otherwise(0).alias("n_leaves")), ["saved", "n_leaves"])
     ends = (hashed.join(lengths, "conv").where(c("d") == c("length")).select(node.alias("node"), "conv")
             .unionAll(lengths.where("length = 0").select(root.alias("node"), "conv")))
-    parents = nodes.select(c("node").alias("parent"), c("conv").alias("parent_conv"))
-    got = nodes.join(totals, "node").join(digests_of_ends(ends), "node", "left").join(parents, "parent", "left")
+    # parents of many children are few and meet theirs by broadcast; the others by a shuffle
+    parents = nodes.select(c("node").alias("parent"), c("conv").alias("parent_conv"), "n_children").where("n_children > 0")
+    many = small(parents.where(c("n_children") > MANY).drop("n_children"), 1_000_000)
+    few = parents.where(c("n_children") <= MANY).drop("n_children")
+    rest = nodes.join(many.select("parent"), "parent", "left_anti").join(few, "parent", "left")
+    named = nodes.join(many, "parent").unionByName(rest)
+    got = named.join(totals, "node").join(digests_of_ends(ends), "node", "left")
     return got.select("conv", c("node.d").cast("long").alias("depth"), "parent_conv", "n_convs", "n_children", "n_leaves", "saved",
                       F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
 
