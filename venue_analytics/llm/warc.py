@@ -5,9 +5,10 @@ response. Validators decide whether it may stand for that response: entity tags
 the revisit has one, else the modification dates; a revisit without either can't be checked. A resolved
 revisit has the response's headers, with the headers a 304 may update taken from the revisit.
 
-The as-of join runs over time buckets: within (URL, bucket) a window looks back, and the last response of
-each bucket is carried to the buckets after it over one row per URL and bucket. However many captures a
-URL has, a task sorts those of one bucket.
+The as-of join is a two-level scan: records are dealt into ranges of URL and time, a URL of any number of
+captures lying in as many as it fills; within a range a window looks back, and the last response of each
+URL and range is carried to the ranges after it, over one row each. Windows and carry hold record ids
+and times alone; headers and payloads of the responses found are joined after.
 """
 
 from __future__ import annotations
@@ -15,12 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from venue_analytics.llm.common import table
+from venue_analytics.llm.common import cut, table
 
 #: headers that a not-modified answer may update (fixed values: HTTP's list for status 304)
 PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "vary")
-#: microseconds per time bucket: a week
-BUCKET = 7 * 86400 * 1_000_000
 
 
 def canonical_url(url: Column) -> Column:
@@ -46,7 +45,7 @@ def merged_headers(response: Column, revisit: Column, permitted=PERMITTED) -> Co
     return F.map_concat(rest, allowed)
 
 
-def resolve_revisits(records: DataFrame, bucket: int = BUCKET, permitted=PERMITTED) -> DataFrame:
+def resolve_revisits(records: DataFrame, permitted=PERMITTED) -> DataFrame:
     """One row per revisit of ``records(record_id, url, captured, kind, status, headers, payload)``: ``record_id,
     url_key, captured, outcome, response_id, response_captured, headers, payload``.
 
@@ -57,24 +56,24 @@ def resolve_revisits(records: DataFrame, bucket: int = BUCKET, permitted=PERMITT
     null URL or time). Headers and payload are null unless resolved. Repeated rows are rows of their own;
     other columns are left out; other kinds are ignored."""
     rows = records.select("record_id", canonical_url(F.col("url")).alias("url_key"), "captured", "kind", "status", "headers", "payload")
-    rows = rows.withColumn("bucket", F.floor(F.col("captured") / bucket))
-    full = (F.col("kind") == "response") & (F.col("status") == 200) & F.col("captured").isNotNull()
-    order = F.struct("captured", "record_id")
-    body = F.struct(F.col("record_id").alias("response_id"), F.col("captured").alias("response_captured"), F.col("headers").alias("response_headers"),
-                    F.col("payload").alias("response_payload"))
-    used = rows.where((full | (F.col("kind") == "revisit")) & F.col("url_key").isNotNull() & F.col("captured").isNotNull())
-    earlier = Window.partitionBy("url_key", "bucket").orderBy("captured").rangeBetween(Window.unboundedPreceding, -1)
-    near = used.withColumn("near", F.max_by(F.when(full, body), F.when(full, order)).over(earlier)).where(F.col("kind") == "revisit")
-    lasts = (rows.where(full & F.col("url_key").isNotNull()).groupBy("url_key", "bucket").agg(F.max_by(body, order).alias("last")))
-    marks = near.select("url_key", "bucket").distinct().withColumn("last", F.lit(None).cast(lasts.schema["last"].dataType))
-    # one row per URL and bucket: the last response of the latest bucket before
-    steps = lasts.unionByName(marks).groupBy("url_key", "bucket").agg(F.max_by("last", F.struct(F.col("last.response_captured"), F.col("last.response_id"))).alias("last"))
-    before = Window.partitionBy("url_key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = steps.select("url_key", "bucket", F.last("last", ignorenulls=True).over(before).alias("far"))
-    found = near.join(carried, ["url_key", "bucket"], "left").withColumn("r", F.coalesce("near", "far"))
-    lost = rows.where((F.col("kind") == "revisit") & (F.col("url_key").isNull() | F.col("captured").isNull()))
-    found = found.select("record_id", "url_key", "captured", "headers", "r").unionByName(
-        lost.select("record_id", "url_key", "captured", "headers", F.lit(None).cast(lasts.schema["last"].dataType).alias("r")))
+    full = (F.col("kind") == "response") & (F.col("status") == 200)
+    placed = F.col("url_key").isNotNull() & F.col("captured").isNotNull()
+    revisits = rows.where(F.col("kind") == "revisit").select("record_id", "url_key", "captured", "headers")
+    responses = rows.where(full & placed).select("record_id", "url_key", "captured", "headers", "payload")
+    name = F.struct("captured", "record_id")
+    # one row per moment of a URL: the response that counts from then on, if any, and whether a revisit looks back from there
+    moments = rows.where((full | (F.col("kind") == "revisit")) & placed).groupBy("url_key", "captured").agg(F.max(F.when(full, name)).alias("own"))
+    dealt = cut(moments.repartitionByRange("url_key", "captured").withColumn("part", F.spark_partition_id()))
+    back = Window.partitionBy("url_key", "part").orderBy("captured").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("url_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = dealt.groupBy("url_key", "part").agg(F.max("own").alias("last")).select("url_key", "part", F.max("last").over(before).alias("far"))
+    seen = dealt.select("url_key", "captured", "part", F.max("own").over(back).alias("near")).join(lasts, ["url_key", "part"])
+    seen = seen.select("url_key", "captured", F.coalesce("near", "far").alias("found")).where("found is not null")
+    asked = revisits.join(seen, ["url_key", "captured"], "left")
+    body = responses.groupBy("url_key", F.struct("captured", "record_id").alias("found")).agg(F.first(F.struct("headers", "payload")).alias("body"))
+    found = asked.join(body, ["url_key", "found"], "left").select("record_id", "url_key", "captured", "headers", F.when(F.col("found").isNotNull(), F.struct(
+        F.col("found.record_id").alias("response_id"), F.col("found.captured").alias("response_captured"), F.col("body.headers").alias("response_headers"),
+        F.col("body.payload").alias("response_payload"))).alias("r"))
     mine, its = F.col("headers"), F.col("r.response_headers")
     tag, date = _tag(F.element_at(mine, "etag")), F.nullif(F.trim(F.element_at(mine, "last-modified")), F.lit(""))
     outcome = (F.when(F.col("r").isNull(), "no_response").when(tag.isNull() & date.isNull(), "no_validator")
@@ -89,53 +88,80 @@ def resolve_revisits(records: DataFrame, bucket: int = BUCKET, permitted=PERMITT
 
 
 # ------------------------------------------------------------------------------ query
+#: responses of a page: days after its first, (every so many pages, status instead of 200)
+RESPONSES = ((0, 11, 404), (2, 3, 503), (8, 5, 302))
+#: revisits of a page: days after its first response
+REVISITS = (-1, 1, 5, 10, 30)
+#: ids of a page's records
+IDS = len(RESPONSES) + len(REVISITS)
+
+
 def captures(pages: DataFrame) -> DataFrame:
-    """Archive records that the pages table stands for: a response per page, a minute apart, and two
-    revisits of its URL, an hour before and ten days after; their validators match, differ or are missing by page id."""
-    p = pages.select("page_id", "url", F.sha2(F.coalesce("html", F.lit("")), 256).alias("payload"))
-    t = (F.lit(1_600_000_000) + F.col("page_id") * 60) * 1_000_000
-    tag, date = F.concat(F.lit('"'), F.substring("payload", 1, 16), F.lit('"')), F.concat(F.lit("day "), (F.col("page_id") % 28).cast("string"))
-    own = F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("etag"), tag, F.lit("last-modified"), date, F.lit("date"), t.cast("string"))
-
-    def revisit(k: int, after: int) -> Column:
-        later = t + after * 1_000_000
-        weak = F.when(F.col("page_id") % 5 == 0, F.lit('"other"')).otherwise(F.concat(F.lit("W/"), tag))
-        headers = (F.when(F.col("page_id") % 7 == 0, F.create_map(F.lit("content-type"), F.lit("none"), F.lit("date"), later.cast("string")))
-                   .when(F.col("page_id") % 7 == 1, F.create_map(F.lit("last-modified"), date, F.lit("date"), later.cast("string")))
-                   .otherwise(F.create_map(F.lit("etag"), weak, F.lit("expires"), F.lit("later"), F.lit("server"), F.lit("x"), F.lit("date"), later.cast("string"))))
-        return F.struct((F.col("page_id") * 3 + k).alias("record_id"), later.alias("captured"), F.lit("revisit").alias("kind"),
-                        F.lit(304).alias("status"), headers.alias("headers"), F.lit(None).cast("string").alias("payload"))
-    response = F.struct((F.col("page_id") * 3).alias("record_id"), t.alias("captured"), F.lit("response").alias("kind"),
-                        F.lit(200).alias("status"), own.alias("headers"), F.col("payload").alias("payload"))
-    return p.select("url", F.explode(F.array(response, revisit(1, -3600), revisit(2, 864_000))).alias("c")).select("url", "c.*")
+    """Archive records that the pages table stands for. A page has three responses with other contents, some of
+    another status, and five revisits that believe one of the versions; validators match, differ or are
+    missing by page id. Every fourth page is captured at its host alone, so hosts have many captures."""
+    p = pages.select("page_id", "url", F.sha2(F.coalesce("html", F.lit("")), 256).alias("content"))
+    host = F.regexp_extract("url", "^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    p = p.withColumn("url", F.when((F.col("page_id") % 4 == 0) & (host != ""), host).otherwise(F.col("url")))
+    first = F.lit(1_600_000_000) + F.col("page_id") * 60
+
+    def payload(version: Column) -> Column:
+        return F.sha2(F.concat(version.cast("string"), F.lit(":"), F.col("content")), 256)
+
+    def tag(version: Column) -> Column:
+        return F.concat(F.lit('"'), F.substring(payload(version), 1, 16), F.lit('"'))
+
+    def day(version: Column) -> Column:
+        return F.concat(F.lit("day "), ((F.col("page_id") + version) % 28).cast("string"))
+    found = []
+    for k, (days, every, other) in enumerate(RESPONSES):
+        at, v = (first + days * 86_400) * 1_000_000, F.lit(k)
+        own = F.create_map(F.lit("content-type"), F.lit("text/html"), F.lit("etag"), tag(v), F.lit("last-modified"), day(v), F.lit("date"), at.cast("string"))
+        found.append(F.struct((F.col("page_id") * IDS + k).alias("record_id"), at.alias("captured"), F.lit("response").alias("kind"),
+                              F.when(F.col("page_id") % every == 0, other).otherwise(200).alias("status"), own.alias("headers"), payload(v).alias("payload")))
+    for k, days in enumerate(REVISITS):
+        at, v = (first + days * 86_400) * 1_000_000, (F.col("page_id") + k) % len(RESPONSES)
+        headers = (F.when((F.col("page_id") + k) % 7 == 0, F.create_map(F.lit("content-type"), F.lit("none"), F.lit("date"), at.cast("string")))
+                   .when((F.col("page_id") + k) % 7 == 1, F.create_map(F.lit("last-modified"), day(v), F.lit("date"), at.cast("string")))
+                   .otherwise(F.create_map(F.lit("etag"), F.concat(F.lit("W/"), tag(v)), F.lit("expires"), F.lit("later"), F.lit("server"), F.lit("x"),
+                                           F.lit("date"), at.cast("string"))))
+        found.append(F.struct((F.col("page_id") * IDS + len(RESPONSES) + k).alias("record_id"), at.alias("captured"), F.lit("revisit").alias("kind"),
+                              F.lit(304).alias("status"), headers.alias("headers"), F.lit(None).cast("string").alias("payload")))
+    return p.select("url", F.explode(F.array(*found)).alias("c")).select("url", "c.*")
 
 
 def op1_warc(spark, sf_dir):
     """All revisits that the pages table stands for, resolved."""
     got = resolve_revisits(captures(table(spark, sf_dir, "pages")))
     named = F.array_join(F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
-    return got.select("record_id", F.floor(F.col("record_id") / 3).alias("page_id"), "url_key", "outcome", "response_id",
+    return got.select("record_id", F.floor(F.col("record_id") / IDS).alias("page_id"), "url_key", "outcome", "response_id",
                       named.alias("headers"), "payload")
 
 
-OP1_SQL = r"""
-WITH p AS (SELECT page_id, url, sha256(coalesce(html, '')) AS payload, (CAST(1600000000 AS BIGINT) + page_id * 60) * 1000000 AS t,
-                  regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM pages),
+OP1_SQL = rf"""
+WITH p AS (SELECT page_id, CASE WHEN page_id % 4 = 0 AND regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) <> ''
+                                THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) ELSE url END AS url,
+                  sha256(coalesce(html, '')) AS content, CAST(1600000000 AS BIGINT) + page_id * 60 AS t FROM pages),
+b AS (SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM p),
 a AS (SELECT *, list_filter(list_sort(string_split(regexp_extract(bare, '[?](.*)$', 1), '&')),
-                            lambda x: x <> '' AND NOT starts_with(x, 'utm_')) AS args FROM p),
-u AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www[.]', ''), ':(80|443)$', '')
+                            lambda x: x <> '' AND NOT starts_with(x, 'utm_')) AS args FROM b),
+u AS (SELECT page_id, content, t, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www[.]', ''), ':(80|443)$', '')
              || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '')
-             || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END AS url_key,
-             '"' || substr(payload, 1, 16) || '"' AS tag, 'day ' || CAST(page_id % 28 AS VARCHAR) AS day FROM a),
-r AS (SELECT page_id * 3 + k AS record_id, page_id, url_key, t + CAST(s AS BIGINT) * 1000000 AS c,
-             CASE WHEN page_id % 7 < 2 THEN NULL WHEN page_id % 5 = 0 THEN '"other"' ELSE tag END AS tag,
-             CASE WHEN page_id % 7 = 1 THEN day END AS day
-      FROM u, (VALUES (1, -3600), (2, 864000)) AS v(k, s)),
-j AS (SELECT r.*, u.page_id AS q, u.payload, u.tag AS q_tag, u.day AS q_day, u.t AS q_t
-      FROM r ASOF LEFT JOIN u ON r.url_key = u.url_key AND r.c > u.t),
+             || CASE WHEN len(args) > 0 THEN '?' || array_to_string(args, '&') ELSE '' END AS url_key FROM a),
+v AS (SELECT page_id, url_key, t, k, sha256(CAST(k AS VARCHAR) || ':' || content) AS payload, 'day ' || CAST((page_id + k) % 28 AS VARCHAR) AS day
+      FROM u, range({len(RESPONSES)}) AS x(k)),
+q AS (SELECT page_id * {IDS} + v.k AS id, url_key, (t + days * 86400) * 1000000 AS c, payload, '"' || substr(payload, 1, 16) || '"' AS tag, day
+      FROM v, (VALUES {", ".join(f"({k}, {d}, {e})" for k, (d, e, _) in enumerate(RESPONSES))}) AS w(k, days, every)
+      WHERE v.k = w.k AND page_id % every <> 0),
+one AS (SELECT * FROM q QUALIFY row_number() OVER (PARTITION BY url_key, c ORDER BY id DESC) = 1),
+r AS (SELECT v.page_id * {IDS} + {len(RESPONSES)} + n AS record_id, v.page_id, url_key, (t + days * 86400) * 1000000 AS c,
+             CASE WHEN (v.page_id + n) % 7 < 2 THEN NULL ELSE '"' || substr(payload, 1, 16) || '"' END AS tag,
+             CASE WHEN (v.page_id + n) % 7 = 1 THEN day END AS day
+      FROM v, (VALUES {", ".join(f"({k}, {d})" for k, d in enumerate(REVISITS))}) AS w(n, days) WHERE v.k = (v.page_id + n) % {len(RESPONSES)}),
+j AS (SELECT r.*, one.id AS q, one.payload, one.tag AS q_tag, one.day AS q_day FROM r ASOF LEFT JOIN one ON r.url_key = one.url_key AND r.c > one.c),
 o AS (SELECT *, CASE WHEN q IS NULL THEN 'no_response' WHEN tag IS NULL AND day IS NULL THEN 'no_validator'
                      WHEN coalesce(tag = q_tag, day = q_day) THEN 'resolved' ELSE 'mismatch' END AS outcome FROM j)
-SELECT record_id, page_id, url_key, outcome, q * 3 AS response_id,
+SELECT record_id, page_id, url_key, outcome, q AS response_id,
        CASE WHEN outcome = 'resolved' THEN 'content-type=text/html;date=' || CAST(c AS VARCHAR) || ';etag=' || CASE WHEN tag IS NOT NULL THEN 'W/' ELSE '' END || q_tag
             || CASE WHEN tag IS NOT NULL THEN ';expires=later' ELSE '' END || ';last-modified=' || q_day END AS headers,
        CASE WHEN outcome = 'resolved' THEN payload END AS payload
