@@ -1,11 +1,12 @@
 """License scan by a positional index of rare template words.
 
 Base labels come from fixed phrases whose words stand consecutively. The method's labels come from
-templates: licence words are weighed by inverse document frequency over all documents; of each file the
-highest-IDF licence words it holds are looked up in the templates' postings (word to template and
-position); hits of one template whose position in the file minus position in the template agree lie on
-one placement of it. A template's share of hits on its best placement is its score, and a template that
-reaches the limit counts when all its key phrases stand in the file.
+templates: licence words are weighed by inverse document frequency over all documents, and the index
+holds the postings (word to template and position) of each template's highest-IDF words. Of each file the
+words that the index holds are looked up; hits of one template whose position in the file minus position in
+the template agree lie on one placement of it. The share of a template's postings that its best placement
+hits is its score, and a template that reaches the limit counts when all its key phrases stand in the
+file.
 
 Per file everything happens within its row; only the document frequencies are shuffled, one row per
 licence word and map task.
@@ -59,10 +60,35 @@ TEMPLATES = (
     Template("cc-by-sa", "Licensed under CC BY-SA 4.0.", ("cc by sa",)),
     Template("cc0", "To the extent possible under law, the author has waived all copyright and related rights to this work under "
              "CC0 1.0", ("cc0",)),
+    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+             "documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to "
+             "use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom "
+             "the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission "
+             "notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED AS IS, WITHOUT "
+             "WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
+             "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES "
+             "OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+             "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.", ("permission is hereby granted free of charge", "noninfringement")),
+    Template("bsd-2-clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+             "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+             "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this "
+             "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+             "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, "
+             "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+             ("redistributions in binary form must reproduce",)),
+    Template("bsd-3-clause", "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+             "following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the "
+             "copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+             "without specific prior written permission.", ("neither the name of", "endorse or promote products")),
+    Template("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+             "provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND "
+             "THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+             "FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+             "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS", ("permission to use copy modify", "author disclaims all warranties")),
     Template("unlicense", "This is free and unencumbered software released into the public domain.", ("free and unencumbered software",)),
 )
-#: words looked up per file and template
-LOOKUPS = 12
+#: highest-IDF words of a template that the index holds: so many, or this share of its words if that is more
+LOOKUPS, SHARE = 12, 0.4
 LIMIT = 0.6
 
 
@@ -85,36 +111,32 @@ def document_frequencies(docs: DataFrame, text_col: str = "text", templates=TEMP
 
 
 class Index:
-    """Postings of the template words; rare and common are told apart by rank alone, so that a notice that
-    many documents carry keeps its postings."""
+    """Postings of each template's highest-IDF words; rare and common are told apart by rank alone, so that a
+    notice that many documents carry keeps its postings."""
 
     def __init__(self, n: int, df: dict[str, int], templates=TEMPLATES):
         self.templates = templates
         split = [_template_words(t.text) for t in templates]
         self.idf = {w: round(math.log((n + 1) / (df.get(w, 0) + 1)), 9) for s in split for w in s}
-        #: by falling IDF, as files look them up
-        self.rare = sorted(self.idf, key=lambda w: (-self.idf[w], w))
-        self.postings = {w: [(k, p) for k, s in enumerate(split) for p, x in enumerate(s) if x == w] for w in self.rare}
-        #: hits that a whole template can have when its LOOKUPS rarest words are looked up
-        self.most = [sum(1 for x in s if x in set(sorted(set(s), key=lambda w: (-self.idf[w], w))[:LOOKUPS])) for s in split]
+        chosen = [set(sorted(set(s), key=lambda w: (-self.idf[w], w))[:max(LOOKUPS, math.ceil(SHARE * len(set(s))))]) for s in split]
+        self.postings: dict[str, list[tuple[int, int]]] = {}
+        for k, (s, rare) in enumerate(zip(split, chosen)):
+            for p, w in enumerate(s):
+                if w in rare:
+                    self.postings.setdefault(w, []).append((k, p))
+        #: postings of each template: the hits that a whole one has
+        self.most = [sum(w in rare for w in s) for s, rare in zip(split, chosen)]
 
     def scores(self, words: Column) -> Column:
         """Array of a score per template, for a bound array of words."""
         zero = F.array(*[F.lit(0.0)] * len(self.templates))
-        if not self.rare:
+        if not self.postings:
             return zero
-        posted = F.create_map(*[x for w in self.rare for x in (F.lit(w), F.array(*[F.struct(F.lit(k).alias("t"), F.lit(p).alias("p"))
-                                                                                  for k, p in self.postings[w]]))])
-        weight = F.create_map(*[x for w in self.rare for x in (F.lit(w), F.lit(-self.idf[w]))])
-        found = F.array_intersect(words, F.array(*[F.lit(w) for w in self.rare]))
-        # the highest-IDF licence words of the file: a word stays while fewer than LOOKUPS rarer ones of one
-        # of its templates are in the file
-        ordered = let(found, lambda f: F.transform(F.sort_array(F.transform(f, lambda w: F.struct(
-            F.element_at(weight, w).alias("k"), w.alias("w")))), lambda s: s["w"]))
-        limit = LOOKUPS * len(self.templates)
-
-        def place(top: Column) -> Column:
-            hits = F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda s: F.array_contains(top, s["w"]))
+        posted = F.create_map(*[x for w, at in sorted(self.postings.items()) for x in (
+            F.lit(w), F.array(*[F.struct(F.lit(k).alias("t"), F.lit(p).alias("p")) for k, p in at]))])
+        held = sorted(self.postings)
+
+        def place(hits: Column) -> Column:
             cells = F.sort_array(F.flatten(F.transform(hits, lambda h: F.transform(
                 F.element_at(posted, h["w"]), lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["p"]).alias("d"))))))
 
@@ -126,7 +148,8 @@ class Index:
             most = F.array(*[F.lit(float(max(m, 1))) for m in self.most])
             return let(let(cells, runs), lambda r: F.transform(F.sequence(F.lit(0), F.lit(len(self.templates) - 1)), lambda t: F.least(
                 F.lit(1.0), F.coalesce(F.array_max(F.transform(F.filter(r, lambda e: e["t"] == t), lambda e: e["n"])), F.lit(0)) / F.get(most, t))))
-        return let(F.slice(ordered, 1, limit), lambda top: F.when(F.size(top) == 0, zero).otherwise(place(top)))
+        looked_up = F.filter(F.transform(words, lambda w, i: F.when(w.isin(*held), F.struct(w.alias("w"), i.alias("i")))), lambda h: h.isNotNull())
+        return let(looked_up, lambda hits: F.when(F.size(hits) == 0, zero).otherwise(place(hits)))
 
 
 def _spaces(c: Column) -> Column:
