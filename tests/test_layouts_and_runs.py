@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from conftest import AS_OF, base_rows, make_tables
 from test_brute_force import AS_OF as AS, MONTHS, random_tables
 from test_skew import skewed_session  # noqa: F401  (fixture)
-from venue_analytics.operators import core, reports as R
+from venue_analytics.operators import bitmaps, core, reports as R
 from venue_analytics.plans import jobs
 from venue_analytics.sources import sinks
 from venue_analytics.sources.exports import from_documents
@@ -222,6 +222,24 @@ def test_shared_counts_equal_the_reports(spark, seed):
     assert plan.count("Exchange") == 2 and plan.count("Expand") == 1
 
 
+# ------------------------------------------------------------------------------ bitmaps
+@pytest.mark.parametrize("seed", [31, 32])
+def test_merged_bitmaps_equal_the_report(spark, seed):
+    t = make_tables(spark, *random_tables(seed))
+    path = tempfile.mkdtemp(prefix="va-bits-") + "/dictionary"
+    states = []
+    for k in range(3):  # three arrivals of posts, split at random
+        some = dataclasses.replace(t, posts=t.posts.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(3)) == k))
+        known = bitmaps.extend_dictionary(some.posts, path, first=k == 0)
+        states.append(bitmaps.poster_bitmaps(some, known, None, AS))
+    numbers = sorted(r.number for r in bitmaps.poster_dictionary(spark, path).collect())
+    assert numbers == list(range(1, t.posts.where("poster_id is not null").select("poster_id").distinct().count() + 1))
+    for order in (states, states[::-1], [bitmaps.merged(*states[:2]), states[2], states[0]]):  # a repeated arrival changes nothing
+        assert rows_of(bitmaps.poster_counts(bitmaps.merged(*order))) == rows_of(R.poster_counts(t, None, AS))
+    with pytest.raises(Exception, match="not in the dictionary"):
+        bitmaps.poster_bitmaps(t, known.where("number < 3"), None, AS).collect()
+
+
 # ------------------------------------------------------------------------------ exports
 LINES = [
     '{"_id":{"$oid":"5f"},"post_time":{"$date":{"$numberLong":"1433116800999"}},"secondary_venue_ids":["FB-1",{"$oid":"aa"}],"kind":"photo",'

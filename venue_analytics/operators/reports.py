@@ -21,7 +21,7 @@ from venue_analytics.sources.schemas import (
 PLACE_MONTH = ["merchant_id", "place_name", "post_month"]
 
 
-def _with_group_total(long_df: DataFrame, group_cols, n_col: str = "n", out: str = "total") -> DataFrame:
+def with_group_total(long_df: DataFrame, group_cols, n_col: str = "n", out: str = "total") -> DataFrame:
     """Attach the per-group sum of ``n`` to every long row. The input is already aggregated (at
     most sources x kinds rows per group), so the window's shuffle is small and cannot be skewed
     by a hot group; the long rows are not recomputed as a self-join would do."""
@@ -88,7 +88,7 @@ def content_counts(t: Tables, month: str | None = None, as_of=None) -> DataFrame
 def content_types(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, kind, n, total): distinct place-posts per
     kind and source; ``total`` covers every kind of the place-month (kept when > 0)."""
-    return _with_group_total(content_counts(t, month, as_of), PLACE_MONTH).filter(F.col("total") > 0)
+    return with_group_total(content_counts(t, month, as_of), PLACE_MONTH).filter(F.col("total") > 0)
 
 
 def content_types_map(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
@@ -157,7 +157,7 @@ def keywords(t: Tables, month: str | None = None, as_of=None, stops=None, min_to
     """(merchant_id, place_name, post_month, word, source, n, total) for words whose total over
     sources is > 1 (optionally only the merchant's ``words``, see ``keyword_counts``)."""
     long_df = keyword_counts(t, month, as_of, stops, words)
-    return (_with_group_total(long_df, PLACE_MONTH + ["word"])
+    return (with_group_total(long_df, PLACE_MONTH + ["word"])
             .filter(F.col("total") >= min_total)
             .select(*PLACE_MONTH, "word", "source", "n", "total"))
 
@@ -303,7 +303,7 @@ def poster_counts(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
 
 def posters(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, n, total); ``total`` over sources, > 0."""
-    return _with_group_total(poster_counts(t, month, as_of), PLACE_MONTH).filter(F.col("total") > 0)
+    return with_group_total(poster_counts(t, month, as_of), PLACE_MONTH).filter(F.col("total") > 0)
 
 
 def posters_map(t: Tables, month: str | None = None, as_of=None) -> DataFrame:

@@ -15,13 +15,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venue_analytics.functions.accounts import linked_accounts_by_source, merchant_accounts
+from venue_analytics.functions.accounts import is_own_post, linked_account_ids, linked_accounts_by_source, merchant_accounts
 from venue_analytics.functions.columns import (
-    day_str, hour_key, hour_str, month_bounds_col, month_str, parse_legacy_time, source_of, venue_id_strip,
+    day_str, full_match, hour_key, hour_str, month_bounds_col, month_str, parse_legacy_time, source_of, venue_id_strip,
 )
 from venue_analytics.functions.text import stop_words, text_strip, text_strip_joined, tokenize
+from venue_analytics.operators import bitmaps, core
 from venue_analytics.operators import checks as C
-from venue_analytics.operators import core
 from venue_analytics.operators import reports as R
 from venue_analytics.operators.counts import map_entries_long, nested_map_entries, pivot_counts
 from venue_analytics.plans import standins as SD
@@ -385,6 +385,37 @@ def q_monthly_run(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+def q_posters_merged(spark, d):
+    """The posters report from bitmaps of two arrivals of posts, the later one folded in."""
+    t, path = _t(spark, d), _folder(spark, "posters-dictionary")
+    late = F.pmod(F.xxhash64("id"), F.lit(3)) == 0
+    early, later = (dataclasses.replace(t, posts=t.posts.where(c)) for c in (~late, late))
+    state = bitmaps.poster_bitmaps(early, bitmaps.extend_dictionary(early.posts, path, first=True), None, AS_OF)
+    added = bitmaps.poster_bitmaps(later, bitmaps.extend_dictionary(later.posts, path), None, AS_OF)
+    return R.with_group_total(bitmaps.poster_counts(bitmaps.merged(state, added)), R.PLACE_MONTH)
+
+
+def q_keyword_mentions_written(spark, d):
+    """Mention terms looked up in the whole keywords report."""
+    bench = SD.load(spark, d, "benchmark")
+    mentions = C.text_mentions(bench, "item_id", "text", (F.col("item_id") % SD.N_MERCHANTS).cast("string"))
+    return C.keyword_mentions(R.keywords(_t(spark, d, with_text=True), None, AS_OF), mentions)
+
+
+def q_audit_types(spark, d):
+    """Audits whose whole type matches a pattern ('like' isn't 'unlike')."""
+    a = SD.audits(spark, d).withColumn("type", F.when(F.col("type") == "error", "unlike").otherwise(F.col("type")))
+    return a.where(full_match("type", "like|re.*")).select(F.col("id").alias("audit_id"), "type")
+
+
+def q_own_post_flags(spark, d):
+    """Every customer's linked accounts against the poster id of each source with the customer's key."""
+    c = SD.linked_merchants(spark, d).select(F.col("id").alias("merchant_id"), "linked_accounts")
+    ids = c.select("merchant_id", linked_account_ids("linked_accounts").alias("own"), F.element_at(F.map_values("linked_accounts"), 1)[0]["account_id"].alias("key"))
+    posted = ids.select("merchant_id", "own", F.explode(F.array(*[F.concat(F.lit(f"{s}-"), F.col("key")) for s in SOURCES])).alias("poster_id"))
+    return posted.select("merchant_id", "poster_id", is_own_post("own", "poster_id").alias("own"))
+
+
 def q_hour_keys(spark, d):
     """Hour keys of the events from the hour as a number."""
     return SD.load(spark, d, "events").select("event_id", hour_key(F.hour("ts")).alias("hour"))
@@ -428,6 +459,10 @@ QUERIES: dict[str, Query] = {
     "appended_runs": q_appended_runs,
     "monthly_run": q_monthly_run,
     "hour_keys": q_hour_keys,
+    "posters_merged": q_posters_merged,
+    "keyword_mentions_written": q_keyword_mentions_written,
+    "audit_types": q_audit_types,
+    "own_post_flags": q_own_post_flags,
     "follow_nulls": q_follow_nulls,
     "venue_mentions": q_venue_mentions,
     "handle_mentions": q_handle_mentions,
@@ -846,6 +881,12 @@ FROM sd_posters WHERE source IN ('FB', 'IG')""")
 FROM sd_content WHERE post_month = {_sql_str(ORDER_MONTH)} GROUP BY ALL
 UNION ALL SELECT 'posters', merchant_id, place_name, post_month, CAST(sum(n) AS BIGINT)
 FROM sd_posters WHERE post_month = {_sql_str(ORDER_MONTH)} GROUP BY ALL""")
+    found["posters_merged"] = found["posters_long"]
+    found["keyword_mentions_written"] = found["keyword_mentions"]
+    found["audit_types"] = _wrap("""SELECT audit_id, CASE type WHEN 'error' THEN 'unlike' ELSE type END AS type
+FROM sd_audits WHERE type = 'like' OR type LIKE 're%'""")
+    found["own_post_flags"] = "WITH " + _LINKED + f""" SELECT merchant_id, s.src || '-' || CAST(c_custkey AS VARCHAR) AS poster_id,
+  coalesce(ln.src = s.src, false) AS own FROM ln CROSS JOIN (VALUES {sources}) AS s(src)"""
     found["hour_keys"] = "SELECT event_id, strftime(ts, '%H') AS hour FROM events"
     found["count_reports"] = _wrap("""
 SELECT 'content' AS report, merchant_id, NULL AS place_id, place_name, post_month, NULL AS day, NULL AS hour, source, kind, NULL AS value, n FROM sd_content
