@@ -79,16 +79,23 @@ def probability(trees: list[Tree], features: list[Column], rate: float = 0.3) ->
     return 1 / (1 + F.exp(-total))
 
 
-def threshold(cases: list[tuple[float, float, float]], precision: float, least: float) -> float:
-    """Lowest probability at which held-out ``(probability, positives, negatives)`` reach ``precision`` with at
-    least ``least`` positives; infinite if none does."""
-    found, pos, neg = math.inf, 0.0, 0.0
+def band_limit(cases: list[tuple[float, float, float]], precision: float, prior: float) -> float:
+    """Lowest probability whose band of held-out ``(probability, positives, negatives)`` has the share
+    ``precision`` of positives; infinite if none has.
+
+    The share is looked at within each band, not among all that reach it. A band's share is drawn to its own
+    probability by ``prior`` cases, so few cases say little and many say all, and bands are pooled until
+    their shares rise with the probability (isotonic regression)."""
     by: dict[float, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for p, a, b in cases:
-        by[round(p, 9)][0] += a
-        by[round(p, 9)][1] += b
-    for p in sorted(by, reverse=True):
-        pos, neg = pos + by[p][0], neg + by[p][1]
-        if pos >= least and pos >= precision * (pos + neg):
-            found = p
-    return found
+        by[p][0] += a
+        by[p][1] += b
+    pooled: list[list[float]] = []  # lowest probability, weighted positives, weight
+    for p in sorted(by):
+        a, b = by[p]
+        pooled.append([p, a + prior * p, a + b + prior])
+        while len(pooled) > 1 and pooled[-2][1] * pooled[-1][2] >= pooled[-1][1] * pooled[-2][2]:
+            _, a, n = pooled.pop()
+            pooled[-1][1] += a
+            pooled[-1][2] += n
+    return next((p for p, a, n in pooled if a >= precision * n), math.inf)

@@ -4,9 +4,10 @@ High-recall patterns propose spans per kind, valid or not: addresses without a d
 dotted number groups of any value, digit runs of card length with any checksum, phone numbers with any
 number of digits or without the plus. Spans that pass their kind's validity rule are always kept. The
 trees are fitted, on a bounded sample of documents, to tell valid from invalid candidates by format and
-context alone (the checks themselves and the signs that make a candidate valid are no features), and a
-threshold per kind is calibrated on all candidates of the table: further candidates are added where
-candidates that look and stand like them are valid to the wanted precision.
+context alone (the checks themselves and the signs that make a candidate valid are no features). Texts are
+split into two folds by their hash: the trees see the one, and a threshold per kind is calibrated on all
+candidates of the other. Further candidates are added where the held-out candidates of their own band of
+probability, those that look and stand like them, are valid to the wanted precision.
 
 Everything per document happens within its row with built-in functions; only counts by kind and rounded
 probability are shuffled.
@@ -145,23 +146,26 @@ class Model:
 
 
 def fit_model(docs: DataFrame, text_col: str = "text", key: Column | None = None, sample_rows: int = 4000,
-              vectors: int = 20_000, precision: float = 0.98, least: float = 50.0) -> Model:
-    """Trees from the candidates of about ``sample_rows`` documents (at most twice that), thresholds from all.
+              vectors: int = 20_000, precision: float = 0.98, prior: float = 10.0) -> Model:
+    """Trees from the candidates of about ``sample_rows`` documents (at most twice that) of one half of the texts,
+    thresholds from all candidates of the other half.
 
     For the trees at most ``vectors`` distinct feature vectors, the most frequent, come to the driver, for the
-    thresholds the counts of each kind and rounded probability. Of the candidates of all documents that
-    reach a kind's threshold, the share ``precision`` is valid and at least ``least`` are; a kind with fewer
-    valid candidates, or without such a threshold, gets none and nothing is added to it."""
+    thresholds the counts of each kind and rounded probability. A kind's threshold is the lowest
+    probability whose band of held-out candidates is valid to the share ``precision``
+    (:func:`boosting.band_limit`); a kind without such a band gets none and nothing is added to it. Copies of
+    a text are in one half."""
     key = F.col(text_col) if key is None else key
+    half = F.pmod(F.xxhash64(text_of(text_col), F.lit(13)), F.lit(2))
 
     def found(rows: DataFrame) -> DataFrame:
         return rows.select(F.explode(candidates(text_of(text_col))).alias("c"))
     counts = [F.count_if("c.valid").alias("pos"), F.count_if(~F.col("c.valid")).alias("neg")]
-    fitted = (found(bounded_sample(docs, key, sample_rows)).groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(*counts)
+    fitted = (found(bounded_sample(docs.where(half == 0), key, sample_rows)).groupBy(*[F.col(f"c.{f}").alias(f) for f in FEATURES]).agg(*counts)
               .orderBy(F.desc(F.col("pos") + F.col("neg")), *FEATURES).limit(vectors).collect())
     model = Model(boosting.fit([(tuple(r[f] for f in FEATURES), float(r["pos"]), float(r["neg"])) for r in fitted]), {})
-    scored = found(docs).groupBy(F.col("c.kind").alias("kind"), model.score(F.col("c")).alias("p")).agg(*counts).collect()
-    model.limits = {k: boosting.threshold([(r["p"], r["pos"], r["neg"]) for r in scored if r["kind"] == k], precision, least)
+    held_out = found(docs.where(half == 1)).groupBy(F.col("c.kind").alias("kind"), model.score(F.col("c")).alias("p")).agg(*counts).collect()
+    model.limits = {k: boosting.band_limit([(r["p"], r["pos"], r["neg"]) for r in held_out if r["kind"] == k], precision, prior)
                     for k in range(len(KINDS))}
     return model
 
