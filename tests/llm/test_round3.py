@@ -6,10 +6,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from venue_analytics.llm import contraction, decontaminate, divergence, prefixes
+import corpus_pipeline
+from venue_analytics.llm import contraction, decontaminate, divergence, embeddings, prefixes, warc
 from venue_analytics.llm.common import lower_az, numbered
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -209,3 +211,86 @@ def test_prefix_trie(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == brute_trie(rows)
     none = prefixes.prefix_trie(*prefixes.rebuilt(prefixes.turns(df.where("d = 3"))))
     assert none.count() == 0
+
+
+# ------------------------------------------------------------------------------ embeddings
+def test_candidates_per_vector_stay_flat_and_links_are_found():
+    """Unrelated vectors that a vector meets, and the links found, at 50 to 20 times as many rows a label."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((600, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    e = rng.standard_normal((600, 64))
+    e -= (e * x).sum(1, keepdims=True) * x
+    e /= np.linalg.norm(e, axis=1, keepdims=True)
+    y = 0.931 * x + np.sqrt(1 - 0.931 ** 2) * e
+    met = []
+    for rows in (50, 1000, 20_000):
+        code = embeddings.ProductCode(64, words=embeddings.words_for(rows))
+        a, b = [set(p.tolist()) for p in code.decode(x)], [set(p.tolist()) for p in code.decode(y)]
+        assert sum(bool(p & q) for p, q in zip(a, b)) >= 0.97 * len(x), rows
+        cells = Counter(f for p in a for f in p)
+        met.append(rows * sum(n * (n - 1) for n in cells.values()) / (len(x) * (len(x) - 1)))
+    assert max(met) <= 2 * embeddings.PARTNERS, met
+    assert embeddings.words_for(0) == embeddings.WORDS
+
+
+# ------------------------------------------------------------------------------ pipeline
+CLASH = ("__key", "__pii", "__s", "__n", "key", "row", "spans", "pii", "d", "h", "words", "group", "won", "size", "fp", "mark", "copies")
+
+
+def clashing(spark, rows):
+    extra = [f"{c}{i % 3}" for i in range(len(rows)) for c in CLASH]
+    return spark.createDataFrame([(*r, *extra[i * len(CLASH):(i + 1) * len(CLASH)]) for i, r in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASH))
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_leave_users_columns_alone(spark, stage):
+    """Columns named like a stage's own, null texts and ids, repeated rows, and an empty table."""
+    rnd = random.Random(8)
+    say = lambda n: " ".join(rnd.choice(["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa"]) + str(rnd.randrange(40)) for _ in range(n))
+    rows = [(i, say(80) + " mail ann@example.org", "en", f"s{i % 3}", 1) for i in range(20)]
+    rows += [(20, None, "en", None, None), (21, "", None, "s1", 0), (None, say(70), "en", "s1", 1), (None, None, None, None, None), (22, rows[3][1], "en", "s1", 1)]
+    df = clashing(spark, rows)
+    df = df.unionAll(df.where("doc_id = 5"))
+    given = {r["doc_id"]: tuple(r[c] for c in CLASH) for r in df.where("doc_id is not null").collect()}
+    fn = dict(corpus_pipeline.STAGES)[stage]
+    out = fn(spark, df, "")
+    got = out.collect()
+    if stage == "BPE encoding and decoding":
+        assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids"] and len(got) == len(rows) + 1
+        assert {r["n_tokens"] for r in got if r["doc_id"] in (20, 21)} == {0}
+    else:
+        assert out.columns == df.columns
+        assert got and all(tuple(r[c] for c in CLASH) == given[r["doc_id"]] for r in got if r["doc_id"] is not None)
+        by = {r["doc_id"]: r for r in got}
+        if stage == "quality rules":
+            assert set(range(20)) <= set(by) and not {20, 21} & set(by)
+        if stage == "SimHash near-dedup":
+            assert sorted(r["doc_id"] for r in got if r["doc_id"] is not None) == list(range(21)) and sum(r["doc_id"] is None for r in got) == 1
+        if stage == "PII":
+            assert len(got) == len(rows) + 1 and by[0]["text"] == rows[0][1].replace("ann@example.org", "[EMAIL]") and by[0]["n_chars"] == len(by[0]["text"])
+            assert by[20]["text"] is None and by[20]["n_chars"] is None and by[21]["text"] == ""
+    assert fn(spark, df.where("doc_id < 0"), "").count() == 0
+
+
+# ------------------------------------------------------------------------------ revisits
+def test_a_url_of_many_captures_lies_in_several_ranges(spark):
+    """A hot URL's records are resolved across ranges as by a plain scan, ties and statuses included."""
+    rnd = random.Random(11)
+    rows = []
+    for i in range(3000):
+        url = "http://hot.example/" if i % 3 else f"http://u{rnd.randrange(40)}.example/"
+        t, kind = rnd.randrange(4000), rnd.choice(["response", "revisit", "revisit"])
+        status = 304 if kind == "revisit" else rnd.choice([200, 200, 503])
+        rows.append((i, url, None if rnd.random() < 0.02 else t, kind, status, {"etag": f'"{rnd.randrange(3)}"'}, f"p{i}", "x"))
+    df = spark.createDataFrame(rows, "record_id long, url string, captured long, kind string, status int, headers map<string,string>, payload string, part string")
+    key = lambda u: u.split("//")[1].rstrip("/")
+    want = {}
+    for i, url, t, kind, _, headers, *_ in rows:
+        if kind == "revisit":
+            best = max(((r[2], r[0]) for r in rows if r[3] == "response" and r[4] == 200 and r[2] is not None and t is not None and r[1] == url and r[2] < t), default=None)
+            outcome = "no_response" if best is None else "resolved" if rows[best[1]][5] == headers else "mismatch"
+            want[i] = (key(url), outcome, best and best[1], f"p{best[1]}" if outcome == "resolved" else None)
+    got = warc.resolve_revisits(df.repartition(6))
+    assert {r["record_id"]: (r["url_key"], r["outcome"], r["response_id"], r["payload"]) for r in got.collect()} == want and got.count() == len(want)
