@@ -14,6 +14,7 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +22,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from venue_analytics.llm.bpe import byte_symbols
 from venue_analytics.llm.common import cut, ship, small, table
 from venue_analytics.session import checkpoint_dir
 
 #: ids per shard, about: a shard ends with the document that reaches it
 SHARD = 1 << 20
-#: rules per round at most, occurrences a pair needs; rounds go on until no pair has them
-RULES, OFTEN = 3500, 24
+#: occurrences a pair needs; rounds go on until no pair has them
+OFTEN = 24
 #: pieces whose ids a worker keeps in each of two generations
 CACHE_PIECES = 600_000
-_HASH_BITS = 18
+_HASH_BITS, _SYMBOL_BITS = 18, 20
+#: places up to which pairs are sorted rather than hashed
+SORTED = 1 << 15
 
 
 def symbol_kind(size: int) -> np.dtype:
@@ -40,8 +44,8 @@ def symbol_kind(size: int) -> np.dtype:
 
 class Encoder:
     """A byte-level BPE file of the tokenizers library. Texts are cut by the library's own splitting rule, and
-    the ids of each piece, which the library gives, are kept; texts with characters outside ASCII and
-    Latin-1 letters go to the library whole."""
+    the ids of each piece, which the library's model gives for the piece's byte symbols, are kept; texts with
+    characters outside ASCII and Latin-1 letters go to the library whole."""
 
     _UNSAFE = re.compile("[^\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ÿ]")
     _SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\\s0-9A-Za-zÀ-ÖØ-öø-ÿ]+|\\s+(?!\\S)|\\s+")
@@ -55,8 +59,10 @@ class Encoder:
         self.size = self.own.get_vocab_size(with_added_tokens=True)
         self.special = [t.content for t in self.own.get_added_tokens_decoder().values()]
         self.kind = symbol_kind(self.size)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.model = self.own.model
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.known, self.older = _Known(self._learn), {}
 
     def _bytes(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.kind).tobytes()
@@ -64,32 +70,31 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if self._UNSAFE.search(text) is not None or any(s in text for s in self.special):
             return self._bytes(self.own.encode(text, add_special_tokens=False).ids)
-        pieces = self._SPLIT.findall(text)
         if len(self.known) > CACHE_PIECES:
-            self.older, self.known = self.known, {}
-        known = self.known
-        if new := [p for p in pieces if p not in known]:
-            self._learn(set(new))
-        return b"".join([known[p] for p in pieces])
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Ids of pieces not in the younger generation: from the older one, the others by one call of the
-        library, with its special token between them (which it cuts a text at before all else)."""
-        known, older = self.known, self.older
-        fresh = []
-        for p in pieces:
-            if p in older:
-                known[p] = older[p]
-            else:
-                fresh.append(p)
-        if fresh:
-            mark = self.special[0]
-            ids = np.array(self.own.encode_batch_fast([mark.join(fresh)], add_special_tokens=False)[0].ids, dtype=self.kind)
-            ends = np.append(np.flatnonzero(ids == self.own.token_to_id(mark)), len(ids)) * self.kind.itemsize
-            data, at = ids.tobytes(), 0
-            for p, end in zip(fresh, ends.tolist()):
-                known[p] = data[at:end]
-                at = end + self.kind.itemsize
+            self.older, self.known = self.known, _Known(self._learn)
+        return b"".join(map(self.known.__getitem__, self._SPLIT.findall(text)))
+
+    def _learn(self, piece: str) -> bytes:
+        """Ids of a piece not in the younger generation: from the older one, else from the library's model."""
+        got = self.older.get(piece)
+        if got is None:
+            # printable ASCII stands for itself but for the blank
+            word = (piece.replace(" ", self.symbols[32]) if piece.isascii() and piece.isprintable()
+                    else piece.encode().decode("latin-1").translate(self.symbols))
+            got = array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+        return got
+
+
+class _Known(dict):
+    """A dictionary that learns what it lacks."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, piece: str) -> bytes:
+        got = self[piece] = self.learn(piece)
+        return got
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -101,56 +106,82 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def _frequent(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that occur OFTEN times in ``key``: ``(pairs by falling count, places of theirs, pair of each place)``.
+
+    Counted in a hash table; of the pairs that share a slot one is counted exactly, the others again with
+    another hash, and what is left at last is sorted."""
+    place = np.arange(len(key))
+    pairs, counts, places, which = [], [], [], []
+    made = 0
+    for turn in range(4):
+        if len(key) < SORTED:
+            break
+        factor = np.int64(-7046029254386353131 + (turn * 0x5851F42D4C957F2E & (1 << 62) - 1))
+        slot = ((key * factor).view(np.uint64) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
+        here = np.flatnonzero((np.bincount(slot, minlength=1 << _HASH_BITS) >= OFTEN)[slot])
+        key, slot, place = key[here], slot[here], place[here]
+        pair = np.empty(1 << _HASH_BITS, dtype=np.int64)
+        pair[slot] = key
+        one = pair[slot] == key
+        count = np.bincount(slot[one], minlength=1 << _HASH_BITS)
+        often = np.flatnonzero(count >= OFTEN)
+        rank = np.full(1 << _HASH_BITS, -1, dtype=np.int32)
+        rank[often] = np.arange(made, made + len(often), dtype=np.int32)
+        new = rank[slot[one]]
+        pairs.append(pair[often])
+        counts.append(count[often])
+        places.append(place[one][new >= 0])
+        which.append(new[new >= 0])
+        made += len(often)
+        key, place = key[~one], place[~one]
+    if len(key):
+        found, back, count = np.unique(key, return_inverse=True, return_counts=True)
+        often = np.flatnonzero(count >= OFTEN)
+        rank = np.full(len(found), -1, dtype=np.int32)
+        rank[often] = np.arange(made, made + len(often), dtype=np.int32)
+        new = rank[back]
+        pairs.append(found[often])
+        counts.append(count[often])
+        places.append(place[new >= 0])
+        which.append(new[new >= 0])
+    if not pairs:
+        return np.zeros(0, dtype=np.int64), place[:0], np.zeros(0, dtype=np.int32)
+    pair, count, at, new = (np.concatenate(x) for x in (pairs, counts, places, which))
+    order = np.lexsort((pair, -count))
+    back = np.empty(len(order), dtype=np.int32)
+    back[order] = np.arange(len(order), dtype=np.int32)
+    by = np.argsort(at, kind="stable")
+    return pair[order], at[by], back[new[by]]
+
+
 def compress(ids: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(symbols, begins, rules)`` of a shard: ids below ``size``, nonterminal ``size + k`` for rule ``k``.
 
-    ``begins`` are the places where documents begin, in ids and then in symbols. A round counts all pairs,
-    takes the most frequent ones as rules and replaces their occurrences from left to right; those that
-    overlap a replaced one wait for a later round. Ends when no pair within a document
-    occurs ``OFTEN`` times. Pairs are counted in a hash table with another hash each round: of pairs that
-    share a slot one is counted, exactly, the others in later rounds; what the table leaves is sorted."""
+    ``begins`` are the places where documents begin, in ids and then in symbols. A round counts pairs,
+    makes all that occur ``OFTEN`` times rules and replaces their occurrences from left to right; those that
+    overlap a replaced one are gone. Only pairs with a symbol that the round before made can have become
+    frequent, so the first round counts all pairs and the others count beside the last replacements alone.
+    Ends when no pair within a document occurs ``OFTEN`` times. Rules that nothing uses, or only one
+    symbol, are undone. Symbols have 20 bits; a larger vocabulary is an error, and no rule goes beyond."""
+    if size > 1 << _SYMBOL_BITS:
+        raise ValueError(f"symbols have {_SYMBOL_BITS} bits; the vocabulary has {size}")
     seq, rules, made = ids.astype(np.int32), [], size
     begins = np.asarray(begins, dtype=np.int64)
-    turn = 0
-    while len(seq) >= 2:
-        key = seq[:-1].astype(np.int64)
-        key <<= 20
-        key |= seq[1:]
-        border = begins[1:] - 1  # pairs that span two documents
-        factor = np.int64(-7046029254386353131 + (turn * 0x5851F42D4C957F2E & (1 << 62) - 1))
-        turn += 1
-        slot = ((key * factor).view(np.uint64) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
-        count = np.bincount(slot, minlength=1 << _HASH_BITS)
-        np.subtract.at(count, slot[border], 1)
-        hot = count >= OFTEN
-        if not hot.any():
+    fresh = 0  # first symbol of the round before
+    while len(seq) >= 2 and made < 1 << _SYMBOL_BITS:
+        inside = (seq[:-1] >= fresh) | (seq[1:] >= fresh)
+        inside[begins[1:] - 1] = False  # pairs that span two documents
+        here = np.flatnonzero(inside)
+        key = seq[here].astype(np.int64)
+        key <<= _SYMBOL_BITS
+        key |= seq[here + 1]
+        pairs, at, new = _frequent(key)
+        if len(pairs) == 0:
             break
-        here = hot[slot]
-        here[border] = False
-        here = np.flatnonzero(here)
-        keys, slots = key[here], slot[here]
-        pair = np.empty(1 << _HASH_BITS, dtype=np.int64)
-        pair[slots] = keys
-        one = pair[slots] == keys
-        count = np.bincount(slots[one], minlength=1 << _HASH_BITS)
-        often = np.flatnonzero(count >= OFTEN)
-        if len(often):
-            often = often[np.lexsort((often, -count[often]))[:RULES]]
-            pairs = pair[often]
-            rank = np.full(1 << _HASH_BITS, -1, dtype=np.int32)
-            rank[often] = np.arange(len(often), dtype=np.int32)
-            at, new = here[one], rank[slots[one]]
-        else:
-            found, back, exact = np.unique(keys, return_inverse=True, return_counts=True)
-            often = np.flatnonzero(exact >= OFTEN)
-            if len(often) == 0:
-                break
-            often = often[np.argsort(-exact[often], kind="stable")[:RULES]]
-            pairs = found[often]
-            rank = np.full(len(found), -1, dtype=np.int32)
-            rank[often] = np.arange(len(often), dtype=np.int32)
-            at, new = here, rank[back]
-        at, new = at[new >= 0], new[new >= 0]
+        most = (1 << _SYMBOL_BITS) - made
+        fresh = made
+        pairs, at, new = pairs[:most], here[at[new < most]], new[new < most]
         order = np.arange(len(at))
         start = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, order, 0))
         stays = (order - start) % 2 == 0
@@ -163,9 +194,30 @@ def compress(ids: np.ndarray, begins: np.ndarray, size: int) -> tuple[np.ndarray
         begins = begins - np.searchsorted(at, begins)
         seq = seq[keep]
         pairs = pairs[used]
-        rules.append(np.stack([pairs >> 20, pairs & ((1 << 20) - 1)], axis=1))
+        rules.append(np.stack([pairs >> _SYMBOL_BITS, pairs & ((1 << _SYMBOL_BITS) - 1)], axis=1))
         made += len(pairs)
-    return seq, begins, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64)
+    return _pruned(seq, begins, np.concatenate(rules) if rules else np.zeros((0, 2), dtype=np.int64), size)
+
+
+def _pruned(seq: np.ndarray, begins: np.ndarray, rules: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same without rules that nothing uses, or that the symbols use once and no rule does."""
+    while len(rules):
+        in_seq = np.bincount(seq[seq >= size] - size, minlength=len(rules))
+        in_rules = np.bincount(rules[rules >= size] - size, minlength=len(rules))
+        gone = (in_seq <= 1) & (in_rules == 0)
+        if not gone.any():
+            break
+        big = seq >= size
+        big[big] = gone[seq[big] - size]
+        at = np.cumsum(1 + big) - 1  # the last place of each symbol's expansion
+        out = np.empty(at[-1] + 1, dtype=seq.dtype)
+        out[at[~big]] = seq[~big]
+        pairs = rules[seq[big] - size]
+        out[at[big] - 1], out[at[big]] = pairs[:, 0], pairs[:, 1]
+        begins = begins + np.concatenate([[0], np.cumsum(big)])[begins]
+        number = np.concatenate([np.arange(size), size + np.cumsum(~gone) - 1])
+        seq, rules = number[out].astype(np.int32), number[rules[~gone]]
+    return seq, begins, rules
 
 
 def expansion_lengths(rules: np.ndarray, size: int) -> np.ndarray:
