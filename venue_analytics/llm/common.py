@@ -25,7 +25,8 @@ _PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers (once per application), as ``--py-files`` would, and bound
     the bytes (not just the rows) of the batches they get."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_venue_analytics_shipped", False):
         return
@@ -98,7 +99,8 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet, in its order, to the folder the cluster shares, and read back: like
-    :func:`cut` for larger frames, compressed and read by column."""
+    :func:`cut` for larger frames, compressed and read by column. The folder (``va-stored-``) stays, like a
+    checkpoint's without the cleaner, until the shared folder is cleared."""
     base = checkpoint_dir(df.sparkSession)
     if base is None:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

@@ -28,7 +28,8 @@ WINDOW = 10
 ANCHORS = 2
 #: consecutive document words within which a proximity match has all words of a window
 SPAN = 20
-#: rows up to which test terms, anchors and candidate documents are broadcast (counted first); beyond, the join is shuffled
+#: rows up to which test terms, anchors and keys of candidate documents are broadcast (counted first); beyond, the
+#: join is shuffled
 BROADCAST_ROWS = 1_000_000
 
 
@@ -145,7 +146,9 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     found = found.join(small(windows.select("win", "text"), BROADCAST_ROWS), "win")
     # a place has one window of each length, so a document's list is no longer than a few times its text
     listed = cut(found.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "win", "text"))).alias("found")))
-    held = _keyed(docs, id_col, text_col).join(small(listed, BROADCAST_ROWS // 10), "key").select("key", "found", words_of(lower_az(F.col("text"))).alias("words"))
+    # documents without candidates go before any text is shuffled
+    some = _keyed(docs, id_col, text_col).join(small(listed.select("key"), BROADCAST_ROWS), "key", "left_semi")
+    held = some.join(listed, "key").select("key", "found", words_of(lower_az(F.col("text"))).alias("words"))
 
     def of(words: Column) -> Column:
         exact = F.filter("found", lambda c: (c["kind"] == 0) & (
@@ -182,7 +185,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     none = F.array().cast("array<string>")
     found = (phrases.select("key", "n_hit").join(ids(phrases, "items"), "key", "left").join(ids(near, "near"), "key", "full"))
     words = _keyed(docs, id_col, text_col).select("key", F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    got = words.join(small(cut(found), BROADCAST_ROWS // 10), "key", "left")
+    got = words.join(cut(found), "key", "left")
     return got.select(F.col("key.id").alias("id"), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                       F.coalesce("items", none).alias("items"), F.coalesce("near", none).alias("near"))
 
