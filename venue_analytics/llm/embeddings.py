@@ -6,14 +6,18 @@ is list-decoded to all filters whose direction it exceeds the cap's threshold wi
 blocks are dropped as soon as the best possible rest can't reach it. Vectors of a label that share a
 filter are candidates and are verified by their cosine in double precision.
 
-With the defaults (2 blocks of 128 code words, 16,384 filters) a vector has about 14 filters, at least 12, and
-two unrelated vectors share one with a probability of about 0.012. Over random pairs of 64 entries at
-cosine 0.931, at least 0.99 of the pairs share a filter (measured; see tests). More code words make the
-caps finer for more rows.
+The caps are as fine as the rows of a label ask for: with ``words`` code words in each of three blocks,
+doubled until a vector shares a filter with about ``PARTNERS`` unrelated ones at most, and with more filters
+per vector the finer they are, so that links are found alike. Over random pairs of 64 entries at cosine
+0.931, at least 0.98 of the pairs share a filter at every size (measured; see tests): with 64, 128, 256, 512
+and 1,024 words a vector has about 29, 37, 57, 87 and 134 filters, and two unrelated vectors share one
+with a probability of 0.0033, 0.0006, 0.0002, 0.00007 and 0.00002.
 """
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,17 +26,39 @@ from pyspark.sql import functions as F
 from venue_analytics.llm.common import cut, ship, table
 from venue_analytics.llm.components import connected_components
 
-BLOCKS, WORDS, THRESHOLD, LEAST, SEED = 2, 128, 0.40, 12, 42
+BLOCKS, SEED = 3, 42
+#: coarsest code: its words per block, filters per vector, and the share of unrelated vectors that meet
+WORDS, FILTERS, MEET = 64, 24, 0.0033
+#: with twice the words a vector has so many times the filters, and unrelated vectors meet so many times as often
+MORE_FILTERS, MEET_LESS = 2 ** 0.62, 2 ** -1.8
+#: unrelated vectors of its label that a vector may meet, about
+PARTNERS = 4
 
 
-class ProductCode:
-    """Random rotation and block codes for vectors of ``dim`` entries; the same for the same arguments."""
+def words_for(rows: int) -> int:
+    """Code words per block for a label of so many distinct vectors."""
+    words, meet = WORDS, MEET
+    while rows * meet > PARTNERS:
+        words, meet = 2 * words, meet * MEET_LESS
+    return words
+
 
-    def __init__(self, dim: int, blocks: int = BLOCKS, words: int = WORDS, threshold: float = THRESHOLD,
-                 least: int = LEAST, seed: int = SEED):
+class ProductCode:
+    """Random rotation and block codes for vectors of ``dim`` entries; the same for the same arguments.
+
+    ``least`` (filters per vector) follows from ``words``, and ``threshold`` from both: a random direction is
+    about normal, and so many of all directions exceed it."""
+
+    def __init__(self, dim: int, blocks: int = BLOCKS, words: int = 2 * WORDS, threshold: float | None = None,
+                 least: int | None = None, seed: int = SEED):
+        blocks = min(blocks, dim)
+        if least is None:
+            least = round(FILTERS * MORE_FILTERS ** np.log2(words / WORDS))
+        if threshold is None:
+            threshold = NormalDist().inv_cdf(max(1 - least / words ** blocks, 0.5)) / np.sqrt(dim)
         rng = np.random.default_rng([seed, dim])
         self.turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
-        self.cuts = [part for part in np.array_split(np.arange(dim), min(blocks, dim))]
+        self.cuts = [part for part in np.array_split(np.arange(dim), blocks)]
         self.code = []
         for part in self.cuts:
             c = rng.standard_normal((words, len(part)))
@@ -40,8 +66,8 @@ class ProductCode:
         self.words, self.threshold, self.least = words, threshold, least
 
     def decode(self, unit: np.ndarray) -> list[np.ndarray]:
-        """Filters of each row of ``unit``: every direction whose product with the row is at least the
-        threshold, lowered for a row that exceeds fewer than ``least`` directions to its ``least``-th best."""
+        """Filters of each row of ``unit``, best first: every direction whose product with the row is at least
+        the threshold, lowered for a row that exceeds fewer than ``least`` directions to its ``least``-th best."""
         turned = unit @ self.turn
         sums = [turned[:, part] @ c.T for part, c in zip(self.cuts, self.code)]
         tops = np.array([s.max(axis=1) for s in sums])
@@ -61,11 +87,8 @@ class ProductCode:
             if len(name) >= min(self.least, self.words ** len(sums)):
                 break
             need -= 0.02
-        if need < self.threshold and len(name) > self.least:
-            order = np.argsort(-total, kind="stable")
-            last = max(self.least, int((total >= self.threshold).sum()))
-            name = name[order[:last]]
-        return name
+        order = np.argsort(-total, kind="stable")
+        return name[order[:max(self.least, int((total >= self.threshold).sum()))]]
 
 
 def vector_classes(rows: DataFrame) -> DataFrame:
@@ -88,8 +111,12 @@ def _key():
     return F.md5(F.concat_ws("|", F.col("label").cast("string"), F.col("vec").cast("string")))
 
 
+#: best filters of a vector that go along with each of its filters
+TOPS = ("t0", "t1", "t2")
+
+
 def filters(classes: DataFrame, **code) -> DataFrame:
-    """``(label, dim, filter, key)``: one row per filter of each class."""
+    """``(label, dim, filter, key, t0, t1, t2)``: one row per filter of each class, with its best ones."""
     ship(classes.sparkSession)
     kind = classes.schema["label"].dataType.simpleString()
 
@@ -102,18 +129,31 @@ def filters(classes: DataFrame, **code) -> DataFrame:
                 at = np.flatnonzero(dims == dim)
                 own = codes.setdefault(int(dim), ProductCode(int(dim), **code))
                 got = own.decode(np.stack([flat[ends[i]:ends[i + 1]] for i in at]))
-                rows = pa.array(np.repeat(at, [len(g) for g in got]))
+                sizes = [len(g) for g in got]
+                rows = pa.array(np.repeat(at, sizes))
+                tops = [pa.array([int(g[i]) if i < len(g) else None for g in got], pa.int64()).take(pa.array(np.repeat(np.arange(len(got)), sizes)))
+                        for i in range(len(TOPS))]
                 yield pa.RecordBatch.from_arrays([b.column(0).take(rows), pa.array(np.full(len(rows), dim), pa.int32()),
-                                                  pa.array(np.concatenate(got), pa.int64()), b.column(1).take(rows)],
-                                                 names=["label", "dim", "filter", "key"])
-    return classes.select("label", "key", "unit").mapInArrow(run, f"label {kind}, dim int, filter bigint, key string")
+                                                  pa.array(np.concatenate(got), pa.int64()), b.column(1).take(rows), *tops],
+                                                 names=["label", "dim", "filter", "key", *TOPS])
+    return classes.select("label", "key", "unit").mapInArrow(
+        run, f"label {kind}, dim int, filter bigint, key string, " + ", ".join(f"{t} bigint" for t in TOPS))
 
 
 def class_links(classes: DataFrame, cosine: float = 0.93, **code) -> DataFrame:
-    """``(u, v)``, u < v, of the classes of one label that share a filter and have at least this cosine."""
+    """``(u, v)``, u < v, of the classes of one label that share a filter and have at least this cosine.
+
+    Unless ``code`` names ``words``, the largest label's number of classes sets them. A pair whose best filters
+    meet, as near copies' do, is made at the smallest of those they share alone; any other at each filter it
+    shares, and once after."""
+    if "words" not in code:
+        most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+        code = {**code, "words": words_for(most)}
     cells = cut(filters(classes, **code))
-    a, b = cells.withColumnRenamed("key", "u"), cells.withColumnRenamed("key", "v")
-    pairs = a.join(b, ["label", "dim", "filter"]).where("u < v").select("u", "v").distinct()
+    a, b = (cells.select("label", "dim", "filter", F.col("key").alias(k), *[F.col(t).alias(k + t) for t in TOPS]) for k in "uv")
+    shared = F.least(*[F.when(F.col("u" + s) == F.col("v" + t), F.col("u" + s)) for s in TOPS for t in TOPS])
+    pairs = (a.join(b, ["label", "dim", "filter"]).where((F.col("u") < F.col("v")) & (F.coalesce(shared, F.col("filter")) == F.col("filter")))
+             .select("u", "v").distinct())
     units = classes.select("key", "unit")
     both = (pairs.join(units.select(F.col("key").alias("u"), F.col("unit").alias("x")), "u")
             .join(units.select(F.col("key").alias("v"), F.col("unit").alias("y")), "v"))
