@@ -100,6 +100,7 @@ _DERIVED = {
     "text": lambda: F.col("text"),
     # equal texts have equal digests; a clash of two different texts is no practical risk with SHA-256
     "text_digest": lambda: text_digest(),
+    "text_chars": lambda: F.length("text"),
     "value": lambda: F.col("rating.value").cast("string"),
 }
 
@@ -188,7 +189,7 @@ def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
     """Distinct ``keys`` rows of the place/post match for the month, own posts removed.
 
     ``keys`` may name place columns (merchant_id, place_id, place_name) and post columns
-    (post_id, source, post_month, day, hour, kind, poster_id, text, text_digest, value)."""
+    (post_id, source, post_month, day, hour, kind, poster_id, text, text_digest, text_chars, value)."""
     if t.matches is not None:
         if month != t.matches_month:
             raise ValueError(f"shared matches are for {t.matches_month!r}, not {month!r}")
@@ -217,11 +218,11 @@ RAW_POST_COLUMNS = ["id", "post_time", "kind", "poster_id", "rating"]
 
 def match_table(t: Tables, month: str | None, as_of=None, with_text: bool = False) -> DataFrame:
     """The place/post venue match of a month, once for all reports of a run: raw post columns
-    (``id, post_time, kind, poster_id, rating`` and, with ``with_text``, ``text_digest``), the place columns
+    (``id, post_time, kind, poster_id, rating`` and, with ``with_text``, ``text_digest`` and ``text_chars``), the place columns
     (``merchant_id, place_id, place_name``) and ``_own`` (the poster is one of the merchant's own
     accounts). One row per matching (post, place); the reports derive and dedupe their keys."""
     act = active_places(t.places, t.merchants, as_of)
-    cols = [c for c in RAW_POST_COLUMNS if c in t.posts.columns] + ([text_digest().alias("text_digest")] if with_text else [])
+    cols = [c for c in RAW_POST_COLUMNS if c in t.posts.columns] + ([text_digest().alias("text_digest"), F.length("text").alias("text_chars")] if with_text else [])
     pv = (t.posts.filter(month_pred(t.posts, "post_time", month))
           .select(*cols, F.explode(F.array_distinct("secondary_venue_ids")).alias("venue_id")))
     # no distinct here: the rare repeat of a (post, place) pair is removed by each report's dedupe,

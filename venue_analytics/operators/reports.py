@@ -132,41 +132,70 @@ def text_words(t: Tables, month: str | None = None, stops=None) -> DataFrame:
     return posts.select(text_digest().alias("text_digest"), words.alias("words")).filter(F.col("words") != "").distinct()
 
 
+#: characters of text of a place-month from which its words are dealt to several tasks
+GROUP_CHARS = 16_000_000
+#: tasks that count tokens, in shuffle partitions of the session: a text holds many tokens
+TOKEN_TASKS = 4
+
+
+def dealt_tokens(said: DataFrame, text: DataFrame, group_chars: int = GROUP_CHARS) -> DataFrame:
+    """(PLACE_MONTH, _group, source, word): the tokens of the texts ``said`` at places, those of one word of a
+    place-month in one task. ``said`` has text_digest and text_chars, ``text`` is of ``text_words``.
+
+    Whole texts are shuffled to their place-months and split there, so no token is shuffled with its keys, and what
+    follows by (PLACE_MONTH, _group) needs no further shuffle. A place-month with much text is dealt, by the hash of
+    the word, to groups of about ``group_chars`` characters."""
+    said = said.where(F.col("text_digest").isNotNull())  # as the join infers it, so both uses read one exchange
+    sizes = said.groupBy(*PLACE_MONTH).agg(F.sum("text_chars").alias("_chars")).where(F.col("_chars") > group_chars)
+    large = sizes.select(*[F.col(c).alias(f"_{c}") for c in PLACE_MONTH], F.ceil(F.col("_chars") / group_chars).cast("long").alias("_groups"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PLACE_MONTH]
+    groups = said.join(large, same[0] & same[1] & same[2], "left").withColumn("_groups", F.coalesce("_groups", F.lit(1).cast("long")))
+    mine = F.filter(F.split("words", " "), lambda w: F.pmod(F.xxhash64(w), F.col("_groups")) == F.col("_group"))
+    spread = (groups.join(text, "text_digest").withColumn("_group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_groups") - 1)))
+              .withColumn("words", F.when(F.col("_groups") == 1, F.col("words")).otherwise(F.array_join(mine, " "))).where("words != ''"))
+    tasks = TOKEN_TASKS * int(said.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (spread.select(*PLACE_MONTH, "_group", "source", "words").repartition(tasks, *PLACE_MONTH, "_group")
+            .select(*PLACE_MONTH, "_group", "source", F.explode(F.split("words", " ")).alias("word")))
+
+
+def _grouped_counts(t: Tables, month: str | None = None, as_of=None, stops=None, words: DataFrame | None = None) -> DataFrame:
+    """``keyword_counts`` with the group of each word (see ``dealt_tokens``)."""
+    has_text = _has_text() if t.matches is None else F.col("text_digest").isNotNull()
+    said = place_posts(t, month, ["merchant_id", "place_name", "post_month", "source", "text_digest", "text_chars"],
+                       as_of=as_of, extra_filter=has_text)
+    tokens = dealt_tokens(said, text_words(t, month, stops))
+    if words is not None:
+        tokens = tokens.join(words.select("merchant_id", "word"), ["merchant_id", "word"], "left_semi")
+    return distinct_count(tokens, PLACE_MONTH + ["_group", "source", "word"])
+
+
 def keyword_counts(t: Tables, month: str | None = None, as_of=None, stops=None,
                    words: DataFrame | None = None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, word, n) before the total filter.
 
     Distinct texts per place-month-source (two posts with one text count once, told by SHA-256), then the
-    keyword tokens of each distinct text, counted with map-side partial aggregation. The deduplication is
+    keyword tokens of each distinct text, counted where the place-month's texts meet. The deduplication is
     factorised: the match carries digests alone, the words of a text are made apart from it
     (``text_words``) and meet its places after both are distinct.
     ``words`` (merchant_id, word) keeps only those words, before counting: a word's counts and
     total depend only on its own tokens, so the result is the restriction of the full report."""
-    has_text = _has_text() if t.matches is None else F.col("text_digest").isNotNull()
-    said = place_posts(t, month, ["merchant_id", "place_name", "post_month", "source", "text_digest"],
-                       as_of=as_of, extra_filter=has_text)
-    tokens = (said.join(text_words(t, month, stops), "text_digest")
-              .select(*PLACE_MONTH, "source", F.explode(F.split("words", " ")).alias("word")))
-    if words is not None:
-        tokens = tokens.join(words.select("merchant_id", "word"), ["merchant_id", "word"], "left_semi")
-    return distinct_count(tokens, PLACE_MONTH + ["source", "word"])
+    return _grouped_counts(t, month, as_of, stops, words).drop("_group")
 
 
 def keywords(t: Tables, month: str | None = None, as_of=None, stops=None, min_total: int = 2,
              words: DataFrame | None = None) -> DataFrame:
     """(merchant_id, place_name, post_month, word, source, n, total) for words whose total over
     sources is > 1 (optionally only the merchant's ``words``, see ``keyword_counts``)."""
-    long_df = keyword_counts(t, month, as_of, stops, words)
-    return (with_group_total(long_df, PLACE_MONTH + ["word"])
+    long_df = _grouped_counts(t, month, as_of, stops, words)
+    return (with_group_total(long_df, PLACE_MONTH + ["_group", "word"])
             .filter(F.col("total") >= min_total)
             .select(*PLACE_MONTH, "word", "source", "n", "total"))
 
 
 def keywords_map(t: Tables, month: str | None = None, as_of=None, stops=None, min_total: int = 2) -> DataFrame:
-    """(merchant_id, place_name, post_month, word, counts{source->n}, total), total > 1."""
-    return (fold_map(keyword_counts(t, month, as_of, stops), PLACE_MONTH + ["word"], "source", "n", SOURCES,
-                     total="total")
-            .filter(F.col("total") >= min_total))
+    """(merchant_id, place_name, post_month, word, counts{source->n}, total), total > 1. Few words reach the
+    total, so it is filtered before the fold."""
+    return fold_map(keywords(t, month, as_of, stops, min_total), PLACE_MONTH + ["word"], "source", "n", SOURCES, total="total")
 
 
 # --------------------------------------------------------------------------------------- R4
