@@ -114,7 +114,9 @@ def post_venues(posts: DataFrame, month: str | None, cols, extra_filter=None) ->
     # derived columns are computed once per post, below the explode
     once = p.select(*[(c if isinstance(c, Column) else _DERIVED[c]().alias(c)) for c in cols],
                     F.array_distinct("secondary_venue_ids").alias("_venues"))
-    return once.select("*", F.explode("_venues").alias("venue_id")).drop("_venues")
+    # outer: below an inner explode Spark filters by the list's size, which makes the list (from a document, its parse)
+    # over again; the row without a venue goes before the shuffle
+    return once.select("*", F.explode_outer("_venues").alias("venue_id")).drop("_venues").where(F.col("venue_id").isNotNull())
 
 
 SALT_CONF = "venue_analytics.venueJoinSalt"

@@ -51,7 +51,9 @@ def typed(v: Column, path: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.TimestampType):
         return _time(v, path)
     if isinstance(dtype, T.StringType):
-        return F.coalesce(*[_get(v, _at(path, w), "string") for w in TEXTS], _get(v, path, "string"))
+        # an object's own text is its JSON: only a value that starts like one is looked into for wrappers
+        plain = _get(v, path, "string")
+        return F.when(plain.startswith("{"), F.coalesce(*[_get(v, _at(path, w), "string") for w in TEXTS], plain)).otherwise(plain)
     if isinstance(dtype, T.NumericType):
         kind = dtype.simpleString()
         return F.coalesce(*[_get(v, _at(path, w), kind) for w in NUMBERS], _get(v, path, kind))
@@ -61,6 +63,8 @@ def typed(v: Column, path: str, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.ArrayType):
         items = F.transform(_get(v, path, "array<variant>"), lambda x: typed(x, "$", dtype.elementType))
         if isinstance(dtype.elementType, T.StringType):  # the loader's '[a, b]' is a text
+            plain = _get(v, path, "array<string>")
+            items = F.when(~F.exists(plain, lambda x: x.startswith("{")), plain).otherwise(items)
             return F.coalesce(items, tokenize(venue_id_strip(_get(v, path, "string"))))
         return items
     if isinstance(dtype, T.MapType):
