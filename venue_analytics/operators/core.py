@@ -186,6 +186,15 @@ def match_place_posts(places: DataFrame, posts: DataFrame, month: str | None, po
     return joined.drop("post_id") if added else joined
 
 
+#: tasks in which rows are dealt by poster, in shuffle partitions of the session: each keeps its distinct posters in memory
+POSTER_TASKS = 16
+
+
+def dealt_by(df: DataFrame, *cols: str, tasks: int = POSTER_TASKS) -> DataFrame:
+    """``df`` dealt by ``cols`` to ``tasks`` times the session's shuffle partitions."""
+    return df.repartition(tasks * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
                 drop_own: bool = True, extra_filter=None, places: DataFrame | None = None) -> DataFrame:
     """Distinct ``keys`` rows of the place/post match for the month, own posts removed.
@@ -211,7 +220,14 @@ def place_posts(t: Tables, month: str | None, keys, post_cols=None, as_of=None,
     act = places if places is not None else active_places(t.places, t.merchants, as_of)
     m = match_place_posts(act, t.posts, month, post_side, extra_filter, t.venue_salt)
     if drop_own:
-        m = m.join(t.own_accounts(), ["merchant_id", "poster_id"], "left_anti")
+        own = ["merchant_id", "poster_id"]
+        if set(own) <= set(keys):
+            # the distinct rows are kept where the accounts are met, without a further shuffle; Spark would move an anti
+            # join below the dealing, to fewer tasks
+            accounts = t.own_accounts().withColumn("_own", F.lit(True))
+            m = dealt_by(m, *own).join(accounts, own, "left").where(F.col("_own").isNull())
+        else:
+            m = m.join(t.own_accounts(), own, "left_anti")
     return m.select(*keys).distinct()
 
 
