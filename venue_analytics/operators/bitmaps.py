@@ -1,11 +1,11 @@
 """Distinct posters that can be merged: exact bitmaps over a dictionary of poster ids.
 
 A count of distinct posters can't be added up: posts that come late may be of posters already counted. A
-bitmap per (place, month, source) and bucket of 32,768 poster numbers can be merged with another by OR, so
-late posts of a month are folded in without reading the month again. The numbers come from a dictionary
-table that only grows. A bitmap has 4 KB however few bits are set (Parquet and shuffles compress the
-zeros), so this pays where places have many posters or months are rerun often; ``reports.posters`` stays the
-plain way.
+bitmap per (place, month, source) can be merged with another by OR, so late posts of a month are folded in
+without reading the month again. The numbers come from a dictionary table that only grows. A bitmap is held in
+words of 64 poster numbers, a row each, without the words that have no bit set: there are never more rows than
+distinct posters of the place-months, and the more posters a place has, the fewer rows for each. This pays
+where places have many posters or months are rerun often; ``reports.posters`` stays the plain way.
 """
 
 from __future__ import annotations
@@ -15,13 +15,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from venue_analytics.operators.core import Tables, place_posts
+from venue_analytics.operators.core import Tables, dealt_by, place_posts
 from venue_analytics.operators.reports import PLACE_MONTH
 
 _DICTIONARY = "poster_id string, number bigint"
 #: number of posts without a poster id, which count as one poster
 NOBODY = 0
 KEYS = [*PLACE_MONTH, "source"]
+#: poster numbers of a word
+WORD = 64
 
 
 def poster_dictionary(spark: SparkSession, path: str) -> DataFrame:
@@ -56,12 +58,16 @@ def extend_dictionary(posts: DataFrame, path: str, first: bool = False) -> DataF
 
 def poster_bitmaps(t: Tables, dictionary: DataFrame, month: str | None = None, as_of=None) -> DataFrame:
     """(merchant_id, place_name, post_month, source, bucket, bits): the posters of the tables' posts, as the posters
-    report has them. A poster that the dictionary lacks fails: extend it first."""
-    pp = place_posts(t, month, [*KEYS, "poster_id"], as_of=as_of).join(dictionary, "poster_id", "left")
+    report has them. Bit i of ``bits`` (bigint) is the poster of number 64 * bucket + i. A poster that the dictionary
+    lacks fails: extend it first."""
+    pp = dealt_by(place_posts(t, month, [*KEYS, "poster_id"], as_of=as_of), "poster_id").join(dictionary, "poster_id", "left")
     missing = F.raise_error(F.concat(F.lit("poster not in the dictionary: "), F.col("poster_id")))
     number = F.when(F.col("poster_id").isNull(), F.lit(NOBODY)).when(F.col("number").isNull(), missing).otherwise(F.col("number"))
-    return (pp.select(*KEYS, number.cast("bigint").alias("number")).groupBy(*KEYS, F.bitmap_bucket_number("number").alias("bucket"))
-            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits")))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("number", F.lit(WORD)).cast("int"))
+    numbered = pp.select(*KEYS, number.cast("bigint").alias("number"))
+    # dealt by poster, a word's bits meet in no task before the shuffle
+    words = dealt_by(numbered.select(*KEYS, F.floor(F.col("number") / WORD).alias("bucket"), bit.alias("bit")), *KEYS, "bucket")
+    return words.groupBy(*KEYS, "bucket").agg(F.bit_or("bit").alias("bits"))
 
 
 def merged(*bitmaps: DataFrame) -> DataFrame:
@@ -69,9 +75,9 @@ def merged(*bitmaps: DataFrame) -> DataFrame:
     rows = bitmaps[0]
     for b in bitmaps[1:]:
         rows = rows.unionByName(b)
-    return rows.groupBy(*KEYS, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return rows.groupBy(*KEYS, "bucket").agg(F.bit_or("bits").alias("bits"))
 
 
 def poster_counts(bitmaps: DataFrame) -> DataFrame:
     """(merchant_id, place_name, post_month, source, n) as ``reports.poster_counts``."""
-    return bitmaps.groupBy(*KEYS).agg(F.sum(F.bitmap_count("bits")).alias("n"))
+    return bitmaps.groupBy(*KEYS).agg(F.sum(F.bit_count("bits").cast("bigint")).alias("n"))
