@@ -37,11 +37,13 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from venue_analytics.operators.core import Tables
+from venue_analytics.operators.core import Tables, dealt_by
 from venue_analytics.sources.schemas import SOURCES
 
 AS_OF = dt.datetime(2002, 1, 1)
 N_MERCHANTS = 25
+#: tasks that collect the lists of orders, in shuffle partitions of the session
+LIST_TASKS = 4
 
 
 # Declared schemas of the driver tables read here (as Spark reads them): no schema-inference job
@@ -131,7 +133,7 @@ def posts(spark, sf_dir, with_text: bool = False) -> DataFrame:
     """Order posts. Venue and tag lists are collected per order: bounded by the order's line
     items (a handful), never an unbounded group."""
     o = load(spark, sf_dir, "orders")
-    li = (load(spark, sf_dir, "lineitem")
+    li = (dealt_by(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag"), "l_orderkey", tasks=LIST_TASKS)
           .groupBy("l_orderkey")
           .agg(F.collect_list(F.concat(F.lit("V"), _s("l_suppkey"))).alias("secondary_venue_ids"),
                F.collect_list("l_returnflag").alias("tag_ids")))
