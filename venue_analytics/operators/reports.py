@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from venue_analytics.functions.columns import day_str, hour_str, month_pred, month_str, source_of, time_diff
 from venue_analytics.functions.text import keyword_words
-from venue_analytics.operators.core import Tables, distinct_count, match_table, place_posts, text_digest
+from venue_analytics.operators.core import Tables, dealt_by, distinct_count, match_table, place_posts, text_digest
 from venue_analytics.operators.counts import fold_map, fold_nested_map
 from venue_analytics.sources.schemas import (
     AUDIT_TYPES, INTERACTION_TYPES, KINDS, RATINGS, REVIEW_SOURCES, SEGMENT_KEYS, SOURCES,
@@ -32,40 +32,49 @@ def with_group_total(long_df: DataFrame, group_cols, n_col: str = "n", out: str
 # ------------------------------------------------------------------------ R1, R2, R6, R7 at once
 #: reports that count distinct posts or posters of the match
 COUNT_REPORTS = ("content", "reviews", "posters", "segments")
-_COUNTED = ["merchant_id", "place_id", "place_name", "post_month", "day", "hour", "source", "kind", "value"]
+#: the keys that the counts of every report are grouped by; ``place`` is an id or a name, ``time`` a month or a day, ``what`` a kind or a value
+_COUNTED = ["report", "merchant_id", "place", "time", "hour", "source", "what"]
+#: tasks that the distinct posts (or posters) of one count are dealt to
+KEY_BUCKETS = 8
+#: a row of one type, with nulls, for every report: unpivoted columns take the type of the first
+_ROW = "struct<merchant_id: string, place: string, time: string, hour: string, source: string, what: string, key: string>"
 
 
 def count_reports(t: Tables, month: str | None = None, as_of=None) -> DataFrame:
     """(report, merchant_id, place_id, place_name, post_month, day, hour, source, kind, value, n): the counts of
     COUNT_REPORTS from one pass over the place/post match; columns that a report doesn't count by are null.
 
-    Grouping sets keep the distinct posts (or posters) of every report in one expand and aggregation, with
-    map-side partial aggregation, where a report by itself takes a distinct and a count over a shuffle of
-    the match; then one count serves all. Own posts and other rules of a report are columns of its set,
-    so a row that doesn't count there collapses before the shuffle."""
+    A row of the match becomes one row for each report that it counts in, and the distinct posts (or posters) of all
+    reports are kept in one aggregation, where a report by itself takes a distinct and a count over a shuffle of
+    the match; then one count serves all. The rows of all reports are of one struct, which is hashed and moved as a
+    whole; a row that doesn't count in a report (own posts, no review) is left out before the shuffle. They are
+    dealt to many tasks, so that each keeps its distinct rows in memory."""
     m = t.matches if t.matches is not None else match_table(t, month, as_of)
     if t.matches is not None and month != t.matches_month:
         raise ValueError(f"shared matches are for {t.matches_month!r}, not {month!r}")
     review = (F.col("kind") == "review") & F.col("id").startswith("FB")
-    hits = m.select("merchant_id", "place_id", "place_name", month_str("post_time").alias("post_month"), day_str("post_time").alias("day"),
-                    hour_str("post_time").alias("hour"), source_of("id").alias("source"), "kind", F.col("id").alias("post_id"), "poster_id",
-                    F.col("_own").alias("own"), F.coalesce(review, F.lit(False)).alias("review"),
-                    F.when(review, F.col("id")).alias("reviewed"),
-                    F.when(review, F.col("rating.value").cast("string") if "rating" in m.columns else None).alias("value"))
-    by_name = ["merchant_id", "place_name", "post_month", "source", "own"]
-    sets = {"content": [*by_name, "kind", "post_id"], "reviews": [*by_name, "review", "reviewed", "value"], "posters": [*by_name, "poster_id"],
-            "segments": ["merchant_id", "place_id", "post_month", "day", "hour", "source", "post_id"]}
-    columns = hits.columns
-    seen = hits.groupingSets([[F.col(c) for c in s] for s in sets.values()], *[F.col(c) for c in columns]).agg(F.grouping_id().alias("set"))
-    # a grouping id has a bit, from the left, for every column that is left out
-    ids = {name: sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in s) for name, s in sets.items()}
-    report = F.create_map(*[F.lit(x) for name, i in ids.items() for x in (i, name)])
-    seen = seen.withColumn("report", F.element_at(report, F.col("set").cast("int")))
-    seen = seen.where((F.col("report") == "segments") | ~F.col("own")).where((F.col("report") != "reviews") | F.col("review"))
+    value = F.col("rating.value").cast("string") if "rating" in m.columns else F.lit(None).cast("string")
+    hits = m.withColumns({"_month": month_str("post_time"), "_day": day_str("post_time"), "_source": source_of("id")})
+    none = F.lit(None).cast("string")
+
+    def row(place, time, hour, what, key):
+        return F.struct("merchant_id", place, time, hour, "_source", what, key).cast(_ROW)
+    rows = {"content": F.when(~F.col("_own"), row("place_name", F.col("_month"), none, F.col("kind"), "id")),
+            "reviews": F.when(~F.col("_own") & review, row("place_name", F.col("_month"), none, value, "id")),
+            "posters": F.when(~F.col("_own"), row("place_name", F.col("_month"), none, none, "poster_id")),
+            "segments": row("place_id", F.concat("_month", "_day"), hour_str("post_time"), none, "id")}
+    seen = hits.select(*[r.alias(name) for name, r in rows.items()]).unpivot([], list(rows), "report", "row").where(F.col("row").isNotNull())
+    # rows that are counted together meet in a few tasks before the count's shuffle, those of a hot group in KEY_BUCKETS
+    counted = F.xxhash64("report", *[f"row.{c}" for c in ("merchant_id", "place", "time", "source", "what")], F.pmod(F.xxhash64("row.key"), F.lit(KEY_BUCKETS)))
+    seen = dealt_by(seen.withColumn("cell", counted), "cell").distinct().select("report", "row.*")
     # a place-post counts in its hour and in 'total'
     hours = F.when(F.col("report") == "segments", F.array(F.col("hour"), F.lit("total"))).otherwise(F.array(F.col("hour")))
-    seen = seen.withColumn("hour", F.explode(hours))
-    return distinct_count(seen, ["report", *_COUNTED])
+    counts = distinct_count(seen.withColumn("hour", F.explode(hours)), _COUNTED)
+    segment, kinds = F.col("report") == "segments", F.col("report") == "content"
+    return counts.select("report", "merchant_id", F.when(segment, F.col("place")).alias("place_id"), F.when(~segment, F.col("place")).alias("place_name"),
+                         F.when(segment, F.substring("time", F.lit(1), F.length("time") - 2)).otherwise(F.col("time")).alias("post_month"),
+                         F.when(segment, F.substring("time", -2, 2)).alias("day"), "hour", "source",
+                         F.when(kinds, F.col("what")).alias("kind"), F.when(F.col("report") == "reviews", F.col("what")).alias("value"), "n")
 
 
 def _shared_counts(t: Tables, report: str, month: str | None, columns: list[str]) -> DataFrame:
